@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analyses this library reproduces are batch jobs over files; none of them
+reads a stream, keeps state or uses watermarks, so there is no streaming
+operator to offer. Every operator in ``facetspark.operators`` takes and
+returns a plain DataFrame, so it can be applied inside a ``foreachBatch``
+sink if a caller wants to run it over micro-batches.
+"""
