@@ -61,7 +61,10 @@ def _fits_broadcast(keys_df: DataFrame, max_rows: int, max_bytes: int) -> bool:
 def _join_keys(df: DataFrame, keys_df: DataFrame, on: list[str], how: str,
                max_rows: int, max_bytes: int) -> DataFrame:
     small = _fits_broadcast(keys_df, max_rows, max_bytes)
-    return df.join(F.broadcast(keys_df) if small else keys_df, on, how)
+    # Over the bound: both sides are shuffled on the key and the key side is
+    # hashed per partition; adaptive execution splits skewed partitions.
+    right = F.broadcast(keys_df) if small else keys_df.hint("shuffle_hash")
+    return df.join(right, on, how)
 
 
 def distinct_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -87,7 +90,8 @@ def min_support(df: DataFrame, key: str | Sequence[str], min_count: int,
     """
     ks = _keys(key)
     keys_df = _materialise(supported_keys(df, ks, min_count).select(*ks))
-    return _join_keys(df, keys_df, ks, "left_semi", max_broadcast_rows, max_broadcast_bytes)
+    kept = _join_keys(df, keys_df, ks, "left_semi", max_broadcast_rows, max_broadcast_bytes)
+    return kept.select(*[_q(c) for c in df.columns])
 
 
 def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col: str = "id",

@@ -26,6 +26,31 @@ from pyspark.sql import functions as F
 from facetspark.functions import presets
 from facetspark.operators import clean, derive, keys, profile, segments
 from facetspark.plans.sql import bucket_average
+from facetspark.sources.csv import read_csv
+
+# Unit suffix some exports put after loudness values ("-5.2 dB").
+UNIT_SUFFIX = r"(?i)\s*db$"
+
+
+def song_types() -> dict[str, str]:
+    """Types of the song columns the studies use; everything else stays text."""
+    types = {m: "double" for m in presets.SONG_MEASURES}
+    types["Popularity"] = "int"
+    types.update({flag: "int" for flag in presets.USE_CASE_FLAGS})
+    return types
+
+
+def read_songs(spark, path, partitions: int | None = None) -> DataFrame:
+    """Read the song CSV export(s) and type the columns the studies use.
+
+    Values that do not convert (junk text) become null, and are then
+    dropped by each study's complete-row step, instead of failing the job.
+    Columns missing from the file are skipped.
+    """
+    raw = read_csv(spark, path, partitions=partitions)
+    present = {c.lower() for c in raw.columns}
+    types = {c: t for c, t in song_types().items() if c.lower() in present}
+    return clean.typed(raw, types, strip_pattern=UNIT_SUFFIX)
 
 
 def category_measure(raw: DataFrame, category: str = presets.EMOTION, measure: str = "Tempo",

@@ -1,0 +1,75 @@
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from facetspark.operators import keys
+from facetspark.sources import read_table
+
+from .conftest import SF01
+
+
+def test_row_id_contiguous_over_many_partitions(spark):
+    orders = read_table(spark, SF01, "orders").repartition(13)
+    out = keys.row_id(orders, order_by=["o_orderkey"])
+    assert out.columns[0] == "id"
+    assert out.schema["id"].nullable is False
+    got = out.select("id", "o_orderkey").collect()
+    ids = sorted(r.id for r in got)
+    assert ids == list(range(1, orders.count() + 1))
+    ref = orders.select(F.row_number().over(Window.orderBy("o_orderkey")).alias("rid"), "o_orderkey")
+    assert {r.o_orderkey: r.rid for r in ref.collect()} == {r.o_orderkey: r.id for r in got}
+
+
+def test_row_id_file_order_and_start(spark):
+    nation = read_table(spark, SF01, "nation")
+    out = keys.row_id(nation, start=0, id_col="rid", materialise=False).collect()
+    assert [r.rid for r in out] == list(range(25))
+    assert [r.n_nationkey for r in out] == [r.n_nationkey for r in nation.collect()]
+
+
+def test_row_id_empty_input(spark):
+    empty = read_table(spark, SF01, "nation").where("n_nationkey < 0")
+    assert keys.row_id(empty, order_by=["n_nationkey"]).count() == 0
+
+
+def test_min_support_equals_inner_join_form(spark):
+    part = read_table(spark, SF01, "part")
+    mine = keys.min_support(part, "p_brand", 80)
+    counts = part.groupBy("p_brand").agg(F.count("*").alias("count")).where("count >= 80")
+    inner = part.join(counts.select("p_brand"), "p_brand")
+    assert mine.count() == inner.count()
+    assert sorted(mine.columns) == sorted(inner.columns)
+    assert mine.columns == part.columns
+
+
+def test_min_support_shuffle_path_when_over_bound(spark):
+    part = read_table(spark, SF01, "part")
+    small = keys.min_support(part, "p_brand", 80)
+    big = keys.min_support(part, "p_brand", 80, max_broadcast_rows=0)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in big._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+
+
+def test_min_support_null_keys_dropped(spark):
+    df = spark.createDataFrame([(None, 1)] * 5 + [("a", 1)] * 5, "k string, v int")
+    assert keys.min_support(df, "k", 3).count() == 5
+
+
+def test_dense_index_equals_dense_rank(spark):
+    part = read_table(spark, SF01, "part")
+    out = keys.dense_index(part, "p_brand", "idx")
+    assert out.columns == ["p_brand"] + [c for c in part.columns if c != "p_brand"] + ["idx"]
+    ref = part.select("p_partkey", (F.dense_rank().over(Window.orderBy("p_brand")) - 1).alias("r"))
+    assert {r.p_partkey: r.r for r in ref.collect()} == {r.p_partkey: r.idx for r in out.collect()}
+    fallback = keys.dense_index(part, "p_brand", "idx", max_broadcast_rows=0)
+    assert sorted(map(tuple, fallback.collect())) == sorted(map(tuple, out.collect()))
+
+
+def test_index_table_skips_null(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("b",)], "k string")
+    assert [tuple(r) for r in keys.index_table(df, "k").orderBy("k").collect()] == [("a", 0), ("b", 1)]
+
+
+def test_distinct_keys(spark):
+    part = read_table(spark, SF01, "part")
+    assert keys.distinct_keys(part, "p_brand").count() == 25
