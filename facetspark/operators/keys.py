@@ -128,12 +128,16 @@ def index_table(df: DataFrame, key: str, index_col: str | None = None, start: in
 
 
 def dense_index(df: DataFrame, key: str, index_col: str | None = None, start: int = 0,
+                index: DataFrame | None = None,
                 max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                 max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Attach to every row the 0-based rank of its key among the distinct keys.
 
     Output columns: the key, the other columns of ``df``, then the index.
-    Rows with a null key are dropped (a null has no index).
+    Rows with a null key are dropped (a null has no index). ``index`` is a
+    ready ``index_table`` to use instead of numbering the keys of ``df``;
+    rows whose key is not in it are dropped, so an index over a subset of
+    keys (e.g. the supported ones) filters and labels in one join.
     """
-    idx = index_table(df, key, index_col, start)
+    idx = index if index is not None else index_table(df, key, index_col, start)
     return _join_keys(df, idx, [key], "inner", max_broadcast_rows, max_broadcast_bytes)

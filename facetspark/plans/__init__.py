@@ -2,6 +2,7 @@
 
 from facetspark.plans.sql import bucket_average, register, run_sql
 from facetspark.plans.studies import (
+    category_index,
     category_measure,
     decade_trends,
     flag_profile,
@@ -12,6 +13,6 @@ from facetspark.plans.studies import (
 )
 
 __all__ = [
-    "bucket_average", "category_measure", "decade_trends", "flag_profile", "flag_table",
+    "bucket_average", "category_index", "category_measure", "decade_trends", "flag_profile", "flag_table",
     "register", "run_sql", "score_buckets", "tag_comparison", "tag_table",
 ]

@@ -363,9 +363,8 @@ def q_distinct_keys(spark, sf):
            CAST(p_retailprice AS DOUBLE) AS p_retailprice
     FROM part WHERE p_brand IN ({SUPPORTED_BRANDS_SQL})""")
 def q_dense_index(spark, sf):
-    res = studies.category_measure(read_table(spark, sf, "part"), "p_brand", "p_retailprice",
-                                   min_count=MIN_PARTS_PER_BRAND, label="price")
-    return res["indexed"]
+    return studies.category_index(read_table(spark, sf, "part"), "p_brand", "p_retailprice",
+                                  min_count=MIN_PARTS_PER_BRAND)
 
 
 @query("category_stats", f"""

@@ -55,22 +55,33 @@ def read_songs(spark, path, partitions: int | None = None) -> DataFrame:
 
 def category_measure(raw: DataFrame, category: str = presets.EMOTION, measure: str = "Tempo",
                      min_count: int = presets.MIN_SONGS_PER_EMOTION, label: str | None = None,
-                     index_col: str | None = None, count_name: str = "song_count") -> dict[str, DataFrame]:
-    """Statistics of ``measure`` per ``category`` and an indexed row table.
+                     count_name: str = "song_count") -> dict[str, DataFrame]:
+    """Statistics of ``measure`` per ``category`` with at least ``min_count`` rows.
 
-    * ``stats``: avg/min/max/stddev/count per category with at least
-      ``min_count`` rows, sorted by the average.
-    * ``indexed``: for rows of those categories, the category's 0-based
-      index in sorted order (int) and the measure (double).
+    * ``cleaned``: complete (category, measure) rows.
+    * ``stats``: avg/min/max/stddev/count per supported category, sorted by
+      the average. Lazy: one aggregation, no extra job.
     """
     lab = label or measure.lower()
-    idx = index_col or f"{category}_index"
     rows = clean.project_complete(raw, [F.col(f"`{category}`"), F.col(f"`{measure}`")])
     stats = profile.group_stats(rows, category, measure, min_count=min_count, label=lab, count_name=count_name)
-    kept = keys.min_support(rows, category, min_count)
-    indexed = (keys.dense_index(kept, category, idx)
-               .select(F.col(idx).cast("int").alias(idx), F.col(f"`{measure}`").cast("double").alias(measure)))
-    return {"cleaned": rows, "stats": stats, "indexed": indexed}
+    return {"cleaned": rows, "stats": stats}
+
+
+def category_index(raw: DataFrame, category: str = presets.EMOTION, measure: str = "Tempo",
+                   min_count: int = presets.MIN_SONGS_PER_EMOTION, index_col: str | None = None) -> DataFrame:
+    """Rows of supported categories as (0-based category index int, measure double).
+
+    The supported categories are counted with a partial aggregation, numbered
+    in sorted order (materialised, size-checked), and joined back once:
+    that single join both keeps the supported rows and attaches the index.
+    """
+    idx = index_col or f"{category}_index"
+    rows = clean.project_complete(raw, [F.col(f"`{category}`"), F.col(f"`{measure}`")])
+    supported = keys.supported_keys(rows, category, min_count).select(F.col(f"`{category}`"))
+    index = keys.index_table(supported, category, idx)
+    return (keys.dense_index(rows, category, idx, index=index)
+            .select(F.col(idx).cast("int").alias(idx), F.col(f"`{measure}`").cast("double").alias(measure)))
 
 
 def score_buckets(raw: DataFrame, score: str = "Popularity", measure: str = "Danceability",

@@ -32,7 +32,7 @@ def test_category_measure(spark, songs, songs_pd):
         assert r.min_tempo == row["min"] and r.max_tempo == row["max"] and r.song_count == row["count"]
     # case variants are different categories in this study (no lower-casing)
     assert "Joy" not in {r.emotion for r in stats}
-    indexed = res["indexed"]
+    indexed = studies.category_index(songs)
     assert dict(indexed.dtypes) == {"emotion_index": "int", "Tempo": "double"}
     kept = sorted(g.index)
     want = sorted((kept.index(e), t) for e, t in brute[brute["emotion"].isin(kept)].itertuples(index=False))
