@@ -25,6 +25,12 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Context-level settings for sessions this library starts itself: remove a
+# checkpoint's files once its DataFrame is garbage-collected on the driver.
+CONTEXT_CONF = {
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 
 def local_session(app_name: str = "facetspark", cores: int | str = "*",
                   shuffle_partitions: int = 8, extra: dict[str, str] | None = None) -> SparkSession:
@@ -37,7 +43,7 @@ def local_session(app_name: str = "facetspark", cores: int | str = "*",
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("FACETSPARK_DRIVER_MEMORY", "8g"))
     )
-    for k, v in {**SCALE_CONF, **(extra or {})}.items():
+    for k, v in {**SCALE_CONF, **CONTEXT_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
