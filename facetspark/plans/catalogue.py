@@ -220,7 +220,7 @@ def q_decade_profile(spark, sf):
 
 
 DATE_TEXT_SQL = """
-    SELECT o_totalprice, CASE o_orderkey % 3 WHEN 0 THEN 'n/a' WHEN 1 THEN '29th April 2013'
+    SELECT o_totalprice, CASE o_orderstatus WHEN 'O' THEN 'n/a' WHEN 'P' THEN '29th April 2013'
            ELSE strftime(o_orderdate, '%Y-%m-%d') END AS release_date FROM orders"""
 
 
@@ -230,8 +230,9 @@ DATE_TEXT_SQL = """
     FROM ({DATE_TEXT_SQL}) t WHERE try_cast(release_date AS DATE) IS NOT NULL GROUP BY 1""")
 def q_decade_bad_dates(spark, sf):
     od = read_table(spark, sf, "orders")
-    text = F.when(F.col("o_orderkey") % 3 == 0, F.lit("n/a")) \
-        .when(F.col("o_orderkey") % 3 == 1, F.lit("29th April 2013")) \
+    # release dates as an export would hold them: ISO text, placeholders, prose
+    text = F.when(F.col("o_orderstatus") == "O", F.lit("n/a")) \
+        .when(F.col("o_orderstatus") == "P", F.lit("29th April 2013")) \
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
     raw = od.select("o_totalprice", text.alias("release_date"))
     res = studies.decade_trends(raw, date="release_date", measures={"avg_totalprice": "o_totalprice"},
