@@ -3,38 +3,40 @@
 Scale notes
 -----------
 * ``min_support`` counts rows per key with a partial aggregation (a hot key
-  costs one row per task), writes the qualifying keys to the shared
-  checkpoint folder, measures them, and broadcasts them into a semi-join
-  only when their row count and byte size are under the given bounds;
-  otherwise it uses a shuffled semi-join, where adaptive execution splits
-  skewed partitions. The big side is never grouped.
-* ``row_id`` gives contiguous ids without sending rows to one task: each
-  partition is numbered locally and shifted by the number of rows in the
-  partitions before it. Those offsets form a table with one row per
-  partition, so its size is bounded by the partition count, not the data.
-  Sorted input is first materialised with ``checkpoint`` (reliable, in the
-  shared folder), so a lost executor cannot make a re-run see different
-  partition contents.
-* ``dense_index`` numbers the distinct keys with ``row_id`` (never a
-  global window over rows) and joins the index back the same size-checked
-  way as ``min_support``.
+  costs one row per task), writes the qualifying keys as a Parquet table in
+  the shared checkpoint folder -- measuring their rows and bytes with
+  ``observe`` in that same write -- and broadcasts them into a semi-join only
+  when both are under the given bounds; otherwise it uses a shuffle-hash
+  semi-join, where adaptive execution splits skewed partitions. The big side
+  is never grouped.
+* ``row_id`` gives contiguous ids without sending rows to one task. After the
+  (range-partitioned) sort, every row records its partition number and its
+  position inside the partition; that table is written to the shared folder,
+  so a lost executor cannot make a re-run see different partitions. Ids are
+  the position plus the number of rows in all earlier partitions; the counts
+  read a single int column, and the offsets table has one row per partition
+  (bounded by the partition count, not the data) and is broadcast.
+* ``dense_index`` numbers the distinct keys with ``row_id`` (never a global
+  window over rows) and joins the index back, broadcast only under the same
+  measured bound.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from facetspark.session import ensure_checkpoint_dir
+from facetspark.session import scratch_dir
 
 # Default bounds for broadcasting a key table: 2 million keys and 256 MiB.
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 << 20
 
 _PID = "_fs_partition"
-_MID = "_fs_row_in_partition"
+_POS = "_fs_position"
 
 
 def _q(name: str) -> Column:
@@ -45,22 +47,39 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _materialise(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _width(columns: Sequence[str]) -> Column:
+    """Upper estimate of a row's size: text length of each value plus 8 bytes."""
+    return sum((F.coalesce(F.octet_length(_q(c).cast("string")), F.lit(0)) + F.lit(8) for c in columns),
+               F.lit(0))
 
 
-def _fits_broadcast(keys_df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """Measure a materialised key table: row count and an upper size estimate."""
-    width = sum((F.coalesce(F.octet_length(_q(c).cast("string")), F.lit(0)) + F.lit(8)
-                 for c in keys_df.columns), F.lit(0))
-    n, nbytes = keys_df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return n <= max_rows and nbytes <= max_bytes
+def _written(df: DataFrame, name: str, measure: bool = False) -> tuple[DataFrame, tuple[int, int] | None]:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back (lineage cut, contents fixed). With ``measure`` the same write
+    also yields ``(rows, estimated bytes)`` through ``observe``."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    obs = None
+    if measure:
+        obs = Observation(f"fs_{uuid.uuid4().hex}")
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                        F.coalesce(F.sum(_width(df.columns)), F.lit(0)).alias("bytes"))
+    df.write.mode("overwrite").parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    if obs is None:
+        return back, None
+    m = obs.get
+    return back, (int(m["rows"]), int(m["bytes"]))
 
 
-def _join_keys(df: DataFrame, keys_df: DataFrame, on: list[str], how: str,
+def _measure(df: DataFrame) -> tuple[int, int]:
+    n, nbytes = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_width(df.columns)), F.lit(0))).first()
+    return int(n), int(nbytes)
+
+
+def _join_keys(df: DataFrame, keys_df: DataFrame, on: list[str], how: str, size: tuple[int, int],
                max_rows: int, max_bytes: int) -> DataFrame:
-    small = _fits_broadcast(keys_df, max_rows, max_bytes)
+    small = size[0] <= max_rows and size[1] <= max_bytes
     # Over the bound: both sides are shuffled on the key and the key side is
     # hashed per partition; adaptive execution splits skewed partitions.
     right = F.broadcast(keys_df) if small else keys_df.hint("shuffle_hash")
@@ -85,12 +104,12 @@ def min_support(df: DataFrame, key: str | Sequence[str], min_count: int,
                 max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Rows of ``df`` whose key occurs in at least ``min_count`` rows (inclusive).
 
-    Rows with a null key are dropped. Runs one job to materialise and
-    measure the qualifying keys; the returned DataFrame is lazy.
+    Rows with a null key are dropped. Runs one job to write and measure the
+    qualifying keys; the returned DataFrame is lazy.
     """
     ks = _keys(key)
-    keys_df = _materialise(supported_keys(df, ks, min_count).select(*ks))
-    kept = _join_keys(df, keys_df, ks, "left_semi", max_broadcast_rows, max_broadcast_bytes)
+    keys_df, size = _written(supported_keys(df, ks, min_count).select(*ks), "support-keys", measure=True)
+    kept = _join_keys(df, keys_df, ks, "left_semi", size, max_broadcast_rows, max_broadcast_bytes)
     return kept.select(*[_q(c) for c in df.columns])
 
 
@@ -100,44 +119,52 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
 
     With ``order_by`` ids follow that order (ties in any order). Without it
     they follow the current row order, which for a file scan is file order.
-    ``materialise=False`` skips the checkpoint; use it only when ``df``
-    re-reads the same rows in the same partitions every time (a plain file
-    scan or an already checkpointed DataFrame).
+    ``materialise=False`` skips writing the numbered rows; use it only when
+    ``df`` re-reads the same rows in the same partitions every time (a plain
+    file scan or an already written table). The output rows are not sorted;
+    order by ``id_col`` when the order matters.
     """
+    cols = [_q(c) for c in df.columns]
     base = df.orderBy(*order_by) if order_by else df
+    pid = F.spark_partition_id()
+    # monotonically_increasing_id = partition index << 33 | position in partition
+    numbered = base.select(pid.alias(_PID),
+                           (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_POS),
+                           *cols)
     if materialise:
-        base = _materialise(base)
-    cols = [_q(c) for c in df.columns]
-    tagged = base.select(F.spark_partition_id().alias(_PID),
-                         F.monotonically_increasing_id().alias(_MID), *cols)
-    sizes = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
+        numbered, _ = _written(numbered, "row-id")
+    sizes = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition: bounded by the partition count, safe to broadcast.
     offsets = sizes.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    # monotonically_increasing_id = partition index << 33 | position in partition
-    position = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    ident = (F.col("_offset") + position + F.lit(start)).cast("long").alias(id_col)
-    return tagged.join(F.broadcast(offsets), _PID).select(ident, *cols)
+    ident = (F.col("_offset") + F.col(_POS) + F.lit(start)).cast("long")
+    # every term is present for every row; coalesce only declares it non-null
+    ident = F.coalesce(ident, F.lit(start).cast("long")).alias(id_col)
+    return numbered.join(F.broadcast(offsets), _PID).select(ident, *cols)
+
+
+def _index(df: DataFrame, key: str, index_col: str, start: int) -> tuple[DataFrame, tuple[int, int]]:
+    sorted_keys = df.select(_q(key)).where(_q(key).isNotNull()).distinct().orderBy(_q(key))
+    numbered = row_id(sorted_keys, id_col=index_col, start=start).select(_q(key), F.col(index_col))
+    return _written(numbered, "index", measure=True)
 
 
 def index_table(df: DataFrame, key: str, index_col: str | None = None, start: int = 0) -> DataFrame:
     """Distinct non-null keys numbered ``start, start+1, ...`` in key order."""
-    idx = index_col or f"{key}_index"
-    keys_df = _materialise(df.select(_q(key)).where(_q(key).isNotNull()).distinct().orderBy(_q(key)))
-    return row_id(keys_df, id_col=idx, start=start, materialise=False).select(_q(key), F.col(idx))
+    return _index(df, key, index_col or f"{key}_index", start)[0]
 
 
 def dense_index(df: DataFrame, key: str, index_col: str | None = None, start: int = 0,
-                index: DataFrame | None = None,
+                keys: DataFrame | None = None,
                 max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                 max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Attach to every row the 0-based rank of its key among the distinct keys.
 
     Output columns: the key, the other columns of ``df``, then the index.
-    Rows with a null key are dropped (a null has no index). ``index`` is a
-    ready ``index_table`` to use instead of numbering the keys of ``df``;
-    rows whose key is not in it are dropped, so an index over a subset of
-    keys (e.g. the supported ones) filters and labels in one join.
+    Rows with a null key are dropped (a null has no index). ``keys`` gives
+    the key values to number instead of all keys of ``df`` (e.g. only the
+    supported ones); rows whose key is not among them are dropped, so one
+    join both filters and labels.
     """
-    idx = index if index is not None else index_table(df, key, index_col, start)
-    return _join_keys(df, idx, [key], "inner", max_broadcast_rows, max_broadcast_bytes)
+    idx, size = _index(keys if keys is not None else df, key, index_col or f"{key}_index", start)
+    return _join_keys(df, idx, [key], "inner", size, max_broadcast_rows, max_broadcast_bytes)

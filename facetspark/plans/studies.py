@@ -79,8 +79,7 @@ def category_index(raw: DataFrame, category: str = presets.EMOTION, measure: str
     idx = index_col or f"{category}_index"
     rows = clean.project_complete(raw, [F.col(f"`{category}`"), F.col(f"`{measure}`")])
     supported = keys.supported_keys(rows, category, min_count).select(F.col(f"`{category}`"))
-    index = keys.index_table(supported, category, idx)
-    return (keys.dense_index(rows, category, idx, index=index)
+    return (keys.dense_index(rows, category, idx, keys=supported)
             .select(F.col(idx).cast("int").alias(idx), F.col(f"`{measure}`").cast("double").alias(measure)))
 
 
