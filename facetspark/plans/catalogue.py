@@ -493,7 +493,7 @@ def q_partition1_roundtrip(spark, sf):
     li = read_table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice")
     rows = derive.with_flags(li, {"l_returnflag": "is_returned"}, truthy="R", drop_sources=True)
     path = scratch_dir(spark, "lines_by_flag")
-    write_parquet(rows, path, partition_by=["is_returned"], files_per_value=2)
+    write_parquet(rows, path, partition_by=["is_returned"], rebalance=True)
     back = read_parquet(spark, path, schema=rows.schema)
     out = profile.mean_profile(back, "is_returned", {"avg_price": "l_extendedprice"}, count_name="n_rows")
     return _rounded(out, 4, "avg_price")

@@ -10,7 +10,7 @@ Layout under ``out_root``::
     processed/songs.parquet                     the CSV export, typed, written once
     processed/cleaned_emotion_tempo.parquet     emotion, Tempo
     processed/tempo_by_emotion.parquet          group statistics (snappy)
-    processed/emotion_index_csv/                one CSV file: emotion_index, Tempo
+    processed/emotion_index_csv/                CSV part files: emotion_index, Tempo
     processed/popularity.parquet/               partitioned by popularity_bucket (4)
     processed/popularity_fine.parquet/          partitioned by popularity_bucket (10)
     processed/decades.parquet/                  partitioned by decade
@@ -54,7 +54,9 @@ def tempo_by_emotion_job(songs: DataFrame, out_root: str) -> dict[str, DataFrame
     stats = studies.category_measure(stored)["stats"]
     write_parquet(stats, _p(out_root, "processed", "tempo_by_emotion.parquet"), codec="snappy")
     indexed = studies.category_index(stored)
-    write_csv(indexed, _p(out_root, "processed", "emotion_index_csv"), single_file=True)
+    # one row per song: written by many tasks (a dashboard reads the folder);
+    # a single file would send every row through one task
+    write_csv(indexed, _p(out_root, "processed", "emotion_index_csv"))
     return {"stats": stats, "indexed": indexed}
 
 

@@ -13,29 +13,40 @@ from pyspark.sql import functions as F
 
 from facetspark.sources.csv import CSV_OPTIONS
 
+# The CSV writer trims values by default; keep text exactly as it is.
+CSV_WRITE_OPTIONS = {
+    **CSV_OPTIONS,
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
-def _spread(df: DataFrame, partition_by: Sequence[str], files_per_value: int | None) -> DataFrame:
-    """Group rows of one partition value into ``files_per_value`` tasks.
+
+def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Group rows of one partition value into few, evenly sized write tasks.
 
     Without this, every task writes one file per partition value it holds
     (tasks x values files). Hashing on the partition columns alone would
     send all rows of one value -- possibly a third of the data for a 0/1
-    flag -- to a single task, so a deterministic salt taken from a hash of
-    the whole row splits each value over ``files_per_value`` tasks. The
-    salt is a pure function of the row, so a retried task routes every row
-    the same way again.
+    flag -- to a single task. The ``REBALANCE`` hint hashes on the partition
+    columns and lets adaptive execution split any partition larger than
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` into several tasks
+    and merge small ones, so a hot value is written by as many tasks as its
+    size needs and a cold one by one. The split follows the measured map
+    output, so a retried task reads the same blocks again.
     """
-    if not partition_by or not files_per_value:
-        return df
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_value))
-    return df.repartition(*[F.col(c) for c in partition_by], salt)
+    return df.hint("rebalance", *partition_by)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                   codec: str = "snappy", mode: str = "overwrite",
-                  files_per_value: int | None = None, max_records_per_file: int | None = None) -> None:
-    """Write Parquet, optionally partitioned into ``column=value`` folders."""
-    out = _spread(df, list(partition_by), files_per_value)
+                  rebalance: bool = False, max_records_per_file: int | None = None) -> None:
+    """Write Parquet, optionally partitioned into ``column=value`` folders.
+
+    ``rebalance`` shuffles once so each partition value is written by a few
+    tasks of about the advisory size (see ``_rebalanced``); without it there
+    is no shuffle and each input task writes one file per value it holds.
+    """
+    out = _rebalanced(df, list(partition_by)) if (rebalance and partition_by) else df
     writer = out.write.mode(mode).option("compression", codec)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
@@ -48,12 +59,16 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
               **options: str) -> None:
     """Write CSV with a header row, quoting and escaping as the reader expects.
 
+    Values keep their leading and trailing spaces. A null is written as an
+    empty field and an empty text as ``""``; ``read_csv(empty_as_null=False)``
+    tells the two apart again.
+
     ``single_file`` merges everything into one part file for a dashboard
     tool. That runs the final stage in one task, so use it for aggregated
     results, not for row-level tables.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).options(**CSV_OPTIONS).options(**options).csv(path)
+    out.write.mode(mode).options(**CSV_WRITE_OPTIONS).options(**options).csv(path)
 
 
 def preview(df: DataFrame, n: int = 20, order_by: Sequence | None = None) -> DataFrame:

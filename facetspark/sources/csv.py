@@ -26,16 +26,29 @@ CSV_OPTIONS = {
 }
 
 
+# Null marker for ``empty_as_null=False``: a value no text field holds, so
+# only an empty unquoted field (how the writer stores a null) reads as null.
+_NO_TEXT = "\u0000"
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None,
              infer_schema: bool = False, sampling_ratio: float = 1.0,
-             partitions: int | None = None, **options: str) -> DataFrame:
+             partitions: int | None = None, empty_as_null: bool = True, **options: str) -> DataFrame:
     """Read one or more CSV files (or folders) into a DataFrame.
 
     ``schema`` (StructType or DDL string) fixes the column types; without it
     every column is a string unless ``infer_schema`` is set, in which case
     Spark samples ``sampling_ratio`` of the rows to guess types.
+
+    By default an empty field -- quoted ``""`` or not -- reads as null, as
+    in Spark's CSV reader (so a complete-row filter drops it). With
+    ``empty_as_null=False`` a quoted ``""`` stays an empty text and only an
+    unquoted empty field is null, which round-trips ``sinks.write_csv``.
     """
-    reader = spark.read.options(**CSV_OPTIONS).options(**options)
+    reader = spark.read.options(**CSV_OPTIONS)
+    if not empty_as_null:
+        reader = reader.option("nullValue", _NO_TEXT)
+    reader = reader.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:
