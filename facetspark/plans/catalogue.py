@@ -469,6 +469,16 @@ def q_csv_roundtrip(spark, sf):
     return read_csv(spark, path, schema=nation.schema)
 
 
+@query("csv_text_roundtrip", "SELECT * FROM documents")
+def q_csv_text_roundtrip(spark, sf):
+    """Whole documents (multi-line prose with quotes and commas) written as CSV
+    and read back with the export's options: every text comes back unchanged."""
+    docs = read_table(spark, sf, "documents")
+    path = scratch_dir(spark, "documents_csv")
+    write_csv(docs, path)
+    return read_csv(spark, path, schema=docs.schema, empty_as_null=False)
+
+
 @query("single_file_csv", """
     SELECT p_brand, count(*) AS count FROM part GROUP BY 1""")
 def q_single_file_csv(spark, sf):
