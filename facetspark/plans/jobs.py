@@ -114,7 +114,8 @@ def study_job(songs: DataFrame, out_root: str) -> dict[str, DataFrame]:
     return {**res, "tag_comparison": comparison}
 
 
-def run_all(spark: SparkSession, songs_path: str, out_root: str, partitions: int | None = None) -> dict[str, DataFrame]:
+def run_all(spark: SparkSession, songs_path: str, out_root: str,
+            partitions: int | str | None = "auto") -> dict[str, DataFrame]:
     """Convert the CSV export once to typed Parquet, then run every job from it.
 
     A multi-line CSV file is read by one task and cannot be pruned; Parquet
@@ -138,7 +139,7 @@ def main(argv: list[str]) -> int:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
-    run_all(spark, argv[1], argv[2], partitions=int(argv[3]) if len(argv) > 3 else None)
+    run_all(spark, argv[1], argv[2], partitions=int(argv[3]) if len(argv) > 3 else "auto")
     return 0
 
 

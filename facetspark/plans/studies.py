@@ -40,7 +40,7 @@ def song_types() -> dict[str, str]:
     return types
 
 
-def read_songs(spark, path, partitions: int | None = None) -> DataFrame:
+def read_songs(spark, path, partitions: int | str | None = "auto") -> DataFrame:
     """Read the song CSV export(s) and type the columns the studies use.
 
     Values that do not convert (junk text) become null, and are then

@@ -33,7 +33,7 @@ _NO_TEXT = "\u0000"
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None,
              infer_schema: bool = False, sampling_ratio: float = 1.0,
-             partitions: int | None = None, empty_as_null: bool = True, **options: str) -> DataFrame:
+             partitions: int | str | None = None, empty_as_null: bool = True, **options: str) -> DataFrame:
     """Read one or more CSV files (or folders) into a DataFrame.
 
     ``schema`` (StructType or DDL string) fixes the column types; without it
@@ -44,6 +44,12 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | st
     in Spark's CSV reader (so a complete-row filter drops it). With
     ``empty_as_null=False`` a quoted ``""`` stays an empty text and only an
     unquoted empty field is null, which round-trips ``sinks.write_csv``.
+
+    ``partitions``: an int spreads the rows over that many partitions right
+    after the scan (round robin). ``"auto"`` does so only when the scan has
+    fewer tasks than the cluster's default parallelism -- a few large
+    multi-line files, which cannot be split -- so that typing and writing
+    run on every core; with many files the scan is left as it is (no shuffle).
     """
     reader = spark.read.options(**CSV_OPTIONS)
     if not empty_as_null:
@@ -54,6 +60,9 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | st
     elif infer_schema:
         reader = reader.option("inferSchema", "true").option("samplingRatio", str(sampling_ratio))
     df = reader.csv(path)
+    if partitions == "auto":
+        want = spark.sparkContext.defaultParallelism
+        return df.repartition(want) if df.rdd.getNumPartitions() < want else df
     if partitions:
         df = df.repartition(partitions)
     return df
