@@ -23,13 +23,12 @@ Scale notes
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from facetspark.session import scratch_dir
+from facetspark.operators.stored import materialise as _store
 
 # Default bounds for broadcasting a key table: 2 million keys and 256 MiB.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -47,36 +46,6 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _width(columns: Sequence[str]) -> Column:
-    """Upper estimate of a row's size: text length of each value plus 8 bytes."""
-    return sum((F.coalesce(F.octet_length(_q(c).cast("string")), F.lit(0)) + F.lit(8) for c in columns),
-               F.lit(0))
-
-
-def _written(df: DataFrame, name: str, measure: bool = False) -> tuple[DataFrame, tuple[int, int] | None]:
-    """Write ``df`` as a Parquet table under the shared checkpoint folder and
-    read it back (lineage cut, contents fixed). With ``measure`` the same write
-    also yields ``(rows, estimated bytes)`` through ``observe``."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    obs = None
-    if measure:
-        obs = Observation(f"fs_{uuid.uuid4().hex}")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                        F.coalesce(F.sum(_width(df.columns)), F.lit(0)).alias("bytes"))
-    df.write.mode("overwrite").parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    if obs is None:
-        return back, None
-    m = obs.get
-    return back, (int(m["rows"]), int(m["bytes"]))
-
-
-def _measure(df: DataFrame) -> tuple[int, int]:
-    n, nbytes = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_width(df.columns)), F.lit(0))).first()
-    return int(n), int(nbytes)
-
-
 def _join_keys(df: DataFrame, keys_df: DataFrame, on: list[str], how: str, size: tuple[int, int],
                max_rows: int, max_bytes: int) -> DataFrame:
     small = size[0] <= max_rows and size[1] <= max_bytes
@@ -108,7 +77,7 @@ def min_support(df: DataFrame, key: str | Sequence[str], min_count: int,
     qualifying keys; the returned DataFrame is lazy.
     """
     ks = _keys(key)
-    keys_df, size = _written(supported_keys(df, ks, min_count).select(*ks), "support-keys", measure=True)
+    keys_df, size = _store(supported_keys(df, ks, min_count).select(*ks), "support-keys", measure=True)
     kept = _join_keys(df, keys_df, ks, "left_semi", size, max_broadcast_rows, max_broadcast_bytes)
     return kept.select(*[_q(c) for c in df.columns])
 
@@ -132,7 +101,7 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
                            (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_POS),
                            *cols)
     if materialise:
-        numbered, _ = _written(numbered, "row-id")
+        numbered, _ = _store(numbered, "row-id")
     sizes = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition: bounded by the partition count, safe to broadcast.
@@ -146,7 +115,7 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
 def _index(df: DataFrame, key: str, index_col: str, start: int) -> tuple[DataFrame, tuple[int, int]]:
     sorted_keys = df.select(_q(key)).where(_q(key).isNotNull()).distinct().orderBy(_q(key))
     numbered = row_id(sorted_keys, id_col=index_col, start=start).select(_q(key), F.col(index_col))
-    return _written(numbered, "index", measure=True)
+    return _store(numbered, "index", measure=True)
 
 
 def index_table(df: DataFrame, key: str, index_col: str | None = None, start: int = 0) -> DataFrame:

@@ -24,7 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from facetspark.functions import presets
+from facetspark.functions.expressions import percentage
 from facetspark.operators import clean, derive, keys, profile, segments
+from facetspark.operators.stored import materialise
 from facetspark.plans.sql import bucket_average
 from facetspark.sources.csv import read_csv
 
@@ -148,23 +150,60 @@ def flag_table(raw: DataFrame, source_flag: str = "Good for Work/Study", flag: s
 def flag_profile(table: DataFrame, flag: str = "good_for_study",
                  measures: Mapping[str, str | Column] | None = None,
                  share_of: Sequence[str] = (presets.TIME_SIGNATURE, "key"),
-                 count_of: Sequence[str] = (presets.EMOTION,)) -> dict[str, DataFrame]:
+                 count_of: Sequence[str] = (presets.EMOTION,), one_pass: bool = True) -> dict[str, DataFrame]:
     """Compare flag = 0 with flag = 1.
 
     * ``profile``: average of each measure per flag value.
     * ``counts_<c>``: rows per (flag, c), by flag then count descending.
     * ``totals_<c>``: rows per c over both flag values, count descending.
     * ``share_<c>``: rows and % of the flag group per (flag, c).
+
+    With ``one_pass`` (default) every result comes from one grouping-sets
+    aggregation over ``table`` -- a single scan however many results --
+    written once to the shared checkpoint folder (one job runs here); its
+    size is the number of groups, not rows. Otherwise each result is its own
+    lazy aggregation over ``table``.
     """
     ms = measures if measures is not None else presets.SONG_MEASURES_BY_ALIAS
-    out = {"profile": profile.mean_profile(table, flag, ms, order=True)}
+    if not one_pass:
+        out = {"profile": profile.mean_profile(table, flag, ms, order=True)}
+        for c in share_of:
+            name = c.lower().replace(" ", "_")
+            out[f"counts_{name}"] = profile.counts(table, [flag, c])
+            out[f"totals_{name}"] = profile.counts(table, c)
+            out[f"share_{name}"] = profile.share_of_group(table, flag, c)
+        for c in count_of:
+            out[f"counts_{c.lower().replace(' ', '_')}"] = profile.counts(table, [flag, c])
+        return out
+
+    sets = [[flag], *[[flag, c] for c in (*share_of, *count_of)], *[[c] for c in share_of]]
+    summary, ids = profile.grouped_summary(table.where(F.col(f"`{flag}`").isNotNull()), sets, ms)
+    summary, _ = materialise(summary, "flag-summary")
+
+    def of(grouping: Sequence[str]) -> DataFrame:
+        return summary.where(F.col("_set") == F.lit(ids[tuple(grouping)]))
+
+    def pair_counts(c: str) -> DataFrame:
+        return of([flag, c]).select(F.col(f"`{flag}`"), F.col(f"`{c}`"), F.col("count"))
+
+    def by_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        first, rest = keys[0], keys[1:]
+        if not rest:
+            return df.orderBy(F.desc("count"), F.asc(f"`{first}`"))
+        return df.orderBy(F.asc(f"`{first}`"), F.desc("count"), *[F.asc(f"`{k}`") for k in rest])
+
+    groups = of([flag]).select(F.col(f"`{flag}`"), F.col("count").alias("_group_rows"))
+    out = {"profile": of([flag]).select(F.col(f"`{flag}`"), *[F.col(f"`{a}`") for a in ms]).orderBy(f"`{flag}`")}
     for c in share_of:
         name = c.lower().replace(" ", "_")
-        out[f"counts_{name}"] = profile.counts(table, [flag, c])
-        out[f"totals_{name}"] = profile.counts(table, c)
-        out[f"share_{name}"] = profile.share_of_group(table, flag, c)
+        out[f"counts_{name}"] = by_count(pair_counts(c), [flag, c])
+        out[f"totals_{name}"] = by_count(of([c]).select(F.col(f"`{c}`"), F.col("count")), [c])
+        share = pair_counts(c).join(groups, flag).select(
+            F.col(f"`{flag}`"), F.col(f"`{c}`"), F.col("count"),
+            percentage(F.col("count"), F.col("_group_rows")).alias("percentage"))
+        out[f"share_{name}"] = share.orderBy(F.asc(f"`{flag}`"), F.desc("percentage"), F.asc(f"`{c}`"))
     for c in count_of:
-        out[f"counts_{c.lower().replace(' ', '_')}"] = profile.counts(table, [flag, c])
+        out[f"counts_{c.lower().replace(' ', '_')}"] = by_count(pair_counts(c), [flag, c])
     return out
 
 

@@ -5,6 +5,8 @@ import math
 import numpy as np
 import pandas as pd
 
+from pyspark.sql import functions as F
+
 from facetspark.functions import presets
 from facetspark.plans import studies
 
@@ -140,3 +142,30 @@ def test_partitioned_tables_round_trip(spark, songs, scratch):
     a = studies.tag_comparison(back, count_name="n").orderBy("tagged_as").collect()
     b = studies.tag_comparison(table, count_name="n").orderBy("tagged_as").collect()
     assert [(r.tagged_as, r.n) for r in a] == [(r.tagged_as, r.n) for r in b]
+
+
+def test_flag_profile_one_pass_equals_per_result_form(spark, songs):
+    table = studies.flag_table(songs)
+    one, each = studies.flag_profile(table), studies.flag_profile(table, one_pass=False)
+    assert one.keys() == each.keys()
+
+    def rows(df):
+        return [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()]
+
+    for name in each:
+        assert one[name].columns == each[name].columns, name
+        assert rows(one[name]) == rows(each[name]), name  # same rows in the same order
+
+
+def test_grouped_summary_scans_once(spark, songs):
+    from facetspark.operators import profile
+
+    table = studies.flag_table(songs)
+    summary, ids = profile.grouped_summary(
+        table, [["good_for_study"], ["good_for_study", "Key"], ["Key"]], {"avg_tempo": "Tempo"})
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert "Expand" in plan
+    assert len(set(ids.values())) == 3
+    per_set = {r["_set"]: r["n"] for r in summary.groupBy("_set").agg(F.sum("count").alias("n")).collect()}
+    assert per_set == {i: table.count() for i in ids.values()}  # every set covers every row
