@@ -88,13 +88,20 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
 
     With ``order_by`` ids follow that order (ties in any order). Without it
     they follow the current row order, which for a file scan is file order.
+
+    The sort breaks ties by a hash of the whole row, so rows sharing a hot
+    key are spread over several range partitions instead of one task
+    sorting them all. The hash is a pure function of the row, so the
+    sampling pass and any retried task route every row the same way. Exact
+    copies of one row share the hash too; a copy group larger than a
+    partition stays in one sort task (which spills to disk).
     ``materialise=False`` skips writing the numbered rows; use it only when
     ``df`` re-reads the same rows in the same partitions every time (a plain
     file scan or an already written table). The output rows are not sorted;
     order by ``id_col`` when the order matters.
     """
     cols = [_q(c) for c in df.columns]
-    base = df.orderBy(*order_by) if order_by else df
+    base = df.orderBy(*order_by, F.xxhash64(*cols)) if order_by else df
     pid = F.spark_partition_id()
     # monotonically_increasing_id = partition index << 33 | position in partition
     numbered = base.select(pid.alias(_PID),

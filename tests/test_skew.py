@@ -76,3 +76,22 @@ def test_profiles_with_hot_key(spark, skewed):
 def test_row_id_with_hot_key_order(spark, skewed):
     out = keys.row_id(skewed, order_by=["k", "v"]).select("id").collect()
     assert sorted(r.id for r in out) == list(range(1, N + 1))
+
+
+def test_row_id_spreads_a_hot_sort_key(spark, skewed):
+    """Ordering by the hot key alone: its rows span several sort partitions,
+    ids stay contiguous and follow the key order."""
+    from facetspark.sinks import partition_sizes
+
+    with small_skew_thresholds(spark):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            sorted_rows = skewed.orderBy("k", F.xxhash64(*skewed.columns))
+            sizes = [r.n_rows for r in partition_sizes(sorted_rows).collect()]
+            out = keys.row_id(skewed, order_by=["k"]).collect()
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(sizes) < N // 3  # no partition holds the whole hot key
+    assert sorted(r.id for r in out) == list(range(1, N + 1))
+    by_id = sorted(out, key=lambda r: r.id)
+    assert [r.k for r in by_id] == sorted(r.k for r in by_id)
