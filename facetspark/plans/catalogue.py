@@ -308,6 +308,28 @@ def q_flag_share(spark, sf):
     return res["share_o_orderpriority"]
 
 
+def _order_flags(spark, sf):
+    """orders as a flag table: is_finished (status F) with priority as the category."""
+    table = studies.flag_table(read_table(spark, sf, "orders"), source_flag="o_orderstatus", flag="is_finished",
+                               measures=("o_totalprice",), categories=("o_orderpriority",), lower=(), truthy="F")
+    return studies.flag_profile(table, "is_finished", {"avg_totalprice": "o_totalprice"},
+                                share_of=("o_orderpriority",), count_of=())
+
+
+@query("flag_category_counts", """
+    SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_finished, o_orderpriority, count(*) AS count
+    FROM orders GROUP BY 1, 2""")
+def q_flag_category_counts(spark, sf):
+    """Rows per (flag, category) from the one-pass flag summary."""
+    return _order_flags(spark, sf)["counts_o_orderpriority"]
+
+
+@query("flag_category_totals", "SELECT o_orderpriority, count(*) AS count FROM orders GROUP BY 1")
+def q_flag_category_totals(spark, sf):
+    """Rows per category over both flag values, from the same one-pass summary."""
+    return _order_flags(spark, sf)["totals_o_orderpriority"]
+
+
 @query("flag_mean_profile", """
     SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_finished,
            round(avg(o_totalprice), 4) AS avg_totalprice FROM orders GROUP BY 1""")
