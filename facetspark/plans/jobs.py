@@ -52,8 +52,11 @@ def tempo_by_emotion_job(songs: DataFrame, out_root: str) -> dict[str, DataFrame
     cleaned = studies.category_measure(songs)["cleaned"]
     stored = _through_parquet(cleaned, _p(out_root, "processed", "cleaned_emotion_tempo.parquet"))
     stats = studies.category_measure(stored)["stats"]
-    write_parquet(stats, _p(out_root, "processed", "tempo_by_emotion.parquet"), codec="snappy")
-    indexed = studies.category_index(stored)
+    stats_path = _p(out_root, "processed", "tempo_by_emotion.parquet")
+    write_parquet(stats, stats_path, codec="snappy")
+    # the written stats hold exactly the supported emotions: no second count
+    supported = read_parquet(songs.sparkSession, stats_path, schema=stats.schema)
+    indexed = studies.category_index(stored, supported=supported)
     # one row per song: written by many tasks (a dashboard reads the folder);
     # a single file would send every row through one task
     write_csv(indexed, _p(out_root, "processed", "emotion_index_csv"))

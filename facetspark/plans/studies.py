@@ -71,16 +71,21 @@ def category_measure(raw: DataFrame, category: str = presets.EMOTION, measure: s
 
 
 def category_index(raw: DataFrame, category: str = presets.EMOTION, measure: str = "Tempo",
-                   min_count: int = presets.MIN_SONGS_PER_EMOTION, index_col: str | None = None) -> DataFrame:
+                   min_count: int = presets.MIN_SONGS_PER_EMOTION, index_col: str | None = None,
+                   supported: DataFrame | None = None) -> DataFrame:
     """Rows of supported categories as (0-based category index int, measure double).
 
     The supported categories are counted with a partial aggregation, numbered
     in sorted order (materialised, size-checked), and joined back once:
     that single join both keeps the supported rows and attaches the index.
+    ``supported`` gives the supported categories when they are already known
+    (e.g. the keys of the written ``stats`` table), saving that count.
     """
     idx = index_col or f"{category}_index"
     rows = clean.project_complete(raw, [F.col(f"`{category}`"), F.col(f"`{measure}`")])
-    supported = keys.supported_keys(rows, category, min_count).select(F.col(f"`{category}`"))
+    if supported is None:
+        supported = keys.supported_keys(rows, category, min_count)
+    supported = supported.select(F.col(f"`{category}`"))
     return (keys.dense_index(rows, category, idx, keys=supported)
             .select(F.col(idx).cast("int").alias(idx), F.col(f"`{measure}`").cast("double").alias(measure)))
 

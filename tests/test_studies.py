@@ -169,3 +169,10 @@ def test_grouped_summary_scans_once(spark, songs):
     assert len(set(ids.values())) == 3
     per_set = {r["_set"]: r["n"] for r in summary.groupBy("_set").agg(F.sum("count").alias("n")).collect()}
     assert per_set == {i: table.count() for i in ids.values()}  # every set covers every row
+
+
+def test_category_index_with_known_supported_keys(spark, songs):
+    stats = studies.category_measure(songs)["stats"]
+    a = studies.category_index(songs)
+    b = studies.category_index(songs, supported=stats)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
