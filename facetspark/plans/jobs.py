@@ -33,7 +33,7 @@ from facetspark.functions import presets
 from facetspark.operators import profile
 from facetspark.plans import studies
 from facetspark.plans.sql import bucket_average
-from facetspark.session import SCALE_CONF, ensure_checkpoint_dir
+from facetspark.session import CLUSTER_CONF, SCALE_CONF, apply_defaults, ensure_checkpoint_dir
 from facetspark.sinks import write_csv, write_parquet
 from facetspark.sources import read_parquet
 
@@ -141,6 +141,7 @@ def main(argv: list[str]) -> int:
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    apply_defaults(spark, CLUSTER_CONF)
     ensure_checkpoint_dir(spark)
     run_all(spark, argv[1], argv[2], partitions=int(argv[3]) if len(argv) > 3 else "auto")
     return 0

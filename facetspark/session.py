@@ -25,6 +25,27 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Sizing for a large cluster (applied by the batch jobs' entry point where
+# the cluster has not set a value): 256 MiB scan splits and post-shuffle
+# partitions keep task counts in the hundreds of thousands at 100 TB rather
+# than near a million, and a high initial shuffle partition count lets
+# adaptive execution coalesce down to the measured size instead of starting
+# with too few, too large reducers that would spill.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+}
+
+
+def apply_defaults(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set each SQL setting only where the session does not have one yet."""
+    for k, v in conf.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+
+
 # Context-level settings for sessions this library starts itself: remove a
 # checkpoint's files once its DataFrame is garbage-collected on the driver.
 CONTEXT_CONF = {

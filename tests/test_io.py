@@ -136,3 +136,21 @@ def test_scratch_dir_is_under_checkpoint_dir(spark):
 @pytest.mark.parametrize("name", ["nation", "region"])
 def test_read_table(spark, name):
     assert read_table(spark, SF01, name).count() in (25, 5)
+
+
+def test_apply_defaults_keeps_explicit_settings(spark):
+    from facetspark.session import apply_defaults
+
+    key, other = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.openCostInBytes"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "17")
+    try:
+        apply_defaults(spark, {key: "8192", other: str(8 << 20)})
+        assert spark.conf.get(key) == "17"  # the cluster's value wins
+        assert spark.conf.get(other) == str(8 << 20)  # unset: filled in
+    finally:
+        spark.conf.unset(other)
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
