@@ -91,3 +91,23 @@ def test_dense_index_is_rank_of_sorted_keys(spark, rows):
     out = keys.dense_index(df, "inner", "i").select("inner", "i").distinct().collect()
     names = sorted({r[2] for r in rows if r[2] is not None})
     assert {r.inner: r.i for r in out} == {n: i for i, n in enumerate(names)}
+
+
+@SETTINGS
+@given(rows_st)
+def test_grouped_summary_equals_one_group_by_per_set(spark, rows):
+    """One grouping-sets scan gives, per set, the counts and averages of a
+    plain GROUP BY -- null category values included and kept apart from
+    "not grouped by this column"."""
+    df = spark.createDataFrame(rows, SCHEMA)
+    sets = [["f1"], ["f1", "outer"], ["f1", "inner"], ["outer"]]
+    summary, ids = profile.grouped_summary(df, sets, {"avg_m": "m"})
+    got_rows = summary.collect()
+    for s in sets:
+        want = {tuple(r[c] for c in s): (r["count"], r["avg_m"])
+                for r in df.groupBy(*s).agg(F.count(F.lit(1)).alias("count"), F.avg("m").alias("avg_m")).collect()}
+        got = {tuple(r[c] for c in s): (r["count"], r["avg_m"]) for r in got_rows if r["_set"] == ids[tuple(s)]}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert got[k][0] == want[k][0]
+            assert abs(got[k][1] - want[k][1]) <= 1e-9 * max(1.0, abs(want[k][1]))
