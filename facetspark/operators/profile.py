@@ -152,15 +152,17 @@ def pivot_counts(df: DataFrame, row_key: str, pivot_column: str, values: Sequenc
 
 def grouped_summary(df: DataFrame, sets: Sequence[Sequence[str]],
                     measures: Mapping[str, str | Column] | Sequence[str] = (),
-                    count_name: str = "count", set_name: str = "_set") -> tuple[DataFrame, dict[tuple, int]]:
+                    count_name: str = "count", set_name: str = "_set",
+                    aggregates: Mapping[str, Column] | None = None) -> tuple[DataFrame, dict[tuple, int]]:
     """Counts (and averages) for several groupings in one scan.
 
     ``sets`` lists the groupings, e.g. ``[["flag"], ["flag", "key"], ["key"]]``.
     The result has one row per group of every set, with every column used
     by any set (null where the set does not group by it), the averages, the
     row count and ``set_name``, which tells the sets apart (a null key value
-    stays distinguishable from "not grouped by"). Returns the DataFrame and
-    ``{tuple(set): set id}``.
+    stays distinguishable from "not grouped by"). ``aggregates`` adds other
+    aggregate columns by name (e.g. correlations); an empty set ``[]`` is
+    the grand total. Returns the DataFrame and ``{tuple(set): set id}``.
 
     Physically each row is expanded once per set and partially aggregated
     in the same task, so the shuffle carries one row per group, set and
@@ -175,6 +177,7 @@ def grouped_summary(df: DataFrame, sets: Sequence[Sequence[str]],
     # grouping_id(): bit (n - 1 - i) is set when column i is not grouped by
     ids = {tuple(g): sum(1 << (n - 1 - i) for i, c in enumerate(columns) if c not in g) for g in sets}
     aggs = [F.avg(c).alias(a) for a, c in _measures(measures).items()] if measures else []
+    aggs += [c.alias(a) for a, c in (aggregates or {}).items()]
     aggs += [F.count(F.lit(1)).alias(count_name), F.grouping_id().alias(set_name)]
     out = df.groupingSets([[_quoted(c) for c in g] for g in sets], *[_quoted(c) for c in columns]).agg(*aggs)
     return out, ids

@@ -30,7 +30,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from facetspark.functions import presets
+from facetspark.functions.expressions import safe_corr
 from facetspark.operators import profile
+from facetspark.operators.stored import materialise
 from facetspark.plans import studies
 from facetspark.plans.sql import bucket_average
 from facetspark.session import CLUSTER_CONF, SCALE_CONF, apply_defaults, ensure_checkpoint_dir
@@ -71,9 +73,17 @@ def popularity_job(songs: DataFrame, out_root: str) -> dict[str, DataFrame]:
                               partition_by=["popularity_bucket"])
     fine = _through_parquet(res["fine_rows"], _p(out_root, "processed", "popularity_fine.parquet"),
                             partition_by=["popularity_bucket"])
-    corr = profile.correlations(coarse, {"corr_popularity_danceability": ("Popularity", "Danceability"),
-                                         "corr_tempo_danceability": ("Tempo", "Danceability")})
-    coarse_avg = bucket_average(coarse, "popularity_bucket", "Danceability")
+    # correlations (grand total) and averages per coarse bucket: one scan of the
+    # coarse table, stored once, both results read from it
+    pairs = {"corr_popularity_danceability": ("Popularity", "Danceability"),
+             "corr_tempo_danceability": ("Tempo", "Danceability")}
+    summary, ids = profile.grouped_summary(
+        coarse, [["popularity_bucket"], []], {"avg_danceability": "Danceability"},
+        aggregates={name: safe_corr(F.col(x), F.col(y)) for name, (x, y) in pairs.items()})
+    summary, _ = materialise(summary, "popularity-summary")
+    corr = summary.where(F.col("_set") == ids[()]).select(*pairs)
+    coarse_avg = (summary.where(F.col("_set") == ids[("popularity_bucket",)])
+                         .select("popularity_bucket", "avg_danceability").orderBy("popularity_bucket"))
     fine_avg = bucket_average(fine, "popularity_bucket", "Danceability")
     write_csv(corr, _p(out_root, "results", "popularity_correlations_csv"), single_file=True)
     write_csv(coarse_avg, _p(out_root, "results", "danceability_by_popularity4_csv"), single_file=True)

@@ -56,3 +56,15 @@ def test_run_all_writes_every_output(spark, songs_csv, songs, scratch):
     direct = {r.popularity_bucket: r.avg_danceability for r in studies.score_buckets(songs)["fine"].collect()}
     assert fine.keys() == direct.keys()
     assert all(abs(fine[k] - direct[k]) < 1e-9 for k in fine)
+
+
+def test_popularity_summary_matches_direct_operators(spark, songs_csv, songs, scratch):
+    out = jobs.run_all(spark, songs_csv, scratch)
+    direct = studies.score_buckets(songs)
+    got, want = out["popularity.correlations"].first(), direct["correlations"].first()
+    for name in ("corr_popularity_danceability", "corr_tempo_danceability"):
+        assert abs(got[name] - want[name]) < 1e-9
+    coarse = [(r.popularity_bucket, r.avg_danceability) for r in out["popularity.coarse"].collect()]
+    ref = [(r.popularity_bucket, r.avg_danceability) for r in direct["coarse"].collect()]
+    assert [b for b, _ in coarse] == [b for b, _ in ref]  # same buckets, label order
+    assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(coarse, ref))
