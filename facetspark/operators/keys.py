@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from facetspark.operators.stored import materialise as _store
 
@@ -55,6 +56,16 @@ def _join_keys(df: DataFrame, keys_df: DataFrame, on: list[str], how: str, size:
     return df.join(right, on, how)
 
 
+def _has_map(t: DataType) -> bool:
+    if isinstance(t, MapType):
+        return True
+    if isinstance(t, ArrayType):
+        return _has_map(t.elementType)
+    if isinstance(t, StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return False
+
+
 def distinct_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Distinct values (combinations) of the key columns."""
     return df.select(*[_q(k) for k in _keys(key)]).distinct()
@@ -101,7 +112,10 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
     order by ``id_col`` when the order matters.
     """
     cols = [_q(c) for c in df.columns]
-    base = df.orderBy(*order_by, F.xxhash64(*cols)) if order_by else df
+    # maps cannot be hashed; any other column takes part in the tie-break
+    hashable = [_q(f.name) for f in df.schema.fields if not _has_map(f.dataType)]
+    tie = [F.xxhash64(*hashable)] if hashable else []
+    base = df.orderBy(*order_by, *tie) if order_by else df
     pid = F.spark_partition_id()
     # monotonically_increasing_id = partition index << 33 | position in partition
     numbered = base.select(pid.alias(_PID),

@@ -73,3 +73,10 @@ def test_index_table_skips_null(spark):
 def test_distinct_keys(spark):
     part = read_table(spark, SF01, "part")
     assert keys.distinct_keys(part, "p_brand").count() == 25
+
+
+def test_row_id_with_a_map_column(spark):
+    df = spark.createDataFrame([(3, {"a": 1}), (1, {"b": 2}), (2, None), (1, {"c": 3})], "k int, m map<string,int>")
+    out = keys.row_id(df, order_by=["k"]).collect()
+    assert sorted(r.id for r in out) == [1, 2, 3, 4]
+    assert [r.k for r in sorted(out, key=lambda r: r.id)] == [1, 1, 2, 3]
