@@ -93,35 +93,50 @@ def min_support(df: DataFrame, key: str | Sequence[str], min_count: int,
     return kept.select(*[_q(c) for c in df.columns])
 
 
+def sorted_for_ids(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+    """``df`` sorted by ``order_by`` with ties broken so that no tie group has
+    to stay in one range partition.
+
+    The tie-break is a hash of the whole row, then the number of the input
+    partition the row comes from. Both are fixed for a given row whatever
+    order a task reads its input in (routing by hash or range, and file
+    splits, decide partition membership, not row order), so the sampling
+    pass and a retried task route every row the same way. Rows sharing a
+    hot key spread by hash; exact copies of one row spread by input
+    partition, so one sort group holds at most the copies of one input
+    partition.
+    """
+    # maps cannot be hashed; any other column takes part in the tie-break
+    hashable = [_q(f.name) for f in df.schema.fields if not _has_map(f.dataType)]
+    tie = [F.xxhash64(*hashable)] if hashable else []
+    return df.orderBy(*order_by, *tie, F.spark_partition_id())
+
+
 def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col: str = "id",
            start: int = 1, materialise: bool = True) -> DataFrame:
     """Prepend a contiguous, non-null long id: ``start, start+1, ...``.
 
-    With ``order_by`` ids follow that order (ties in any order). Without it
+    With ``order_by`` ids follow that order (ties in any order; see
+    ``sorted_for_ids`` for how hot keys and copies are spread). Without it
     they follow the current row order, which for a file scan is file order.
 
-    The sort breaks ties by a hash of the whole row, so rows sharing a hot
-    key are spread over several range partitions instead of one task
-    sorting them all. The hash is a pure function of the row, so the
-    sampling pass and any retried task route every row the same way. Exact
-    copies of one row share the hash too; a copy group larger than a
-    partition stays in one sort task (which spills to disk).
-    ``materialise=False`` skips writing the numbered rows; use it only when
-    ``df`` re-reads the same rows in the same partitions every time (a plain
-    file scan or an already written table). The output rows are not sorted;
-    order by ``id_col`` when the order matters.
+    The numbered rows are written once to the shared checkpoint folder
+    before the per-partition offsets are computed, so both read the same
+    partitions. ``materialise=False`` skips that write when there is no
+    ``order_by`` and ``df`` re-reads the same rows in the same partitions
+    every time (a plain file scan or an already written table); with
+    ``order_by`` the write always happens, because adaptive execution may
+    group sort partitions differently in two separate plans. The output
+    rows are not sorted; order by ``id_col`` when the order matters.
     """
     cols = [_q(c) for c in df.columns]
-    # maps cannot be hashed; any other column takes part in the tie-break
-    hashable = [_q(f.name) for f in df.schema.fields if not _has_map(f.dataType)]
-    tie = [F.xxhash64(*hashable)] if hashable else []
-    base = df.orderBy(*order_by, *tie) if order_by else df
+    base = sorted_for_ids(df, order_by) if order_by else df
     pid = F.spark_partition_id()
     # monotonically_increasing_id = partition index << 33 | position in partition
     numbered = base.select(pid.alias(_PID),
                            (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_POS),
                            *cols)
-    if materialise:
+    if materialise or order_by:
         numbered, _ = _store(numbered, "row-id")
     sizes = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

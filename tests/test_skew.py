@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from facetspark.operators import keys, profile, segments
+from facetspark.sinks import partition_sizes
 
 N = 120_000
 
@@ -81,12 +82,10 @@ def test_row_id_with_hot_key_order(spark, skewed):
 def test_row_id_spreads_a_hot_sort_key(spark, skewed):
     """Ordering by the hot key alone: its rows span several sort partitions,
     ids stay contiguous and follow the key order."""
-    from facetspark.sinks import partition_sizes
-
     with small_skew_thresholds(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         try:
-            sorted_rows = skewed.orderBy("k", F.xxhash64(*skewed.columns))
+            sorted_rows = keys.sorted_for_ids(skewed, ["k"])
             sizes = [r.n_rows for r in partition_sizes(sorted_rows).collect()]
             out = keys.row_id(skewed, order_by=["k"]).collect()
         finally:
@@ -95,3 +94,24 @@ def test_row_id_spreads_a_hot_sort_key(spark, skewed):
     assert sorted(r.id for r in out) == list(range(1, N + 1))
     by_id = sorted(out, key=lambda r: r.id)
     assert [r.k for r in by_id] == sorted(r.k for r in by_id)
+
+
+def test_row_id_spreads_exact_copies(spark):
+    """A third of the rows are one identical row (same key, same values):
+    the copies are split by input partition, ids stay exact."""
+    n = 60_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(1.0)).otherwise(F.col("id").cast("double")).alias("v")).repartition(8)
+    with small_skew_thresholds(spark):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            sizes = [r.n_rows for r in partition_sizes(keys.sorted_for_ids(rows, ["k"])).collect()]
+            out = keys.row_id(rows, order_by=["k"]).collect()
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(sizes) < n // 3
+    assert sorted(r.id for r in out) == list(range(1, n + 1))
+    by_id = sorted(out, key=lambda r: r.id)
+    assert [r.k for r in by_id] == sorted(r.k for r in by_id)
+    assert sum(1 for r in out if r.k == "hot" and r.v == 1.0) == n // 3
