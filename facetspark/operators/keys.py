@@ -129,6 +129,13 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
     group sort partitions differently in two separate plans. The output
     rows are not sorted; order by ``id_col`` when the order matters.
     """
+    return _row_id(df, order_by, id_col, start, materialise)[0]
+
+
+def _row_id(df: DataFrame, order_by: Sequence[str | Column] | None, id_col: str, start: int,
+            materialise: bool) -> tuple[DataFrame, tuple[int, int] | None]:
+    """``row_id`` and, when the numbered rows were written, their measured
+    (rows, bytes) from that same write."""
     cols = [_q(c) for c in df.columns]
     base = sorted_for_ids(df, order_by) if order_by else df
     pid = F.spark_partition_id()
@@ -136,8 +143,9 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
     numbered = base.select(pid.alias(_PID),
                            (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_POS),
                            *cols)
+    size = None
     if materialise or order_by:
-        numbered, _ = _store(numbered, "row-id")
+        numbered, size = _store(numbered, "row-id", measure=True)
     sizes = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition: bounded by the partition count, safe to broadcast.
@@ -145,13 +153,16 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
     ident = (F.col("_offset") + F.col(_POS) + F.lit(start)).cast("long")
     # every term is present for every row; coalesce only declares it non-null
     ident = F.coalesce(ident, F.lit(start).cast("long")).alias(id_col)
-    return numbered.join(F.broadcast(offsets), _PID).select(ident, *cols)
+    return numbered.join(F.broadcast(offsets), _PID).select(ident, *cols), size
 
 
 def _index(df: DataFrame, key: str, index_col: str, start: int) -> tuple[DataFrame, tuple[int, int]]:
+    """Sorted distinct keys numbered from ``start``; the size is measured while
+    the numbered keys are written (one row per key plus two int/long columns,
+    an upper bound of the index table)."""
     sorted_keys = df.select(_q(key)).where(_q(key).isNotNull()).distinct().orderBy(_q(key))
-    numbered = row_id(sorted_keys, id_col=index_col, start=start).select(_q(key), F.col(index_col))
-    return _store(numbered, "index", measure=True)
+    numbered, size = _row_id(sorted_keys, None, index_col, start, True)
+    return numbered.select(_q(key), F.col(index_col)), size
 
 
 def index_table(df: DataFrame, key: str, index_col: str | None = None, start: int = 0) -> DataFrame:
