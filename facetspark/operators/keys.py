@@ -113,7 +113,7 @@ def sorted_for_ids(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame
 
 
 def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col: str = "id",
-           start: int = 1, materialise: bool = True) -> DataFrame:
+           start: int = 1, materialise: bool = True, spread: int | str | None = None) -> DataFrame:
     """Prepend a contiguous, non-null long id: ``start, start+1, ...``.
 
     With ``order_by`` ids follow that order (ties in any order; see
@@ -128,12 +128,18 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
     ``order_by`` the write always happens, because adaptive execution may
     group sort partitions differently in two separate plans. The output
     rows are not sorted; order by ``id_col`` when the order matters.
+
+    ``spread`` redistributes the numbered rows over that many partitions
+    (``"auto"``: the default parallelism, when there are fewer partitions)
+    before they are written: a row's id depends only on the partition and
+    position it was numbered with, which travel with it, so a few large
+    unsplittable inputs (multi-line CSV files) are written by every core.
     """
-    return _row_id(df, order_by, id_col, start, materialise)[0]
+    return _row_id(df, order_by, id_col, start, materialise, spread)[0]
 
 
 def _row_id(df: DataFrame, order_by: Sequence[str | Column] | None, id_col: str, start: int,
-            materialise: bool) -> tuple[DataFrame, tuple[int, int] | None]:
+            materialise: bool, spread: int | str | None = None) -> tuple[DataFrame, tuple[int, int] | None]:
     """``row_id`` and, when the numbered rows were written, their measured
     (rows, bytes) from that same write."""
     cols = [_q(c) for c in df.columns]
@@ -143,8 +149,13 @@ def _row_id(df: DataFrame, order_by: Sequence[str | Column] | None, id_col: str,
     numbered = base.select(pid.alias(_PID),
                            (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_POS),
                            *cols)
+    if spread == "auto":
+        want = df.sparkSession.sparkContext.defaultParallelism
+        spread = want if numbered.rdd.getNumPartitions() < want else None
+    if spread:
+        numbered = numbered.repartition(int(spread))
     size = None
-    if materialise or order_by:
+    if materialise or order_by or spread:
         numbered, size = _store(numbered, "row-id", measure=True)
     sizes = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)

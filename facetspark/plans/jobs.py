@@ -8,6 +8,7 @@ DataFrames (already written) so a caller can inspect them.
 Layout under ``out_root``::
 
     processed/songs.parquet                     the CSV export, typed, written once
+    processed/songs_with_id.parquet             with --with-ids: id (file order) + the typed export
     processed/cleaned_emotion_tempo.parquet     emotion, Tempo
     processed/tempo_by_emotion.parquet          group statistics (snappy)
     processed/emotion_index_csv/                CSV part files: emotion_index, Tempo
@@ -18,7 +19,7 @@ Layout under ``out_root``::
     processed/good_for_study_tags.parquet/      partitioned by good_for_study, good_for_party
     results/...                                 one folder per result
 
-Run: ``python -m facetspark.plans.jobs <songs.csv or folder> <out_root>``
+Run: ``python -m facetspark.plans.jobs <songs.csv or folder> <out_root> [partitions] [--with-ids]``
 (on a cluster through ``spark-submit``, with ``spark.checkpoint.dir`` set).
 """
 
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from facetspark.functions import presets
 from facetspark.functions.expressions import safe_corr
-from facetspark.operators import profile
+from facetspark.operators import keys, profile
 from facetspark.operators.stored import materialise
 from facetspark.plans import studies
 from facetspark.plans.sql import bucket_average
@@ -127,8 +128,18 @@ def study_job(songs: DataFrame, out_root: str) -> dict[str, DataFrame]:
     return {**res, "tag_comparison": comparison}
 
 
+def row_id_job(spark: SparkSession, songs_path: str, out_root: str,
+               partitions: int | str | None = "auto") -> DataFrame:
+    """The export with a contiguous 1-based ``id`` first, in file order
+    (numbered as scanned, before rows are spread over the cores), typed, and
+    written to ``processed/songs_with_id.parquet``."""
+    raw = studies.read_songs(spark, songs_path, partitions=None)
+    numbered = keys.row_id(raw, spread=partitions)
+    return _through_parquet(numbered, _p(out_root, "processed", "songs_with_id.parquet"))
+
+
 def run_all(spark: SparkSession, songs_path: str, out_root: str,
-            partitions: int | str | None = "auto") -> dict[str, DataFrame]:
+            partitions: int | str | None = "auto", with_ids: bool = False) -> dict[str, DataFrame]:
     """Convert the CSV export once to typed Parquet, then run every job from it.
 
     A multi-line CSV file is read by one task and cannot be pruned; Parquet
@@ -140,6 +151,8 @@ def run_all(spark: SparkSession, songs_path: str, out_root: str,
     for name, job in (("tempo", tempo_by_emotion_job), ("popularity", popularity_job),
                       ("decade", decade_job), ("study", study_job)):
         out.update({f"{name}.{k}": v for k, v in job(songs, out_root).items()})
+    if with_ids:
+        out["ids.songs"] = row_id_job(spark, songs_path, out_root, partitions)
     return out
 
 
@@ -153,7 +166,9 @@ def main(argv: list[str]) -> int:
     spark = builder.getOrCreate()
     apply_defaults(spark, CLUSTER_CONF)
     ensure_checkpoint_dir(spark)
-    run_all(spark, argv[1], argv[2], partitions=int(argv[3]) if len(argv) > 3 else "auto")
+    args = [a for a in argv[1:] if a != "--with-ids"]
+    run_all(spark, args[0], args[1], partitions=int(args[2]) if len(args) > 2 else "auto",
+            with_ids="--with-ids" in argv)
     return 0
 
 

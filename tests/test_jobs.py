@@ -68,3 +68,17 @@ def test_popularity_summary_matches_direct_operators(spark, songs_csv, songs, sc
     ref = [(r.popularity_bucket, r.avg_danceability) for r in direct["coarse"].collect()]
     assert [b for b, _ in coarse] == [b for b, _ in ref]  # same buckets, label order
     assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(coarse, ref))
+
+
+def test_row_id_job_numbers_rows_in_file_order(spark, songs_csv, song_rows, scratch):
+    out = jobs.row_id_job(spark, songs_csv, scratch, partitions=4)
+    assert out.columns[0] == "id" and dict(out.dtypes)["id"] == "bigint"
+    rows = out.select("id", "song").collect()
+    n = len(song_rows)
+    assert sorted(r.id for r in rows) == list(range(1, n + 1))
+    line = {f"Song {i}": i for i in range(n)}  # position of each plain title in the export
+    half = n // 2
+    for part in (range(0, half), range(half, n)):  # the two files of the export
+        ids = [r.id for r in sorted((r for r in rows if line.get(r.song) in part), key=lambda r: line[r.song])]
+        assert ids == sorted(ids)  # line order within a file
+        assert max(ids) - min(ids) + 1 <= len(part)  # one contiguous block per file

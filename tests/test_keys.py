@@ -80,3 +80,10 @@ def test_row_id_with_a_map_column(spark):
     out = keys.row_id(df, order_by=["k"]).collect()
     assert sorted(r.id for r in out) == [1, 2, 3, 4]
     assert [r.k for r in sorted(out, key=lambda r: r.id)] == [1, 1, 2, 3]
+
+
+def test_row_id_spread_keeps_every_rows_id(spark):
+    orders = read_table(spark, SF01, "orders")
+    plain = {r.o_orderkey: r.id for r in keys.row_id(orders).select("id", "o_orderkey").collect()}
+    spread = {r.o_orderkey: r.id for r in keys.row_id(orders, spread=6).select("id", "o_orderkey").collect()}
+    assert plain == spread and sorted(plain.values()) == list(range(1, len(plain) + 1))
