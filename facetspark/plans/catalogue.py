@@ -406,6 +406,15 @@ def q_row_id(spark, sf):
     return keys.row_id(read_table(spark, sf, "orders"), order_by=["o_orderkey"])
 
 
+@query("row_id_file_order", """
+    SELECT CAST(row_number() OVER (ORDER BY event_id) AS BIGINT) AS id, * FROM events""")
+def q_row_id_file_order(spark, sf):
+    """Ids in the order rows are stored, no sort (the original numbered its
+    export this way). The events file is stored by event_id, which is how the
+    oracle can name that order."""
+    return keys.row_id(read_table(spark, sf, "events"), spread="auto")
+
+
 # ---------------------------------------------------------------- segments
 
 @query("segment_single", """
