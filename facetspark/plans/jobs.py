@@ -156,8 +156,20 @@ def run_all(spark: SparkSession, songs_path: str, out_root: str,
     return out
 
 
+def parse_args(argv: list[str]) -> dict | None:
+    """``<songs> <out_root> [partitions] [--with-ids]`` -> keyword arguments of
+    ``run_all`` (without the session); None when the paths are missing."""
+    with_ids = "--with-ids" in argv[1:]
+    args = [a for a in argv[1:] if a != "--with-ids"]
+    if len(args) < 2:
+        return None
+    return {"songs_path": args[0], "out_root": args[1],
+            "partitions": int(args[2]) if len(args) > 2 else "auto", "with_ids": with_ids}
+
+
 def main(argv: list[str]) -> int:
-    if len(argv) < 3:
+    kwargs = parse_args(argv)
+    if kwargs is None:
         print(__doc__)
         return 2
     builder = SparkSession.builder.appName("facetspark-song-study")
@@ -166,9 +178,7 @@ def main(argv: list[str]) -> int:
     spark = builder.getOrCreate()
     apply_defaults(spark, CLUSTER_CONF)
     ensure_checkpoint_dir(spark)
-    args = [a for a in argv[1:] if a != "--with-ids"]
-    run_all(spark, args[0], args[1], partitions=int(args[2]) if len(args) > 2 else "auto",
-            with_ids="--with-ids" in argv)
+    run_all(spark, **kwargs)
     return 0
 
 

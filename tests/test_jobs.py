@@ -82,3 +82,12 @@ def test_row_id_job_numbers_rows_in_file_order(spark, songs_csv, song_rows, scra
         ids = [r.id for r in sorted((r for r in rows if line.get(r.song) in part), key=lambda r: line[r.song])]
         assert ids == sorted(ids)  # line order within a file
         assert max(ids) - min(ids) + 1 <= len(part)  # one contiguous block per file
+
+
+def test_cli_arguments():
+    assert jobs.parse_args(["jobs"]) is None
+    assert jobs.parse_args(["jobs", "in.csv"]) is None
+    assert jobs.parse_args(["jobs", "in.csv", "out", "--with-ids"]) == {
+        "songs_path": "in.csv", "out_root": "out", "partitions": "auto", "with_ids": True}
+    assert jobs.parse_args(["jobs", "--with-ids", "in.csv", "out", "64"])["partitions"] == 64
+    assert jobs.parse_args(["jobs", "in.csv", "out"])["with_ids"] is False
