@@ -170,7 +170,7 @@ def flag_profile(table: DataFrame, flag: str = "good_for_study",
     lazy aggregation over ``table``.
     """
     ms = measures if measures is not None else presets.SONG_MEASURES_BY_ALIAS
-    if not one_pass:
+    if not one_pass or not (share_of or count_of):  # a single result: nothing to share
         out = {"profile": profile.mean_profile(table, flag, ms, order=True)}
         for c in share_of:
             name = c.lower().replace(" ", "_")
