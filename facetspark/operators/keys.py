@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from facetspark.operators.stored import materialise as _store
+from facetspark.session import spread_target
 
 # Default bounds for broadcasting a key table: 2 million keys and 256 MiB.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -150,8 +151,7 @@ def _row_id(df: DataFrame, order_by: Sequence[str | Column] | None, id_col: str,
                            (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_POS),
                            *cols)
     if spread == "auto":
-        want = df.sparkSession.sparkContext.defaultParallelism
-        spread = want if numbered.rdd.getNumPartitions() < want else None
+        spread = spread_target(numbered)
     if spread:
         numbered = numbered.repartition(int(spread))
     size = None

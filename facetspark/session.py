@@ -79,16 +79,25 @@ def _is_local(spark: SparkSession) -> bool:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's reliable checkpoint folder.
 
-    Uses the folder the cluster names (``SparkContext.getCheckpointDir`` or
-    ``spark.checkpoint.dir``). Only a local-mode session without one gets a
-    fresh temporary folder; on a cluster a missing setting is an error,
-    because a machine-local folder would not survive the loss of a node.
+    Uses the folder the cluster names (``spark.checkpoint.dir``, or one set
+    on the SparkContext). Only a local-mode session without one gets a fresh
+    temporary folder; on a cluster a missing setting is an error, because a
+    machine-local folder would not survive the loss of a node. A session
+    without a SparkContext (Spark Connect) must have the setting.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is None:
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder (HDFS/S3/...)")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
@@ -101,6 +110,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def spread_target(df) -> int | None:
+    """Partition count to spread ``df`` to for ``"auto"``: the default
+    parallelism when ``df`` has fewer partitions, else None (leave it). None
+    too when the session cannot tell (no SparkContext, as in Spark Connect)."""
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:
+        return None
+    return want if have < want else None
+
+
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A new, unique path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from facetspark.session import spread_target
+
 CSV_OPTIONS = {
     "header": "true",
     "multiLine": "true",
@@ -61,8 +63,8 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | st
         reader = reader.option("inferSchema", "true").option("samplingRatio", str(sampling_ratio))
     df = reader.csv(path)
     if partitions == "auto":
-        want = spark.sparkContext.defaultParallelism
-        return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+        want = spread_target(df)
+        return df.repartition(want) if want else df
     if partitions:
         df = df.repartition(partitions)
     return df
