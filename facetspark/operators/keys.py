@@ -140,9 +140,11 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
 
 
 def _row_id(df: DataFrame, order_by: Sequence[str | Column] | None, id_col: str, start: int,
-            materialise: bool, spread: int | str | None = None) -> tuple[DataFrame, tuple[int, int] | None]:
-    """``row_id`` and, when the numbered rows were written, their measured
-    (rows, bytes) from that same write."""
+            materialise: bool, spread: int | str | None = None,
+            measure: bool = False) -> tuple[DataFrame, tuple[int, int] | None]:
+    """``row_id`` and, with ``measure``, the (rows, bytes) of the numbered rows
+    taken in the same write (used for small key tables; a full table is not
+    measured, which would cost a text conversion of every value)."""
     cols = [_q(c) for c in df.columns]
     base = sorted_for_ids(df, order_by) if order_by else df
     pid = F.spark_partition_id()
@@ -155,8 +157,8 @@ def _row_id(df: DataFrame, order_by: Sequence[str | Column] | None, id_col: str,
     if spread:
         numbered = numbered.repartition(int(spread))
     size = None
-    if materialise or order_by or spread:
-        numbered, size = _store(numbered, "row-id", measure=True)
+    if materialise or order_by or spread or measure:
+        numbered, size = _store(numbered, "row-id", measure=measure)
     sizes = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition: bounded by the partition count, safe to broadcast.
@@ -172,7 +174,7 @@ def _index(df: DataFrame, key: str, index_col: str, start: int) -> tuple[DataFra
     the numbered keys are written (one row per key plus two int/long columns,
     an upper bound of the index table)."""
     sorted_keys = df.select(_q(key)).where(_q(key).isNotNull()).distinct().orderBy(_q(key))
-    numbered, size = _row_id(sorted_keys, None, index_col, start, True)
+    numbered, size = _row_id(sorted_keys, None, index_col, start, True, measure=True)
     return numbered.select(_q(key), F.col(index_col)), size
 
 
