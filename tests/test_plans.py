@@ -17,6 +17,8 @@ def test_no_python_in_plan(spark, name):
     for node in PYTHON_NODES:
         assert node not in plan, f"{name}: {node}"
     assert "LocalCheckpoint" not in plan
+    for node in ("BroadcastNestedLoopJoin", "CartesianProduct"):  # no cross joins, no all-pairs
+        assert node not in plan, f"{name}: {node}"
 
 
 def test_scans_prune_columns(spark):

@@ -111,3 +111,17 @@ def test_grouped_summary_equals_one_group_by_per_set(spark, rows):
         for k in want:
             assert got[k][0] == want[k][0]
             assert abs(got[k][1] - want[k][1]) <= 1e-9 * max(1.0, abs(want[k][1]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 2)), min_size=1, max_size=80),
+       st.integers(1, 5), st.sampled_from([None, 3]))
+def test_row_ids_with_copies_and_spread(spark, rows, parts, spread):
+    """Mostly identical rows: ids are exactly 1..n and follow the key order
+    (nulls first), whether or not the numbered rows are spread."""
+    df = spark.createDataFrame(rows, "k string, v int").repartition(parts)
+    out = keys.row_id(df, order_by=["k"], spread=spread).collect()
+    assert sorted(r.id for r in out) == list(range(1, len(rows) + 1))
+    ks = [r.k for r in sorted(out, key=lambda r: r.id)]
+    assert ks == sorted(ks, key=lambda k: (k is not None, k or ""))
+    assert sorted(map(tuple, ((r.k, r.v) for r in out)), key=repr) == sorted(rows, key=repr)
