@@ -64,8 +64,9 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
     tells the two apart again.
 
     ``single_file`` merges everything into one part file for a dashboard
-    tool. That runs the final stage in one task, so use it for aggregated
-    results, not for row-level tables.
+    tool. It uses ``coalesce(1)``, which keeps the order of a sorted result
+    but also runs everything since the last shuffle in that one task, so use
+    it for aggregated (or sorted) results, not for row-level tables.
     """
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).options(**CSV_WRITE_OPTIONS).options(**options).csv(path)
