@@ -91,3 +91,13 @@ def test_cli_arguments():
         "songs_path": "in.csv", "out_root": "out", "partitions": "auto", "with_ids": True}
     assert jobs.parse_args(["jobs", "--with-ids", "in.csv", "out", "64"])["partitions"] == 64
     assert jobs.parse_args(["jobs", "in.csv", "out"])["with_ids"] is False
+
+
+def test_concurrent_and_sequential_runs_agree(spark, songs_csv, scratch):
+    a = jobs.run_all(spark, songs_csv, scratch + "/conc")
+    b = jobs.run_all(spark, songs_csv, scratch + "/seq", concurrent=False)
+    assert a.keys() == b.keys()
+    for name in ("study.tag_comparison", "decade.profile", "tempo.stats", "popularity.fine", "study.share_key"):
+        ra = sorted(map(tuple, a[name].collect()), key=repr)
+        rb = sorted(map(tuple, b[name].collect()), key=repr)
+        assert _close(ra, rb), name
