@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import sys
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,16 @@ from facetspark.sinks import write_csv, write_parquet
 from facetspark.sources import read_parquet
 
 
+def _side_by_side(fns, songs: DataFrame, out_root: str, concurrent: bool) -> list:
+    """``[fn(songs, out_root) for fn in fns]``, submitted from separate driver
+    threads when ``concurrent`` (Spark schedules their jobs side by side)."""
+    if not concurrent:
+        return [fn(songs, out_root) for fn in fns]
+    with ThreadPoolExecutor(max_workers=len(fns), thread_name_prefix="facetspark-job") as pool:
+        futures = [pool.submit(fn, songs, out_root) for fn in fns]
+        return [f.result() for f in futures]
+
+
 def _p(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
@@ -111,7 +122,7 @@ def decade_job(songs: DataFrame, out_root: str, keep_all_columns: bool = False)
     return {"profile": prof}
 
 
-def study_job(songs: DataFrame, out_root: str) -> dict[str, DataFrame]:
+def _flag_branch(songs: DataFrame, out_root: str) -> dict[str, DataFrame]:
     table = _through_parquet(studies.flag_table(songs), _p(out_root, "processed", "good_for_study.parquet"),
                              partition_by=["good_for_study"])
     res = studies.flag_profile(table)
@@ -121,12 +132,24 @@ def study_job(songs: DataFrame, out_root: str) -> dict[str, DataFrame]:
               single_file=True)
     write_csv(res["counts_emotion"], _p(out_root, "results", "good_for_study_emotion_csv"), single_file=True)
     write_csv(res["share_key"], _p(out_root, "results", "good_for_study_keys_csv"), single_file=True)
+    return res
 
+
+def _tag_branch(songs: DataFrame, out_root: str) -> dict[str, DataFrame]:
     tags = _through_parquet(studies.tag_table(songs), _p(out_root, "processed", "good_for_study_tags.parquet"),
                             partition_by=["good_for_study", "good_for_party"])
     comparison = studies.tag_comparison(tags, count_name="n_songs")
     write_csv(comparison, _p(out_root, "results", "tag_comparison_csv"), single_file=True)
-    return {**res, "tag_comparison": comparison}
+    return {"tag_comparison": comparison}
+
+
+def study_job(songs: DataFrame, out_root: str, concurrent: bool = True) -> dict[str, DataFrame]:
+    """The flag comparison and the tag comparison: two independent branches
+    (each its own table from ``songs``), run side by side with ``concurrent``."""
+    out: dict[str, DataFrame] = {}
+    for res in _side_by_side([_flag_branch, _tag_branch], songs, out_root, concurrent):
+        out.update(res)
+    return out
 
 
 def row_id_job(spark: SparkSession, songs_path: str, out_root: str,
@@ -154,16 +177,11 @@ def run_all(spark: SparkSession, songs_path: str, out_root: str,
     """
     raw = studies.read_songs(spark, songs_path, partitions=partitions)
     songs = _through_parquet(raw, _p(out_root, "processed", "songs.parquet"))
-    jobs = [("tempo", tempo_by_emotion_job), ("popularity", popularity_job),
-            ("decade", decade_job), ("study", study_job)]
-    if concurrent:
-        with ThreadPoolExecutor(max_workers=len(jobs), thread_name_prefix="facetspark-job") as pool:
-            futures = [(name, pool.submit(job, songs, out_root)) for name, job in jobs]
-            results = [(name, f.result()) for name, f in futures]
-    else:
-        results = [(name, job(songs, out_root)) for name, job in jobs]
+    names = ["tempo", "popularity", "decade", "study"]
+    fns = [tempo_by_emotion_job, popularity_job, decade_job, partial(study_job, concurrent=concurrent)]
+    results = _side_by_side(fns, songs, out_root, concurrent)
     out: dict[str, DataFrame] = {}
-    for name, res in results:
+    for name, res in zip(names, results):
         out.update({f"{name}.{k}": v for k, v in res.items()})
     if with_ids:
         out["ids.songs"] = row_id_job(spark, songs_path, out_root, partitions)
