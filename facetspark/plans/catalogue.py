@@ -559,3 +559,54 @@ def q_partition2_pruned(spark, sf):
 @query("partition_stats", "SELECT count(*) AS n_rows FROM lineitem")
 def q_partition_stats(spark, sf):
     return partition_sizes(read_table(spark, sf, "lineitem")).agg(F.sum("n_rows").cast("long").alias("n_rows"))
+
+
+# Inventory items each registered query exercises. S5 (the
+# session) is not listed: every query runs on the caller's session.
+COVERAGE: dict[str, tuple[str, ...]] = {
+    "project_complete": ("P1", "F1"),
+    "not_null_filter": ("F2",),
+    "lower_category": ("E4", "R3", "O2"),
+    "rename_cast_drop": ("P2", "P3", "P4", "E11"),
+    "sql_expr_filter": ("E7", "E8", "E12"),
+    "bucket4_mean": ("E1", "F6", "R2", "R5", "O1"),
+    "bucket10_mean": ("E2", "F6", "O1"),
+    "bucket_sql": ("E1", "Q1", "Q2", "R9", "O1"),
+    "bucket_partitioned_sql": ("E2", "W3", "S2", "S3", "R9", "Q2"),
+    "flag_map": ("E3", "P4", "R4", "O3"),
+    "decade_profile": ("E5", "E6", "F2", "R7", "R8", "O1"),
+    "decade_bad_dates": ("E5", "E6", "F2"),
+    "decade_partitioned": ("W3", "S3", "F2", "R7"),
+    "group_stats_having": ("R1", "R2", "F5", "O1", "P6"),
+    "mean_profile": ("R5", "R6"),
+    "count_one_key": ("R3", "O2"),
+    "count_two_keys": ("R4", "O3"),
+    "share_of_group": ("R12", "J3", "E8", "E9", "O3"),
+    "flag_share": ("R12", "J3", "E3", "E9", "O3"),
+    "flag_category_counts": ("R4", "E3", "O3"),
+    "flag_category_totals": ("R3", "O2"),
+    "flag_mean_profile": ("R5", "E3"),
+    "correlations": ("R10",),
+    "score_correlations": ("R10",),
+    "pivot_counts": ("R14",),
+    "min_support_rows": ("J1", "F5"),
+    "distinct_keys": ("R11",),
+    "dense_index": ("N1", "J1", "J2", "E10", "E11", "R11"),
+    "category_stats": ("R1", "F5", "P6"),
+    "row_id": ("K2", "K3", "S4"),
+    "row_id_file_order": ("K2", "K3", "S4"),
+    "segment_single": ("F3", "P5", "R6"),
+    "segment_all": ("F4", "P5", "R13"),
+    "segment_comparison": ("U2", "R6", "R13"),
+    "segment_union": ("U1", "U2", "P5"),
+    "segment_count": ("W8", "R13", "F4"),
+    "tag_comparison": ("U2", "E3", "F3", "F4", "P4", "R13"),
+    "preview_topk": ("W7", "O4"),
+    "csv_roundtrip": ("S1", "W5"),
+    "csv_text_roundtrip": ("S1", "W5"),
+    "single_file_csv": ("W6", "K1"),
+    "parquet_roundtrip": ("W1", "W2", "S2"),
+    "partition1_roundtrip": ("W3", "S3"),
+    "partition2_pruned": ("W4", "S3", "F3", "F4"),
+    "partition_stats": ("W9",),
+}
