@@ -25,3 +25,23 @@ def test_scans_prune_columns(spark):
     df = entry_module.queries()["bucket4_mean"](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double>" in plan
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("name", ["segment_comparison", "tag_comparison", "share_of_group", "correlations",
+                                  "score_correlations"])
+def test_one_scan_per_question(spark, name):
+    """Overlapping segments, shares with their group totals, and several
+    correlations each read their table once (a reused exchange is not a scan)."""
+    plan = _final_plan(entry_module.queries()[name](spark, SF001))
+    assert plan.count("FileScan") == 1, plan
+
+
+def test_union_form_scans_once_per_segment(spark):
+    """The original's form, kept as a registered query for comparison: one scan per segment."""
+    plan = _final_plan(entry_module.queries()["segment_union"](spark, SF001))
+    assert plan.count("FileScan") == 4
