@@ -22,20 +22,6 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import song_workload as sw  # noqa: E402
 
-# (ours, original shape, kind)
-PAIRS = [
-    ("processed/tempo_by_emotion.parquet", "processed/tempo_by_emotion.parquet", "parquet"),
-    ("processed/emotion_index_csv", "processed/index_csv", "csv"),
-    ("results/danceability_by_popularity4_csv", "results/pop4_csv", "csv"),
-    ("results/danceability_by_popularity10_csv", "results/pop10_csv", "csv"),
-    ("results/decade_profile.parquet", "results/decade.parquet", "parquet"),
-    ("results/good_for_study_profile.parquet", "results/study.parquet", "parquet"),
-    ("results/good_for_study_time_signature_csv", "results/ts_csv", "csv"),
-    ("results/good_for_study_keys_csv", "results/keys_csv", "csv"),
-    ("results/good_for_study_emotion_csv", "results/emotion_csv", "csv"),
-    ("results/tag_comparison_csv", "results/tags_csv", "csv"),
-]
-
 
 @pytest.fixture(scope="module")
 def both(spark):
@@ -48,26 +34,21 @@ def both(spark):
     return csv_path, ours, shape
 
 
-def _read(spark, root, rel, kind):
-    path = f"{root}/{rel}"
-    return read_parquet(spark, path) if kind == "parquet" else read_csv(spark, path, infer_schema=True)
-
-
-def _rows(df, cols):
-    def norm(v):
-        return round(float(v), 6) if isinstance(v, float) else v
-    return sorted((tuple(norm(r[c]) for c in cols) for r in df.collect()), key=repr)
-
-
-@pytest.mark.parametrize("ours_rel,shape_rel,kind", PAIRS)
+@pytest.mark.parametrize("ours_rel,shape_rel,kind", sw.PAIRS)
 def test_same_results_as_program_shape(spark, both, ours_rel, shape_rel, kind):
     _, ours, shape = both
-    a, b = _read(spark, ours, ours_rel, kind), _read(spark, shape, shape_rel, kind)
+    a, b = sw.read_result(spark, ours, ours_rel, kind), sw.read_result(spark, shape, shape_rel, kind)
     lower_b = {c.lower(): c for c in b.columns}
     common = [c for c in a.columns if c.lower() in lower_b and c != "avg_loudness"]
     assert len(common) >= 2, (a.columns, b.columns)
     assert a.count() == b.count() > 0
-    assert _rows(a, common) == _rows(b.select(*[lower_b[c.lower()] for c in common]).toDF(*common), common)
+    other = b.select(*[lower_b[c.lower()] for c in common]).toDF(*common)
+    assert sw.result_rows(a, common) == sw.result_rows(other, common)
+
+
+def test_same_results_helper_agrees(spark, both):
+    _, ours, shape = both
+    assert all(sw.same_results(spark, ours, shape).values())
 
 
 def test_loudness_suffix_is_the_only_difference(spark, both):

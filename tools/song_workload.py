@@ -15,7 +15,8 @@ suffix on some loudness values. Written once as CSV, it feeds:
   window over the distinct keys, and the row-level index file is written by
   one task. Built from this library's operators where they coincide.
 
-Usage: python tools/song_workload.py [sf_dir]   (prints one JSON line)
+Usage: python tools/song_workload.py [sf_dir] [--check]   (prints one JSON line;
+--check compares the result files of both instead of timing them)
 """
 
 from __future__ import annotations
@@ -200,6 +201,47 @@ def _program_shape(spark: SparkSession, csv_path: str, out_root: str) -> None:
     write_csv(comparison, _p(results, "tags_csv"), single_file=True)
 
 
+# Result files of ours and of the original shape that must hold the same rows:
+# (ours, original shape, format).
+PAIRS = [
+    ("processed/tempo_by_emotion.parquet", "processed/tempo_by_emotion.parquet", "parquet"),
+    ("processed/emotion_index_csv", "processed/index_csv", "csv"),
+    ("results/danceability_by_popularity4_csv", "results/pop4_csv", "csv"),
+    ("results/danceability_by_popularity10_csv", "results/pop10_csv", "csv"),
+    ("results/decade_profile.parquet", "results/decade.parquet", "parquet"),
+    ("results/good_for_study_profile.parquet", "results/study.parquet", "parquet"),
+    ("results/good_for_study_time_signature_csv", "results/ts_csv", "csv"),
+    ("results/good_for_study_keys_csv", "results/keys_csv", "csv"),
+    ("results/good_for_study_emotion_csv", "results/emotion_csv", "csv"),
+    ("results/tag_comparison_csv", "results/tags_csv", "csv"),
+]
+
+
+def read_result(spark: SparkSession, root: str, rel: str, kind: str) -> DataFrame:
+    path = f"{root}/{rel}"
+    return spark.read.parquet(path) if kind == "parquet" else read_csv(spark, path, infer_schema=True)
+
+
+def result_rows(df: DataFrame, cols: list[str]) -> list[tuple]:
+    """Rows of ``cols``, doubles rounded to 6 digits, in a fixed order."""
+    def norm(v):
+        return round(float(v), 6) if isinstance(v, float) else v
+    return sorted((tuple(norm(r[c]) for c in cols) for r in df.collect()), key=repr)
+
+
+def same_results(spark: SparkSession, ours: str, shape: str) -> dict[str, bool]:
+    """For each pair: equal rows over the shared columns. Loudness is left out:
+    values with a unit suffix are text to the original (null in its average)."""
+    out = {}
+    for ours_rel, shape_rel, kind in PAIRS:
+        a, b = read_result(spark, ours, ours_rel, kind), read_result(spark, shape, shape_rel, kind)
+        lower_b = {c.lower(): c for c in b.columns}
+        common = [c for c in a.columns if c.lower() in lower_b and c != "avg_loudness"]
+        other = b.select(*[lower_b[c.lower()] for c in common]).toDF(*common)
+        out[ours_rel] = len(common) >= 2 and result_rows(a, common) == result_rows(other, common)
+    return out
+
+
 def export_csv(spark: SparkSession, sf_dir: str) -> str:
     """Write the song export of ``sf_dir`` once as CSV; returns its folder."""
     from facetspark.session import scratch_dir
@@ -233,8 +275,20 @@ def compare(spark: SparkSession, sf_dir: str, warm_dir: str | None = None, repea
 def main() -> None:
     from facetspark.session import local_session
 
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+    args = [a for a in sys.argv[1:] if a != "--check"]
+    sf_dir = args[0] if args else os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session("song-workload", cores=os.environ.get("BENCH_CPUS", "8"))
+    if "--check" in sys.argv:
+        from facetspark.session import scratch_dir
+
+        csv_path = export_csv(spark, sf_dir)
+        ours, shape = scratch_dir(spark, "ours"), scratch_dir(spark, "shape")
+        run_ours(spark, csv_path, ours)
+        run_program_shape(spark, csv_path, shape)
+        res = same_results(spark, ours, shape)
+        print(json.dumps({"sf_dir": sf_dir, "same": all(res.values()), "pairs": res}))
+        spark.stop()
+        return
     res = compare(spark, sf_dir, os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001"),
                   repeat=int(os.environ.get("BENCH_REPEAT", "2")))
     print(json.dumps({"sf_dir": sf_dir, **res}))
