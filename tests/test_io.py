@@ -154,3 +154,21 @@ def test_apply_defaults_keeps_explicit_settings(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, old)
+
+
+def test_csv_auto_spreads_only_when_files_are_few(spark, songs_csv, scratch):
+    want = spark.sparkContext.defaultParallelism
+    assert read_csv(spark, songs_csv).rdd.getNumPartitions() == 2  # two multi-line files
+    assert read_csv(spark, songs_csv, partitions="auto").rdd.getNumPartitions() == max(want, 2)
+    # many files, one task each (a high open cost stops Spark packing small
+    # files together): already one task per core, so no shuffle is added
+    many = scratch + "/many"
+    spark.range(want * 2).selectExpr("id", "cast(id as string) AS t").repartition(want * 2).write.option(
+        "header", "true").csv(many)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))
+    try:
+        scan = read_csv(spark, many, partitions="auto")
+        assert scan.rdd.getNumPartitions() >= want
+        assert "Exchange" not in scan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
