@@ -52,6 +52,8 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: StructType | st
     fewer tasks than the cluster's default parallelism -- a few large
     multi-line files, which cannot be split -- so that typing and writing
     run on every core; with many files the scan is left as it is (no shuffle).
+    Spark packs small files into one task, so many small files can also be
+    spread; that shuffle is small, as the files are.
     """
     reader = spark.read.options(**CSV_OPTIONS)
     if not empty_as_null:
