@@ -3,16 +3,19 @@
 A segment is a named boolean condition ("study", "study and relax and
 yoga", ...). One row may belong to several segments, so the segments are
 not a grouping of the table. ``segment_profile`` answers all of them in a
-single pass: one global aggregation whose inputs are masked per segment
-(``avg(when(in_segment, measure))``), then the one wide row is unfolded
-into one row per segment. Each task contributes a single partial row, so
-the final merge handles as many rows as there are tasks, whatever the
-data size or skew.
+single pass: rows in no segment are filtered out (folders pruned when the
+table is partitioned by the segment flags), then one global aggregation
+whose inputs are masked per segment (``avg(when(in_segment, measure))``),
+then the one wide row is unfolded into one row per segment. Each task
+contributes a single partial row, so the final merge handles as many rows
+as there are tasks, whatever the data size or skew.
 """
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +42,13 @@ def segment_profile(df: DataFrame, segments: Mapping[str, Column],
     averages are null and their count 0.
     """
     ms = measure_columns(measures)
+    # A row in no segment adds nothing to any average or count, so keep only
+    # rows in at least one: on a table partitioned by the segment flags this
+    # prunes every folder where none is set, and elsewhere it is pushed into
+    # the scan.
+    conds = list(segments.values())
+    if conds:
+        df = df.where(reduce(operator.or_, conds))
     aggs = []
     for i, cond in enumerate(segments.values()):
         inside = F.coalesce(cond, F.lit(False))

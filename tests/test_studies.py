@@ -176,3 +176,21 @@ def test_category_index_with_known_supported_keys(spark, songs):
     a = studies.category_index(songs)
     b = studies.category_index(songs, supported=stats)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_tag_comparison_prunes_folders_without_any_segment_flag(spark, songs):
+    import tempfile
+
+    from facetspark.sinks import write_parquet
+    from facetspark.sources import read_parquet
+
+    table = studies.tag_table(songs)
+    path = tempfile.mkdtemp(prefix="facetspark-test-") + "/tags"
+    write_parquet(table, path, partition_by=["good_for_study", "good_for_party"])
+    back = read_parquet(spark, path, schema=table.schema)
+    out = studies.tag_comparison(back, count_name="n")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    part = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "good_for_study" in part and "good_for_party" in part and "OR" in part
+    want = {r.tagged_as: r.n for r in studies.tag_comparison(table, count_name="n").collect()}
+    assert {r.tagged_as: r.n for r in out.collect()} == want
