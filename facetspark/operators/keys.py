@@ -131,7 +131,8 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
     rows are not sorted; order by ``id_col`` when the order matters.
 
     ``spread`` redistributes the numbered rows over that many partitions
-    (``"auto"``: the default parallelism, when there are fewer partitions)
+    (``"auto"``: the default parallelism, when there are fewer partitions;
+    with ``order_by`` it does nothing, the sort already spreads the rows)
     before they are written: a row's id depends only on the partition and
     position it was numbered with, which travel with it, so a few large
     unsplittable inputs (multi-line CSV files) are written by every core.
@@ -153,7 +154,9 @@ def _row_id(df: DataFrame, order_by: Sequence[str | Column] | None, id_col: str,
                            (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_POS),
                            *cols)
     if spread == "auto":
-        spread = spread_target(numbered)
+        # Sorted rows are already spread over the sort's range partitions, and
+        # counting the partitions of a sorted frame would run its shuffle first.
+        spread = None if order_by else spread_target(numbered)
     if spread:
         numbered = numbered.repartition(int(spread))
     size = None

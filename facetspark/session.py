@@ -113,7 +113,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def spread_target(df) -> int | None:
     """Partition count to spread ``df`` to for ``"auto"``: the default
     parallelism when ``df`` has fewer partitions, else None (leave it). None
-    too when the session cannot tell (no SparkContext, as in Spark Connect)."""
+    too when the session cannot tell (no SparkContext, as in Spark Connect).
+    Meant for scans: on a frame with a shuffle, adaptive execution runs the
+    shuffle stages to learn the partition count."""
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()

@@ -87,3 +87,17 @@ def test_row_id_spread_keeps_every_rows_id(spark):
     plain = {r.o_orderkey: r.id for r in keys.row_id(orders).select("id", "o_orderkey").collect()}
     spread = {r.o_orderkey: r.id for r in keys.row_id(orders, spread=6).select("id", "o_orderkey").collect()}
     assert plain == spread and sorted(plain.values()) == list(range(1, len(plain) + 1))
+
+
+def test_row_id_sorted_auto_spread_does_not_measure(spark, monkeypatch):
+    """With order_by, "auto" spreading is skipped: counting the partitions of
+    a sorted frame would run its shuffle once more just to decide."""
+    def refuse(df):
+        raise AssertionError("spread_target called on a sorted frame")
+
+    monkeypatch.setattr(keys, "spread_target", refuse)
+    orders = read_table(spark, SF01, "orders").select("o_orderkey", "o_totalprice")
+    out = keys.row_id(orders, order_by=["o_totalprice", "o_orderkey"], spread="auto")
+    got = [r.o_orderkey for r in out.orderBy("id").collect()]
+    want = [r.o_orderkey for r in orders.orderBy("o_totalprice", "o_orderkey").collect()]
+    assert got == want
