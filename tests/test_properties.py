@@ -115,7 +115,7 @@ def test_grouped_summary_equals_one_group_by_per_set(spark, rows):
 
 @SETTINGS
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 2)), min_size=1, max_size=80),
-       st.integers(1, 5), st.sampled_from([None, 3]))
+       st.integers(1, 5), st.sampled_from([None, 3, "auto"]))
 def test_row_ids_with_copies_and_spread(spark, rows, parts, spread):
     """Mostly identical rows: ids are exactly 1..n and follow the key order
     (nulls first), whether or not the numbered rows are spread."""
