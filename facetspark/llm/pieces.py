@@ -1,5 +1,9 @@
-"""Equal pieces of a batch of texts found at once, so that Python handles each
-distinct piece of a batch a single time."""
+"""Words of a batch of texts, looked up together.
+
+A byte span is named by two 64-bit hashes. Hashing, finding equal spans and
+the look-up in the worker's table are array operations; only spans that are
+new to the table reach the caller, each once.
+"""
 
 from __future__ import annotations
 
@@ -7,66 +11,101 @@ from collections.abc import Callable
 
 import numpy as np
 
-from facetspark.llm.common import worker_state
-
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
-LONGEST = 64
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_STOP = np.zeros(256, dtype=bool)
+_STOP[[44, 46]] = True
+
+LONGEST = 64  # bytes; longer spans are not kept
+ENTRIES = 2_500_000  # of about 35 bytes
+
 
+def stops(b: np.ndarray, white: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Whether a comma or full stop begins at each byte that ends a word:
+    after an ASCII letter, before white space or a text's end (``last``: the
+    texts' last bytes). Splitting by character classes always cuts there."""
+    at = _STOP[b]
+    at[0] = False
+    at[1:] &= _LETTER[b[:-1]]
+    ends = np.append(white[1:], True)
+    ends[last] = True
+    return at & ends
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A random value of each byte; powers of an odd base and of its inverse."""
-    rng = np.random.default_rng(42)
-    value = rng.integers(0, 1 << 64, 256, dtype=np.uint64)
-    base = int(rng.integers(1 << 62, 1 << 63)) * 2 + 1
-    power = np.full(n, base, dtype=np.uint64)
-    back = np.full(n, pow(base, -1, 1 << 64), dtype=np.uint64)
-    power[0] = back[0] = 1
-    return value, np.cumprod(power, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
 
+class Table:
+    """32-bit numbers of byte spans: a sorted array of hashes and a pool."""
 
-def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(one index per distinct span, the number of each span's distinct one)
-    for the byte spans start..end: found by a hash, then compared in full."""
-    size = 1 << max(22, int(len(data)).bit_length())
-    value, power, back = worker_state(("powers", size), lambda: _powers(size))
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(value[data] * power[:len(data)], out=total[1:])
-    hashes = (total[end] - total[start]) * back[start]
-    order = np.argsort(hashes)
-    new = np.concatenate(([True], hashes[order][1:] != hashes[order][:-1]))
-    first = order[new]
-    number = np.empty(len(hashes), dtype=np.int64)
-    number[order] = np.cumsum(new) - 1
-    n, like = end - start, first[number]
-    same = n == n[like]
-    shift = np.repeat(start[like] - start, np.where(same, n, 0))
-    inside = np.repeat(start, np.where(same, n, 0)) + np.arange(len(shift)) - np.repeat(
-        np.cumsum(np.where(same, n, 0)) - np.where(same, n, 0), np.where(same, n, 0))
-    wrong = np.flatnonzero(data[inside] != data[inside + shift])
-    if len(wrong) or not same.all():  # equal hash only: spans of their own
-        owner = np.repeat(np.arange(len(n)), np.where(same, n, 0))
-        same[owner[wrong]] = False
-        odd = np.flatnonzero(~same)
-        number[odd] = len(first) + np.arange(len(odd))
-        first = np.concatenate((first, odd))
-    return first, number
+    def __init__(self):
+        rng = np.random.default_rng(42)
+        self.value = rng.integers(0, 1 << 64, 256, dtype=np.uint64)
+        self.power = [np.cumprod(np.full(LONGEST, int(rng.integers(1 << 62, 1 << 63)) * 2 + 1, dtype=np.uint64),
+                                 dtype=np.uint64) for _ in range(2)]
+        self.clear()
 
+    def clear(self) -> None:
+        self.key = np.zeros(0, dtype=np.uint64)
+        self.check = np.zeros(0, dtype=np.uint64)
+        self.at = np.zeros(0, dtype=np.int64)
+        self.n = np.zeros(0, dtype=np.int32)
+        self.pool = np.zeros(1 << 16, dtype="<u4")
+        self.used = 0
 
-def lookup(data: bytes, start: np.ndarray, end: np.ndarray, text: np.ndarray, texts: int,
-           values: Callable[[list[bytes]], list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit values of all spans in order, and how many each text has.
+    def _hashes(self, b: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+        inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        value = self.value[b[np.repeat(start, size) + inside]]
+        first = np.cumsum(size) - size
+        return [np.add.reduceat(value * p[inside], first) for p in self.power]
 
-    ``values`` maps distinct spans to little-endian 32-bit numbers; ``text``
-    is the text of every span, ascending.
-    """
-    if not len(start):
-        return np.zeros(0, dtype="<u4"), np.zeros(texts, dtype=np.int64)
-    first, number = distinct(np.frombuffer(data, dtype=np.uint8), start, end)
-    found = values([data[s:e] for s, e in zip(start[first].tolist(), end[first].tolist())])
-    size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    base = np.cumsum(size) - size
-    pool = np.frombuffer(b"".join(found), dtype="<u4")
-    n = size[number]
-    at = np.repeat(base[number] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    return pool[at], np.bincount(text, weights=n, minlength=texts).astype(np.int64)
+    def numbers(self, data: bytes, start: np.ndarray, end: np.ndarray,
+                values: Callable[[list[bytes]], list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """All spans' numbers one after the other, and how many each has.
+        ``values`` gives the numbers of spans that are not in the table."""
+        if len(self.key) > ENTRIES:
+            self.clear()
+        size = end - start
+        short = np.flatnonzero(size <= LONGEST)
+        at, n = np.empty(len(start), dtype=np.int64), np.empty(len(start), dtype=np.int64)
+        ask: list[int] = np.flatnonzero(size > LONGEST).tolist()
+        kept = 0
+        if len(short):
+            key, check = self._hashes(np.frombuffer(data, dtype=np.uint8), start[short], size[short])
+            order = np.argsort(key)
+            sorted_ = key[order]
+            new = np.concatenate(([True], sorted_[1:] != sorted_[:-1]))
+            one = order[new]  # a span of every hash
+            name = np.empty(len(short), dtype=np.int64)
+            name[order] = np.cumsum(new) - 1
+            # equal first hash but not equal: each on its own, not kept
+            ask += short[(check != check[one][name]) | (size[short] != size[short][one][name])].tolist()
+            want = key[one]
+            place = np.searchsorted(self.key, want)
+            near = np.minimum(place, max(0, len(self.key) - 1))
+            known = (self.key[near] == want) & (self.check[near] == check[one]) if len(self.key) else np.zeros(
+                len(one), dtype=bool)
+            fresh = np.flatnonzero(~known)
+            ask = short[one[fresh]].tolist() + ask
+            kept = len(fresh)
+        got = values([data[s:e] for s, e in zip(start[ask].tolist(), end[ask].tolist())]) if ask else []
+        count = np.fromiter(map(len, got), np.int64, len(got))
+        base = self.used + np.cumsum(count) - count
+        while self.used + count.sum() > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.empty_like(self.pool)))
+        if ask:
+            self.pool[self.used:self.used + count.sum()] = np.concatenate(got)
+        if len(short):
+            one_at, one_n = np.empty(len(one), dtype=np.int64), np.empty(len(one), dtype=np.int64)
+            one_at[known], one_n[known] = self.at[near[known]], self.n[near[known]]
+            one_at[fresh], one_n[fresh] = base[:kept], count[:kept]
+            at[short], n[short] = one_at[name], one_n[name]
+            where = place[fresh]
+            self.key = np.insert(self.key, where, want[fresh])
+            self.check = np.insert(self.check, where, check[one][fresh])
+            self.at = np.insert(self.at, where, base[:kept])
+            self.n = np.insert(self.n, where, count[:kept])
+        at[ask[kept:]], n[ask[kept:]] = base[kept:], count[kept:]
+        index = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out = self.pool[index]
+        self.used += int(count[:kept].sum())  # what is not kept is overwritten next time
+        return out, n

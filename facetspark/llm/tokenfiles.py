@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetspark.llm.bpe import forget_half, read_spec, slices
+from facetspark.llm.bpe import read_spec, slices
 from facetspark.llm.common import col, running_start, stored, worker_state
-from facetspark.llm.pieces import LONGEST, WHITE, lookup
+from facetspark.llm.pieces import WHITE, Table, stops
 from facetspark.session import scratch_dir
 
 MAGIC = b"PFR1"
@@ -38,7 +38,6 @@ BLOCK = 4096
 PERCENTILE = 0.95
 SEGMENT_IDS = 1 << 19
 END_ID = 2
-CACHE_WORDS = 500_000
 # white space beyond ASCII; texts with it are encoded as a whole
 _WIDE_SPACE = re.compile(r"[^\S\x00-\x7f]")
 
@@ -91,30 +90,10 @@ def unpack(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     return np.concatenate(ids)[first - low * block:last - low * block]
 
 
-def cut_piece(piece: str) -> list[str]:
-    """A piece without inner spaces, cut where pre-splitting always cuts: at a
-    single line feed and between a letter and a closing stop or comma."""
-    if piece.isalpha():
-        return [piece]
-    words = []
-    for i, line in enumerate(piece.split("\n")):
-        if i:
-            words.append("\n")
-        if line[-1:] in (".", ",") and line[-2:-1].isalpha():
-            words += (line[:-1], line[-1])
-        elif line and not line[0].isspace() and not line[-1].isspace():
-            words.append(line)
-        else:
-            return [piece]
-    return words
-
-
 class Words:
-    """The tokenizers library behind bounded caches of space-delimited pieces
-    and of the words they are cut into."""
+    """The tokenizers library behind the worker's bounded table of words."""
 
     def __init__(self, spec: str):
-        import gc
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the task has one core
@@ -124,83 +103,58 @@ class Words:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.feed = self._ids("\n")
-        self.cache: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        gc.set_threshold(200_000, 20, 1000)  # the caches hold no cycles and are costly to traverse
+        self.table = Table()
 
     def _ids(self, text: str) -> np.ndarray:
         e = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(e.ids, dtype="<u4")
 
-    def _encode(self, words: list[str]) -> dict[str, bytes]:
+    def _words(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of words; many at a time as lines of one text where a line feed
         is sure to be a token of its own between them."""
-        plain = [w for w in words if "\n" not in w and w.strip() and not w[-1].isspace()
-                 and not w.lstrip(" ")[0].isspace() and w[:2] != "  "]
-        found = {}
-        for i in range(0, len(plain), 2000):
-            part = plain[i:i + 2000]
-            ids = self._ids("\n".join(part))
+        found: list[np.ndarray | None] = [None] * len(words)
+        plain = [i for i, w in enumerate(words) if b"\n" not in w and w.strip() and not w[-1:].isspace()
+                 and not w[1:2].isspace() and (w[:1] == b" " or not w[:1].isspace())]
+        for k in range(0, len(plain), 2000):
+            part = plain[k:k + 2000]
+            ids = self._ids(b"\n".join([words[i] for i in part]).decode("utf-8"))
             at = np.flatnonzero(ids == self.feed[0])
             if len(self.feed) != 1 or len(at) != len(part) - 1:
                 raise ValueError("the vocabulary has no single token for a line feed")
-            data = ids.tobytes()
-            found.update(zip(part, map(data.__getitem__, map(slice, [0, *(4 * at + 4).tolist()],
-                                                             [*(4 * at).tolist(), len(data)]))))
-        for w in words:
-            if w not in found:
-                found[w] = self._ids(w).tobytes()
-        return found
-
-    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of pieces, which may begin with a space."""
-        cache, words = self.cache, self.words
-        for kept in (cache, words):
-            if len(kept) > CACHE_WORDS:
-                forget_half(kept)
-        found = list(map(cache.get, pieces))
-        cut = {}
-        for i, x in enumerate(found):
-            if x is None:
-                p = pieces[i].decode("utf-8")
-                if p[:1] == " ":
-                    c = cut_piece(p[1:])
-                    c[0] = " " + c[0]
-                else:
-                    c = cut_piece(p)
-                cut[i] = c
-        new = {w for c in cut.values() for w in c if w not in words}
-        once = self._encode(list(new))
-        words.update((w, ids) for w, ids in once.items() if len(w) <= LONGEST)
-        for i, c in cut.items():
-            ids = b"".join([words[w] if w in words else once[w] for w in c])
-            found[i] = ids
-            if len(pieces[i]) <= LONGEST:
-                cache[pieces[i]] = ids
-        return found
+            for i, s, e in zip(part, [0, *(at + 1).tolist()], [*at.tolist(), len(ids)]):
+                found[i] = ids[s:e]
+        return [self._ids(w.decode("utf-8")) if x is None else x for w, x in zip(words, found)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each has.
 
-        Texts are cut at single spaces that touch no other white space;
-        pre-splitting never crosses those.
+        Texts are cut where pre-splitting always cuts: before a single space
+        and around a single line feed that touch no other white space, and
+        before a stop or comma that ends a word.
         """
         odd = {i: self._ids(t) for i, t in enumerate(texts) if _WIDE_SPACE.search(t)}
         coded = [b"" if i in odd else t.encode("utf-8") for i, t in enumerate(texts)]
         data = b"".join(coded)
         size = np.fromiter(map(len, coded), np.int64, len(coded))
-        full = np.flatnonzero(size)
-        stop = np.cumsum(size)
-        b = np.frombuffer(data, dtype=np.uint8)
-        white = WHITE[b]
-        border = b == 32
-        border[1:] &= ~white[:-1]
-        border[:-1] &= ~white[1:]
-        border[stop[full] - 1] = False
-        border[(stop - size)[full]] = True
-        start = np.flatnonzero(border)
-        ids, n = lookup(data, start, np.append(start[1:], len(b)),
-                        np.searchsorted(stop, start, side="right"), len(texts), self._pieces)
+        n = np.zeros(len(texts), dtype=np.int64)
+        ids = np.zeros(0, dtype="<u4")
+        if data:
+            full = size > 0
+            stop = np.cumsum(size)
+            first, last = (stop - size)[full], stop[full] - 1
+            b = np.frombuffer(data, dtype=np.uint8)
+            white = WHITE[b]
+            lone = white & ((b == 32) | (b == 10))
+            lone[1:] &= ~white[:-1]
+            lone[:-1] &= ~white[1:]
+            lone[first] = lone[last] = False
+            border = lone | stops(b, white, last)
+            border[1:] |= lone[:-1] & (b[:-1] == 10)
+            border[first] = True
+            start = np.flatnonzero(border)
+            ids, each = self.table.numbers(data, start, np.append(start[1:], len(b)), self._words)
+            n = np.bincount(np.searchsorted(stop, start, side="right"), weights=each,
+                            minlength=len(texts)).astype(np.int64)
         if odd:
             parts = np.split(ids, np.cumsum(n)[:-1])
             for i, x in odd.items():
