@@ -22,12 +22,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from facetspark.llm.common import col, connected_components, min_labels, on_arrow, stored
 
-TABLES = 10
+TABLES = 8
 HASHES = 2
-PROBES = 3
+PROBES = 2
 BLOCK = 1000
 
 
@@ -70,6 +71,11 @@ def buckets(x: np.ndarray, table: int, hashes: int, probes: int, seed: int) -> n
     return np.concatenate((own[:, None], other), axis=1)
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares neither overflow nor vanish
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def embedding_components(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                          threshold: float = 0.9, tables: int = TABLES, hashes: int = HASHES,
                          probes: int = PROBES, block: int = BLOCK, seed: int = 42) -> DataFrame:
@@ -83,14 +89,19 @@ def embedding_components(df: DataFrame, id_col: str = "vec_id", vector_col: str
     """
     dim_ok = F.size("v") > 0
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = df.select(col(id_col).alias("__id"), col(vector_col).cast("array<double>").alias("v"))
+    # single-precision input travels as such; lengths and products are taken in double
+    kind = "float" if isinstance(df.select(col(vector_col)).schema[0].dataType.elementType, T.FloatType) else "double"
+    rows = df.select(col(id_col).alias("__id"), col(vector_col).cast(f"array<{kind}>").alias("v"))
     good = rows.where(F.coalesce(dim_ok & finite & F.exists("v", lambda x: x != 0), F.lit(False)))
     # two 64-bit hashes name a class of equal vectors; -0.0 equals 0.0
-    v = F.transform("v", lambda x: x + F.lit(0.0))
+    v = F.transform("v", lambda x: x + F.lit(0.0).cast(kind))
     hashed = good.select("__id", F.xxhash64(v).alias("c"), F.hash(v).alias("c2"), "v")
     classes = stored(hashed.groupBy("c", "c2").agg(F.count(F.lit(1)).alias("copies"), F.min("__id").alias("least"),
                                                    F.first("v").alias("v")))
-    width = tables * (1 + probes)
+    per = 1 + probes
+    width = tables * per
+    # bucket numbers of vectors of up to 4096 components fit an int for two hashes
+    small = hashes <= 2
 
     def hash_all(batches):
         for t in batches:
@@ -99,22 +110,24 @@ def embedding_components(df: DataFrame, id_col: str = "vec_id", vector_col: str
             size = np.array([len(x) for x in lists])
             for d in np.unique(size):
                 rows_ = np.flatnonzero(size == d)
-                x = np.array([lists[i] for i in rows_], dtype=np.float64)
-                x = x / np.abs(x).max(axis=1, keepdims=True)
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                raw = np.array([lists[i] for i in rows_], dtype=np.float64)
+                x = unit(raw)
                 b = np.stack([buckets(x, k, hashes, probes, seed) for k in range(tables)], axis=1)
-                # the table and the length are part of the bucket's name
-                b = (b * tables + np.arange(tables)[:, None]) * 8192 + int(d) % 8192
                 yield pa.RecordBatch.from_pydict({
                     "c": t["c"].combine_chunks().take(pa.array(rows_)),
                     "copies": t["copies"].combine_chunks().take(pa.array(rows_)),
-                    "x": pa.array(list(x), type=pa.list_(pa.float64())),
-                    "b": pa.array(list(b.reshape(len(x), width)), type=pa.list_(pa.int64()))})
+                    "x": pa.array(list(raw.astype(np.float32 if kind == "float" else np.float64))),
+                    "b": pa.array(list(b.reshape(len(x), width).astype(np.int32 if small else np.int64)))})
 
     hashes_of = stored(classes.select("c", "copies", "v").mapInArrow(
-        hash_all, "c long, copies long, x array<double>, b array<long>"))
-    entry = hashes_of.select("c", "copies", "x", "b", F.explode(F.array_distinct("b")).alias("bucket"))
-    sizes = hashes_of.select(F.explode(F.array_distinct("b")).alias("bucket")).groupBy("bucket").count().where(
+        hash_all, f"c long, copies long, x array<{kind}>, b array<{'int' if small else 'long'}>"))
+    # the table and the vector's length are part of a bucket's name
+    name = (F.col("value").cast("long") * tables + F.floor(F.col("pos") / per)) * 8192 + F.pmod(
+        F.size("x"), F.lit(8192))
+    entry = hashes_of.select("c", "copies", "x", "b", F.posexplode("b").alias("pos", "value")).select(
+        "c", "copies", "x", "b", name.alias("bucket"))
+    sizes = hashes_of.select("x", F.posexplode("b").alias("pos", "value")).select(
+        name.alias("bucket")).groupBy("bucket").count().where(
         "count > 1").select("bucket", F.ceil(F.col("count") / block).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("c", F.lit(seed)), F.col("parts")).cast("int")
     entry = entry.join(sizes, "bucket").withColumn("part", part)
@@ -137,7 +150,7 @@ def embedding_components(df: DataFrame, id_col: str = "vec_id", vector_col: str
         for s, e in zip(first, last):
             if e - s < 2:
                 continue
-            xs = flat[at[s]:at[e]].reshape(e - s, -1)
+            xs = unit(flat[at[s]:at[e]].reshape(e - s, -1).astype(np.float64))
             bucket, i, j = key[:, s]
             two = np.flatnonzero(part_[s:e] == j) if i != j else np.arange(e - s)
             one = np.flatnonzero(part_[s:e] == i)
@@ -154,12 +167,13 @@ def embedding_components(df: DataFrame, id_col: str = "vec_id", vector_col: str
             mine = np.empty(len(p), dtype=bool)
             for k in range(0, len(p), 1 << 14):
                 bp, bq = b[s + p[k:k + (1 << 14)]], b[s + q[k:k + (1 << 14)]]
-                per = 1 + probes
                 common = np.zeros(bp.shape, dtype=bool)
                 for col_ in range(width):  # a bucket of p can be any of q's in the same table
                     lo = col_ // per * per
                     common[:, col_] = (bp[:, col_:col_ + 1] == bq[:, lo:lo + per]).any(axis=1)
-                mine[k:k + (1 << 14)] = bp[np.arange(len(bp)), common.argmax(axis=1)] == bucket
+                at_ = common.argmax(axis=1)
+                own = bp[np.arange(len(bp)), at_].astype(np.int64) * tables + at_ // per
+                mine[k:k + (1 << 14)] = own * 8192 + xs.shape[1] % 8192 == bucket
             label = min_labels(e - s, p, q)
             p, q = p[mine], q[mine]
             n = np.bincount(p, weights=copies[s + q], minlength=e - s) + np.bincount(
