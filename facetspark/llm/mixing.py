@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from facetspark.llm.common import WORD, col, running_start, stored
 
-CHUNK_ROWS = 8192
+CHUNK_ROWS = 512
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: list[float], share: float,
