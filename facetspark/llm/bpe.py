@@ -18,7 +18,7 @@ merge that decides the cell is found. After that a step is one table lookup.
 
 Encoding walks the table with the longest piece first and steps back from a
 dead end, which marks a position as no token border, so a word takes linear
-time. Words are looked up in a bounded per-worker cache before.
+time. Words that a worker has met lie in its bounded table (``pieces``).
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,19 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from facetspark.llm.common import worker_state
-from facetspark.llm.pieces import LONGEST, WHITE, lookup
+from facetspark.llm.pieces import WHITE, Table, stops
 
-CACHE_WORDS = 600_000
-ARC_CELLS = 2_000_000
+ARC_CELLS = 300_000
 SLICE_BYTES = 4 << 20
 
 
-def forget_half(cache: dict) -> None:
-    """Drop the older half of a cache."""
-    for k in list(islice(cache, len(cache) // 2)):
-        del cache[k]
-
-
 def byte_letters() -> list[str]:
     """The printable letter of every byte in byte-level vocabularies: the
     printable Latin-1 bytes stand for themselves, the others for the letters
@@ -60,7 +52,6 @@ def byte_letters() -> list[str]:
 class Automaton:
     def __init__(self, ids: dict[str, int], merges: list[tuple[str, str]], word_end: str):
         self.ids, self.word_end = ids, word_end
-        self.labels = {i: t for t, i in ids.items()}
         size = max(ids.values()) + 1
         self.left, self.right, self.born = [-1] * size, [-1] * size, [-1] * size
         self.joined: dict[int, int] = {}
@@ -154,34 +145,19 @@ class Encoder:
     """A vocabulary file: added tokens, normalisation, pre-splitting, merges."""
 
     def __init__(self, spec: str):
-        import gc
-
-        gc.set_threshold(200_000, 20, 1000)  # the caches hold no cycles and are costly to traverse
         s = json.loads(spec)
         model = s["model"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model.get("end_of_word_suffix") or "")
         self.added = {t["content"]: t["id"] for t in s["added_tokens"]}
-        self.labels = {**self.automaton.labels, **{i: t for t, i in self.added.items()}}
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         split = next(p for p in s["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.letters = byte_letters()
-        self.cache: dict[bytes, bytes] = {}
-        self.word_ids: dict[str, list[int]] = {}
-
-    def word(self, word: str) -> list[int]:
-        ids = self.word_ids.get(word)
-        if ids is None:
-            ids = self.automaton.path("".join([self.letters[b] for b in word.encode("utf-8", "replace")]))
-            if len(word) <= LONGEST:
-                if len(self.word_ids) >= CACHE_WORDS:
-                    forget_half(self.word_ids)
-                self.word_ids[word] = ids
-        return ids
-
-    def chunk(self, text: str) -> bytes:
-        """Ids (little-endian 32-bit) of a text without plain spaces."""
+        self.table = Table()
+
+    def chunk(self, text: str) -> list[int]:
+        """Ids of a text, word by word."""
         found: list[int] = []
         for part in self.split_added.split(text) if any(a in text for a in self.added) else (text,):
             if part in self.added:
@@ -190,49 +166,58 @@ class Encoder:
             # letter by letter: no special form of a last sigma
             low = part if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ")
             for word in self.words.findall(low.lower()):
-                found += self.word(word)
-        return np.array(found, dtype="<u4").tobytes()
-
-    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            forget_half(cache)
-        found = list(map(cache.get, pieces))
-        for i, x in enumerate(found):
-            if x is None:
-                found[i] = self.chunk(pieces[i].decode("utf-8"))
-                if len(pieces[i]) <= LONGEST:
-                    cache[pieces[i]] = found[i]
+                found += self.automaton.path("".join([self.letters[b] for b in word.encode("utf-8", "replace")]))
         return found
 
+    def _words(self, words: list[bytes]) -> list[np.ndarray]:
+        return [np.array(self.chunk(w.decode("utf-8")), dtype="<u4") for w in words]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each has.
-        White space separates words and has no ids."""
+
+        White space separates words and has no ids; a stop or comma that ends
+        a word is a word of its own.
+        """
         data = "\n".join([*texts, ""]).encode("utf-8")
-        white = WHITE[np.frombuffer(data, dtype=np.uint8)]
-        edge = np.diff(white.astype(np.int8), prepend=1)
-        start = np.flatnonzero(edge == -1)
+        b = np.frombuffer(data, dtype=np.uint8)
+        white = WHITE[b]
+        begin = ~white
+        begin[1:] &= white[:-1]
+        begin |= stops(b, white, np.zeros(0, dtype=np.int64))
+        start = np.flatnonzero(begin)
+        if not len(start):
+            return np.zeros(0, dtype="<u4"), np.zeros(len(texts), dtype=np.int64)
+        edge = np.flatnonzero(white | begin)
+        end = edge[np.searchsorted(edge, start, side="right")]
         size = np.fromiter((len(t) if t.isascii() else len(t.encode("utf-8")) for t in texts), np.int64, len(texts))
-        return lookup(data, start, np.flatnonzero(edge == 1), np.searchsorted(np.cumsum(size + 1), start, side="right"),
-                      len(texts), self._pieces)
-
-    def decode(self, ids: np.ndarray) -> str:
-        return " ".join([self.labels[i] for i in ids.tolist()])
+        ids, each = self.table.numbers(data, start, end, self._words)
+        return ids, np.bincount(np.searchsorted(np.cumsum(size + 1), start, side="right"), weights=each,
+                                minlength=len(texts)).astype(np.int64)
 
 
 def encoder(spec: str) -> Encoder:
     return worker_state(("bpe", hash(spec)), lambda: Encoder(spec))
 
 
+def arc_labels(spec: str) -> list[str]:
+    """The label of every id."""
+    s = json.loads(spec)
+    ids = {**s["model"]["vocab"], **{t["content"]: t["id"] for t in s["added_tokens"]}}
+    labels = [""] * (max(ids.values()) + 1)
+    for t, i in ids.items():
+        labels[i] = t
+    return labels
+
+
 def read_spec(path: str) -> str:
     """The vocabulary file, read by the driver and sent to the tasks (a few MB)."""
     with open(path, encoding="utf-8") as f:
         return f.read()
 
 
-def slices(batch: pa.RecordBatch, column: str):
-    """Zero-copy parts of a batch with about SLICE_BYTES in ``column``."""
-    per = max(1, int(batch.num_rows * SLICE_BYTES / (batch.column(column).nbytes + 1)))
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES):
+    """Zero-copy parts of a batch with about ``size`` bytes in ``column``."""
+    per = max(1, int(batch.num_rows * size / (batch.column(column).nbytes + 1)))
     for i in range(0, batch.num_rows, per):
         yield batch.slice(i, per)
 
@@ -246,7 +231,7 @@ def _mapped(df: DataFrame, source: str, into: str, kind: T.DataType, make) -> Da
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, source):
+            for part in slices(batch, source, SLICE_BYTES // 2):
                 made = make(part.column(part.schema.get_field_index(source)))
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(part.schema.get_field_index(c)) for c in names], made], names=[*names, into])
@@ -281,9 +266,10 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", into: str = "decoded"
     spec = read_spec(path)
 
     def make(lists: pa.Array) -> pa.Array:
-        enc = encoder(spec)
+        labels = worker_state(("labels", hash(spec)), lambda: arc_labels(spec))
         values = lists.values.to_numpy(zero_copy_only=False)
         ends = lists.offsets.to_numpy()
-        return pa.array([enc.decode(values[s:e]) for s, e in zip(ends[:-1], ends[1:])], type=pa.string())
+        return pa.array([" ".join([labels[i] for i in values[s:e].tolist()]) for s, e in zip(ends[:-1], ends[1:])],
+                        type=pa.string())
 
     return _mapped(df, ids_col, into, T.StringType(), make)
