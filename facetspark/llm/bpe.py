@@ -31,9 +31,10 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from facetspark.llm.common import worker_state
+from facetspark.llm.common import col, small_batches, with_columns, worker_state
 from facetspark.llm.pieces import WHITE, Table, stops
 
 ARC_CELLS = 300_000
@@ -57,13 +58,17 @@ class Automaton:
         self.joined: dict[int, int] = {}
         self.size = size
         self.arcs: dict[int, bool] = {}
+        made = {ids[a + b] for a, b in merges}
         for r, (a, b) in enumerate(merges):
-            self._gadget(r, ids[a], ids[b], ids[a + b])
-        # letters of the tokens as a tree of dicts; a node's token is under ""
+            self._gadget(r, ids[a], ids[b], ids[a + b], made)
+        # letters of the tokens as a tree of dicts; a node's token is under "".
+        # A token that no run of merges makes is on no path.
         self.end = "\n" if word_end else ""
         self.width: dict[int, int] = {}
         self.root: dict = {}
         for t, i in ids.items():
+            if i in made and self.born[i] < 0:
+                continue
             if word_end and t.endswith(word_end):
                 t = t[:-len(word_end)] + self.end
             self.width[i] = len(t)
@@ -72,7 +77,9 @@ class Automaton:
                 node = node.setdefault(letter, {})
             node[""] = i
 
-    def _gadget(self, r: int, a: int, b: int, ab: int) -> None:
+    def _gadget(self, r: int, a: int, b: int, ab: int, made: set[int]) -> None:
+        if any(x in made and self.born[x] < 0 for x in (a, b)) or not self._undo(a, b):
+            return  # earlier merges never leave a and b side by side
         self.joined.setdefault(a * self.size + b, r)
         if self.born[ab] < 0:
             self.left[ab], self.right[ab], self.born[ab] = a, b, r
@@ -84,7 +91,7 @@ class Automaton:
         return open_
 
     def _undo(self, u: int, v: int) -> bool:
-        born, before = self.born, len(self.joined) + 1
+        born, before = self.born, 1 << 60
         while True:
             r = self.joined.get(u * self.size + v)
             if r is not None and r < before:
@@ -225,13 +232,13 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES):
 def _mapped(df: DataFrame, source: str, into: str, kind: T.DataType, make) -> DataFrame:
     """``df`` with column ``into`` made from ``source`` slice by slice; a
     column that is already called ``into`` gives way."""
-    base = df.select(*[c for c in df.columns if c.lower() != into.lower() or c == source])
+    base = small_batches(df).select(*[c for c in df.columns if c.lower() != into.lower() or c == source])
     names = [c for c in base.columns if c.lower() != into.lower()]
     schema = T.StructType([*(base.schema[c] for c in names), T.StructField(into, kind)])
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, source, SLICE_BYTES // 2):
+            for part in slices(batch, source, SLICE_BYTES // 4):
                 made = make(part.column(part.schema.get_field_index(source)))
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(part.schema.get_field_index(c)) for c in names], made], names=[*names, into])
@@ -263,13 +270,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", into: str = "decoded"
     The vocabulary of this kind names no decoder, so word ends and byte
     letters stay as they are in the labels. Null ids decode to no text.
     """
-    spec = read_spec(path)
-
-    def make(lists: pa.Array) -> pa.Array:
-        labels = worker_state(("labels", hash(spec)), lambda: arc_labels(spec))
-        values = lists.values.to_numpy(zero_copy_only=False)
-        ends = lists.offsets.to_numpy()
-        return pa.array([" ".join([labels[i] for i in values[s:e].tolist()]) for s, e in zip(ends[:-1], ends[1:])],
-                        type=pa.string())
-
-    return _mapped(df, ids_col, into, T.StringType(), make)
+    # one literal, split when the plan is optimised: labels hold no space
+    labels = F.split(F.lit(" ".join(arc_labels(read_spec(path)))), " ")
+    return with_columns(df, {into: F.coalesce(
+        F.array_join(F.transform(col(ids_col), lambda i: F.get(labels, i)), " "), F.lit(""))})

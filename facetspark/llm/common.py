@@ -18,6 +18,20 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_BYTES = "4m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Have whole texts go to Python in batches of a few MB. The session's
+    default of 64 MB a batch, held by the JVM and by Python for every running
+    task, would be a large part of an executor. Results do not depend on it; a
+    size that the user has set stays."""
+    name, spark = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession
+    if spark.conf.get(name, None) in (None, "67108864b", "64MB"):
+        spark.conf.set(name, BATCH_BYTES)
+    return df
+
+
 def col(name: str) -> Column:
     """The column of exactly this name, whatever characters it holds."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -143,12 +157,46 @@ def on_arrow(fn: Callable[[pa.Table], pa.Table], keys: Sequence[str]):
     return run
 
 
+IDLE_SECONDS = 2.0
+
+
 def worker_state(key, make: Callable[[], object]):
-    """An object kept for the life of a Python worker (tables, word caches)."""
+    """An object kept by a Python worker between batches and tasks (tables,
+    word caches). A worker that asks for nothing for a while lets go of all of
+    them, so that idle workers of other stages leave the memory to the rest."""
     import sys
+    import threading
+    import time
     import types
 
-    kept = sys.modules.setdefault("_facetspark_worker", types.ModuleType("_facetspark_worker")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    state = sys.modules.get("_facetspark_worker")
+    if state is None:
+        state = sys.modules["_facetspark_worker"] = types.ModuleType("_facetspark_worker")
+        state.kept, state.used, state.lock = {}, time.monotonic(), threading.Lock()
+
+        def watch():
+            while True:
+                time.sleep(IDLE_SECONDS / 2)
+                with state.lock:
+                    if not state.kept or time.monotonic() - state.used < IDLE_SECONDS:
+                        continue
+                    state.kept = {}
+                give_back()
+
+        threading.Thread(target=watch, daemon=True).start()
+    with state.lock:
+        state.used = time.monotonic()
+        if key not in state.kept:
+            state.kept[key] = make()
+        return state.kept[key]
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetspark.llm.bpe import slices
-from facetspark.llm.common import col, on_arrow, stored
+from facetspark.llm.common import col, on_arrow, small_batches, stored
 
 LEAST = 4
 CHUNK_PAGES = 128
@@ -193,7 +193,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     """
     host = F.lower(F.regexp_extract(F.coalesce(col(url_col), F.lit("")),
                                     r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1))
-    pages = df.select(col(id_col).alias("id"), col(url_col).alias("url"), col(html_col).alias("html"),
+    pages = small_batches(df).select(col(id_col).alias("id"), col(url_col).alias("url"), col(html_col).alias("html"),
                       host.alias("host"))
     large = stored(pages.groupBy("host").count().where(F.col("count") > chunk_pages).select(
         "host", F.ceil(F.col("count") / chunk_pages).alias("parts")))

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetspark.llm.common import col, with_columns
+from facetspark.llm.common import col, small_batches, with_columns
 
 SLOTS = 1 << 15
 ORDERS = (1, 2, 3, 4)
@@ -94,7 +94,7 @@ class Model:
 def train(df: DataFrame, text_col: str, lang_col: str, pick: Column, train_rows: int = TRAIN_ROWS) -> Model | None:
     """Fit on rows with a language, at most about ``train_rows`` of each, in
     order of the hash ``pick`` (0..2^32-1); None if there is no such row."""
-    rows = df.select(col(text_col).alias("text"), col(lang_col).alias("lang"), pick.alias("pick")).where(
+    rows = small_batches(df).select(col(text_col).alias("text"), col(lang_col).alias("lang"), pick.alias("pick")).where(
         "lang is not null and text is not null")
     per = sorted((r[0], r[1]) for r in rows.groupBy("lang").count().collect())  # one row per language
     if not per:
@@ -158,5 +158,5 @@ def identify(df: DataFrame, model: Model | None, text_col: str = "text", least_l
             out.loc[known, "ambiguous"] = lead < least_lead
         return out
 
-    kept = with_columns(df, {"__found": found(col(text_col))})
+    kept = with_columns(small_batches(df), {"__found": found(col(text_col))})
     return with_columns(kept, {n: F.col(f"__found.{n}") for n in ("lang_pred", "score", "ambiguous")}).drop("__found")

@@ -194,10 +194,11 @@ def mixed_documents(df: DataFrame, plan: Mix, id_col: str = "doc_id", text_col:
         F.col("epoch").alias("__epoch")).agg(
         F.sort_array(F.collect_list(F.struct("__start", "from", "n"))).alias("__use"))
     docs = df.select("*", *key).dropDuplicates(["__k", "__n"])
-    words = F.split(F.regexp_replace(col(text_col), r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
-    text = F.array_join(F.flatten(F.transform("__use", lambda u: F.slice(
-        F.col("__words"), (u["from"] + 1).cast("int"), u["n"].cast("int")))), " ")
-    out = docs.join(use, ["__k", "__n"]).withColumn("__words", words)
+    split = F.split(F.regexp_replace(col(text_col), r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
+    # the outer transform holds the words once; inside the inner one alone they would be split for every piece
+    text = F.get(F.transform(F.array(split), lambda words: F.array_join(F.flatten(F.transform(
+        "__use", lambda u: F.slice(words, (u["from"] + 1).cast("int"), u["n"].cast("int")))), " ")), 0)
+    out = docs.join(use, ["__k", "__n"])
     return out.select(*[text.alias(c) if c == text_col else col(c) for c in df.columns], "__epoch")
 
 

@@ -19,7 +19,7 @@ _STOP = np.zeros(256, dtype=bool)
 _STOP[[44, 46]] = True
 
 LONGEST = 64  # bytes; longer spans are not kept
-ENTRIES = 2_500_000  # of about 35 bytes
+ENTRIES = 1_500_000  # of about 40 bytes
 
 
 def stops(b: np.ndarray, white: np.ndarray, last: np.ndarray) -> np.ndarray:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetspark.llm.common import col, with_columns
+from facetspark.llm.common import col, small_batches, with_columns
 
 SYMBOLS = b"#*$%&|<>"
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -153,7 +153,7 @@ def quality_rules(df: DataFrame, text_col: str = "text", min_words: int = MIN_WO
             "n_repeat_words": r["n_repeat_words"], "longest_repeat": r["longest_repeat"]})
 
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat"]
-    df = with_columns(df, {"__c": counts(col(text_col).cast("binary"))})
+    df = with_columns(small_batches(df), {"__c": counts(col(text_col).cast("binary"))})
     c = {n: F.col(f"__c.{n}") for n in names}
     failed = (c["n_words"] < min_words) | (100 * c["n_repeat_words"] > max_repeat_pct * c["n_words"])
     kept = ~failed & ((c["longest_repeat"] <= longest_words)

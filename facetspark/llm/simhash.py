@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetspark.llm.common import col, connected_components, min_labels, on_arrow, stored, with_columns
+from facetspark.llm.common import col, connected_components, min_labels, on_arrow, small_batches, stored, with_columns
 
 FANOUT = 8
 LEAF = 1024
@@ -70,7 +70,7 @@ def fingerprints(df: DataFrame, text_col: str, shingle_words: int, into: str = "
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint_of(t, shingle_words) for t in texts], dtype=np.uint64).view(np.int64))
 
-    return df.withColumn(into, fp(col(text_col).cast("binary")))
+    return small_batches(df).withColumn(into, fp(col(text_col).cast("binary")))
 
 
 def _signed(x: int) -> int:

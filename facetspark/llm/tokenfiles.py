@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetspark.llm.bpe import read_spec, slices
-from facetspark.llm.common import col, running_start, stored, worker_state
+from facetspark.llm.common import col, running_start, small_batches, stored, worker_state
 from facetspark.llm.pieces import WHITE, Table, stops
 from facetspark.session import scratch_dir
 
@@ -190,7 +190,7 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     spark, spec = df.sparkSession, read_spec(path)
     to = to or scratch_dir(spark, "tokens")
     id_type = df.select(col(id_col)).schema[0].dataType
-    rows = df.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
+    rows = small_batches(df).select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
     rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
 
     def run(batches):
