@@ -25,6 +25,10 @@ def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _all(names: Sequence[str]) -> list[Column]:
+    return [_quoted(n) for n in names]
+
+
 def _measures(measures: Mapping[str, str | Column] | Sequence[str]) -> dict[str, Column]:
     """``{alias: column or expression}``; a plain list becomes ``avg_<lower name>``."""
     if isinstance(measures, Mapping):
@@ -44,7 +48,7 @@ def group_stats(df: DataFrame, key: str | Sequence[str], measure: str, min_count
     keys = _cols(key)
     lab = label or measure.lower()
     m = _quoted(measure)
-    out = df.groupBy(*keys).agg(
+    out = df.groupBy(*_all(keys)).agg(
         F.avg(m).alias(f"avg_{lab}"),
         F.min(m).alias(f"min_{lab}"),
         F.max(m).alias(f"max_{lab}"),
@@ -54,7 +58,7 @@ def group_stats(df: DataFrame, key: str | Sequence[str], measure: str, min_count
     if min_count is not None:
         out = out.where(F.col(count_name) >= F.lit(min_count))
     if order:
-        out = out.orderBy(F.col(f"avg_{lab}"), *keys)
+        out = out.orderBy(_quoted(f"avg_{lab}"), *_all(keys))
     return out
 
 
@@ -70,8 +74,8 @@ def mean_profile(df: DataFrame, by: str | Sequence[str], measures: Mapping[str,
     aggs = [F.avg(c).alias(a) for a, c in _measures(measures).items()]
     if count_name:
         aggs.append(F.count(F.lit(1)).alias(count_name))
-    out = df.groupBy(*keys).agg(*aggs)
-    return out.orderBy(*keys) if order else out
+    out = df.groupBy(*_all(keys)).agg(*aggs)
+    return out.orderBy(*_all(keys)) if order else out
 
 
 def decade_profile(df: DataFrame, decade_column: str, measures: Mapping[str, str | Column] | Sequence[str],
@@ -82,7 +86,7 @@ def decade_profile(df: DataFrame, decade_column: str, measures: Mapping[str, str
     prunes the ``decade=__HIVE_DEFAULT_PARTITION__`` folder unread.
     """
     kept = df.where(_quoted(decade_column).isNotNull())
-    return mean_profile(kept, decade_column, measures, count_name=count_name).orderBy(decade_column)
+    return mean_profile(kept, decade_column, measures, count_name=count_name).orderBy(_quoted(decade_column))
 
 
 def counts(df: DataFrame, keys: str | Sequence[str], count_name: str = "count", order: bool = True) -> DataFrame:
@@ -92,12 +96,12 @@ def counts(df: DataFrame, keys: str | Sequence[str], count_name: str = "count",
     other keys -- with one key, by count descending, then the key.
     """
     ks = _cols(keys)
-    out = df.groupBy(*ks).agg(F.count(F.lit(1)).alias(count_name))
+    out = df.groupBy(*_all(ks)).agg(F.count(F.lit(1)).alias(count_name))
     if not order:
         return out
     if len(ks) == 1:
-        return out.orderBy(F.desc(count_name), F.asc(ks[0]))
-    return out.orderBy(F.asc(ks[0]), F.desc(count_name), *[F.asc(k) for k in ks[1:]])
+        return out.orderBy(_quoted(count_name).desc(), _quoted(ks[0]).asc())
+    return out.orderBy(_quoted(ks[0]).asc(), _quoted(count_name).desc(), *[k.asc() for k in _all(ks[1:])])
 
 
 def share_of_group(df: DataFrame, outer: str, inner: str, count_name: str = "count",
@@ -111,13 +115,13 @@ def share_of_group(df: DataFrame, outer: str, inner: str, count_name: str = "cou
     adaptive execution broadcasts it when its measured size is small.
     """
     pair_counts = (df.where(_quoted(outer).isNotNull())
-                     .groupBy(outer, inner).agg(F.count(F.lit(1)).alias(count_name)))
-    totals = pair_counts.groupBy(outer).agg(F.sum(count_name).alias("_group_rows"))
+                     .groupBy(*_all([outer, inner])).agg(F.count(F.lit(1)).alias(count_name)))
+    totals = pair_counts.groupBy(_quoted(outer)).agg(F.sum(_quoted(count_name)).alias("_group_rows"))
     out = (pair_counts.join(totals, outer)
-           .select(outer, inner, count_name,
-                   percentage(F.col(count_name), F.col("_group_rows"), digits).alias(pct_name)))
+           .select(*_all([outer, inner, count_name]),
+                   percentage(_quoted(count_name), F.col("_group_rows"), digits).alias(pct_name)))
     if order:
-        out = out.orderBy(F.asc(outer), F.desc(pct_name), F.asc(inner))
+        out = out.orderBy(_quoted(outer).asc(), _quoted(pct_name).desc(), _quoted(inner).asc())
     return out
 
 
@@ -131,7 +135,7 @@ def correlations(df: DataFrame, pairs: Mapping[str, tuple[str, str]], by: str |
     aggs = [safe_corr(_quoted(x), _quoted(y)).alias(name) for name, (x, y) in pairs.items()]
     if by is None:
         return df.agg(*aggs)
-    return df.groupBy(*_cols(by)).agg(*aggs)
+    return df.groupBy(*_all(_cols(by))).agg(*aggs)
 
 
 def pivot_counts(df: DataFrame, row_key: str, pivot_column: str, values: Sequence | None = None,
@@ -139,15 +143,17 @@ def pivot_counts(df: DataFrame, row_key: str, pivot_column: str, values: Sequenc
     """Counts per ``row_key`` with one column per value of ``pivot_column``.
 
     With ``values`` given this is one conditional aggregation (no extra pass
-    to find the values); missing combinations count 0. Without it Spark's
-    pivot first collects the distinct values (an extra job).
+    to find the values). Without it Spark's pivot first collects the distinct
+    values (an extra job). Missing combinations count 0 in both forms.
     """
     if values is None:
-        return df.groupBy(row_key).pivot(pivot_column).agg(F.count(F.lit(1)))
+        wide = df.groupBy(_quoted(row_key)).pivot(pivot_column).agg(F.count(F.lit(1)))
+        return wide.select(_quoted(row_key), *[F.coalesce(_quoted(c), F.lit(0)).alias(c)
+                                               for c in wide.columns if c != row_key])
     labels = list(names) if names is not None else [str(v) for v in values]
     p = _quoted(pivot_column)
     aggs = [F.count(F.when(p == F.lit(v), F.lit(1))).alias(n) for v, n in zip(values, labels)]
-    return df.groupBy(row_key).agg(*aggs)
+    return df.groupBy(_quoted(row_key)).agg(*aggs)
 
 
 def grouped_summary(df: DataFrame, sets: Sequence[Sequence[str]],

@@ -35,11 +35,12 @@ UNIT_SUFFIX = r"(?i)\s*db$"
 
 
 def song_types() -> dict[str, str]:
-    """Types of the song columns the studies use; everything else stays text."""
-    types = {m: "double" for m in presets.SONG_MEASURES}
-    types["Popularity"] = "int"
-    types.update({flag: "int" for flag in presets.USE_CASE_FLAGS})
-    return types
+    """Types of the song columns the studies use; everything else stays text.
+
+    All are double: a score such as ``45.5`` or a flag written ``1.0`` is a
+    value like any other and must not become null.
+    """
+    return {c: "double" for c in (*presets.SONG_MEASURES, "Popularity", *presets.USE_CASE_FLAGS)}
 
 
 def read_songs(spark, path, partitions: int | str | None = "auto") -> DataFrame:
@@ -104,7 +105,8 @@ def score_buckets(raw: DataFrame, score: str = "Popularity", measure: str = "Dan
       ``corr_<other>_<measure>``, computed in one pass.
     * ``coarse`` / ``fine``: average of ``measure`` per bucket, in label order.
     """
-    cols = [c for c in (*carry, score, measure, other) if c in raw.columns]
+    present = {c.lower() for c in raw.columns}
+    cols = [*(c for c in carry if c.lower() in present), score, measure, other]
     rows = clean.project_complete(raw, [F.col(f"`{c}`") for c in cols])
     coarse_rows = derive.with_bucket(rows, score, coarse[0], coarse[1], bucket_column)
     fine_rows = derive.with_bucket(rows, score, fine[0], fine[1], bucket_column)
@@ -163,6 +165,9 @@ def flag_profile(table: DataFrame, flag: str = "good_for_study",
     * ``totals_<c>``: rows per c over both flag values, count descending.
     * ``share_<c>``: rows and % of the flag group per (flag, c).
 
+    Rows without a flag are left out of every result. A column may be both in
+    ``share_of`` and ``count_of``.
+
     With ``one_pass`` (default) every result comes from one grouping-sets
     aggregation over ``table`` -- a single scan however many results --
     written once to the shared checkpoint folder (one job runs here); its
@@ -170,6 +175,9 @@ def flag_profile(table: DataFrame, flag: str = "good_for_study",
     lazy aggregation over ``table``.
     """
     ms = measures if measures is not None else presets.SONG_MEASURES_BY_ALIAS
+    table = table.where(F.col(f"`{flag}`").isNotNull())
+    shared = {c.lower() for c in share_of}
+    count_of = [c for c in count_of if c.lower() not in shared]
     if not one_pass or not (share_of or count_of):  # a single result: nothing to share
         out = {"profile": profile.mean_profile(table, flag, ms, order=True)}
         for c in share_of:
@@ -182,7 +190,7 @@ def flag_profile(table: DataFrame, flag: str = "good_for_study",
         return out
 
     sets = [[flag], *[[flag, c] for c in (*share_of, *count_of)], *[[c] for c in share_of]]
-    summary, ids = profile.grouped_summary(table.where(F.col(f"`{flag}`").isNotNull()), sets, ms)
+    summary, ids = profile.grouped_summary(table, sets, ms)
     summary, _ = materialise(summary, "flag-summary")
 
     def of(grouping: Sequence[str]) -> DataFrame:

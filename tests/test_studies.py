@@ -194,3 +194,52 @@ def test_tag_comparison_prunes_folders_without_any_segment_flag(spark, songs):
     assert "good_for_study" in part and "good_for_party" in part and "OR" in part
     want = {r.tagged_as: r.n for r in studies.tag_comparison(table, count_name="n").collect()}
     assert {r.tagged_as: r.n for r in out.collect()} == want
+
+
+def test_typing_keeps_decimals_and_float_flags(spark, scratch):
+    """Text such as "45.5", "85.0" and "1.0" is a value, not junk."""
+    from facetspark.functions import presets
+    from facetspark.plans import studies
+    from facetspark.sinks import write_csv
+
+    measures = [m for m in presets.SONG_MEASURES if m != "Popularity"]
+    names = [*measures, "Popularity", *presets.USE_CASE_FLAGS, "Artist(s)", "song"]
+    rows = [[*["5"] * len(measures), score, *[flag] * len(presets.USE_CASE_FLAGS), "a", "s"]
+            for score, flag in (("85", "1"), ("85.0", "1.0"), ("45.5", "0"), ("20", "0.0"), ("junk", "1"))]
+    path = f"{scratch}/songs"
+    write_csv(spark.createDataFrame(rows, ", ".join(f"`{n}` string" for n in names)), path)
+    songs = studies.read_songs(spark, path)
+    assert studies.score_buckets(songs)["coarse_rows"].count() == 4
+    flags = studies.tag_table(songs).groupBy("good_for_study").count().collect()
+    assert {r.good_for_study: r["count"] for r in flags} == {1: 2, 0: 2}
+
+
+def test_flag_profile_leaves_out_null_flags_either_way(spark):
+    from facetspark.plans import studies
+
+    t = spark.createDataFrame([(1, "a", 1.0), (0, "a", 2.0), (None, "a", 9.0), (1, "b", 3.0)], "f int, c string, m double")
+    for one_pass in (True, False):
+        got = studies.flag_profile(t, "f", {"avg_m": "m"}, share_of=("c",), count_of=("C",), one_pass=one_pass)
+        assert [(r.f, r.avg_m) for r in got["profile"].collect()] == [(0, 2.0), (1, 2.0)]
+        assert {r.c: r["count"] for r in got["totals_c"].collect()} == {"a": 2, "b": 1}
+        assert got["share_c"].count() == got["counts_c"].count() == 3
+
+
+def test_carry_columns_resolve_in_any_case(spark):
+    from facetspark.plans import studies
+
+    t = spark.createDataFrame([("a", None, 5, 1.0, 2.0), ("b", "s", 6, 2.0, 3.0)],
+                              "`artist(s)` string, SONG string, popularity int, danceability double, TEMPO double")
+    assert studies.score_buckets(t)["coarse_rows"].count() == 1
+
+
+def test_profiles_of_dotted_names_and_zero_cells(spark):
+    from facetspark.operators import profile
+
+    t = spark.createDataFrame([("x", "p", 1.0), ("y", "q", 3.0)], "`a.b` string, `c.d` string, `m.n` double")
+    assert profile.counts(t, ["a.b", "c.d"]).count() == 2
+    assert profile.mean_profile(t, "a.b", {"avg": "m.n"}, order=True).count() == 2
+    assert profile.share_of_group(t, "a.b", "c.d").count() == 2
+    plain = t.toDF("k", "v", "m")
+    loose = sorted(tuple(r) for r in profile.pivot_counts(plain, "k", "v").collect())
+    assert loose == sorted(tuple(r) for r in profile.pivot_counts(plain, "k", "v", ["p", "q"]).collect())

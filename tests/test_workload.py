@@ -1,20 +1,12 @@
-"""Our song jobs against the original programs' execution shape, on the same
-export derived from lineitem: every result file must hold the same values.
-
-The forms differ -- one-pass masked segment profile vs four filtered
-aggregations and a union, shares from summed pair counts vs a join to group
-totals, distributed dense index vs a global window -- so agreement checks
-the one-pass forms on a realistic export. Loudness is the one deliberate
-difference: values with a unit suffix are text to the original (null in the
-average), while ours strips the suffix and counts them.
-"""
+"""The song jobs against the same studies with nothing shared: every result
+file must hold the same rows."""
 
 import os
 import sys
 
 import pytest
 
-from facetspark.sources import read_csv, read_parquet
+from facetspark.sources import read_csv
 
 from .conftest import SF001
 
@@ -30,16 +22,16 @@ def both(spark):
     csv_path = sw.export_csv(spark, SF001)
     ours, shape = scratch_dir(spark, "ours"), scratch_dir(spark, "shape")
     sw.run_ours(spark, csv_path, ours)
-    sw.run_program_shape(spark, csv_path, shape)
+    sw.run_unshared(spark, csv_path, shape)
     return csv_path, ours, shape
 
 
 @pytest.mark.parametrize("ours_rel,shape_rel,kind", sw.PAIRS)
-def test_same_results_as_program_shape(spark, both, ours_rel, shape_rel, kind):
+def test_same_results_as_unshared(spark, both, ours_rel, shape_rel, kind):
     _, ours, shape = both
     a, b = sw.read_result(spark, ours, ours_rel, kind), sw.read_result(spark, shape, shape_rel, kind)
     lower_b = {c.lower(): c for c in b.columns}
-    common = [c for c in a.columns if c.lower() in lower_b and c != "avg_loudness"]
+    common = [c for c in a.columns if c.lower() in lower_b]
     assert len(common) >= 2, (a.columns, b.columns)
     assert a.count() == b.count() > 0
     other = b.select(*[lower_b[c.lower()] for c in common]).toDF(*common)
@@ -51,18 +43,6 @@ def test_same_results_helper_agrees(spark, both):
     assert all(sw.same_results(spark, ours, shape).values())
 
 
-def test_loudness_suffix_is_the_only_difference(spark, both):
-    """Rows whose loudness carries a unit suffix are averaged by ours only."""
-    _, ours, shape = both
-    a = read_parquet(spark, f"{ours}/results/good_for_study_profile.parquet")
-    b = read_parquet(spark, f"{shape}/results/study.parquet")
-    la = {r.good_for_study: r.avg_loudness for r in a.collect()}
-    lb = {r.good_for_study: r.avg_loudness for r in b.collect()}
-    assert la.keys() == lb.keys()
-    assert all(x is not None for x in [*la.values(), *lb.values()])
-    assert any(abs(la[k] - lb[k]) > 1e-9 for k in la)
-
-
 def test_export_has_the_awkward_cases(spark, both):
     csv_path, _, _ = both
     raw = read_csv(spark, csv_path)

@@ -8,12 +8,8 @@ suffix on some loudness values. Written once as CSV, it feeds:
 
 * ``run_ours``: ``facetspark.plans.jobs.run_all`` -- the CSV converted once to
   typed Parquet, each study reading only its columns, one pass per question.
-* ``run_program_shape``: the same questions in the execution shape of the
-  original programs -- each program re-scans the CSV with schema inference,
-  every printed or saved result is its own action, segments are four filtered
-  aggregations plus a count each and a union, the category index is a global
-  window over the distinct keys, and the row-level index file is written by
-  one task. Built from this library's operators where they coincide.
+* ``run_unshared``: the same result files from the same studies with nothing
+  shared: every result parses the CSV again and is its own action.
 
 Usage: python tools/song_workload.py [sf_dir] [--check]   (prints one JSON line;
 --check compares the result files of both instead of timing them)
@@ -32,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from facetspark.functions import presets  # noqa: E402
-from facetspark.operators import profile, segments  # noqa: E402
-from facetspark.operators.derive import with_bucket  # noqa: E402
+from facetspark.operators import keys, segments  # noqa: E402
+from facetspark.plans import studies  # noqa: E402
 from facetspark.sinks import write_csv, write_parquet  # noqa: E402
 from facetspark.sources import read_csv, read_table  # noqa: E402
 
@@ -81,142 +77,61 @@ def _p(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    """One program's input: the CSV re-read with schema inference (an extra pass)."""
-    return read_csv(spark, path, infer_schema=True)
-
-
 def run_ours(spark: SparkSession, csv_path: str, out_root: str) -> None:
     from facetspark.plans.jobs import run_all
 
     run_all(spark, csv_path, out_root)
 
 
-def run_program_shape(spark: SparkSession, csv_path: str, out_root: str) -> None:
-    """Runs with ANSI mode off, the default of the engine version the original
-    programs were built for: text such as "-4.00 dB" then averages as null
-    instead of failing the job."""
-    before = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", "false")
-    try:
-        _program_shape(spark, csv_path, out_root)
-    finally:
-        spark.conf.set("spark.sql.ansi.enabled", before)
-
-
-def _program_shape(spark: SparkSession, csv_path: str, out_root: str) -> None:
-    shown = lambda df, n=20: df.limit(n).collect()  # noqa: E731 -- a printed result is an action
-    processed, results = _p(out_root, "processed"), _p(out_root, "results")
-
-    # tempo by emotion: cleaned table written and read back, stats, index file
-    rows = _scan(spark, csv_path).select("emotion", "Tempo").na.drop()
-    write_parquet(rows, _p(processed, "cleaned.parquet"))
-    rows = spark.read.parquet(_p(processed, "cleaned.parquet"))
-    stats = profile.group_stats(rows, "emotion", "Tempo", min_count=20, label="tempo", count_name="song_count")
-    shown(stats, 50)
-    write_parquet(stats, _p(processed, "tempo_by_emotion.parquet"))
-    kept = rows.join(rows.groupBy("emotion").count().where("count >= 20").select("emotion"), "emotion")
-    index = kept.select("emotion").distinct().withColumn(
-        "emotion_index", F.row_number().over(Window.orderBy("emotion")) - 1)
-    write_csv(kept.join(index, "emotion").select(F.col("emotion_index").cast("int"), F.col("Tempo").cast("double")),
-              _p(processed, "index_csv"), single_file=True)
-
-    # popularity: two bucketed tables, two correlation actions, two SQL averages
-    pop = _scan(spark, csv_path).select("Artist(s)", "song", "Popularity", "Danceability", "Tempo").na.drop()
-    shown(pop, 10)
-    for name, (bounds, labels) in {"pop4": (presets.POPULARITY_BOUNDS_4, presets.POPULARITY_LABELS_4),
-                                   "pop10": (presets.POPULARITY_BOUNDS_10, presets.POPULARITY_LABELS_10)}.items():
-        write_parquet(with_bucket(pop, "Popularity", bounds, labels, "popularity_bucket"),
-                      _p(processed, f"{name}.parquet"), partition_by=["popularity_bucket"])
-    for name in ("pop4", "pop10"):
-        t = spark.read.parquet(_p(processed, f"{name}.parquet"))
-        t.stat.corr("Popularity", "Danceability")
-        t.stat.corr("Tempo", "Danceability")
-        avg = spark.sql("SELECT popularity_bucket, AVG(Danceability) AS avg_danceability FROM {t} "
-                        "GROUP BY popularity_bucket ORDER BY popularity_bucket", t=t)
-        shown(avg)
-        write_csv(avg, _p(results, f"{name}_csv"))
-        shown(avg)
-
-    # decades: every column written partitioned by decade, profile of four
-    raw = _scan(spark, csv_path).withColumnRenamed("Release Date", "ReleaseDate")
-    dec = raw.withColumn("decade", F.expr("floor(year(ReleaseDate) / 10) * 10"))
-    write_parquet(dec, _p(processed, "decades.parquet"), partition_by=["decade"])
-    back = spark.read.parquet(_p(processed, "decades.parquet")).where(F.col("decade").isNotNull())
-    prof = profile.mean_profile(back, "decade", {"avg_positiveness": "Positiveness",
-                                                 "avg_tempo": F.col("Tempo") * 100, "avg_energy": "Energy"},
-                                count_name="n_songs", order=True)
-    shown(prof)
-    write_parquet(prof, _p(results, "decade.parquet"))
-    write_csv(prof, _p(results, "decade_csv"))
-
-    # good for study: flag table and tag table, then every result its own action
-    src = _scan(spark, csv_path)
-    measures = list(presets.SONG_MEASURES)
-    study = src.select("Good for Work/Study", *measures, "Time signature", "emotion", "Key").na.drop()
-    shown(study, 5)
-    study = study.withColumn("good_for_study", F.when(F.col("Good for Work/Study") == 1, 1).otherwise(0)) \
-                 .withColumn("emotion", F.lower("emotion"))
-    write_parquet(study, _p(processed, "study.parquet"), partition_by=["good_for_study"])
-    tags = src.select(*presets.USE_CASE_FLAGS, *measures).na.drop()
-    for source, flag in presets.USE_CASE_FLAGS.items():
-        tags = tags.withColumn(flag, F.when(F.col(f"`{source}`") == 1, 1).otherwise(0))
-    tags = tags.drop(*presets.USE_CASE_FLAGS)
-    shown(tags, 5)
-    write_parquet(tags, _p(processed, "tags.parquet"), partition_by=["good_for_study", "good_for_party"])
-
-    t = spark.read.parquet(_p(processed, "study.parquet"))
-    prof = profile.mean_profile(t, "good_for_study", presets.SONG_MEASURES_BY_ALIAS)
-    shown(prof)
-    ts = t.groupBy("good_for_study", "Time signature").count()
-    shown(ts.orderBy("good_for_study", F.desc("count")))
-    shown(t.groupBy("Time signature").count().orderBy(F.desc("count")))
-    totals = t.groupBy("good_for_study").count().withColumnRenamed("count", "total")
-
-    def pct(c: str) -> DataFrame:
-        return (t.groupBy("good_for_study", c).count().join(totals, "good_for_study")
-                 .withColumn("percentage", F.round(F.col("count").cast("double") / F.col("total") * 100, 2)))
-
-    shown(pct("Time signature"))
-    emo = t.groupBy("good_for_study", "emotion").count().orderBy("good_for_study", F.desc("count"))
-    shown(emo)
-    shown(pct("key"))
-    write_csv(prof, _p(results, "study_csv"))
-    write_parquet(prof, _p(results, "study.parquet"))
-    write_csv(pct("Time signature"), _p(results, "ts_csv"))
-    write_csv(emo, _p(results, "emotion_csv"))
-    write_csv(pct("key"), _p(results, "keys_csv"))
-
-    tg = spark.read.parquet(_p(processed, "tags.parquet"))
-    parts = []
-    for name, flags in presets.TAG_SEGMENTS.items():
-        seg = tg.where(segments.all_of(*flags)).withColumn("tagged_as", F.lit(name)).drop(*flags)
-        seg.count()
-        shown(seg, 5)
-        res = profile.mean_profile(seg, "tagged_as", presets.SONG_MEASURES_BY_ALIAS)
-        shown(res)
-        parts.append(res)
-    comparison = segments.union_profiles(parts)
-    shown(comparison, 5)
-    write_csv(comparison, _p(results, "tags_csv"), single_file=True)
-
-
-# Result files of ours and of the original shape that must hold the same rows:
-# (ours, original shape, format).
-PAIRS = [
-    ("processed/tempo_by_emotion.parquet", "processed/tempo_by_emotion.parquet", "parquet"),
-    ("processed/emotion_index_csv", "processed/index_csv", "csv"),
-    ("results/danceability_by_popularity4_csv", "results/pop4_csv", "csv"),
-    ("results/danceability_by_popularity10_csv", "results/pop10_csv", "csv"),
-    ("results/decade_profile.parquet", "results/decade.parquet", "parquet"),
-    ("results/good_for_study_profile.parquet", "results/study.parquet", "parquet"),
-    ("results/good_for_study_time_signature_csv", "results/ts_csv", "csv"),
-    ("results/good_for_study_keys_csv", "results/keys_csv", "csv"),
-    ("results/good_for_study_emotion_csv", "results/emotion_csv", "csv"),
-    ("results/tag_comparison_csv", "results/tags_csv", "csv"),
+RESULTS = [
+    "processed/tempo_by_emotion.parquet", "processed/emotion_index_csv",
+    "results/danceability_by_popularity4_csv", "results/danceability_by_popularity10_csv",
+    "results/decade_profile.parquet", "results/good_for_study_profile.parquet",
+    "results/good_for_study_time_signature_csv", "results/good_for_study_keys_csv",
+    "results/good_for_study_emotion_csv", "results/tag_comparison_csv",
 ]
 
 
+def run_unshared(spark: SparkSession, csv_path: str, out_root: str) -> None:
+    """The same result files with nothing shared: every result parses the CSV
+    again and aggregates on its own, segments are filtered and profiled one
+    by one and then put together, and one task numbers the categories."""
+    def songs() -> DataFrame:
+        return studies.read_songs(spark, csv_path)
+
+    def table() -> DataFrame:
+        return studies.flag_table(songs())
+
+    def index() -> DataFrame:
+        rows = studies.category_measure(songs())["cleaned"]
+        supported = keys.supported_keys(rows, presets.EMOTION, presets.MIN_SONGS_PER_EMOTION).select(presets.EMOTION)
+        numbered = supported.withColumn("emotion_index", F.row_number().over(Window.orderBy(presets.EMOTION)) - 1)
+        return rows.join(numbered, presets.EMOTION).select("emotion_index", "Tempo")
+
+    def tags() -> DataFrame:
+        return segments.union_profiles([
+            segments.segment_profile(studies.tag_table(songs()), {name: segments.all_of(*flags)},
+                                     presets.SONG_MEASURES_BY_ALIAS, label="tagged_as")
+            for name, flags in presets.TAG_SEGMENTS.items()])
+
+    def alone(name: str):
+        return lambda: studies.flag_profile(table(), one_pass=False)[name]
+
+    makers = [
+        lambda: studies.category_measure(songs())["stats"], index,
+        lambda: studies.score_buckets(songs())["coarse"], lambda: studies.score_buckets(songs())["fine"],
+        lambda: studies.decade_trends(songs())["profile"], alone("profile"), alone("share_time_signature"),
+        alone("share_key"), alone("counts_emotion"), tags,
+    ]
+    for rel, make in zip(RESULTS, makers):
+        write = write_parquet if rel.endswith(".parquet") else write_csv
+        write(make(), _p(out_root, rel))
+
+
+# (ours, unshared, format) of the result files that must hold the same rows
+PAIRS = [(rel, rel, "parquet" if rel.endswith(".parquet") else "csv") for rel in RESULTS]
+
+
 def read_result(spark: SparkSession, root: str, rel: str, kind: str) -> DataFrame:
     path = f"{root}/{rel}"
     return spark.read.parquet(path) if kind == "parquet" else read_csv(spark, path, infer_schema=True)
@@ -230,13 +145,12 @@ def result_rows(df: DataFrame, cols: list[str]) -> list[tuple]:
 
 
 def same_results(spark: SparkSession, ours: str, shape: str) -> dict[str, bool]:
-    """For each pair: equal rows over the shared columns. Loudness is left out:
-    values with a unit suffix are text to the original (null in its average)."""
+    """For each pair: equal rows over the shared columns."""
     out = {}
     for ours_rel, shape_rel, kind in PAIRS:
         a, b = read_result(spark, ours, ours_rel, kind), read_result(spark, shape, shape_rel, kind)
         lower_b = {c.lower(): c for c in b.columns}
-        common = [c for c in a.columns if c.lower() in lower_b and c != "avg_loudness"]
+        common = [c for c in a.columns if c.lower() in lower_b]
         other = b.select(*[lower_b[c.lower()] for c in common]).toDF(*common)
         out[ours_rel] = len(common) >= 2 and result_rows(a, common) == result_rows(other, common)
     return out
@@ -252,7 +166,7 @@ def export_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def compare(spark: SparkSession, sf_dir: str, warm_dir: str | None = None, repeat: int = 1) -> dict:
-    """Seconds for ours and for the program shape on the export of ``sf_dir``
+    """Seconds for ours and for the unshared form on the export of ``sf_dir``
     (export not timed; best of ``repeat`` runs each, alternating).
     ``warm_dir``: run both once on its export first."""
     from facetspark.session import scratch_dir
@@ -260,11 +174,11 @@ def compare(spark: SparkSession, sf_dir: str, warm_dir: str | None = None, repea
     if warm_dir and os.path.isdir(warm_dir):
         small = export_csv(spark, warm_dir)
         run_ours(spark, small, scratch_dir(spark, "warm-ours"))
-        run_program_shape(spark, small, scratch_dir(spark, "warm-shape"))
+        run_unshared(spark, small, scratch_dir(spark, "warm-unshared"))
     csv_path = export_csv(spark, sf_dir)
     out: dict[str, float] = {}
     for _ in range(repeat):
-        for name, fn in (("song_pipeline", run_ours), ("program_shape", run_program_shape)):
+        for name, fn in (("song_pipeline", run_ours), ("unshared", run_unshared)):
             t0 = time.perf_counter()
             fn(spark, csv_path, scratch_dir(spark, name))
             dt = round(time.perf_counter() - t0, 3)
@@ -284,7 +198,7 @@ def main() -> None:
         csv_path = export_csv(spark, sf_dir)
         ours, shape = scratch_dir(spark, "ours"), scratch_dir(spark, "shape")
         run_ours(spark, csv_path, ours)
-        run_program_shape(spark, csv_path, shape)
+        run_unshared(spark, csv_path, shape)
         res = same_results(spark, ours, shape)
         print(json.dumps({"sf_dir": sf_dir, "same": all(res.values()), "pairs": res}))
         spark.stop()
