@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from facetspark.plans.catalogue import QUERIES
 
 from .conftest import SF001
 
@@ -10,7 +11,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "
                 "PythonUDF", "FlatMapCoGroupsInPandas", "AggregateInPandas", "WindowInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_plan(spark, name):
     df = entry_module.queries()[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
