@@ -4,11 +4,17 @@ A segment is a named boolean condition ("study", "study and relax and
 yoga", ...). One row may belong to several segments, so the segments are
 not a grouping of the table. ``segment_profile`` answers all of them in a
 single pass: rows in no segment are filtered out (folders pruned when the
-table is partitioned by the segment flags), then one global aggregation
-whose inputs are masked per segment (``avg(when(in_segment, measure))``),
-then the one wide row is unfolded into one row per segment. Each task
-contributes a single partial row, so the final merge handles as many rows
-as there are tasks, whatever the data size or skew.
+table is partitioned by the segment flags), then
+
+* few accumulators (segments x measures): one global aggregation whose
+  inputs are masked per segment (``avg(when(in_segment, measure))``), whose
+  one wide row is unfolded into one row per segment;
+* more: each row's segments become the bits of a number, sums and counts are
+  taken per distinct number, and only those few rows are unfolded into their
+  segments and added up. The row-level aggregation has one sum and count a
+  measure however many segments there are, so it stays in generated code.
+
+In both, a task contributes a few partial rows whatever the data size or skew.
 """
 
 from __future__ import annotations
@@ -19,9 +25,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from facetspark.operators.profile import measure_columns, mean_profile
 
+# Accumulators (segments x (measures + 1)) up to which one masked aggregation
+# is still compiled with room to spare; and the bits used of a long.
+WIDE_MAX = 24
+MASK_BITS = 62
+
 
 def all_of(*flags: str, value: object = 1) -> Column:
     """Condition: every flag column equals ``value``."""
@@ -39,7 +51,9 @@ def segment_profile(df: DataFrame, segments: Mapping[str, Column],
 
     A row is in a segment where the condition is true (null counts as
     false). Empty segments are left out unless ``keep_empty``; then their
-    averages are null and their count 0.
+    averages are null and their count 0. Averages that are not double
+    (decimal or interval measures) always take the masked form, which keeps
+    Spark's own rounding of them.
     """
     ms = measure_columns(measures)
     # A row in no segment adds nothing to any average or count, so keep only
@@ -49,6 +63,19 @@ def segment_profile(df: DataFrame, segments: Mapping[str, Column],
     conds = list(segments.values())
     if conds:
         df = df.where(reduce(operator.or_, conds))
+    wide = len(conds) * (len(ms) + 1) <= WIDE_MAX or any(
+        not isinstance(f.dataType, DoubleType) for f in df.select(*[F.avg(c) for c in ms.values()]).schema)
+    out = (_masked if wide else _by_mask)(df, segments, ms, label)
+    if not keep_empty:
+        out = out.where(F.col("_n") > 0)
+    out_cols = [F.col(f"`{label}`"), *[F.col(f"`{a}`") for a in ms]]
+    if count_name:
+        out_cols.append(F.col("_n").alias(count_name))
+    return out.select(*out_cols)
+
+
+def _masked(df: DataFrame, segments: Mapping[str, Column], ms: Mapping[str, Column], label: str) -> DataFrame:
+    """Every segment (label, averages, _n) from one aggregation of masked measures."""
     aggs = []
     for i, cond in enumerate(segments.values()):
         inside = F.coalesce(cond, F.lit(False))
@@ -63,13 +90,32 @@ def segment_profile(df: DataFrame, segments: Mapping[str, Column],
         )
         for i, name in enumerate(segments)
     ]
-    long = wide.select(F.inline(F.array(*per_segment)))
-    if not keep_empty:
-        long = long.where(F.col("_n") > 0)
-    out_cols = [F.col(label), *[F.col(f"`{a}`") for a in ms]]
-    if count_name:
-        out_cols.append(F.col("_n").alias(count_name))
-    return long.select(*out_cols)
+    return wide.select(F.inline(F.array(*per_segment)))
+
+
+def _by_mask(df: DataFrame, segments: Mapping[str, Column], ms: Mapping[str, Column], label: str) -> DataFrame:
+    """The same rows from sums and counts per set of segments, in segment order."""
+    names = list(segments)
+    bits = [F.when(cond, F.lit(1 << i % MASK_BITS)).otherwise(F.lit(0)).cast("long")
+            for i, cond in enumerate(segments.values())]
+    masks = {f"_k{w}": reduce(Column.bitwiseOR, bits[w:w + MASK_BITS]) for w in range(0, len(bits), MASK_BITS)}
+    sums, counts = [f"_s{j}" for j in range(len(ms))], [f"_c{j}" for j in range(len(ms))]
+    rows = df.select(*[m.alias(k) for k, m in masks.items()],
+                     *[c.cast("double").alias(s) for s, c in zip(sums, ms.values())])
+    per_set = rows.groupBy(*masks).agg(F.count(F.lit(1)).alias("_n"), *[F.sum(s).alias(s) for s in sums],
+                                       *[F.count(s).alias(c) for s, c in zip(sums, counts)])
+    member = F.array(*[
+        F.when(F.col(f"_k{i - i % MASK_BITS}").bitwiseAND(F.lit(1 << i % MASK_BITS).cast("long")) != 0, F.lit(i))
+        for i in range(len(names))])
+    parts = per_set.select(F.explode(F.array_compact(member)).alias("_seg"), "_n", *sums, *counts)
+    # a segment without rows still has a row: size 0, no average
+    none = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(i) for i in range(len(names))])).alias("_seg"), F.lit(0).cast("long").alias("_n"),
+        *[F.lit(None).cast("double").alias(s) for s in sums], *[F.lit(0).cast("long").alias(c) for c in counts])
+    total = parts.unionByName(none).groupBy("_seg").agg(*[F.sum(c).alias(c) for c in ("_n", *sums, *counts)])
+    return total.orderBy("_seg").select(
+        F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_seg") + 1).alias(label),
+        *[F.when(F.col(c) > 0, F.col(s) / F.col(c)).alias(a) for a, s, c in zip(ms, sums, counts)], "_n")
 
 
 def labelled_profile(df: DataFrame, condition: Column, name: str,
