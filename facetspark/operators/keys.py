@@ -13,9 +13,10 @@ Scale notes
   (range-partitioned) sort, every row records its partition number and its
   position inside the partition; that table is written to the shared folder,
   so a lost executor cannot make a re-run see different partitions. Ids are
-  the position plus the number of rows in all earlier partitions; the counts
-  read a single int column, and the offsets table has one row per partition
-  (bounded by the partition count, not the data) and is broadcast.
+  the position plus the number of rows in all earlier partitions (for a file
+  scan: in all earlier files and file blocks); the counts read only these
+  columns, and the offsets table has one row per partition or file block
+  (bounded by their count, not the rows) and is broadcast.
 * ``dense_index`` numbers the distinct keys with ``row_id`` (never a global
   window over rows) and joins the index back, broadcast only under the same
   measured bound.
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
@@ -38,6 +40,8 @@ BROADCAST_MAX_BYTES = 256 << 20
 
 _PID = "_fs_partition"
 _POS = "_fs_position"
+_FILE = "_fs_file"
+_BLOCK = "_fs_block"
 
 
 def _q(name: str) -> Column:
@@ -119,7 +123,10 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
 
     With ``order_by`` ids follow that order (ties in any order; see
     ``sorted_for_ids`` for how hot keys and copies are spread). Without it
-    they follow the current row order, which for a file scan is file order.
+    they follow the current row order, and for a file scan the order of the
+    files' paths, then the rows' order in the file, however Spark packs files
+    into tasks. A frame whose rows have left their files' order (a shuffle)
+    is numbered by partition and position.
 
     The numbered rows are written once to the shared checkpoint folder
     before the per-partition offsets are computed, so both read the same
@@ -149,10 +156,11 @@ def _row_id(df: DataFrame, order_by: Sequence[str | Column] | None, id_col: str,
     cols = [_q(c) for c in df.columns]
     base = sorted_for_ids(df, order_by) if order_by else df
     pid = F.spark_partition_id()
+    source = [] if order_by else _file_columns(base)
     # monotonically_increasing_id = partition index << 33 | position in partition
     numbered = base.select(pid.alias(_PID),
                            (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_POS),
-                           *cols)
+                           *source, *cols)
     if spread == "auto":
         # Sorted rows are already spread over the sort's range partitions, and
         # counting the partitions of a sorted frame would run its shuffle first.
@@ -162,14 +170,35 @@ def _row_id(df: DataFrame, order_by: Sequence[str | Column] | None, id_col: str,
     size = None
     if materialise or order_by or spread or measure:
         numbered, size = _store(numbered, "row-id", measure=measure)
-    sizes = numbered.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition: bounded by the partition count, safe to broadcast.
-    offsets = sizes.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    run = [_PID, _FILE, _BLOCK] if source else [_PID]
+    sizes = numbered.groupBy(*run).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"),
+                                       F.max(_POS).alias("_last"))
+    earlier = Window.orderBy(_PID).rangeBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    if source:
+        # Rows of one file block that follow each other in one task are numbered
+        # by file; the check of that is a part of the same small table.
+        by_file = Window.orderBy(_FILE, _BLOCK, _PID).rowsBetween(Window.unboundedPreceding, -1)
+        in_order = F.min(F.col("_last") - F.col("_first") + 1 == F.col("_n")).over(Window.partitionBy())
+        offset = F.when(in_order, F.coalesce(F.sum("_n").over(by_file), F.lit(0)) - F.col("_first")).otherwise(offset)
+    # One row per partition or file block: bounded by their number, safe to broadcast.
+    offsets = sizes.select(*run, offset.alias("_offset"))
     ident = (F.col("_offset") + F.col(_POS) + F.lit(start)).cast("long")
     # every term is present for every row; coalesce only declares it non-null
     ident = F.coalesce(ident, F.lit(start).cast("long")).alias(id_col)
-    return numbered.join(F.broadcast(offsets), _PID).select(ident, *cols), size
+    return numbered.join(F.broadcast(offsets), run).select(ident, *cols), size
+
+
+def _file_columns(df: DataFrame) -> list[Column]:
+    """File path and block start of every row of a file scan; [] for other frames."""
+    try:
+        meta = df.metadataColumn("_metadata")
+        found = [F.coalesce(meta.getField("file_path"), F.lit("")).alias(_FILE),
+                 F.coalesce(meta.getField("file_block_start"), F.lit(0)).alias(_BLOCK)]
+        df.select(*found).schema
+    except AnalysisException:
+        return []
+    return found
 
 
 def _index(df: DataFrame, key: str, index_col: str, start: int) -> tuple[DataFrame, tuple[int, int]]:
