@@ -7,6 +7,9 @@ natural order, and every preset-based operator reads them from here.
 
 from __future__ import annotations
 
+# The measure that some exports write with a unit.
+LOUDNESS = "Loudness (db)"
+
 # FIXED VALUES: popularity buckets, 4 labels. A score below the bound gets
 # the label; anything at or above the last bound gets the final label.
 # The last label is "75-100" although it holds 76 and up (kept as is).
@@ -52,6 +55,9 @@ TAG_SEGMENTS = {
     "good for party": ("good_for_party",),
 }
 
+# The segment that has a result file of its own.
+STUDY_SEGMENT = "good for study"
+
 # FIXED VALUES: minimum number of songs for an emotion to be reported (inclusive).
 MIN_SONGS_PER_EMOTION = 20
 

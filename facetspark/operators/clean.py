@@ -29,18 +29,21 @@ def drop_null(df: DataFrame, column: str | Column) -> DataFrame:
     return df.where(as_column(column).isNotNull())
 
 
-def typed(df: DataFrame, types: Mapping[str, DataType | str], strip_pattern: str | None = None) -> DataFrame:
+def typed(df: DataFrame, types: Mapping[str, DataType | str],
+          strip_pattern: str | Mapping[str, str] | None = None) -> DataFrame:
     """Convert columns to the given types; values that do not convert become null.
 
     ``strip_pattern`` (a regex) is removed from text first, e.g. a unit
-    suffix such as ``" dB"``. Under ANSI mode a plain cast of bad text
+    suffix such as ``" dB"``; a mapping gives the pattern of single columns
+    and leaves the others as they are. Under ANSI mode a plain cast of bad text
     fails the whole job; ``try_cast`` keeps the job alive and the row.
     """
     out = {}
     for name, dtype in types.items():
         c = F.col(f"`{name}`")
-        if strip_pattern is not None:
-            c = F.regexp_replace(F.trim(c.cast("string")), strip_pattern, "")
+        pattern = strip_pattern.get(name) if isinstance(strip_pattern, Mapping) else strip_pattern
+        if pattern is not None:
+            c = F.regexp_replace(F.trim(c.cast("string")), pattern, "")
         out[name] = c.try_cast(dtype)
     return df.withColumns(out)
 

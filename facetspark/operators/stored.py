@@ -10,14 +10,43 @@ executor cannot lose it; lineage is cut at the read-back.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from facetspark.session import scratch_dir
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("stored_tables", default=None)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system its path names."""
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside this block are deleted at its end.
+
+    Frames that read them must be used up (written or collected) before.
+    Threads take part when they run in a copy of this thread's context.
+    """
+    mine: list[str] = []
+    token = _scope.set(mine)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in mine:
+            delete(spark, path)
+
+
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -36,6 +65,8 @@ def materialise(df: DataFrame, name: str, measure: bool = False) -> tuple[DataFr
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    if (mine := _scope.get()) is not None:
+        mine.append(path)
     obs = None
     if measure:
         obs = Observation(f"fs_{uuid.uuid4().hex}")

@@ -8,7 +8,7 @@ DataFrames (already written) so a caller can inspect them.
 Layout under ``out_root``::
 
     processed/songs.parquet                     the CSV export, typed, written once
-    processed/songs_with_id.parquet             with --with-ids: id (file order) + the typed export
+    processed/songs_with_id.parquet             with --with-ids, in its place: id (file order) + the typed export
     processed/cleaned_emotion_tempo.parquet     emotion, Tempo
     processed/tempo_by_emotion.parquet          group statistics (snappy)
     processed/emotion_index_csv/                CSV part files: emotion_index, Tempo
@@ -19,14 +19,15 @@ Layout under ``out_root``::
     processed/good_for_study_tags.parquet/      partitioned by good_for_study, good_for_party
     results/...                                 one folder per result
 
-Run: ``python -m facetspark.plans.jobs <songs.csv or folder> <out_root> [partitions] [--with-ids]``
-(on a cluster through ``spark-submit``, with ``spark.checkpoint.dir`` set).
+Run: ``python -m facetspark.plans.jobs <songs.csv or folder> <out_root> [partitions] [--with-ids]
+[--few-decade-columns]`` (on a cluster through ``spark-submit``, with ``spark.checkpoint.dir`` set).
 """
 
 from __future__ import annotations
 
 import sys
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from facetspark.functions import presets
 from facetspark.functions.expressions import safe_corr
 from facetspark.operators import keys, profile
-from facetspark.operators.stored import materialise
+from facetspark.operators.stored import materialise, temporary_tables
 from facetspark.plans import studies
 from facetspark.plans.sql import bucket_average
 from facetspark.session import CLUSTER_CONF, SCALE_CONF, apply_defaults, ensure_checkpoint_dir
@@ -49,7 +50,7 @@ def _side_by_side(fns, songs: DataFrame, out_root: str, concurrent: bool) -> lis
     if not concurrent:
         return [fn(songs, out_root) for fn in fns]
     with ThreadPoolExecutor(max_workers=len(fns), thread_name_prefix="facetspark-job") as pool:
-        futures = [pool.submit(fn, songs, out_root) for fn in fns]
+        futures = [pool.submit(copy_context().run, fn, songs, out_root) for fn in fns]
         return [f.result() for f in futures]
 
 
@@ -58,8 +59,12 @@ def _p(root: str, *parts: str) -> str:
 
 
 def _through_parquet(df: DataFrame, path: str, partition_by=(), codec: str = "snappy") -> DataFrame:
-    """Write ``df`` and read it back with its own schema (types kept, empty ok)."""
-    write_parquet(df, path, partition_by=partition_by, codec=codec)
+    """Write ``df`` and read it back with its own schema (types kept, empty ok).
+
+    Partitioned tables are rebalanced before the write, so the number of files
+    follows the size of each partition value, not tasks x values.
+    """
+    write_parquet(df, path, partition_by=partition_by, codec=codec, rebalance=bool(partition_by))
     return read_parquet(df.sparkSession, path, schema=df.schema)
 
 
@@ -116,11 +121,11 @@ def popularity_job(songs: DataFrame, out_root: str, concurrent: bool = True) ->
     return out
 
 
-def decade_job(songs: DataFrame, out_root: str, keep_all_columns: bool = False) -> dict[str, DataFrame]:
+def decade_job(songs: DataFrame, out_root: str, keep_all_columns: bool = True) -> dict[str, DataFrame]:
     """Decade table partitioned by decade, then the decade profile.
 
-    By default only the columns the profile uses are written (the study
-    wrote every column and used four).
+    The table has every column of ``songs``; ``keep_all_columns=False`` writes
+    only the four that the profile reads.
     """
     cols = songs.columns if keep_all_columns else [presets.RELEASE_DATE, "Positiveness", "Tempo", "Energy"]
     rows = studies.decade_trends(songs.select(*[f"`{c}`" for c in cols]))["rows"]
@@ -150,9 +155,12 @@ def _flag_branch(songs: DataFrame, out_root: str) -> dict[str, DataFrame]:
 def _tag_branch(songs: DataFrame, out_root: str) -> dict[str, DataFrame]:
     tags = _through_parquet(studies.tag_table(songs), _p(out_root, "processed", "good_for_study_tags.parquet"),
                             partition_by=["good_for_study", "good_for_party"])
-    comparison = studies.tag_comparison(tags, count_name="n_songs")
+    # a few rows that two files and the caller read: computed once
+    comparison, _ = materialise(studies.tag_comparison(tags, count_name="n_songs"), "tag-comparison")
     write_csv(comparison, _p(out_root, "results", "tag_comparison_csv"), single_file=True)
-    return {"tag_comparison": comparison}
+    study = comparison.where(F.col("tagged_as") == F.lit(presets.STUDY_SEGMENT))
+    write_csv(study, _p(out_root, "results", "good_for_study_songs_csv"), single_file=True)
+    return {"tag_comparison": comparison, "study_segment": study}
 
 
 def study_job(songs: DataFrame, out_root: str, concurrent: bool = True) -> dict[str, DataFrame]:
@@ -170,13 +178,14 @@ def row_id_job(spark: SparkSession, songs_path: str, out_root: str,
     (numbered as scanned, before rows are spread over the cores), typed, and
     written to ``processed/songs_with_id.parquet``."""
     raw = studies.read_songs(spark, songs_path, partitions=None)
-    numbered = keys.row_id(raw, spread=partitions)
-    return _through_parquet(numbered, _p(out_root, "processed", "songs_with_id.parquet"))
+    with temporary_tables(spark):
+        numbered = keys.row_id(raw, spread=partitions)
+        return _through_parquet(numbered, _p(out_root, "processed", "songs_with_id.parquet"))
 
 
 def run_all(spark: SparkSession, songs_path: str, out_root: str,
             partitions: int | str | None = "auto", with_ids: bool = False,
-            concurrent: bool = True) -> dict[str, DataFrame]:
+            concurrent: bool = True, decade_all_columns: bool = True) -> dict[str, DataFrame]:
     """Convert the CSV export once to typed Parquet, then run every job from it.
 
     A multi-line CSV file is read by one task and cannot be pruned; Parquet
@@ -187,29 +196,36 @@ def run_all(spark: SparkSession, songs_path: str, out_root: str,
     side by side (its scheduler hands free task slots to whichever job has
     work), instead of leaving slots idle during each study's small jobs.
     """
-    raw = studies.read_songs(spark, songs_path, partitions=partitions)
-    songs = _through_parquet(raw, _p(out_root, "processed", "songs.parquet"))
+    if with_ids:  # the numbered table is the typed export: one parse, one copy
+        numbered = row_id_job(spark, songs_path, out_root, partitions)
+        songs = numbered.drop("id")
+    else:
+        raw = studies.read_songs(spark, songs_path, partitions=partitions)
+        songs = _through_parquet(raw, _p(out_root, "processed", "songs.parquet"))
     names = ["tempo", "popularity", "decade", "study"]
-    fns = [tempo_by_emotion_job, partial(popularity_job, concurrent=concurrent), decade_job,
-           partial(study_job, concurrent=concurrent)]
+    fns = [tempo_by_emotion_job, partial(popularity_job, concurrent=concurrent),
+           partial(decade_job, keep_all_columns=decade_all_columns), partial(study_job, concurrent=concurrent)]
     results = _side_by_side(fns, songs, out_root, concurrent)
     out: dict[str, DataFrame] = {}
     for name, res in zip(names, results):
         out.update({f"{name}.{k}": v for k, v in res.items()})
     if with_ids:
-        out["ids.songs"] = row_id_job(spark, songs_path, out_root, partitions)
+        out["ids.songs"] = numbered
     return out
 
 
 def parse_args(argv: list[str]) -> dict | None:
-    """``<songs> <out_root> [partitions] [--with-ids]`` -> keyword arguments of
-    ``run_all`` (without the session); None when the paths are missing."""
+    """``<songs> <out_root> [partitions] [--with-ids] [--few-decade-columns]`` ->
+    keyword arguments of ``run_all`` (without the session); None when the paths
+    are missing."""
     with_ids = "--with-ids" in argv[1:]
-    args = [a for a in argv[1:] if a != "--with-ids"]
+    few = "--few-decade-columns" in argv[1:]
+    args = [a for a in argv[1:] if a not in ("--with-ids", "--few-decade-columns")]
     if len(args) < 2:
         return None
     return {"songs_path": args[0], "out_root": args[1],
-            "partitions": int(args[2]) if len(args) > 2 else "auto", "with_ids": with_ids}
+            "partitions": int(args[2]) if len(args) > 2 else "auto", "with_ids": with_ids,
+            **({"decade_all_columns": False} if few else {})}
 
 
 def main(argv: list[str]) -> int:
@@ -223,7 +239,8 @@ def main(argv: list[str]) -> int:
     spark = builder.getOrCreate()
     apply_defaults(spark, CLUSTER_CONF)
     ensure_checkpoint_dir(spark)
-    run_all(spark, **kwargs)
+    with temporary_tables(spark):  # every result is a file by then
+        run_all(spark, **kwargs)
     return 0
 
 

@@ -30,8 +30,9 @@ from facetspark.operators.stored import materialise
 from facetspark.plans.sql import bucket_average
 from facetspark.sources.csv import read_csv
 
-# Unit suffix some exports put after loudness values ("-5.2 dB").
-UNIT_SUFFIX = r"(?i)\s*db$"
+# Unit suffix some exports put after loudness values ("-5.2 dB"); in any other
+# column such a text is no number.
+UNIT_SUFFIX = {presets.LOUDNESS: r"(?i)\s*db$"}
 
 
 def song_types() -> dict[str, str]:
