@@ -369,6 +369,44 @@ def q_pivot_counts(spark, sf):
     return profile.pivot_counts(read_table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
 
 
+@query("pivot_counts_found", """
+    SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS F,
+           count(*) FILTER (WHERE o_orderstatus = 'O') AS O, count(*) FILTER (WHERE o_orderstatus = 'P') AS P
+    FROM orders WHERE o_orderstatus <> 'P' OR o_orderpriority = '1-URGENT' GROUP BY 1""")
+def q_pivot_counts_found(spark, sf):
+    """The pivoted values found in the data; some cells have no row."""
+    od = read_table(spark, sf, "orders").where("o_orderstatus <> 'P' OR o_orderpriority = '1-URGENT'")
+    return profile.pivot_counts(od, "o_orderpriority", "o_orderstatus")
+
+
+FLAG_SOME_SQL = "SELECT NULLIF(o_orderstatus, 'P') AS status, o_orderpriority, o_totalprice FROM orders"
+
+
+@query("flag_profile_nulls", f"""
+    SELECT status, o_orderpriority, count, round(CAST(count AS DOUBLE) / total * 100, 2) AS percentage FROM (
+      SELECT status, o_orderpriority, count(*) AS count, sum(count(*)) OVER (PARTITION BY status) AS total
+      FROM ({FLAG_SOME_SQL}) f WHERE status IS NOT NULL GROUP BY 1, 2) t""")
+def q_flag_profile_nulls(spark, sf):
+    """Rows without a flag are left out; a column both shared and counted, in another case."""
+    table = read_table(spark, sf, "orders").select(
+        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"), "o_orderpriority", "o_totalprice")
+    res = studies.flag_profile(table, "status", {"avg_totalprice": "o_totalprice"},
+                               share_of=("o_orderpriority",), count_of=("O_ORDERPRIORITY",))
+    return res["share_o_orderpriority"]
+
+
+@query("recased_columns", f"""
+    SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_tax,
+           {_sql_case("l_quantity", presets.POPULARITY_BOUNDS_4, presets.POPULARITY_LABELS_4)} AS score_bucket
+    FROM lineitem""")
+def q_recased_columns(spark, sf):
+    """A table whose column names are in another case than the study's."""
+    li = read_table(spark, sf, "lineitem")
+    li = li.toDF(*[c.upper() for c in li.columns])
+    return studies.score_buckets(li, "l_quantity", "l_extendedprice", "l_tax", carry=("l_orderkey", "l_linenumber"),
+                                 bucket_column="score_bucket")["coarse_rows"]
+
+
 # ---------------------------------------------------------------- keys
 
 @query("min_support_rows", f"SELECT * FROM part WHERE p_brand IN ({SUPPORTED_BRANDS_SQL})")
@@ -415,6 +453,23 @@ def q_row_id_file_order(spark, sf):
     return keys.row_id(read_table(spark, sf, "events"), spread="auto")
 
 
+UNEQUAL_FILES_SQL = "CASE WHEN event_id % 100 = 0 THEN 0 WHEN event_id % 10 = 0 THEN 1 ELSE 2 END"
+
+
+@query("row_id_many_files", f"""
+    SELECT folder, CAST(sum(n) OVER (ORDER BY folder) - n + 1 AS BIGINT) AS first_id,
+           CAST(sum(n) OVER (ORDER BY folder) AS BIGINT) AS last_id, n AS n_ids
+    FROM (SELECT {UNEQUAL_FILES_SQL} AS folder, count(*) AS n FROM events GROUP BY 1) t""")
+def q_row_id_many_files(spark, sf):
+    """Ids follow the files' paths although Spark packs the largest files first."""
+    rows = read_table(spark, sf, "events").withColumn("folder", F.expr(UNEQUAL_FILES_SQL))
+    path = scratch_dir(spark, "unequal_files")
+    write_parquet(rows, path, partition_by=["folder"])
+    ids = keys.row_id(read_parquet(spark, path, schema=rows.schema), spread="auto")
+    return ids.groupBy("folder").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"),
+                                     F.countDistinct("id").alias("n_ids"))
+
+
 # ---------------------------------------------------------------- segments
 
 @query("segment_single", """
@@ -445,6 +500,37 @@ def q_segment_comparison(spark, sf):
     return _rounded(out, 4, *LINE_MEASURES)
 
 
+WIDE_MEASURES_SQL = {
+    "avg_quantity": "l_quantity",
+    "avg_price": "l_extendedprice",
+    "avg_discount": "l_discount",
+    "avg_tax": "l_tax",
+    "avg_net": "l_extendedprice * (1 - l_discount)",
+    "avg_charge": "l_extendedprice * (1 - l_discount) * (1 + l_tax)",
+    "avg_unit_price": "l_extendedprice / l_quantity",
+    "avg_squared_quantity": "l_quantity * l_quantity",
+    "avg_line": "l_linenumber",
+}
+MANY_SEGMENTS_SQL = {
+    **dict(SEGMENT_SQL_PARTS),
+    "small": "l_quantity < 10",
+    "large": "l_quantity >= 40",
+    "large returned": "l_quantity >= 40 AND l_returnflag = 'R'",
+    "first lines": "l_linenumber = 1",
+}
+
+
+@query("segment_many", " UNION ALL ".join(
+    f"SELECT '{name}' AS tagged_as, " + ", ".join(f"round(avg({e}), 4) AS {a}" for a, e in WIDE_MEASURES_SQL.items())
+    + f", count(*) AS n_rows FROM lineitem WHERE {cond} HAVING count(*) > 0" for name, cond in MANY_SEGMENTS_SQL.items()))
+def q_segment_many(spark, sf):
+    """Eight overlapping segments of nine measures, from sums per set of segments."""
+    out = segments.segment_profile(
+        read_table(spark, sf, "lineitem"), {name: F.expr(cond) for name, cond in MANY_SEGMENTS_SQL.items()},
+        {a: F.expr(e) for a, e in WIDE_MEASURES_SQL.items()}, count_name="n_rows")
+    return _rounded(out, 4, *WIDE_MEASURES_SQL)
+
+
 @query("segment_union", SEGMENTS_SQL)
 def q_segment_union(spark, sf):
     li = read_table(spark, sf, "lineitem")
@@ -510,6 +596,31 @@ def q_csv_text_roundtrip(spark, sf):
     return read_csv(spark, path, schema=docs.schema, empty_as_null=False)
 
 
+SONG_TEXT_SQL = """
+    SELECT 'order ' || o_orderkey || ',' || chr(10) || '"live"' AS title, (o_custkey % 100) || '.5' AS score,
+           '-' || (o_orderkey % 30) || '.25 dB' AS loudness,
+           CASE o_orderstatus WHEN 'P' THEN '120 dB' ELSE CAST(o_orderkey % 200 AS VARCHAR) END AS tempo,
+           CASE o_orderstatus WHEN 'F' THEN '1.0' WHEN 'O' THEN '0' ELSE 'yes' END AS flag FROM orders"""
+
+
+@query("csv_typed_ingest", f"""
+    SELECT title, TRY_CAST(score AS DOUBLE) AS score, TRY_CAST(replace(loudness, ' dB', '') AS DOUBLE) AS loudness,
+           TRY_CAST(tempo AS DOUBLE) AS tempo, TRY_CAST(flag AS DOUBLE) AS flag FROM ({SONG_TEXT_SQL}) t""")
+def q_csv_typed_ingest(spark, sf):
+    """Numbers as an export holds them (decimals, 1.0 flags, a unit suffix, junk)
+    in multi-line CSV, through the song reader; no value that is a number is lost."""
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    raw = read_table(spark, sf, "orders").select(
+        F.concat(F.lit("order "), key, F.lit(',\n"live"')).alias("title"),
+        F.concat(F.col("o_custkey") % 100, F.lit(".5")).alias("Popularity"),
+        F.concat(F.lit("-"), key % 30, F.lit(".25 dB")).alias(presets.LOUDNESS),
+        F.when(status == "P", "120 dB").otherwise((key % 200).cast("string")).alias("Tempo"),
+        F.when(status == "F", "1.0").when(status == "O", "0").otherwise("yes").alias("Good for Work/Study"))
+    path = scratch_dir(spark, "songs_csv")
+    write_csv(raw, path)
+    return studies.read_songs(spark, path).toDF("title", "score", "loudness", "tempo", "flag")
+
+
 @query("single_file_csv", """
     SELECT p_brand, count(*) AS count FROM part GROUP BY 1""")
 def q_single_file_csv(spark, sf):
@@ -561,6 +672,13 @@ def q_partition_stats(spark, sf):
     return partition_sizes(read_table(spark, sf, "lineitem")).agg(F.sum("n_rows").cast("long").alias("n_rows"))
 
 
+@query("partition_rows", "SELECT CAST(o_custkey % 5 AS INTEGER) AS partition, count(*) AS n_rows FROM orders GROUP BY 1")
+def q_partition_rows(spark, sf):
+    """Rows of each physical partition, the partition of a row being known."""
+    od = read_table(spark, sf, "orders").select((F.col("o_custkey") % 5).cast("int").alias("at"))
+    return partition_sizes(od.repartitionById(5, F.col("at")))
+
+
 # Inventory items each registered query exercises. S5 (the
 # session) is not listed: every query runs on the caller's session.
 COVERAGE: dict[str, tuple[str, ...]] = {
@@ -609,4 +727,11 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "partition1_roundtrip": ("W3", "S3"),
     "partition2_pruned": ("W4", "S3", "F3", "F4"),
     "partition_stats": ("W9",),
+    "partition_rows": ("W9",),
+    "csv_typed_ingest": ("S1", "E11", "W5"),
+    "flag_profile_nulls": ("R3", "R4", "R12"),
+    "recased_columns": ("P1", "E1"),
+    "pivot_counts_found": ("R14",),
+    "row_id_many_files": ("K2", "K3"),
+    "segment_many": ("U2", "R6", "R13"),
 }

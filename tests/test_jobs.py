@@ -3,7 +3,9 @@
 import glob
 import os
 
+from facetspark.operators.stored import temporary_tables
 from facetspark.plans import jobs, studies
+from facetspark.session import ensure_checkpoint_dir
 from facetspark.sources import read_csv, read_parquet
 
 
@@ -93,6 +95,38 @@ def test_cli_arguments():
     assert jobs.parse_args(["jobs", "in.csv", "out"])["with_ids"] is False
 
 
+def test_study_segment_file_and_decade_columns(spark, songs_csv, songs, scratch):
+    out = jobs.run_all(spark, songs_csv, scratch)
+    study = read_csv(spark, os.path.join(scratch, "results/good_for_study_songs_csv"),
+                     schema=out["study.tag_comparison"].schema).collect()
+    assert [tuple(r) for r in study] == [tuple(r) for r in out["study.tag_comparison"].collect()
+                                         if r.tagged_as == "good for study"] and len(study) == 1
+    decades = os.path.join(scratch, "processed/decades.parquet")
+    assert set(songs.columns) | {"decade"} == set(read_parquet(spark, decades).columns)
+    jobs.decade_job(songs, scratch + "/few", keep_all_columns=False)
+    few = read_parquet(spark, scratch + "/few/processed/decades.parquet").columns
+    assert sorted(few) == ["Energy", "Positiveness", "Release Date", "Tempo", "decade"]
+    assert jobs.parse_args(["jobs", "a", "b", "--few-decade-columns"])["decade_all_columns"] is False
+    # files follow the size of a partition value, not the number of tasks that hold it
+    for table in ("popularity.parquet", "popularity_fine.parquet", "decades.parquet", "good_for_study.parquet"):
+        for folder in glob.glob(os.path.join(scratch, "processed", table, "*=*")):
+            assert len(glob.glob(os.path.join(folder, "*.parquet"))) == 1, folder
+
+
+def test_no_stored_table_outlives_its_scope(spark, songs_csv, scratch):
+    """The command line runs the jobs inside such a scope; ids are numbered in the only parse."""
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    with temporary_tables(spark):
+        jobs.run_all(spark, songs_csv, scratch, with_ids=True)
+        assert set(os.listdir(root)) - before
+    assert not set(os.listdir(root)) - before
+    numbered = read_parquet(spark, os.path.join(scratch, "processed/songs_with_id.parquet"))
+    n = numbered.count()
+    assert sorted(r.id for r in numbered.select("id").collect()) == list(range(1, n + 1))
+    assert not os.path.exists(os.path.join(scratch, "processed/songs.parquet"))
+
+
 def test_concurrent_and_sequential_runs_agree(spark, songs_csv, scratch):
     a = jobs.run_all(spark, songs_csv, scratch + "/conc")
     b = jobs.run_all(spark, songs_csv, scratch + "/seq", concurrent=False)

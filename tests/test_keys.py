@@ -101,3 +101,21 @@ def test_row_id_sorted_auto_spread_does_not_measure(spark, monkeypatch):
     got = [r.o_orderkey for r in out.orderBy("id").collect()]
     want = [r.o_orderkey for r in orders.orderBy("o_totalprice", "o_orderkey").collect()]
     assert got == want
+
+
+def test_row_id_follows_file_paths_not_packing(spark, scratch):
+    """Spark packs the largest file first; ids still follow the paths and each file's own order."""
+    for name, lo, n in (("a", 0, 5), ("b", 5, 50), ("c", 55, 500)):
+        spark.range(lo, lo + n, 1, 1).write.parquet(f"{scratch}/in/part={name}")
+    rows = spark.read.parquet(f"{scratch}/in").select(F.col("id").alias("v"), "part")
+    out = keys.row_id(rows).collect()
+    assert all(r.id == r.v + 1 for r in out) and len(out) == 555
+    out = keys.row_id(rows.where("v % 3 = 0"), spread=4, start=0).collect()
+    assert all(r.id == r.v // 3 for r in out) and len(out) == 185
+
+
+def test_row_id_of_shuffled_scan_is_still_contiguous(spark, scratch):
+    spark.range(0, 1000, 1, 4).write.parquet(f"{scratch}/in")
+    rows = spark.read.parquet(f"{scratch}/in").withColumnRenamed("id", "v").repartition(3)
+    out = keys.row_id(rows).collect()
+    assert sorted(r.id for r in out) == list(range(1, 1001)) and {r.v for r in out} == set(range(1000))

@@ -128,6 +128,44 @@ def test_segment_profile_single_scan_no_shuffle_by_key(spark):
     assert "hashpartitioning" not in plan.lower()
 
 
+def test_many_segments_equal_masked_form(spark):
+    li = read_table(spark, SF01, "lineitem").withColumn("half", F.when(F.col("l_linenumber") > 2, F.col("l_tax")))
+    segs = {f"s{i}": F.col("l_orderkey") % (i + 2) == 0 for i in range(70)}  # more than one long of bits
+    segs |= {"none": F.col("l_quantity") < 0, "null": F.lit(None).cast("boolean")}
+    ms = {"avg_q": F.col("l_quantity"), "avg_half": F.col("half"), "avg_line": F.col("l_linenumber")}
+    got = segments.segment_profile(li, segs, ms, count_name="n", keep_empty=True).collect()
+    want = {r.tagged_as: r for r in segments._masked(li, segs, ms, "tagged_as").collect()}
+    assert [r.tagged_as for r in got] == list(segs)
+    for r in got:
+        w = want[r.tagged_as]
+        assert r.n == w["_n"]
+        for a in ms:
+            assert (r[a] is None) == (w[a] is None)
+            assert r[a] is None or math.isclose(r[a], w[a], rel_tol=1e-9)
+    left = segments.segment_profile(li, segs, ms, count_name="n").collect()
+    assert {r.tagged_as for r in left} == {k for k, w in want.items() if w["_n"]}
+    assert {"none", "null"}.isdisjoint(r.tagged_as for r in left)
+
+
+def test_many_segments_row_level_aggregate_is_compiled(spark):
+    from facetspark.plans.catalogue import QUERIES
+
+    df = QUERIES["segment_many"](spark, SF01)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    first = next(line for line in plan.splitlines() if "HashAggregate" in line and "partial_sum" in line and "_k0" in line)
+    assert "*(" in first and plan.count("FileScan") == 1
+
+
+def test_segments_of_decimals_keep_sparks_average(spark):
+    df = spark.sql("SELECT id, CAST(id AS DECIMAL(12,2)) / 3 AS d FROM range(100)")
+    segs = {f"s{i}": F.col("id") > i for i in range(30)}
+    got = segments.segment_profile(df, segs, {"a": "d"})
+    want = df.agg(F.avg("d").alias("a"))
+    assert got.schema["a"].dataType == want.schema["a"].dataType
+    assert got.where("tagged_as = 's9'").first().a == df.where("id > 9").agg(F.avg("d")).first()[0]
+
+
 def test_all_of_and_segment_size(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 1)], "a int, b int")
     assert segments.segment_size(df, segments.all_of("a", "b")).first().n_rows == 1
