@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from facetspark.functions.expressions import percentage, safe_corr
 
@@ -189,12 +190,37 @@ def grouped_summary(df: DataFrame, sets: Sequence[Sequence[str]],
     return out, ids
 
 
+FINEST_ROWS = "_fs_rows"
+
+
+def finest_summary(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str | Column] | Sequence[str] = (),
+                   ) -> tuple[DataFrame, list[Column] | None]:
+    """Row counts (``FINEST_ROWS``), sums and non-null counts per combination of ``keys``.
+
+    Any grouping by some of the keys rolls up from it: rows by summing
+    ``FINEST_ROWS``, averages by aggregating with the returned columns. Those
+    are None, and no sums are taken, when an average is not a double: sums
+    alone do not give Spark's rounding of a decimal average.
+    """
+    ms = _measures(measures) if measures else {}
+    rows = F.count(F.lit(1)).alias(FINEST_ROWS)
+    by = _all(list({k.lower(): k for k in keys}.values()))
+    if any(not isinstance(f.dataType, DoubleType) for f in df.select(*[F.avg(c) for c in ms.values()]).schema):
+        return df.groupBy(*by).agg(rows), None
+    aggs, averages = [], []
+    for i, (alias, c) in enumerate(ms.items()):
+        total, n = f"_fs_sum{i}", f"_fs_n{i}"
+        aggs += [F.sum(c.cast("double")).alias(total), F.count(c).alias(n)]
+        averages.append(F.when(F.sum(n) > 0, F.sum(total) / F.sum(n)).alias(alias))
+    return df.groupBy(*by).agg(rows, *aggs), averages
+
+
 def measure_columns(measures: Mapping[str, str | Column] | Sequence[str]) -> dict[str, Column]:
     """Public form of the measure spec used by ``mean_profile``."""
     return _measures(measures)
 
 
 __all__ = [
-    "correlations", "counts", "decade_profile", "group_stats", "grouped_summary", "mean_profile",
+    "correlations", "counts", "decade_profile", "finest_summary", "group_stats", "grouped_summary", "mean_profile",
     "measure_columns", "pivot_counts", "share_of_group",
 ]

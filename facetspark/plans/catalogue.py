@@ -301,11 +301,7 @@ def q_share_of_group(spark, sf):
       FROM orders GROUP BY 1, 2) t""")
 def q_flag_share(spark, sf):
     """Share of each priority within finished / unfinished orders (flag x category)."""
-    table = studies.flag_table(read_table(spark, sf, "orders"), source_flag="o_orderstatus", flag="is_finished",
-                               measures=("o_totalprice",), categories=("o_orderpriority",), lower=(), truthy="F")
-    res = studies.flag_profile(table, "is_finished", {"avg_totalprice": "o_totalprice"},
-                               share_of=("o_orderpriority",), count_of=())
-    return res["share_o_orderpriority"]
+    return _order_flags(spark, sf)["share_o_orderpriority"]
 
 
 def _order_flags(spark, sf):
@@ -313,20 +309,20 @@ def _order_flags(spark, sf):
     table = studies.flag_table(read_table(spark, sf, "orders"), source_flag="o_orderstatus", flag="is_finished",
                                measures=("o_totalprice",), categories=("o_orderpriority",), lower=(), truthy="F")
     return studies.flag_profile(table, "is_finished", {"avg_totalprice": "o_totalprice"},
-                                share_of=("o_orderpriority",), count_of=())
+                                share_of=("o_orderpriority",), count_of=(), store=False)
 
 
 @query("flag_category_counts", """
     SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_finished, o_orderpriority, count(*) AS count
     FROM orders GROUP BY 1, 2""")
 def q_flag_category_counts(spark, sf):
-    """Rows per (flag, category) from the one-pass flag summary."""
+    """Rows per (flag, category) rolled up from the flag summary."""
     return _order_flags(spark, sf)["counts_o_orderpriority"]
 
 
 @query("flag_category_totals", "SELECT o_orderpriority, count(*) AS count FROM orders GROUP BY 1")
 def q_flag_category_totals(spark, sf):
-    """Rows per category over both flag values, from the same one-pass summary."""
+    """Rows per category over both flag values, rolled up from the same summary."""
     return _order_flags(spark, sf)["totals_o_orderpriority"]
 
 
@@ -391,7 +387,7 @@ def q_flag_profile_nulls(spark, sf):
     table = read_table(spark, sf, "orders").select(
         F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"), "o_orderpriority", "o_totalprice")
     res = studies.flag_profile(table, "status", {"avg_totalprice": "o_totalprice"},
-                               share_of=("o_orderpriority",), count_of=("O_ORDERPRIORITY",))
+                               share_of=("o_orderpriority",), count_of=("O_ORDERPRIORITY",), store=False)
     return res["share_o_orderpriority"]
 
 

@@ -39,7 +39,7 @@ from facetspark.operators import keys, profile
 from facetspark.operators.stored import materialise, temporary_tables
 from facetspark.plans import studies
 from facetspark.plans.sql import bucket_average
-from facetspark.session import CLUSTER_CONF, SCALE_CONF, apply_defaults, ensure_checkpoint_dir
+from facetspark.session import SCALE_CONF, apply_defaults, cluster_conf, ensure_checkpoint_dir, stored_bytes
 from facetspark.sinks import write_csv, write_parquet
 from facetspark.sources import read_parquet
 
@@ -237,7 +237,7 @@ def main(argv: list[str]) -> int:
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    apply_defaults(spark, CLUSTER_CONF)
+    apply_defaults(spark, cluster_conf(stored_bytes(spark, kwargs["songs_path"])))
     ensure_checkpoint_dir(spark)
     with temporary_tables(spark):  # every result is a file by then
         run_all(spark, **kwargs)

@@ -158,7 +158,8 @@ def flag_table(raw: DataFrame, source_flag: str = "Good for Work/Study", flag: s
 def flag_profile(table: DataFrame, flag: str = "good_for_study",
                  measures: Mapping[str, str | Column] | None = None,
                  share_of: Sequence[str] = (presets.TIME_SIGNATURE, "key"),
-                 count_of: Sequence[str] = (presets.EMOTION,), one_pass: bool = True) -> dict[str, DataFrame]:
+                 count_of: Sequence[str] = (presets.EMOTION,), one_pass: bool = True,
+                 store: bool = True) -> dict[str, DataFrame]:
     """Compare flag = 0 with flag = 1.
 
     * ``profile``: average of each measure per flag value.
@@ -169,11 +170,15 @@ def flag_profile(table: DataFrame, flag: str = "good_for_study",
     Rows without a flag are left out of every result. A column may be both in
     ``share_of`` and ``count_of``.
 
-    With ``one_pass`` (default) every result comes from one grouping-sets
-    aggregation over ``table`` -- a single scan however many results --
-    written once to the shared checkpoint folder (one job runs here); its
-    size is the number of groups, not rows. Otherwise each result is its own
-    lazy aggregation over ``table``.
+    With ``one_pass`` (default) every result is rolled up from one aggregation
+    of ``table`` on the flag and all categories: a single scan however many
+    results. ``store`` writes that summary once to the shared checkpoint folder
+    (one job runs here), for callers that use several results; without it the
+    results are lazy and each computes it for itself. The summary has one row
+    per combination of flag and categories that occurs; for columns with many
+    values use ``one_pass=False``, where each result is its own lazy
+    aggregation over ``table``. Averages that are not double (decimal
+    measures) are always taken from ``table``, with Spark's own rounding.
     """
     ms = measures if measures is not None else presets.SONG_MEASURES_BY_ALIAS
     table = table.where(F.col(f"`{flag}`").isNotNull())
@@ -190,15 +195,13 @@ def flag_profile(table: DataFrame, flag: str = "good_for_study",
             out[f"counts_{c.lower().replace(' ', '_')}"] = profile.counts(table, [flag, c])
         return out
 
-    sets = [[flag], *[[flag, c] for c in (*share_of, *count_of)], *[[c] for c in share_of]]
-    summary, ids = profile.grouped_summary(table, sets, ms)
-    summary, _ = materialise(summary, "flag-summary")
+    categories = [*share_of, *count_of]
+    summary, averages = profile.finest_summary(table, [flag, *categories], ms)
+    if store:
+        summary, _ = materialise(summary, "flag-summary")
 
-    def of(grouping: Sequence[str]) -> DataFrame:
-        return summary.where(F.col("_set") == F.lit(ids[tuple(grouping)]))
-
-    def pair_counts(c: str) -> DataFrame:
-        return of([flag, c]).select(F.col(f"`{flag}`"), F.col(f"`{c}`"), F.col("count"))
+    def rolled(*ks: str) -> DataFrame:
+        return summary.groupBy(*[F.col(f"`{k}`") for k in ks]).agg(F.sum(profile.FINEST_ROWS).alias("count"))
 
     def by_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         first, rest = keys[0], keys[1:]
@@ -206,18 +209,21 @@ def flag_profile(table: DataFrame, flag: str = "good_for_study",
             return df.orderBy(F.desc("count"), F.asc(f"`{first}`"))
         return df.orderBy(F.asc(f"`{first}`"), F.desc("count"), *[F.asc(f"`{k}`") for k in rest])
 
-    groups = of([flag]).select(F.col(f"`{flag}`"), F.col("count").alias("_group_rows"))
-    out = {"profile": of([flag]).select(F.col(f"`{flag}`"), *[F.col(f"`{a}`") for a in ms]).orderBy(f"`{flag}`")}
+    if averages is None:
+        out = {"profile": profile.mean_profile(table, flag, ms, order=True)}
+    else:
+        out = {"profile": summary.groupBy(F.col(f"`{flag}`")).agg(*averages).orderBy(f"`{flag}`")}
     for c in share_of:
         name = c.lower().replace(" ", "_")
-        out[f"counts_{name}"] = by_count(pair_counts(c), [flag, c])
-        out[f"totals_{name}"] = by_count(of([c]).select(F.col(f"`{c}`"), F.col("count")), [c])
-        share = pair_counts(c).join(groups, flag).select(
+        out[f"counts_{name}"] = by_count(rolled(flag, c), [flag, c])
+        out[f"totals_{name}"] = by_count(rolled(c), [c])
+        groups = rolled(flag).withColumnRenamed("count", "_group_rows")
+        share = rolled(flag, c).join(groups, flag).select(
             F.col(f"`{flag}`"), F.col(f"`{c}`"), F.col("count"),
             percentage(F.col("count"), F.col("_group_rows")).alias("percentage"))
         out[f"share_{name}"] = share.orderBy(F.asc(f"`{flag}`"), F.desc("percentage"), F.asc(f"`{c}`"))
     for c in count_of:
-        out[f"counts_{c.lower().replace(' ', '_')}"] = by_count(pair_counts(c), [flag, c])
+        out[f"counts_{c.lower().replace(' ', '_')}"] = by_count(rolled(flag, c), [flag, c])
     return out
 
 

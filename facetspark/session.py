@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import SparkSession
 
 # Settings that matter for every plan in this library, at any scale:
@@ -28,16 +29,36 @@ SCALE_CONF = {
 # Sizing for a large cluster (applied by the batch jobs' entry point where
 # the cluster has not set a value): 256 MiB scan splits and post-shuffle
 # partitions keep task counts in the hundreds of thousands at 100 TB rather
-# than near a million, and a high initial shuffle partition count lets
-# adaptive execution coalesce down to the measured size instead of starting
-# with too few, too large reducers that would spill.
+# than near a million.
 CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": str(256 << 20),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
 }
 
+# Shuffle partitions to start from. Adaptive execution merges small ones but
+# does not split an even one, so their number follows the input's size; a
+# shuffle keeps an index entry per task and partition, which bounds it from
+# above (at 100 TB: 1.6 GB a partition for a shuffle of whole rows, which only
+# the global sort of ``row_id`` and rebalanced writes make, and the latter split
+# their partitions by size).
+PARTITION_BYTES = 256 << 20
+MIN_PARTITIONS, MAX_PARTITIONS = 200, 65536
+
+
+def cluster_conf(input_bytes: int) -> dict[str, str]:
+    """``CLUSTER_CONF`` with the shuffle partitions that an input of this size needs."""
+    n = min(MAX_PARTITIONS, max(MIN_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+    return {**CLUSTER_CONF, "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n)}
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or folder, asked from the file system its path names."""
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(sc._jsc.hadoopConfiguration())
+    return sum(fs.getContentSummary(f.getPath()).getLength() for f in fs.globStatus(at) or [])
+
 
 def apply_defaults(spark: SparkSession, conf: dict[str, str]) -> None:
     """Set each SQL setting only where the session does not have one yet."""
@@ -119,7 +140,7 @@ def spread_target(df) -> int | None:
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
-    except Exception:
+    except (PySparkAttributeError, PySparkNotImplementedError):
         return None
     return want if have < want else None
 

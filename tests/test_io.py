@@ -172,3 +172,13 @@ def test_csv_auto_spreads_only_when_files_are_few(spark, songs_csv, scratch):
         assert "Exchange" not in scan._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_shuffle_partitions_follow_the_input(spark, scratch):
+    from facetspark import session
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert [session.cluster_conf(b)[key] for b in (0, 1 << 40, 100 << 40)] == ["200", "4096", "65536"]
+    spark.range(1000).write.parquet(scratch + "/n")
+    assert session.stored_bytes(spark, scratch + "/n") > 1000
+    assert session.stored_bytes(spark, scratch + "/missing*") == 0

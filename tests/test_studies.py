@@ -243,3 +243,19 @@ def test_profiles_of_dotted_names_and_zero_cells(spark):
     plain = t.toDF("k", "v", "m")
     loose = sorted(tuple(r) for r in profile.pivot_counts(plain, "k", "v").collect())
     assert loose == sorted(tuple(r) for r in profile.pivot_counts(plain, "k", "v", ["p", "q"]).collect())
+
+
+def test_flag_summary_is_one_aggregation_without_expand(spark, songs):
+    table = studies.flag_table(songs)
+    for name, df in studies.flag_profile(table, store=False).items():
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan, name
+
+
+def test_flag_profile_of_decimals_keeps_sparks_average(spark):
+    t = spark.sql("SELECT id % 2 AS f, id % 3 AS c, CAST(id AS DECIMAL(12,2)) / 7 AS d FROM range(50)")
+    kwargs = {"flag": "f", "measures": {"a": "d"}, "share_of": ("c",), "count_of": ()}
+    one, each = studies.flag_profile(t, **kwargs), studies.flag_profile(t, one_pass=False, **kwargs)
+    assert one.keys() == each.keys()
+    for name in one:
+        assert one[name].collect() == each[name].collect(), name
