@@ -53,6 +53,10 @@ _MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor spon
                    "cookie cookies consent notice notices alert popup modal overlay newsletter subscribe subscription "
                    "signup login comment comments disqus respond reply replies footer header masthead toolbar pagination "
                    "copyright legal skip hidden".split())
+# a mark beside one of these names a state or a layout, as has-sidebar and comments-open do
+_BEFORE = frozenset("has with without no not is non".split())
+_AFTER = frozenset("open opened closed enabled disabled on off allowed".split())
+_WHOLE = frozenset("html body main article".split())  # class marks do not reach these
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
     |<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]{0,4000}"|'[^']{0,4000}'|["'])*+)(?:>|\Z)""", re.S | re.X)
 _RAW_END = {t: re.compile(rf"</{t}\s*(?:>|\Z)", re.I)
@@ -61,33 +65,44 @@ _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
-def _marked(attrs: str) -> tuple[bool, bool]:
-    """(never main text, main text) by role, class, id and hidden."""
+def _is_mark(value: str) -> bool:
+    for token in value.split():
+        words = [w for w in re.split(r"[^a-z0-9]+", token) if w]
+        if words and words[0] not in _BEFORE and words[-1] not in _AFTER and any(
+                w in _MARKS and words[i - 1] not in _BEFORE for i, w in enumerate(words)):
+            return True
+    return False
+
+
+def _marked(attrs: str) -> tuple[bool, bool, bool]:
+    """(never main text by role or hidden, never by class or id, main text)."""
     if not attrs or attrs.isspace():
-        return False, False
-    never, inner = bool(_HIDDEN.search(attrs)), False
+        return False, False, False
+    never, mark, inner = bool(_HIDDEN.search(attrs)), False, False
     for name, a, b, c in _ATTR.findall(attrs):
         value = (a or b or c).lower()
         if name.lower() == "role":
             never |= value in _ROLES
             inner |= value == "main"
         else:
+            mark |= _is_mark(value)
             words = set(re.split(r"[^a-z0-9]+", value))
-            never |= bool(words & _MARKS)
             inner |= bool(words & {"article", "main"}) or "post-content" in value or "entry-content" in value
-    return never, inner
+    return never, mark, inner
 
 
 def blocks(html: str) -> list[tuple[str, str]]:
     """(kind, text) of the blocks of a page in order; kind is inner, open or never.
 
     Markup may be broken: an end tag closes the nearest open element of its
-    name and what is open inside it, or nothing.
+    name and what is open inside it, or nothing. A class or id word around an
+    article or main element decides only if the page has another article that
+    no such word surrounds (as a list of comments beside the article has).
     """
     out: list[tuple[str, str]] = []
     text: list[tuple[str, str]] = []  # (kind, text) since the last block border
-    stack: list[tuple[str, bool, bool]] = []  # element, never, inner
-    never = inner = skip = 0
+    stack: list[tuple[str, int, int, int, int]] = []  # element, never, inner, marked, marked outside the article
+    never = inner = skip = marks = around = 0
 
     def flush() -> None:
         for kind in dict.fromkeys(k for k, _ in text):
@@ -98,7 +113,12 @@ def blocks(html: str) -> list[tuple[str, str]]:
 
     def add(t: str) -> None:
         if not skip:
-            text.append(("never" if never else "inner" if inner else "open", t))
+            kind = "inner" if inner else "open"
+            if never or marks > around:
+                kind = "never"
+            elif marks:
+                kind = "held"
+            text.append((kind, t))
 
     at, n = 0, len(html)
     while at < n:
@@ -120,26 +140,33 @@ def blocks(html: str) -> list[tuple[str, str]]:
         if m[1]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    for e, was_never, was_inner in stack[i:]:
+                    for e, was_never, was_inner, was_mark, was_around in reversed(stack[i:]):
                         never, inner, skip = never - was_never, inner - was_inner, skip - (e in _SKIP)
+                        marks, around = marks - was_mark, around - was_around
                     del stack[i:]
                     break
-                if stack[i][2] and name not in ("body", "html") or stack[i][1] and name not in _BLOCK:
+                if stack[i][2] and name not in ("body", "html") or (
+                        stack[i][1] or stack[i][3]) and name not in _BLOCK:
                     break  # a stray end tag closes no article, an inline one no section
         elif name in _RAW_END:
             close = _RAW_END[name].search(html, at)
             at = close.end() if close else n
         elif name not in _VOID:
             if name in ("p", "li") and stack and stack[-1][0] == name:
-                _, was_never, was_inner = stack.pop()
-                never, inner = never - was_never, inner - was_inner
-            is_never, is_inner = _marked(m[3])
+                _, was_never, was_inner, was_mark, was_around = stack.pop()
+                never, inner, marks, around = never - was_never, inner - was_inner, marks - was_mark, around - was_around
+            is_never, is_mark, is_inner = _marked(m[3])
             is_never |= name in _NEVER and not (name == "header" and inner)
-            is_inner = (is_inner or name in _INNER) and not is_never
-            stack.append((name, is_never, is_inner))
+            is_mark &= name not in _WHOLE
+            is_inner = (is_inner or name in _INNER) and not is_never and not is_mark
+            # the outermost article or main inside marked elements: their marks are around it
+            is_around = marks if name in _INNER and not is_never and not inner and marks > around else 0
+            stack.append((name, is_never, is_inner, is_mark, is_around))
             never, inner, skip = never + is_never, inner + is_inner, skip + (name in _SKIP)
+            marks, around = marks + is_mark, around + is_around
     flush()
-    return out
+    free = any(k == "inner" for k, _ in out)
+    return [("never" if free else "inner", t) if k == "held" else (k, t) for k, t in out]
 
 
 def repeated(ids: np.ndarray, stream: np.ndarray, page: np.ndarray, least: int) -> np.ndarray:

@@ -165,6 +165,16 @@ def test_blocks_of_a_messy_page():
     assert [t for k, t in got if k == "inner"] == ["T & u", "One two three", "tail", "4 < five"]
 
 
+def test_marks_around_an_article_do_not_empty_the_page():
+    for page in ('<body class="has-sidebar"><article><p>a b</article>', '<div class="content with-sidebar"><article>a b</article></div>',
+                 '<article class="post comments-open"><p>a b</article>', '<body class="sidebar"><main>a b</main>',
+                 '<div class="sidebar-layout"><div id=widget><article>a b</article></div><p>c</div>',
+                 '<div class="no-comments"><article><p>a b</p><div class="comments"><p>c</div></article></div>',
+                 '<article>a b</article><ol class="comments"><li><article>c d</article></ol>'):
+        assert [t for k, t in hosttext.blocks(page) if k == "inner"] == ["a b"]
+    assert [k for k, _ in hosttext.blocks('<div class="left-sidebar">x</div><div class="sidebar-open">y</div>')] == ["never", "open"]
+
+
 def test_host_strings_and_edges(spark):
     frame = "<body><ul><li>Home page</li><li>About us now</li></ul><p>%s</p><div>All rights are reserved here</div>"
     rows = [(i, f"http://h.com/{i}", frame % f"p{i} q{i} r{i} s{i}", 1) for i in range(6)]
