@@ -7,21 +7,23 @@ suffix array.
    (``open``). Scripts, styles, comments and hidden machinery are no text.
 2. The words of the blocks outside articles form the page's token stream. The
    streams of a host are concatenated and their suffixes sorted by prefix
-   doubling down to ``least`` words: neighbours that agree so far are an
+   doubling down to ``long_words`` words: neighbours that agree so far are an
    interval of the array, and an interval met on two distinct streams marks its
-   words as boilerplate. Every repeated string of ``least`` words or more is a
+   words as boilerplate. Every repeated string of ``long_words`` words or more is a
    union of such intervals' words. The pages of a larger host are dealt into
    chunks of about ``chunk_pages`` by a hash of the page, each with an array of
    its own, so that no host is one group; a string on one page in a hundred of
    a host repeats in nearly every chunk.
 3. A page with an article keeps its inner blocks. A page without one keeps the
    unique runs of its open blocks: words covered by the host's repeated strings
-   go, the rest stays.
+   go, and runs of whole blocks that are each repeated, ``least`` words or more
+   together (menus, notices); the rest stays, phrases in common included.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import numpy as np
@@ -33,7 +35,8 @@ from pyspark.sql import types as T
 from facetspark.llm.bpe import slices
 from facetspark.llm.common import col, on_arrow, small_batches, stored
 
-LEAST = 4
+LEAST = 4  # words of a run of repeated whole blocks
+LONG = 20  # words of a string that is repeated wherever it stands
 CHUNK_PAGES = 128
 BROADCAST_HOSTS = 50_000
 
@@ -198,19 +201,45 @@ def repeated(ids: np.ndarray, stream: np.ndarray, page: np.ndarray, least: int)
     return np.cumsum(edge[:n]) > 0
 
 
-def _chunk(streams: list[list[str]], least: int) -> list[list[bool]]:
-    """Which words of each stream are boilerplate of the chunk."""
+def _chunk(streams: list[list[str]], least: int, numbers: list[int] | None = None) -> list[list[bool]]:
+    """Which words of each stream are in strings that distinct streams share;
+    ``numbers`` tell which pages are distinct, by default the streams do."""
     number: dict[str, int] = {}
     kinds: dict[tuple[str, ...], int] = {}
     size = [len(s) for s in streams]
     ids = np.array([number.setdefault(w, len(number)) for s in streams for w in s], dtype=np.int64)
-    kind = np.array([kinds.setdefault(tuple(s), len(kinds)) for s in streams], dtype=np.int64)
+    if numbers is None:
+        numbers = [kinds.setdefault(tuple(s), len(kinds)) for s in streams]
+    kind = np.array(numbers, dtype=np.int64)
     hit = repeated(ids, np.repeat(kind, size), np.repeat(np.arange(len(streams)), size), least)
     return [x.tolist() for x in np.split(hit, np.cumsum(size)[:-1])]
 
 
+def _open_text(texts: list[str], kinds: str, times: list[int], hit: list[bool], least: int) -> list[str]:
+    """What stays of the open blocks of a page without an article: neither runs
+    of repeated whole blocks of ``least`` words or more, nor words of ``hit``.
+    ``times``: on how many pages each block is."""
+    size = [len(t.split()) for t in texts]
+    gone, i = [False] * len(texts), 0
+    while i < len(texts):
+        j = i
+        while j < len(texts) and times[j] > 1:
+            j += 1
+        if sum(size[i:j]) >= least:
+            gone[i:j] = [True] * (j - i)
+        i = max(j, i + 1)
+    kept, at = [], 0
+    for t, k, g, n in zip(texts, kinds, gone, size):
+        if k == "o" and not g:
+            run = [w for w, h in zip(t.split(), hit[at:at + n]) if not h]
+            if run:
+                kept.append(" ".join(run))
+        at += n
+    return kept
+
+
 def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-              least: int = LEAST, chunk_pages: int = CHUNK_PAGES) -> DataFrame:
+              least: int = LEAST, chunk_pages: int = CHUNK_PAGES, long_words: int = LONG) -> DataFrame:
     """One row (id, url, text, n_chars) per input row.
 
     Blocks are joined by two line feeds; white space inside a block is one
@@ -235,40 +264,35 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
         for batch in batches:
             for part in slices(batch, "html"):
                 found = [blocks(h) if h else [] for h in part.column(2).to_pylist()]
-                inner = ["\n\n".join([t for k, t in b if k == "inner"]) for b in found]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), part.column(3), part.column(4), pa.array(inner, pa.string()),
-                    pa.array([[] if i else [t for k, t in b if k == "open"] for i, b in zip(inner, found)],
-                             pa.list_(pa.string())),
-                    pa.array([[t for k, t in b if k == "never" or i and k == "open"] for i, b in zip(inner, found)],
-                             pa.list_(pa.string()))],
-                    names=["id", "url", "host", "chunk", "inner", "open", "other"])
+                    part.column(0), part.column(1), part.column(3), part.column(4),
+                    pa.array([[t for _, t in b] for b in found], pa.list_(pa.string())),
+                    pa.array(["".join([k[0] for k, _ in b]) for b in found], pa.string())],
+                    names=["id", "url", "host", "chunk", "blocks", "kinds"])
 
     def clean(t: pa.Table) -> pa.Table:
-        inner, opened, other = (t[c].to_pylist() for c in ("inner", "open", "other"))
         key = list(zip(t["host"].to_pylist(), t["chunk"].to_pylist()))
         first = [i for i in range(len(key)) if not i or key[i] != key[i - 1]]
-        texts = list(inner)
+        cut_, kinds, texts = t["blocks"].to_pylist(), t["kinds"].to_pylist(), []
         for s, e in zip(first, [*first[1:], len(key)]):
-            if not any(opened[s:e]):
-                continue
-            streams = [" ".join([*opened[i], *other[i]]).split() for i in range(s, e)]
-            for i, hit in zip(range(s, e), _chunk(streams, least)):
-                if opened[i]:
-                    kept, at = [], 0
-                    for block in opened[i]:
-                        words = block.split()
-                        run = [w for w, h in zip(words, hit[at:at + len(words)]) if not h]
-                        at += len(words)
-                        if run:
-                            kept.append(" ".join(run))
-                    texts[i] = "\n\n".join(kept)
+            number: dict[tuple[str, ...], int] = {}
+            numbers = [number.setdefault((kinds[i], *cut_[i]), len(number)) for i in range(s, e)]
+            times = Counter(b for page in number for b in set(page[1:]))
+            hits = [[]] * (e - s)
+            if any("i" not in kinds[i] and "o" in kinds[i] for i in range(s, e)):
+                hits = _chunk([[w for b, k in zip(cut_[i], kinds[i]) if k != "i" for w in b.split()]
+                               for i in range(s, e)], long_words, numbers)
+            for i, hit in zip(range(s, e), hits):
+                if "i" in kinds[i]:
+                    kept = [b for b, k in zip(cut_[i], kinds[i]) if k == "i"]
+                else:
+                    kept = _open_text(cut_[i], kinds[i], [times[b] for b in cut_[i]], hit, least)
+                texts.append("\n\n".join(kept))
         return pa.table([t["id"], t["url"], pa.array(texts, pa.string())], names=["id", "url", "text"])
 
     spec = T.StructType([schema["id"], schema["url"], T.StructField("host", T.StringType()),
-                         T.StructField("chunk", T.LongType()), T.StructField("inner", T.StringType()),
-                         T.StructField("open", T.ArrayType(T.StringType())),
-                         T.StructField("other", T.ArrayType(T.StringType()))])
+                         T.StructField("chunk", T.LongType()),
+                         T.StructField("blocks", T.ArrayType(T.StringType())), T.StructField("kinds", T.StringType())])
     done = pages.mapInArrow(cut, spec).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
         on_arrow(clean, keys), T.StructType([schema["id"], schema["url"], T.StructField("text", T.StringType())]))
     return done.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",

@@ -186,6 +186,15 @@ def test_host_strings_and_edges(spark):
         assert got[9] == got[10] == "" and got[None] == "alone" and len(got[11].split("\n\n")) == 9999
 
 
+def test_short_phrases_stay_in_sentences(spark):
+    long = " ".join(f"w{i}" for i in range(25))
+    rows = [(i, f"http://h.com/{i}", f"<ul><li>Home<li>About our site</ul><p>a{i} at the end of the day b{i}</p>"
+             f"<h2>Summary</h2><p>c{i} {long} d{i}") for i in range(3)]
+    got = hosttext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {
+        i: f"a{i} at the end of the day b{i}\n\nSummary\n\nc{i} d{i}" for i in range(3)}
+
+
 def brute_repeated(streams, least):
     at = {}
     for s in set(map(tuple, streams)):
