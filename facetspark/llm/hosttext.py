@@ -12,8 +12,10 @@ suffix array.
    words as boilerplate. Every repeated string of ``long_words`` words or more is a
    union of such intervals' words. The pages of a larger host are dealt into
    chunks of about ``chunk_pages`` by a hash of the page, each with an array of
-   its own, so that no host is one group; a string on one page in a hundred of
-   a host repeats in nearly every chunk.
+   its own, so that no host is one group. What repeats across chunks is found
+   by hashes of the strings of ``long_words`` words and of the whole blocks:
+   their distinct pages are counted over the host, and each chunk is sent those
+   of its own that a second page has. How a host is dealt changes no result.
 3. A page with an article keeps its inner blocks. A page without one keeps the
    unique runs of its open blocks: words covered by the host's repeated strings
    go, and runs of whole blocks that are each repeated, ``least`` words or more
@@ -22,6 +24,7 @@ suffix array.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from html import unescape
@@ -34,11 +37,13 @@ from pyspark.sql import types as T
 
 from facetspark.llm.bpe import slices
 from facetspark.llm.common import col, on_arrow, small_batches, stored
+from facetspark.llm.mixing import _mixed
 
 LEAST = 4  # words of a run of repeated whole blocks
 LONG = 20  # words of a string that is repeated wherever it stands
 CHUNK_PAGES = 128
 BROADCAST_HOSTS = 50_000
+BROADCAST_REPEATS = 1_000_000
 
 # fixed values: HTML elements without text, outside main text, and block-level
 _SKIP = frozenset("script style noscript template svg math iframe object canvas head title select option textarea "
@@ -215,6 +220,31 @@ def _chunk(streams: list[list[str]], least: int, numbers: list[int] | None = Non
     return [x.tolist() for x in np.split(hit, np.cumsum(size)[:-1])]
 
 
+def _hash(*parts: str) -> int:
+    """64 bits of the strings, the same in every process."""
+    text = "\0".join(parts).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
+def _windows(host: str, words: list[str], size: int, known: dict[str, int]) -> np.ndarray:
+    """A hash, by host, of each string of ``size`` words."""
+    n = len(words) - size + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.int64)
+    for w in words:
+        if w not in known:
+            known[w] = _hash(w)
+    ids = np.array([known[w] for w in words], dtype=np.int64).view(np.uint64)
+    out = np.full(n, np.uint64(_hash("window", host) & (2**64 - 1)))
+    for i in range(size):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + ids[i:i + n]
+    return _mixed(out).view(np.int64)
+
+
+def _outside(blocks_: list[str], kinds: str) -> list[str]:
+    return [w for b, k in zip(blocks_, kinds) if k != "i" for w in b.split()]
+
+
 def _open_text(texts: list[str], kinds: str, times: list[int], hit: list[bool], least: int) -> list[str]:
     """What stays of the open blocks of a page without an article: neither runs
     of repeated whole blocks of ``least`` words or more, nor words of ``hit``.
@@ -255,11 +285,36 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
         "host", F.ceil(F.col("count") / chunk_pages).alias("parts")))
     if large.count() <= BROADCAST_HOSTS:  # two short columns; more hosts are joined by a shuffle
         large = F.broadcast(large)
-    pages = pages.join(large, "host", "left").select("id", "url", "html", "host", F.coalesce(F.pmod(
-        F.xxhash64("id", "url"), F.col("parts")), F.lit(0)).alias("chunk"))
+    pages = pages.join(large, "host", "left").select(
+        "id", "url", "html", "host", F.coalesce(F.pmod(F.xxhash64("id", "url"), F.col("parts")), F.lit(0)).alias("chunk"),
+        F.col("parts").isNotNull().alias("dealt"))
     schema = pages.select("id", "url").schema
     keys = ["host", "chunk"]
 
+    def traces(batches):
+        """(hash, page, host, chunk) of the whole blocks and long strings of dealt pages."""
+        for batch in batches:
+            known: dict[str, int] = {}
+            for part in slices(batch, "html"):
+                for html, name, chunk in zip(*(part.column(c).to_pylist() for c in ("html", "host", "chunk"))):
+                    found = blocks(html) if html else []
+                    kinds, texts = "".join(k[0] for k, _ in found), [t for _, t in found]
+                    own = np.array([_hash("page", name), *{_hash("block", name, t) for t in texts}], dtype=np.int64)
+                    h = np.unique(np.concatenate([own, _windows(name, _outside(texts, kinds), long_words, known)]))
+                    n = len(h)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(h), pa.array(np.full(n, _hash(kinds, *texts))), pa.array([name] * n, pa.string()),
+                        pa.array(np.full(n, chunk))], names=["far", "page", "host", "chunk"])
+
+    # counted over the whole host, and sent to the chunks that have one
+    traced = pages.where("dealt").select("html", "host", "chunk").mapInArrow(
+        traces, "far long, page long, host string, chunk long")
+    twice = stored(traced.select("far", "page").distinct().groupBy("far").agg(
+        F.count(F.lit(1)).alias("times")).where("times > 1"))
+    if twice.count() <= BROADCAST_REPEATS:  # two numbers each; more are joined by a shuffle
+        twice = F.broadcast(twice)
+    sent = traced.select("far", "host", "chunk").join(twice, "far").distinct()
+
     def cut(batches):
         for batch in batches:
             for part in slices(batch, "html"):
@@ -267,33 +322,48 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), part.column(3), part.column(4),
                     pa.array([[t for _, t in b] for b in found], pa.list_(pa.string())),
-                    pa.array(["".join([k[0] for k, _ in b]) for b in found], pa.string())],
-                    names=["id", "url", "host", "chunk", "blocks", "kinds"])
+                    pa.array(["".join([k[0] for k, _ in b]) for b in found], pa.string()), part.column(5)],
+                    names=["id", "url", "host", "chunk", "blocks", "kinds", "dealt"])
 
     def clean(t: pa.Table) -> pa.Table:
         key = list(zip(t["host"].to_pylist(), t["chunk"].to_pylist()))
         first = [i for i in range(len(key)) if not i or key[i] != key[i - 1]]
-        cut_, kinds, texts = t["blocks"].to_pylist(), t["kinds"].to_pylist(), []
+        hashes, counts = t["far"].to_pylist(), t["times"].to_pylist()
+        all_blocks, all_kinds, dealt = (t[c].to_pylist() for c in ("blocks", "kinds", "dealt"))
+        rows, texts, known = [], [], {}
         for s, e in zip(first, [*first[1:], len(key)]):
+            host = key[s][0]
+            far = {hashes[i]: counts[i] for i in range(s, e) if hashes[i] is not None}
+            at = [i for i in range(s, e) if hashes[i] is None]
             number: dict[tuple[str, ...], int] = {}
-            numbers = [number.setdefault((kinds[i], *cut_[i]), len(number)) for i in range(s, e)]
+            numbers = [number.setdefault((all_kinds[i], *all_blocks[i]), len(number)) for i in at]
             times = Counter(b for page in number for b in set(page[1:]))
-            hits = [[]] * (e - s)
-            if any("i" not in kinds[i] and "o" in kinds[i] for i in range(s, e)):
-                hits = _chunk([[w for b, k in zip(cut_[i], kinds[i]) if k != "i" for w in b.split()]
-                               for i in range(s, e)], long_words, numbers)
-            for i, hit in zip(range(s, e), hits):
-                if "i" in kinds[i]:
-                    kept = [b for b, k in zip(cut_[i], kinds[i]) if k == "i"]
+            if at and dealt[at[0]]:
+                times = {b: far.get(_hash("block", host, b), 1) for b in times}
+            hits = [[]] * len(at)
+            if any("i" not in all_kinds[i] and "o" in all_kinds[i] for i in at):
+                streams = [_outside(all_blocks[i], all_kinds[i]) for i in at]
+                hits = _chunk(streams, long_words, numbers)
+                if dealt[at[0]]:
+                    marks = np.fromiter(far, np.int64, len(far))
+                    for i, words in enumerate(streams):
+                        for j in np.flatnonzero(np.isin(_windows(host, words, long_words, known), marks)):
+                            hits[i][j:j + long_words] = [True] * long_words
+            for i, hit in zip(at, hits):
+                if "i" in all_kinds[i]:
+                    kept = [b for b, k in zip(all_blocks[i], all_kinds[i]) if k == "i"]
                 else:
-                    kept = _open_text(cut_[i], kinds[i], [times[b] for b in cut_[i]], hit, least)
+                    kept = _open_text(all_blocks[i], all_kinds[i], [times[b] for b in all_blocks[i]], hit, least)
+                rows.append(i)
                 texts.append("\n\n".join(kept))
+        t = t.select(["id", "url"]).take(pa.array(rows, pa.int64()))
         return pa.table([t["id"], t["url"], pa.array(texts, pa.string())], names=["id", "url", "text"])
 
     spec = T.StructType([schema["id"], schema["url"], T.StructField("host", T.StringType()),
                          T.StructField("chunk", T.LongType()),
-                         T.StructField("blocks", T.ArrayType(T.StringType())), T.StructField("kinds", T.StringType())])
-    done = pages.mapInArrow(cut, spec).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+                         T.StructField("blocks", T.ArrayType(T.StringType())), T.StructField("kinds", T.StringType()),
+                         T.StructField("dealt", T.BooleanType())])
+    done = pages.mapInArrow(cut, spec).unionByName(sent, allowMissingColumns=True).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
         on_arrow(clean, keys), T.StructType([schema["id"], schema["url"], T.StructField("text", T.StringType())]))
     return done.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
                        F.length("text").cast("long").alias("n_chars"))

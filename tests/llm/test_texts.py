@@ -195,6 +195,15 @@ def test_short_phrases_stay_in_sentences(spark):
         i: f"a{i} at the end of the day b{i}\n\nSummary\n\nc{i} d{i}" for i in range(3)}
 
 
+def test_repeats_are_found_across_chunks(spark):
+    long = " ".join(f"w{i}" for i in range(22))
+    rows = [(i, f"http://h.com/{i}", f"<p>a{i} b{i}</p>" + ("<ul><li>One menu<li>of few pages</ul>" if i in (3, 40) else "")
+             + (f"<p>c{i} {long} d{i}" if i in (5, 77) else "")) for i in range(90)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = [{r.page_id: r.text for r in hosttext.main_text(df, chunk_pages=n).collect()} for n in (128, 2)]
+    assert got[0] == got[1] == {i: f"a{i} b{i}" + (f"\n\nc{i} d{i}" if i in (5, 77) else "") for i in range(90)}
+
+
 def brute_repeated(streams, least):
     at = {}
     for s in set(map(tuple, streams)):
