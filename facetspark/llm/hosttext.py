@@ -15,8 +15,9 @@ suffix array.
    its own, so that no host is one group. What repeats across chunks is found
    by hashes of the strings of ``long_words`` words and of the whole blocks:
    their distinct pages are counted over the host, and each chunk is sent those
-   of its own that a second page has. How a host is dealt changes no result.
-3. A page with an article keeps its inner blocks. A page without one keeps the
+   of its own that a second page has and that decide one of its texts. How a host is dealt changes no result.
+3. A page with an article keeps its inner blocks, but for runs of whole blocks
+   that at least half of the host's distinct pages have. A page without one keeps the
    unique runs of its open blocks: words covered by the host's repeated strings
    go, and runs of whole blocks that are each repeated, ``least`` words or more
    together (menus, notices); the rest stays, phrases in common included.
@@ -245,21 +246,34 @@ def _outside(blocks_: list[str], kinds: str) -> list[str]:
     return [w for b, k in zip(blocks_, kinds) if k != "i" for w in b.split()]
 
 
-def _open_text(texts: list[str], kinds: str, times: list[int], hit: list[bool], least: int) -> list[str]:
-    """What stays of the open blocks of a page without an article: neither runs
-    of repeated whole blocks of ``least`` words or more, nor words of ``hit``.
-    ``times``: on how many pages each block is."""
-    size = [len(t.split()) for t in texts]
-    gone, i = [False] * len(texts), 0
-    while i < len(texts):
+def _runs(size: list[int], often: list[bool], least: int) -> list[bool]:
+    """Which blocks are in runs of ``often`` ones of ``least`` words or more."""
+    gone, i = [False] * len(size), 0
+    while i < len(size):
         j = i
-        while j < len(texts) and times[j] > 1:
+        while j < len(size) and often[j]:
             j += 1
         if sum(size[i:j]) >= least:
             gone[i:j] = [True] * (j - i)
         i = max(j, i + 1)
+    return gone
+
+
+def _inner_text(texts: list[str], times: list[int], pages: int, least: int) -> list[str]:
+    """What stays of an article: not the runs of blocks that half of the host's
+    distinct ``pages``, three at least, have too; all of it if all would go."""
+    often = [2 * n >= pages and n >= 3 for n in times]
+    gone = _runs([len(t.split()) for t in texts], often, least)
+    return [t for t, g in zip(texts, gone) if not g or all(gone)]
+
+
+def _open_text(texts: list[str], kinds: str, times: list[int], hit: list[bool], least: int) -> list[str]:
+    """What stays of the open blocks of a page without an article: neither runs
+    of repeated whole blocks of ``least`` words or more, nor words of ``hit``.
+    ``times``: on how many pages each block is."""
+    size = [len(t.split()) for t in texts]
     kept, at = [], 0
-    for t, k, g, n in zip(texts, kinds, gone, size):
+    for t, k, g, n in zip(texts, kinds, _runs(size, [n > 1 for n in times], least), size):
         if k == "o" and not g:
             run = [w for w, h in zip(t.split(), hit[at:at + n]) if not h]
             if run:
@@ -292,7 +306,8 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     keys = ["host", "chunk"]
 
     def traces(batches):
-        """(hash, page, host, chunk) of the whole blocks and long strings of dealt pages."""
+        """(hash, page, host, chunk, need) of the whole blocks and long strings of
+        dealt pages; need: the page's own text depends on how often it is met."""
         for batch in batches:
             known: dict[str, int] = {}
             for part in slices(batch, "html"):
@@ -300,20 +315,23 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                     found = blocks(html) if html else []
                     kinds, texts = "".join(k[0] for k, _ in found), [t for _, t in found]
                     own = np.array([_hash("page", name), *{_hash("block", name, t) for t in texts}], dtype=np.int64)
+                    needed = [_hash("page", name), *(_hash("block", name, t) for k, t in zip(kinds, texts) if k == "i")]
                     h = np.unique(np.concatenate([own, _windows(name, _outside(texts, kinds), long_words, known)]))
                     n = len(h)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(h), pa.array(np.full(n, _hash(kinds, *texts))), pa.array([name] * n, pa.string()),
-                        pa.array(np.full(n, chunk))], names=["far", "page", "host", "chunk"])
+                        pa.array(np.full(n, chunk)),
+                        pa.array(np.isin(h, needed) if "i" in kinds else np.ones(n, dtype=bool))],
+                        names=["far", "page", "host", "chunk", "need"])
 
-    # counted over the whole host, and sent to the chunks that have one
+    # counted over the whole host, and sent to the chunks that need one
     traced = pages.where("dealt").select("html", "host", "chunk").mapInArrow(
-        traces, "far long, page long, host string, chunk long")
+        traces, "far long, page long, host string, chunk long, need boolean")
     twice = stored(traced.select("far", "page").distinct().groupBy("far").agg(
         F.count(F.lit(1)).alias("times")).where("times > 1"))
     if twice.count() <= BROADCAST_REPEATS:  # two numbers each; more are joined by a shuffle
         twice = F.broadcast(twice)
-    sent = traced.select("far", "host", "chunk").join(twice, "far").distinct()
+    sent = traced.where("need").select("far", "host", "chunk").join(twice, "far").distinct()
 
     def cut(batches):
         for batch in batches:
@@ -338,7 +356,9 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
             number: dict[tuple[str, ...], int] = {}
             numbers = [number.setdefault((all_kinds[i], *all_blocks[i]), len(number)) for i in at]
             times = Counter(b for page in number for b in set(page[1:]))
+            n_pages = len(number)
             if at and dealt[at[0]]:
+                n_pages = far.get(_hash("page", host), 1)
                 times = {b: far.get(_hash("block", host, b), 1) for b in times}
             hits = [[]] * len(at)
             if any("i" not in all_kinds[i] and "o" in all_kinds[i] for i in at):
@@ -351,7 +371,8 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                             hits[i][j:j + long_words] = [True] * long_words
             for i, hit in zip(at, hits):
                 if "i" in all_kinds[i]:
-                    kept = [b for b, k in zip(all_blocks[i], all_kinds[i]) if k == "i"]
+                    inner = [b for b, k in zip(all_blocks[i], all_kinds[i]) if k == "i"]
+                    kept = _inner_text(inner, [times[b] for b in inner], n_pages, least)
                 else:
                     kept = _open_text(all_blocks[i], all_kinds[i], [times[b] for b in all_blocks[i]], hit, least)
                 rows.append(i)

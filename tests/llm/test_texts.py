@@ -204,6 +204,18 @@ def test_repeats_are_found_across_chunks(spark):
     assert got[0] == got[1] == {i: f"a{i} b{i}" + (f"\n\nc{i} d{i}" if i in (5, 77) else "") for i in range(90)}
 
 
+def test_host_repeats_decide_inside_articles(spark):
+    page = "<nav>Home</nav><article><h1>t%d u%d</h1><p>Share this with your friends</p><p>a%d b%d</p>%s</article>"
+    rows = [(i, f"http://h.com/{i}", page % (i, i, i, i, "<p>said by two pages only</p>" if i < 2 else "")) for i in range(8)]
+    rows += [(i, "http://o.com", "<article><p>The same text on all of these</p><i>x</i>") for i in (20, 21)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for n in (128, 2):
+        got = {r.page_id: r.text for r in hosttext.main_text(df, chunk_pages=n).collect()}
+        assert got == {i: f"t{i} u{i}\n\na{i} b{i}" + ("\n\nsaid by two pages only" if i < 2 else "") for i in range(8)} | {
+            i: "The same text on all of these\n\nx" for i in (20, 21)}
+    assert hosttext.main_text(df.limit(0)).count() == 0
+
+
 def brute_repeated(streams, least):
     at = {}
     for s in set(map(tuple, streams)):
