@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from facetspark.session import ensure_checkpoint_dir
 
@@ -37,6 +38,18 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def row_key(df: DataFrame) -> list[Column]:
+    """__k1, __k2: 128 bits of all columns of a row. Rows that share them are
+    copies of each other, so that any of them may stand for the others."""
+    parts = []
+    for f in df.schema:
+        c = col(f.name)
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            c = F.to_json(F.struct(c), {"ignoreNullFields": "false"})
+        parts += [c, c.isNull()]  # a hash passes over nulls
+    return [F.xxhash64(F.lit(1), *parts).alias("__k1"), F.xxhash64(F.lit(2), *parts).alias("__k2")]
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` computed once, written to the shared checkpoint folder, lineage cut."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetspark.llm.common import WORD, col, running_start, stored
+from facetspark.llm.common import WORD, col, row_key, running_start, stored
 
 CHUNK_ROWS = 512
 
@@ -92,13 +92,15 @@ def draw_counts(p: np.ndarray, slots: int, seed: int, shard: int) -> np.ndarray:
 
 @dataclass
 class Mix:
-    """documents: __id, __source, __size, __sx, __start, __total, __target;
+    """documents: __id, __source, __size, __k1, __k2 (row key), __sx, __start,
+    __total, __target; columns: those of the table that was mixed;
     slots: shard, sx, epoch, block; pieces: sx, block, __start (of the
     document), __id, from, n (its words in the block)."""
 
     documents: DataFrame
     slots: DataFrame
     pieces: DataFrame
+    columns: list[str]
 
 
 def word_count(text: Column) -> Column:
@@ -112,13 +114,13 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
     A null text has no words; a null source is a source of its own, last in
     order. Rows with equal or null ids are packed like any other, in order of
-    (id, size). Wordless documents and empty tables give no blocks. ``most``
+    (id, size, row key). Wordless documents and empty tables give no blocks. ``most``
     is a whole number of passes in which no block repeats within a pass, so no
     document is used more than ``most`` times.
     """
     spark = df.sparkSession
     docs = stored(df.select(col(id_col).alias("__id"), col(source_col).alias("__source"),
-                            word_count(col(text_col)).alias("__size")))
+                            word_count(col(text_col)).alias("__size"), *row_key(df)))
     per = docs.groupBy("__source").agg(F.sum("__size"), F.count(F.lit(1))).collect()  # one row per source
     goal = targets([(r[0], r[1]) for r in per], list(weights), share, most)
     rows = sum(r[2] for r in per)
@@ -128,8 +130,10 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
         f"__sx int, s {dict(docs.dtypes)['__source']}, __total long, __target double, __blocks long")
     docs = docs.join(info, docs["__source"].eqNullSafe(info["s"])).drop("s", "__blocks")
     chunks = max(1, rows // CHUNK_ROWS)
-    docs = stored(running_start(docs, ["__sx"], F.pmod(F.xxhash64("__id", "__size"), F.lit(chunks)),
-                                [F.col("__id"), F.col("__size")], "__size", "__start"))
+    # rows without an id are dealt by their content, or those of one size would be one chunk
+    deal = F.when(F.col("__id").isNull(), F.col("__k1")).otherwise(F.xxhash64("__id", "__size"))
+    docs = stored(running_start(docs, ["__sx"], F.pmod(deal, F.lit(chunks)),
+                                [F.col(c) for c in ("__id", "__size", "__k1", "__k2")], "__size", "__start"))
 
     # slots each source should get: passes over it times its blocks
     want = np.array([t / n * b if n else 0.0 for (_, n, t), b in zip(goal, blocks)])
@@ -166,7 +170,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     stop = F.least((F.col("block") + 1) * block_words, F.col("__start") + F.col("__size"))
     pieces = pieces.select("sx", "block", "__start", "__id", (begin - F.col("__start")).alias("from"),
                            (stop - begin).alias("n"))
-    return Mix(docs, slots, pieces)
+    return Mix(docs, slots, pieces, df.columns)
 
 
 def taken(plan: Mix) -> DataFrame:
@@ -183,22 +187,23 @@ def taken(plan: Mix) -> DataFrame:
 def mixed_documents(df: DataFrame, plan: Mix, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with each text cut to the words that a pass of the mix takes, in
     their order, one row per document and pass (column ``__epoch``); documents
-    of which nothing is taken go. Words are joined by one space. Rows with
-    equal id and word count share one row that holds the words taken of all.
+    of which nothing is taken go. Words are joined by one space. ``df`` is the
+    table that was mixed; its rows are known by their whole content, so ids may
+    be null or repeated, and each of several equal rows has its own words.
     """
-    key = [F.coalesce(F.xxhash64(col(id_col)), F.lit(0)).alias("__k"), word_count(col(text_col)).alias("__n")]
+    if df.columns != plan.columns:
+        raise ValueError(f"the mixed table has columns {plan.columns}, this one {df.columns}")
     use = plan.slots.join(plan.pieces, ["sx", "block"])
-    d = plan.documents.select(F.col("__sx").alias("sx"), "__start", "__size")
+    d = plan.documents.select(F.col("__sx").alias("sx"), "__start", "__size", "__k1", "__k2")
     use = use.join(d.where("__size > 0"), ["sx", "__start"]).groupBy(
-        F.coalesce(F.xxhash64("__id"), F.lit(0)).alias("__k"), F.col("__size").alias("__n"),
-        F.col("epoch").alias("__epoch")).agg(
-        F.sort_array(F.collect_list(F.struct("__start", "from", "n"))).alias("__use"))
-    docs = df.select("*", *key).dropDuplicates(["__k", "__n"])
+        "sx", "__start", "__k1", "__k2", F.col("epoch").alias("__epoch")).agg(
+        F.sort_array(F.collect_list(F.struct("from", "n"))).alias("__use"))
+    docs = df.select("*", *row_key(df)).dropDuplicates(["__k1", "__k2"])
     split = F.split(F.regexp_replace(col(text_col), r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
     # the outer transform holds the words once; inside the inner one alone they would be split for every piece
     text = F.get(F.transform(F.array(split), lambda words: F.array_join(F.flatten(F.transform(
         "__use", lambda u: F.slice(words, (u["from"] + 1).cast("int"), u["n"].cast("int")))), " ")), 0)
-    out = docs.join(use, ["__k", "__n"])
+    out = docs.join(use, ["__k1", "__k2"])
     return out.select(*[text.alias(c) if c == text_col else col(c) for c in df.columns], "__epoch")
 
 

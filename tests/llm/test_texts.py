@@ -186,6 +186,28 @@ def test_host_strings_and_edges(spark):
         assert got[9] == got[10] == "" and got[None] == "alone" and len(got[11].split("\n\n")) == 9999
 
 
+def test_mixed_documents_without_ids(spark):
+    texts = [" ".join(f"{a}{i}" for i in range(40)) for a in "abcdef"]
+    rows = [(None, t, s, {"k": t[:1]}) for t, s in zip(texts, "xyxyxy")] + [(None, texts[0], "x", {"k": "a"})] * 2
+    rows += [(7, texts[1], "x", None), (7, texts[2], "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, more map<string,string>")
+    plan = mixing.mix(df, block_words=16)
+    got = mixing.mixed_documents(df, plan).collect()
+    used, want = Counter(), Counter()
+    for r in got:
+        used[r.doc_id, r.source, r.text.split()[0][0]] += len(r.text.split())
+        assert {w[0] for w in r.text.split()} == {r.text[0]} and (not r.more or r.more["k"] == r.text[0])
+        assert len(set(r.text.split())) == len(r.text.split())  # a pass takes a word once
+    copies = Counter((i, s, t[0]) for i, t, s, _ in rows)
+    assert set(used) == set(copies) and all(n <= 2 * 40 * copies[k] for k, n in used.items())
+    for r in mixing.taken(plan).collect():
+        want[r["__id"], r["__source"]] += r.taken
+    by = Counter()
+    for (i, s, _), n in used.items():
+        by[i, s] += n
+    assert by == want
+
+
 def test_short_phrases_stay_in_sentences(spark):
     long = " ".join(f"w{i}" for i in range(25))
     rows = [(i, f"http://h.com/{i}", f"<ul><li>Home<li>About our site</ul><p>a{i} at the end of the day b{i}</p>"
