@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetspark.llm.common import col, connected_components, min_labels, on_arrow, small_batches, stored, with_columns
+from facetspark.llm.common import col, connected_components, min_labels, on_arrow, row_key, small_batches, stored, with_columns
 
 FANOUT = 8
 LEAF = 1024
@@ -189,6 +189,19 @@ def fingerprint_links(fps: DataFrame, max_bits: int, leaf: int = LEAF) -> DataFr
             .select("mask", "key", "fp").mapInArrow(on_arrow(search, ["mask", "key"]), "a long, b long"))
 
 
+def _rooted(ids: DataFrame, shingle_words: int, max_bits: int, leaf: int) -> DataFrame:
+    """The columns of ``ids`` (__id, __text, others) but the text, with __fp,
+    __root (a fingerprint that names the component) and component_id."""
+    docs = stored(fingerprints(ids, "__text", shingle_words).drop("__text"))
+    per_fp = docs.groupBy("__fp").agg(F.min("__id").alias("__min"))
+    fps = per_fp.select(F.col("__fp").alias("fp"))
+    comp = connected_components(fingerprint_links(stored(fps), max_bits, leaf))
+    rooted = per_fp.join(comp, per_fp["__fp"] == comp["node"], "left").select(
+        "__fp", "__min", F.coalesce("root", "__fp").alias("__root"))
+    least = rooted.groupBy("__root").agg(F.min("__min").alias("component_id"))
+    return docs.join(rooted.join(least, "__root").select("__fp", "__root", "component_id"), "__fp")
+
+
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        shingle_words: int = 3, max_bits: int = 2, leaf: int = LEAF) -> DataFrame:
     """One row (id, fingerprint, component_id) per input row.
@@ -200,26 +213,25 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Other input columns are not carried, whatever their names.
     """
     ids = df.select(col(id_col).alias("__id"), col(text_col).alias("__text"))
-    docs = stored(fingerprints(ids, "__text", shingle_words).select("__id", "__fp"))
-    per_fp = docs.groupBy("__fp").agg(F.min("__id").alias("__min"))
-    fps = per_fp.select(F.col("__fp").alias("fp"))
-    comp = connected_components(fingerprint_links(stored(fps), max_bits, leaf))
-    rooted = per_fp.join(comp, per_fp["__fp"] == comp["node"], "left").select(
-        "__fp", "__min", F.coalesce("root", "__fp").alias("__root"))
-    least = rooted.groupBy("__root").agg(F.min("__min").alias("component_id"))
-    by_fp = rooted.join(least, "__root").select("__fp", "component_id")
-    out = docs.join(by_fp, "__fp")
+    out = _rooted(ids, shingle_words, max_bits, leaf)
     return out.select(F.col("__id").alias(id_col),
                       F.lower(F.lpad(F.hex("__fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   shingle_words: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``df`` that represent their component (smallest id), once each.
+    """The rows of ``df`` that represent their component, one of each: that of
+    the smallest id; of several rows with this id, the one of the smallest
+    fingerprint, then of the smallest hash of the row. Rows are known by their
+    whole content, so an id may be repeated.
 
     Rows without an id stay, as nothing tells them apart as documents.
     """
-    comp = simhash_components(df, id_col, text_col, shingle_words, max_bits)
-    keep = comp.where(col(id_col) == F.col("component_id")).select(col(id_col).alias("__keep")).distinct()
-    kept = df.join(keep, col(id_col) == F.col("__keep"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(df.where(col(id_col).isNull()))
+    key = row_key(df)
+    rows = _rooted(df.select(col(id_col).alias("__id"), col(text_col).alias("__text"), *key),
+                   shingle_words, max_bits, LEAF)
+    keep = rows.where(F.col("__id") == F.col("component_id")).groupBy("__root").agg(
+        F.min(F.struct("__fp", "__k1", "__k2")).alias("__one")).select("__one.__k1", "__one.__k2")
+    kept = df.where(col(id_col).isNotNull()).select("*", *key).join(
+        keep, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"])
+    return kept.select(*[col(c) for c in df.columns]).unionByName(df.where(col(id_col).isNull()))

@@ -71,6 +71,14 @@ def test_simhash_edge_rows(spark):
     assert simhash.simhash_dedup(df).where("doc_id is not null").count() == 1
 
 
+def test_dedup_with_repeated_ids(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(7, a, 1), (7, b, 2), (9, a, 3), (9, "c d e f g", 4), (3, "x y z u v", 5), (8, "x y z u v", 6), (8, b, 7)]
+    df = spark.createDataFrame(rows * 2, "doc_id long, text string, n int")
+    got = simhash.simhash_dedup(df.repartition(3)).collect()
+    assert sorted((r.doc_id, r.n) for r in got) == [(3, 5), (7, 1), (7, 2), (9, 4)]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(5, 5)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
