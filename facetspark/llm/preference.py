@@ -72,17 +72,23 @@ def format_pairs(df: DataFrame, chosen_col: str = "chosen", rejected_col: str =
         "rejected_text": _rendered(rest(b)), "rejected_mask": _mask(rest(b))})
 
 
-def reply_pairs(convs: DataFrame) -> DataFrame:
+def reply_pairs(convs: DataFrame, replyless: bool = False) -> DataFrame:
     """Pairs from single conversations: chosen is the conversation up to its
     last assistant turn, rejected the same with that turn's text replaced by
     the assistant's turn before it (a reply to something else; empty if there
-    is none). Conversations without an assistant turn give no pair."""
+    is none). Conversations without an assistant turn give no pair, or with
+    ``replyless`` a pair of two whole copies, all of it prompt."""
     t = F.col("turns")
     replies = F.filter(F.transform(t, lambda x, i: F.struct(i.alias("i"), x["role"].alias("role"), x["text"].alias(
         "text"))), lambda x: x["role"] == "assistant")
-    df = convs.select("*", replies.alias("__r")).where(F.size("__r") > 0)
-    last = F.element_at("__r", -1)["i"]
+    df = convs.select("*", replies.alias("__r"))
+    some = F.size("__r") > 0
+    if not replyless:
+        df = df.where(some)
+    last = F.get("__r", F.size("__r") - 1)["i"]
     wrong = F.when(F.size("__r") > 1, F.get("__r", F.size("__r") - 2)["text"]).otherwise(F.lit(""))
-    return df.select(*[col(c) for c in convs.columns if c != "turns"], F.slice(t, F.lit(1), last + 1).alias("chosen"),
-                     F.concat(F.slice(t, F.lit(1), last), F.array(F.struct(
-                         F.lit("assistant").alias("role"), wrong.alias("text")))).alias("rejected"))
+    chosen = F.slice(t, F.lit(1), last + 1)
+    rejected = F.concat(F.slice(t, F.lit(1), last), F.array(F.struct(
+        F.lit("assistant").alias("role"), wrong.alias("text"))))
+    return df.select(*[col(c) for c in convs.columns if c != "turns"], F.when(some, chosen).otherwise(t).alias("chosen"),
+                     F.when(some, rejected).otherwise(t).alias("rejected"))

@@ -157,6 +157,16 @@ def test_preference_pairs(spark):
     assert preference.format_pairs(preference.reply_pairs(preference.conversations(df.limit(0)))).count() == 0
 
 
+def test_conversations_without_a_reply(spark):
+    df = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "system", "b"), (2, 0, "user", "q"), (2, 1, "assistant", "r")],
+                               "conv_id long, turn long, role string, text string")
+    pairs = preference.reply_pairs(preference.conversations(df), replyless=True)
+    got = {r.conv_id: r for r in preference.format_pairs(pairs).collect()}
+    assert set(got) == {1, 2} and got[2].chosen_text and got[1].n_prompt_turns == 2
+    assert got[1].prompt == "<|im_start|>user\na<|im_end|>\n<|im_start|>system\nb<|im_end|>\n"
+    assert got[1].chosen_text == got[1].rejected_text == "" and got[1].chosen_mask == got[1].rejected_mask == []
+
+
 def test_blocks_of_a_messy_page():
     page = ('<title>t</title><div id=nav><li>A<li>B</div><article><h1>T &amp;\n u</h1><p>One <b>two<br>three</p> '
             '<span class="ad">buy</span> tail<p>4 &lt;<script>if(a<b){"</p>"}</script> five<aside>no</aside>'
