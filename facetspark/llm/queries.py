@@ -60,9 +60,11 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
-    count = {k: F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}")
-             for i, k in enumerate(pii.KINDS)}
-    return found.select("doc_id", *count.values(), F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"),
+    def count(kind: int) -> Column:  # F.filter gives a second parameter the position in the array
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"),
                         pii.spelled(F.col("found")).alias("spans"))
 
 
