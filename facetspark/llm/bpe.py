@@ -35,21 +35,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetspark.llm.common import col, small_batches, with_columns, worker_state
-from facetspark.llm.pieces import WHITE, Table, stops
+from facetspark.llm.pieces import Table, byte_letters, joined, text_counts, words
 
 ARC_CELLS = 300_000
 SLICE_BYTES = 4 << 20
 
 
-def byte_letters() -> list[str]:
-    """The printable letter of every byte in byte-level vocabularies: the
-    printable Latin-1 bytes stand for themselves, the others for the letters
-    from U+0100 on, in order."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = iter(range(0x100, 0x200))
-    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
-
-
 class Automaton:
     def __init__(self, ids: dict[str, int], merges: list[tuple[str, str]], word_end: str):
         self.ids, self.word_end = ids, word_end
@@ -161,7 +152,7 @@ class Encoder:
         split = next(p for p in s["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.letters = byte_letters()
-        self.table = Table()
+        self.table = Table(id_type=np.uint16 if self.automaton.size <= 1 << 16 else np.uint32)
 
     def chunk(self, text: str) -> list[int]:
         """Ids of a text, word by word."""
@@ -176,8 +167,8 @@ class Encoder:
                 found += self.automaton.path("".join([self.letters[b] for b in word.encode("utf-8", "replace")]))
         return found
 
-    def _words(self, words: list[bytes]) -> list[np.ndarray]:
-        return [np.array(self.chunk(w.decode("utf-8")), dtype="<u4") for w in words]
+    def _values(self, spans: list[bytes]) -> list[list[int]]:
+        return [self.chunk(s.decode("utf-8")) for s in spans]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each has.
@@ -185,21 +176,10 @@ class Encoder:
         White space separates words and has no ids; a stop or comma that ends
         a word is a word of its own.
         """
-        data = "\n".join([*texts, ""]).encode("utf-8")
-        b = np.frombuffer(data, dtype=np.uint8)
-        white = WHITE[b]
-        begin = ~white
-        begin[1:] &= white[:-1]
-        begin |= stops(b, white, np.zeros(0, dtype=np.int64))
-        start = np.flatnonzero(begin)
-        if not len(start):
-            return np.zeros(0, dtype="<u4"), np.zeros(len(texts), dtype=np.int64)
-        edge = np.flatnonzero(white | begin)
-        end = edge[np.searchsorted(edge, start, side="right")]
-        size = np.fromiter((len(t) if t.isascii() else len(t.encode("utf-8")) for t in texts), np.int64, len(texts))
-        ids, each = self.table.numbers(data, start, end, self._words)
-        return ids, np.bincount(np.searchsorted(np.cumsum(size + 1), start, side="right"), weights=each,
-                                minlength=len(texts)).astype(np.int64)
+        b, at = joined(texts)
+        start, end = words(b, at)
+        ids, n = self.table.numbers(b, start, end, self._values)
+        return ids, text_counts(start, n, at)
 
 
 def encoder(spec: str) -> Encoder:

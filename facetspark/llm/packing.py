@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetspark.llm.bpe import byte_letters, read_spec, slices
+from facetspark.llm.bpe import read_spec, slices
 from facetspark.llm.common import col, small_batches, worker_state
-from facetspark.llm.spans import Library
+from facetspark.llm.pieces import Library, byte_letters
 
 WINDOW = 4096
 END_ID = 2

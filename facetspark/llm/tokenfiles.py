@@ -18,7 +18,6 @@ live in the cluster's shared storage and a lost task is simply written again.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from dataclasses import dataclass
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 
 from facetspark.llm.bpe import read_spec, slices
 from facetspark.llm.common import col, running_start, small_batches, stored, worker_state
-from facetspark.llm.pieces import WHITE, Table, stops
+from facetspark.llm.pieces import Library
 from facetspark.session import scratch_dir
 
 MAGIC = b"PFR1"
@@ -38,8 +37,7 @@ BLOCK = 4096
 PERCENTILE = 0.95
 SEGMENT_IDS = 1 << 19
 END_ID = 2
-# white space beyond ASCII; texts with it are encoded as a whole
-_WIDE_SPACE = re.compile(r"[^\S\x00-\x7f]")
+TIE = 32
 
 
 def pack_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
@@ -90,79 +88,6 @@ def unpack(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     return np.concatenate(ids)[first - low * block:last - low * block]
 
 
-class Words:
-    """The tokenizers library behind the worker's bounded table of words."""
-
-    def __init__(self, spec: str):
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the task has one core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.feed = self._ids("\n")
-        self.table = Table()
-
-    def _ids(self, text: str) -> np.ndarray:
-        e = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
-        return np.array(e.ids, dtype="<u4")
-
-    def _words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of words; many at a time as lines of one text where a line feed
-        is sure to be a token of its own between them."""
-        found: list[np.ndarray | None] = [None] * len(words)
-        plain = [i for i, w in enumerate(words) if b"\n" not in w and w.strip() and not w[-1:].isspace()
-                 and not w[1:2].isspace() and (w[:1] == b" " or not w[:1].isspace())]
-        for k in range(0, len(plain), 2000):
-            part = plain[k:k + 2000]
-            ids = self._ids(b"\n".join([words[i] for i in part]).decode("utf-8"))
-            at = np.flatnonzero(ids == self.feed[0])
-            if len(self.feed) != 1 or len(at) != len(part) - 1:
-                raise ValueError("the vocabulary has no single token for a line feed")
-            for i, s, e in zip(part, [0, *(at + 1).tolist()], [*at.tolist(), len(ids)]):
-                found[i] = ids[s:e]
-        return [self._ids(w.decode("utf-8")) if x is None else x for w, x in zip(words, found)]
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after the other, and how many each has.
-
-        Texts are cut where pre-splitting always cuts: before a single space
-        and around a single line feed that touch no other white space, and
-        before a stop or comma that ends a word.
-        """
-        odd = {i: self._ids(t) for i, t in enumerate(texts) if _WIDE_SPACE.search(t)}
-        coded = [b"" if i in odd else t.encode("utf-8") for i, t in enumerate(texts)]
-        data = b"".join(coded)
-        size = np.fromiter(map(len, coded), np.int64, len(coded))
-        n = np.zeros(len(texts), dtype=np.int64)
-        ids = np.zeros(0, dtype="<u4")
-        if data:
-            full = size > 0
-            stop = np.cumsum(size)
-            first, last = (stop - size)[full], stop[full] - 1
-            b = np.frombuffer(data, dtype=np.uint8)
-            white = WHITE[b]
-            lone = white & ((b == 32) | (b == 10))
-            lone[1:] &= ~white[:-1]
-            lone[:-1] &= ~white[1:]
-            lone[first] = lone[last] = False
-            border = lone | stops(b, white, last)
-            border[1:] |= lone[:-1] & (b[:-1] == 10)
-            border[first] = True
-            start = np.flatnonzero(border)
-            ids, each = self.table.numbers(data, start, np.append(start[1:], len(b)), self._words)
-            n = np.bincount(np.searchsorted(stop, start, side="right"), weights=each,
-                            minlength=len(texts)).astype(np.int64)
-        if odd:
-            parts = np.split(ids, np.cumsum(n)[:-1])
-            for i, x in odd.items():
-                parts[i], n[i] = x, len(x)
-            ids = np.concatenate(parts)
-        return ids, n
-
-
 @dataclass
 class TokenFiles:
     """A written dataset: rows (shard, segment, ids, doc_ids, sizes, data)."""
@@ -181,7 +106,9 @@ class TokenFiles:
 def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
                  end_id: int = END_ID, to: str | None = None) -> TokenFiles:
     """Encode every whole text, append ``end_id`` and write the ids by
-    ascending id (null ids first; equal ids by text).
+    ascending id (null ids first; equal ids by the first ``TIE`` characters of
+    the text, then by a hash of it). Rows of one id, or without one, are dealt
+    over several tasks that way, and copies by their input partition.
 
     A null text is empty and still gets its end id. ``to``: the dataset's
     path, by default a new one in the shared checkpoint folder. Other columns
@@ -191,10 +118,11 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     to = to or scratch_dir(spark, "tokens")
     id_type = df.select(col(id_col)).schema[0].dataType
     rows = small_batches(df).select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    rows = rows.withColumns({"tie": F.substring("text", 1, TIE), "hash": F.xxhash64("text"), "part": F.spark_partition_id()})
+    rows = rows.repartitionByRange("id", "tie", "hash", "part").sortWithinPartitions("id", "tie", "hash")
 
     def run(batches):
-        words = worker_state(("words", hash(spec)), lambda: Words(spec))
+        words = worker_state(("library", hash(spec)), lambda: Library(spec))
         tail, held, ids_, segment, n = struct.pack("<I", end_id), [], [], 0, 0
         shard = None
 
@@ -210,8 +138,8 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             id_kind = batch.schema.field("id").type
             for part in slices(batch, "text"):
                 shard = part.column(2)[0].as_py()
-                ids, sizes = words.encode(part.column(1).to_pylist())
-                data = ids.tobytes()
+                ids, sizes = words.encode_bytes(part.column(1).to_pylist())
+                data = ids.astype("<u4").tobytes()
                 ends = 4 * np.cumsum(sizes)
                 for i, s, e in zip(part.column(0).to_pylist(), (ends - 4 * sizes).tolist(), ends.tolist()):
                     held.append(data[s:e] + tail)
