@@ -56,6 +56,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def delete_path(spark, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def with_columns(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     """``df`` plus result columns; an input column of the same name gives way."""
     taken = {n.lower() for n in new}

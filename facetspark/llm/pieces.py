@@ -24,7 +24,6 @@ _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _STOP = np.zeros(256, dtype=bool)
 _STOP[[44, 46]] = True
 
-# white space beyond ASCII; pre-splitting may join it with spaces around it
 _WIDE_SPACE = re.compile(r"[^\S\x00-\x7f]")
 
 # letters before this one are the same in every version of Unicode, and in normal form
@@ -46,6 +45,12 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+def wide_space(text: str) -> bool:
+    """Whether a text has white space beyond ASCII, which pre-splitting may
+    join with the spaces around it."""
+    return not text.isascii() and _WIDE_SPACE.search(text) is not None
+
+
 def joined(texts: list[str], before: str = "") -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of the texts one after the other, ``before`` in front of
     each, and where each begins (with the end of the last)."""
@@ -279,7 +284,7 @@ class Library:
     def encode_bytes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for byte-level vocabularies, which keep white space. Texts
         with white space beyond ASCII are encoded as a whole."""
-        wide = {i: self.whole(t) for i, t in enumerate(texts) if _WIDE_SPACE.search(t)}
+        wide = {i: self.whole(t) for i, t in enumerate(texts) if wide_space(t)}
         b, at = joined(["" if i in wide else t for i, t in enumerate(texts)] if wide else texts)
         start, end = pieces(b, at)
         ids, n = self.table.numbers(b, start, end, self.values)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetspark.llm import bpe, cosine, hosttext, langid, mixing, packing, pii, preference, quality, simhash, tokenfiles
+from facetspark.llm import alignment, bpe, cosine, hosttext, langid, mixing, packing, pii, preference, quality, simhash, tokenfiles
 from facetspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,6 +176,13 @@ def op10_host_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosttext.main_text(table(spark, sf_dir, "pages"))
 
 
+@register
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(
+        table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"), keep_groups=False,
+    ).withColumnRenamed("groups", "groups_sha256")
+
+
 @register
 def op13_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), window=4096, end_id=2)

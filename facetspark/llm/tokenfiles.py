@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetspark.llm.bpe import read_spec, slices
-from facetspark.llm.common import col, running_start, small_batches, stored, worker_state
+from facetspark.llm.common import col, delete_path, running_start, small_batches, stored, worker_state
 from facetspark.llm.pieces import Library
 from facetspark.session import scratch_dir
 
@@ -99,8 +99,7 @@ class TokenFiles:
         return self.spark.read.parquet(self.path)
 
     def delete(self) -> None:
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+        delete_path(self.spark, self.path)
 
 
 def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
