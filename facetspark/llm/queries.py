@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from facetspark.llm import alignment, bpe, cosine, hosttext, langid, mixing, packing, pii, preference, quality, simhash, tokenfiles
+from facetspark.llm import alignment, bpe, cosine, hosttext, langid, mixing, packing, pii, preference, quality, search, simhash, tokenfiles
 from facetspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,6 +176,31 @@ def op10_host_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hosttext.main_text(table(spark, sf_dir, "pages"))
 
 
+@register
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+ORACLE_SQL["op11_ranked_search"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents WHERE text IS NOT NULL),
+c AS (SELECT CAST(count(*) AS BIGINT) AS N, CAST(sum(len(ts)) AS BIGINT) AS L FROM d WHERE len(ts) > 0),
+p AS (SELECT doc_id, len(ts) AS n, unnest(ts) AS t FROM d),
+f AS (SELECT doc_id, n, t, count(*) AS tf FROM p GROUP BY doc_id, n, t),
+i AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+q AS (SELECT item_id, t, count(*) AS times FROM i GROUP BY item_id, t),
+w AS (SELECT f.t, CAST(floor(1000 * ln((2 * any_value(c.N) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM f, c WHERE f.t IN (SELECT t FROM q) GROUP BY f.t),
+s AS (SELECT q.item_id, f.doc_id, CAST(sum(q.times * w.w * ((1000000000 * f.tf) //
+          (1000 * f.tf + 12 * (100 - 25 + ((25 * f.n * c.N) // c.L))))) AS BIGINT) AS score
+      FROM q JOIN f ON f.t = q.t JOIN w ON w.t = q.t, c GROUP BY q.item_id, f.doc_id),
+r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
 @register
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned_documents(
