@@ -23,7 +23,6 @@ want of documents. Nothing is shuffled: memory is one stretch and one document.
 from __future__ import annotations
 
 import json
-from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,7 @@ from facetspark.llm.pieces import Library, byte_letters
 
 WINDOW = 4096
 END_ID = 2
-SENTENCE_COST, BREAK_COST, LEAST_GAP = 4, 12, 32
+SENTENCE_COST, BREAK_COST, LEAST_GAP = 4, 12, 64
 STRETCH = 1 << 18
 MARKS = ".!?…。！？"
 
@@ -75,31 +74,37 @@ def cheapest(at: np.ndarray, cost: np.ndarray, window: int) -> tuple[list[int],
     ``window`` apart."""
     place = np.full(int(at[-1]) + 1, -1, dtype=np.int64)
     place[at] = np.arange(len(at))
-    powers: list[list[int]] = [[] for _ in at]
-    size = 1
+    ends, starts, size = [], [], 1  # cuts a power of two apart
     while size <= window:
-        j = np.searchsorted(at, size)
-        i = place[at[j:] - size]
-        for k in np.flatnonzero(i >= 0).tolist():
-            powers[j + k].append(int(i[k]))
+        first = np.searchsorted(at, size)
+        i = place[at[first:] - size]
+        ends.append(first + np.flatnonzero(i >= 0))
+        starts.append(i[i >= 0])
         size *= 2
+    ends, starts = np.concatenate(ends), np.concatenate(starts)
+    order = np.argsort(ends, kind="stable")
+    upto = np.searchsorted(ends[order], np.arange(len(at)), side="right").tolist()
+    starts = starts[order].tolist()
     p, c = at.tolist(), cost.tolist()
     f, back = [0] * len(p), [0] * len(p)
-    queue = deque([(0, 0, 0)])  # f + place, place, candidate: ascending in all
+    keys, queue, head = [0], [0], 0  # f + place, ascending from head on, and the candidates
     for j in range(1, len(p)):
-        low = p[j] - window
-        while queue[0][1] < low:
-            queue.popleft()
-        key, _, best = queue[0]
-        least = key + window - p[j]
-        for i in powers[j]:
+        here = p[j]
+        while p[queue[head]] < here - window:
+            head += 1
+        best = queue[head]
+        least = keys[head] + window - here
+        for i in starts[upto[j - 1]:upto[j]]:
             if f[i] < least:
                 least, best = f[i], i
-        f[j], back[j] = least + c[j], best
-        key = f[j] + p[j]
-        while queue and queue[-1][0] > key:
+        f[j] = least = least + c[j]
+        back[j] = best
+        key = least + here
+        while len(keys) > head and keys[-1] > key:
+            keys.pop()
             queue.pop()
-        queue.append((key, p[j], j))
+        keys.append(key)
+        queue.append(j)
     return f, back
 
 
