@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetspark.llm.bpe import read_spec, slices
-from facetspark.llm.common import col, delete_path, small_batches, stored, worker_state
+from facetspark.llm.common import LEAN_PARQUET, col, delete_path, give_back, small_batches, stored, worker_state
 from facetspark.llm.pieces import Library, Table, byte_letters, joined, one_core, pieces, text_counts, wide_space
 from facetspark.session import scratch_dir
 
 BLOCK_PAIRS = 2_000_000  # of 24 bytes
-_SLICE = 1 << 20
+_SLICE = 1 << 19
 
 
 def byte_tokens(spec: str) -> list[bytes]:
@@ -239,14 +239,17 @@ def align(df: DataFrame, byte_path: str, piece_path: str, id_col: str = "doc_id"
                                            minlength=part.num_rows).astype(np.int64)
                 lists = [pa.ListArray.from_arrays(pa.array(ends), links[c].combine_chunks().cast(pa.int32()))
                          for c in "ab"]
-                yield pa.RecordBatch.from_arrays(
+                out = pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sides[0][1]), pa.array(sides[1][1]), pa.array(n_groups),
                      pa.array([x.decode() for x in said]), *lists],
                     names=["id", "n_a", "n_b", "n_groups", "groups", "a", "b"])
+                del sides, links, groups, said, doc, lists  # before the next slice's arrays
+                yield out
+            give_back()
 
     to = scratch_dir(spark, "links")
     rows.mapInArrow(run, f"id {id_type.simpleString()}, n_a long, n_b long, n_groups long, groups string, "
-                         "a array<int>, b array<int>").write.option("compression", "zstd").parquet(to)
+                         "a array<int>, b array<int>").write.options(**LEAN_PARQUET).parquet(to)
     docs = spark.read.parquet(to)
 
     def count(batches):

@@ -22,6 +22,10 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 BATCH_BYTES = "4m"
 
 
+# for tables between steps: a writer holds one row group in memory
+LEAN_PARQUET = {"compression": "zstd", "parquet.block.size": str(16 << 20)}
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Have whole texts go to Python in batches of a few MB. The session's
     default of 64 MB a batch, held by the JVM and by Python for every running
@@ -215,6 +219,7 @@ def give_back() -> None:
     import gc
 
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

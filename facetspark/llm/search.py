@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from facetspark.llm.bpe import slices
-from facetspark.llm.common import col, small_batches, stored
+from facetspark.llm.common import LEAN_PARQUET, col, small_batches, stored
 from facetspark.llm.pieces import ragged
 from facetspark.session import scratch_dir
 
@@ -215,7 +215,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, id_col: str = "doc_id"
         index = Index([r[0] for r in asked], [r[1] for r in asked])
         sent = spark.sparkContext.broadcast(index)
         to = scratch_dir(spark, "terms")
-        term_counts(docs, sent, id_col, text_col).write.option("compression", "zstd").parquet(to)
+        term_counts(docs, sent, id_col, text_col).write.options(**LEAN_PARQUET).parquet(to)
         counts = spark.read.parquet(to)
         n, size, df = corpus_figures(counts, len(index.number))
         weight = np.array([term_weight(n, int(x)) for x in df], dtype=np.int64)
