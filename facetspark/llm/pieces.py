@@ -89,8 +89,9 @@ def words(b: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     begin |= word_stops(b, at)
     edge = white | begin
     edge[first] = True
-    start, edges = np.flatnonzero(begin), np.append(np.flatnonzero(edge), len(b))
-    return start, edges[np.searchsorted(edges, start, side="right")]
+    edges = np.flatnonzero(edge)
+    starts = begin[edges]
+    return edges[starts], np.append(edges[1:], len(b))[starts]
 
 
 def pieces(b: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,9 +141,10 @@ class Table:
     def _find(self, low, high, size, name):
         """The entry of each span, -1 without one."""
         base = (name >> self.shift).astype(np.int64) & ~np.int64(WAYS - 1)
-        found = np.full(len(low), -1, dtype=np.int64)
-        left = np.arange(len(low))
-        for way in range(WAYS):
+        hit = (self.low[base] == low) & (self.high[base] == high) & (self.size[base] == size)
+        found = np.where(hit, base, -1)
+        left = np.flatnonzero(~hit)
+        for way in range(1, WAYS):
             at = base[left] + way
             hit = (self.low[at] == low[left]) & (self.high[at] == high[left]) & (self.size[at] == size[left])
             found[left[hit]] = at[hit]
@@ -179,8 +181,9 @@ class Table:
         size = np.minimum(end - start, LONGEST + 1).astype(np.int64)
         low, high, name = self._keys(b, start, size)
         entry, base = self._find(low, high, size.astype(np.uint8), name)
-        n = np.where(entry >= 0, self.count[entry], 0).astype(np.int64)
-        kept = self.ids[entry][np.arange(WIDTH) < n[:, None]]
+        n = np.where(entry >= 0, self.count[entry], np.uint8(0))
+        kept = self.ids[entry][np.arange(WIDTH, dtype=np.uint8) < n[:, None]]
+        n = n.astype(np.int64)
         miss = np.flatnonzero(entry < 0)
         if not len(miss):
             return kept.astype(np.uint32), n
