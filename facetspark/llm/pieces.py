@@ -28,6 +28,7 @@ _WIDE_SPACE = re.compile(r"[^\S\x00-\x7f]")
 
 # letters before this one are the same in every version of Unicode, and in normal form
 _PLAIN = "\u0250"
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which may begin a word
 
 LONGEST = 32  # bytes of a span that the table keeps
 WIDTH = 8  # ids of a span that the table keeps
@@ -231,12 +232,17 @@ def one_core() -> None:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 
 
+def _latin(word: str) -> bool:
+    return word.isalpha() and max(word) < _PLAIN
+
+
 class Library:
     """The tokenizers library behind a worker's table of spans.
 
     A new span of Latin letters (for byte-level vocabularies with a space or
-    line feed before them) is one pre-split word in normal form, so it goes to
-    the library's model at once; other new spans go through the whole of it.
+    line feed before them) is one pre-split word in normal form, and marks
+    behind it are another, so they go to the library's model at once; other new
+    spans go through the whole of it.
     """
 
     def __init__(self, spec: str, special: bool = True, bits: int = 20):
@@ -252,26 +258,36 @@ class Library:
         parts = kinds.get("normalizer") or {}
         self.lower = "Lowercase" in [p["type"] for p in parts.get("normalizers", [parts]) if p]
         self.byte_level = (kinds.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
         self.feed = self.whole("\n") if self.byte_level else []
         self.table = Table(bits, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def _made(self, letters: bytes) -> list[int]:
+        return [t.id for t in self.model.tokenize(letters.decode("latin-1").translate(self.letters))]
+
+    def _word(self, span: bytes) -> list[int] | None:
+        """Ids of a span that is one word of letters, else None."""
+        if self.byte_level:
+            lead, word = (span[:1], span[1:]) if span[:1] in (b" ", b"\n") else (b"", span)
+            if word.isalpha() or _latin(word.decode("utf-8")):
+                return self.feed + self._made(word) if lead == b"\n" else self._made(span)
+        elif self.lower:
+            if span.isalpha():
+                return self._made(span.lower())
+            word = span.decode("utf-8").lower()  # which may part a letter from its mark
+            if _latin(word):
+                return self._made(word.encode("utf-8"))
+        return None
+
     def _one(self, span: bytes) -> list[int]:
-        text = span.decode("utf-8")
-        word, before = text, []
-        if self.byte_level and text[:1] == "\n":
-            word, before = text[1:], self.feed
-        if self.lower:
-            word = word.lower()  # which may part a letter from its mark
-        letters = word[1:] if self.byte_level and word[:1] == " " and not before else word
-        if (self.byte_level or self.lower) and letters.isalpha() and max(letters) < _PLAIN:
-            coded = word.encode("utf-8") if not word.isascii() else None
-            word = "".join([self.letters[x] for x in coded]) if coded else word.replace(" ", self.letters[32])
-            return before + [t.id for t in self.model.tokenize(word)]
-        return self.whole(text)
+        head = span.rstrip(_MARKS)
+        ids = self._word(head)
+        if ids is None:
+            return self.whole(span.decode("utf-8"))
+        return ids + self._made(span[len(head):]) if len(head) < len(span) else ids
 
     def values(self, spans: list[bytes]) -> list[list[int]]:
         return [self._one(s) for s in spans]

@@ -15,7 +15,8 @@ def test_ids_equal_the_library(spark, sf001, name, special):
     lib, want = pieces.Library(read_spec(path), special=special, bits=10), Tokenizer.from_file(path)
     want.encode_special_tokens = not special
     encode = lib.encode_bytes if name.startswith("byte") else lib.encode_words
-    every = texts(spark, sf001)
+    every = texts(spark, sf001) + ["a### É%%% x--y İ! don't. it's, 'll? ª. Ⅷ! \n\nb... \nc?! _d_ e_ 1. 2a! a1! (f) <|g|> h<|endoftext|>!",
+                                   "ʰx! ŉ. ǆ, ß? ﬁ. Å. Å!", "<|endoftext|>.", "a\n!", "tail!\n"]
     for _ in range(2):  # the second time with a full table
         for k in range(0, len(every), 9):
             ids, n = encode(every[k:k + 9])
