@@ -15,8 +15,9 @@ Scale notes
   so a lost executor cannot make a re-run see different partitions. Ids are
   the position plus the number of rows in all earlier partitions (for a file
   scan: in all earlier files and file blocks); the counts read only these
-  columns, and the offsets table has one row per partition or file block
-  (bounded by their count, not the rows) and is broadcast.
+  columns (files as a number, not a path). They are summed in levels, so no
+  window holds them all, and their table, one row per partition or file
+  block, is stored, measured and broadcast only under the same bounds.
 * ``dense_index`` numbers the distinct keys with ``row_id`` (never a global
   window over rows) and joins the index back, broadcast only under the same
   measured bound.
@@ -25,11 +26,12 @@ Scale notes
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, DataType, LongType, MapType, StructField, StructType
 
 from facetspark.operators.stored import materialise as _store
 from facetspark.session import spread_target
@@ -42,6 +44,12 @@ _PID = "_fs_partition"
 _POS = "_fs_position"
 _FILE = "_fs_file"
 _BLOCK = "_fs_block"
+_NUMBER = "_fs_file_number"
+
+# Runs of rows that the driver adds up itself, and first keys (files, partitions)
+# whose runs one window of row-id offsets holds beyond that.
+DRIVER_RUNS = 20_000
+GROUP = 4096
 
 
 def _q(name: str) -> Column:
@@ -118,7 +126,9 @@ def sorted_for_ids(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame
 
 
 def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col: str = "id",
-           start: int = 1, materialise: bool = True, spread: int | str | None = None) -> DataFrame:
+           start: int = 1, materialise: bool = True, spread: int | str | None = None,
+           max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+           max_broadcast_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Prepend a contiguous, non-null long id: ``start, start+1, ...``.
 
     With ``order_by`` ids follow that order (ties in any order; see
@@ -137,6 +147,13 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
     group sort partitions differently in two separate plans. The output
     rows are not sorted; order by ``id_col`` when the order matters.
 
+    The runs of rows (one a partition, or a file block in a partition) are
+    counted. Up to ``DRIVER_RUNS`` of them, the driver adds them up and
+    broadcasts the offsets. More go to a stored table, measured as it is
+    written; their offsets are prefix sums in levels (``_offsets``), and meet
+    the rows in a broadcast join up to ``max_broadcast_rows`` runs and
+    ``max_broadcast_bytes``, in a shuffled join beyond.
+
     ``spread`` redistributes the numbered rows over that many partitions
     (``"auto"``: the default parallelism, when there are fewer partitions;
     with ``order_by`` it does nothing, the sort already spreads the rows)
@@ -144,12 +161,14 @@ def row_id(df: DataFrame, order_by: Sequence[str | Column] | None = None, id_col
     position it was numbered with, which travel with it, so a few large
     unsplittable inputs (multi-line CSV files) are written by every core.
     """
-    return _row_id(df, order_by, id_col, start, materialise, spread)[0]
+    return _row_id(df, order_by, id_col, start, materialise, spread,
+                   bounds=(max_broadcast_rows, max_broadcast_bytes))[0]
 
 
 def _row_id(df: DataFrame, order_by: Sequence[str | Column] | None, id_col: str, start: int,
-            materialise: bool, spread: int | str | None = None,
-            measure: bool = False) -> tuple[DataFrame, tuple[int, int] | None]:
+            materialise: bool, spread: int | str | None = None, measure: bool = False,
+            bounds: tuple[int, int] = (BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES),
+            ) -> tuple[DataFrame, tuple[int, int] | None]:
     """``row_id`` and, with ``measure``, the (rows, bytes) of the numbered rows
     taken in the same write (used for small key tables; a full table is not
     measured, which would cost a text conversion of every value)."""
@@ -171,29 +190,98 @@ def _row_id(df: DataFrame, order_by: Sequence[str | Column] | None, id_col: str,
     if materialise or order_by or spread or measure:
         numbered, size = _store(numbered, "row-id", measure=measure)
     run = [_PID, _FILE, _BLOCK] if source else [_PID]
-    sizes = numbered.groupBy(*run).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"),
-                                       F.max(_POS).alias("_last"))
-    earlier = Window.orderBy(_PID).rangeBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    if source:
-        # Rows of one file block that follow each other in one task are numbered
-        # by file; the check of that is a part of the same small table.
-        by_file = Window.orderBy(_FILE, _BLOCK, _PID).rowsBetween(Window.unboundedPreceding, -1)
-        in_order = F.min(F.col("_last") - F.col("_first") + 1 == F.col("_n")).over(Window.partitionBy())
-        offset = F.when(in_order, F.coalesce(F.sum("_n").over(by_file), F.lit(0)) - F.col("_first")).otherwise(offset)
-    # One row per partition or file block: bounded by their number, safe to broadcast.
-    offsets = sizes.select(*run, offset.alias("_offset"))
+    runs = _runs(numbered, run, _file_numbers(df) if source else None)
+    offsets = _few_offsets(runs, run, min(DRIVER_RUNS, bounds[0]))
+    if offsets is None:
+        runs, (n_runs, n_bytes) = _store(runs, "row-runs", measure=True)
+        small = n_runs <= bounds[0] and n_bytes <= bounds[1]
+        offsets = _offsets(runs, run)
+        offsets = F.broadcast(offsets) if small else offsets.hint("shuffle_hash")
     ident = (F.col("_offset") + F.col(_POS) + F.lit(start)).cast("long")
     # every term is present for every row; coalesce only declares it non-null
     ident = F.coalesce(ident, F.lit(start).cast("long")).alias(id_col)
-    return numbered.join(F.broadcast(offsets), run).select(ident, *cols), size
+    return numbered.join(offsets, run).select(ident, *cols), size
+
+
+def _runs(numbered: DataFrame, run: Sequence[str], files: DataFrame | None) -> DataFrame:
+    """Runs of rows: their keys, ``_n`` rows from position ``_first`` on, and
+    (``_k1``, ``_k2``), the order the runs are numbered in.
+
+    With ``files`` that is the number of the run's file, then its block, as long
+    as the rows of each block follow each other in one task and every file is
+    known; a run for which that fails has the flag ``_loose``.
+    """
+    runs = numbered.groupBy(*run).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"),
+                                      F.max(_POS).alias("_last"))
+    if files is None:
+        return runs.select(*run, "_n", F.lit(0).cast("long").alias("_first"), F.col(_PID).cast("long").alias("_k1"),
+                           F.lit(0).cast("long").alias("_k2"), F.lit(False).alias("_loose"))
+    loose = (F.col("_last") - F.col("_first") + 1 != F.col("_n")) | F.col(_NUMBER).isNull()
+    return runs.join(files, _FILE, "left").select(
+        *run, "_n", "_first", F.coalesce(F.col(_NUMBER), F.lit(0).cast("long")).alias("_k1"), F.col(_BLOCK).alias("_k2"),
+        loose.alias("_loose"))
+
+
+def _few_offsets(runs: DataFrame, run: Sequence[str], most: int) -> DataFrame | None:
+    """(run keys, _offset) for at most ``most`` runs, added up by the driver;
+    None if there are more."""
+    rows = runs.limit(most + 1).collect()
+    if len(rows) > most:
+        return None
+    if any(r["_loose"] for r in rows):
+        per: dict[int, int] = {}
+        for r in rows:
+            per[r[_PID]] = per.get(r[_PID], 0) + r["_n"]
+        starts = dict(zip(sorted(per), accumulate([0, *(per[k] for k in sorted(per))])))
+        found = [(*(r[k] for k in run), starts[r[_PID]]) for r in rows]
+    else:
+        rows.sort(key=lambda r: (r["_k1"], r["_k2"], r[_PID]))
+        before = accumulate([0, *(r["_n"] for r in rows)])
+        found = [(*(r[k] for k in run), b - r["_first"]) for r, b in zip(rows, before)]
+    schema = StructType([*(runs.schema[k] for k in run), StructField("_offset", LongType())])
+    return F.broadcast(runs.sparkSession.createDataFrame(found, schema))
+
+
+def _offsets(runs: DataFrame, run: Sequence[str]) -> DataFrame:
+    """(run keys, _offset): rows of all runs that come before, less the run's
+    first position.
+
+    A prefix sum in levels: runs are summed inside groups of ``GROUP`` values
+    of their first key, groups inside groups of groups, and those (one for 16
+    million files or partitions) by a join with the earlier ones.
+    """
+    if runs.where("_loose").limit(1).count():
+        # the rows have left their files' order: by partition and position, whole partitions as runs
+        per = runs.groupBy(_PID).agg(F.sum("_n").alias("_n"))
+        per = per.select(_PID, "_n", F.lit(0).cast("long").alias("_first"), F.col(_PID).cast("long").alias("_k1"),
+                         F.lit(0).cast("long").alias("_k2"))
+        return runs.select(*run).join(_levels(per, [_PID]), _PID).select(*run, "_offset")
+    return _levels(runs, run)
+
+
+def _levels(runs: DataFrame, run: Sequence[str]) -> DataFrame:
+    group = lambda k: F.floor(F.col("_k1") / F.lit(GROUP ** k)).cast("long")
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.withColumns({"_g1": group(1), "_g2": group(2)})
+    inside = runs.withColumn("_in", before(Window.partitionBy("_g1").orderBy("_k1", "_k2", _PID)))
+    groups = runs.groupBy("_g1", "_g2").agg(F.sum("_n").alias("_n"))
+    groups = groups.withColumn("_mid", before(Window.partitionBy("_g2").orderBy("_g1")))
+    # GROUP * GROUP files or partitions a row: one row but for huge inputs
+    tops = groups.groupBy("_g2").agg(F.sum("_n").alias("_n"))
+    upper = tops.select(F.col("_g2").alias("_over"), F.col("_n").alias("_more"))
+    bases = (tops.join(F.broadcast(upper), F.col("_over") < F.col("_g2"), "left")
+             .groupBy("_g2").agg(F.coalesce(F.sum("_more"), F.lit(0)).alias("_top")))
+    groups = groups.join(bases, "_g2").select("_g1", (F.col("_mid") + F.col("_top")).alias("_base"))
+    return inside.join(groups, "_g1").select(
+        *run, (F.col("_base") + F.col("_in") - F.col("_first")).alias("_offset"))
 
 
 def _file_columns(df: DataFrame) -> list[Column]:
-    """File path and block start of every row of a file scan; [] for other frames."""
+    """A hash of the file's path and the block start of every row of a file
+    scan; [] for other frames."""
     try:
         meta = df.metadataColumn("_metadata")
-        found = [F.coalesce(meta.getField("file_path"), F.lit("")).alias(_FILE),
+        found = [F.xxhash64(_plain_path(meta.getField("file_path"))).alias(_FILE),
                  F.coalesce(meta.getField("file_block_start"), F.lit(0)).alias(_BLOCK)]
         df.select(*found).schema
     except AnalysisException:
@@ -201,6 +289,20 @@ def _file_columns(df: DataFrame) -> list[Column]:
     return found
 
 
+def _file_numbers(df: DataFrame) -> DataFrame:
+    """(_FILE, _NUMBER): the files of a scan numbered by path. The list is the
+    one the driver holds to plan the scan."""
+    paths = sorted(set(df.inputFiles()), key=lambda p: p.encode("utf-8"))
+    named = df.sparkSession.createDataFrame(list(enumerate(paths)), "number long, path string")
+    numbers = named.select(F.xxhash64(_plain_path(F.col("path"))).alias(_FILE), F.col("number").alias(_NUMBER))
+    return F.broadcast(numbers) if len(paths) <= DRIVER_RUNS else numbers
+
+
+def _plain_path(path: Column) -> Column:
+    """Local paths come with one slash after the scheme or with three."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def _index(df: DataFrame, key: str, index_col: str, start: int) -> tuple[DataFrame, tuple[int, int]]:
     """Sorted distinct keys numbered from ``start``; the size is measured while
     the numbered keys are written (one row per key plus two int/long columns,

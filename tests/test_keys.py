@@ -119,3 +119,41 @@ def test_row_id_of_shuffled_scan_is_still_contiguous(spark, scratch):
     rows = spark.read.parquet(f"{scratch}/in").withColumnRenamed("id", "v").repartition(3)
     out = keys.row_id(rows).collect()
     assert sorted(r.id for r in out) == list(range(1, 1001)) and {r.v for r in out} == set(range(1000))
+
+
+def test_row_id_offsets_in_levels(spark, scratch, monkeypatch):
+    """Beyond the driver's bound: prefix sums in levels, joined by broadcast or shuffled by the measured size."""
+    monkeypatch.setattr(keys, "GROUP", 2)  # seven files: three levels
+    files = [("g", 0, 40), ("a", 40, 5), ("c", 45, 50), ("b", 95, 1), ("f", 96, 7), ("e", 103, 300), ("d", 403, 2)]
+    files.sort()
+    lo = 0
+    for name, _, n in files:
+        spark.range(lo, lo + n, 1, 1).write.parquet(f"{scratch}/in/part={name}")
+        lo += n
+    rows = spark.read.parquet(f"{scratch}/in").select(F.col("id").alias("v"), "part")
+    want = sorted(map(tuple, keys.row_id(rows).collect()))
+    assert [r[0] for r in want] == [r[1] + 1 for r in want] and len(want) == lo
+    monkeypatch.setattr(keys, "DRIVER_RUNS", 3)
+    levels = keys.row_id(rows)
+    shuffled = keys.row_id(rows, max_broadcast_rows=0)
+    for out, joins in ((levels, "BroadcastHashJoin"), (shuffled, "ShuffledHashJoin")):
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert joins in plan.split("\n+- ")[0] + plan[:plan.index("Window")]
+        # no window over everything: each is partitioned by a group
+        assert "Window [" in plan and "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, out.collect())) == want
+    # rows that left their files' order are numbered by partition on both sides
+    mixed = keys.row_id(rows.repartition(5), max_broadcast_rows=0)
+    assert sorted(r.id for r in mixed.collect()) == list(range(1, lo + 1))
+    ordered = keys.row_id(rows, order_by=["v"], max_broadcast_rows=0)
+    assert all(r.id == r.v + 1 for r in ordered.collect())
+
+
+def test_row_id_of_files_with_odd_names(spark, scratch):
+    for name, lo in (("a b", 0), ("a%2Fb", 10), ("é", 20)):
+        spark.range(lo, lo + 10, 1, 1).write.parquet(f"{scratch}/in/part={name}")
+    rows = spark.read.parquet(f"{scratch}/in").select(F.col("id").alias("v"))
+    got = {r.v: r.id for r in keys.row_id(rows).collect()}
+    assert sorted(got.values()) == list(range(1, 31))
+    for lo in (0, 10, 20):  # each file's rows follow each other
+        assert [got[lo + k] - got[lo] for k in range(10)] == list(range(10))
