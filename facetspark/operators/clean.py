@@ -6,9 +6,10 @@ lets the Parquet scan read only those columns.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -38,6 +39,10 @@ def typed(df: DataFrame, types: Mapping[str, DataType | str],
     and leaves the others as they are. Under ANSI mode a plain cast of bad text
     fails the whole job; ``try_cast`` keeps the job alive and the row.
     """
+    return df.withColumns(_conversions(types, strip_pattern))
+
+
+def _conversions(types: Mapping[str, DataType | str], strip_pattern: str | Mapping[str, str] | None) -> dict[str, Column]:
     out = {}
     for name, dtype in types.items():
         c = F.col(f"`{name}`")
@@ -45,7 +50,44 @@ def typed(df: DataFrame, types: Mapping[str, DataType | str],
         if pattern is not None:
             c = F.regexp_replace(F.trim(c.cast("string")), pattern, "")
         out[name] = c.try_cast(dtype)
-    return df.withColumns(out)
+    return out
+
+
+class Conversions:
+    """Per typed column, how many values there were and how many typing made
+    null. The numbers are there once the counted frame has been written (or
+    otherwise run to its end) for the first time; they come with that pass."""
+
+    def __init__(self, columns: Sequence[str]):
+        self.columns = list(columns)
+        self.observation = Observation(f"fs_{uuid.uuid4().hex}")
+
+    def counts(self) -> list[tuple[str, int, int, int]]:
+        """(column, rows, values, values made null); waits for the pass."""
+        got = self.observation.get
+        return [(c, int(got["rows"]), int(got[f"v{i}"] or 0), int(got[f"x{i}"] or 0)) for i, c in enumerate(self.columns)]
+
+    def report(self, spark) -> DataFrame:
+        """``counts`` as a table: (column, n_rows, n_values, n_lost), one row a typed column."""
+        return spark.createDataFrame(self.counts(), "column string, n_rows long, n_values long, n_lost long")
+
+
+def typed_counted(df: DataFrame, types: Mapping[str, DataType | str],
+                  strip_pattern: str | Mapping[str, str] | None = None) -> tuple[DataFrame, Conversions]:
+    """``typed``, and the account of what it made null.
+
+    The counts are observed in whatever pass uses the frame: no second scan.
+    An empty field (null) is no value; text such as ``"n/a"`` that is no
+    number is a value that is lost. A frame used twice counts its first pass.
+    """
+    found = Conversions(types)
+    source = {f"_fs_source{i}": F.col(f"`{name}`").isNotNull() for i, name in enumerate(types)}
+    out = df.withColumns(source).withColumns(_conversions(types, strip_pattern))
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    for i, name in enumerate(types):
+        had = F.col(f"_fs_source{i}")
+        metrics += [F.count_if(had).alias(f"v{i}"), F.count_if(had & F.col(f"`{name}`").isNull()).alias(f"x{i}")]
+    return out.observe(found.observation, *metrics).drop(*source), found
 
 
 def lower_case(df: DataFrame, *columns: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from facetspark.functions.expressions import percentage, safe_corr
+from facetspark.operators.stored import materialise
 
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
@@ -139,18 +140,34 @@ def correlations(df: DataFrame, pairs: Mapping[str, tuple[str, str]], by: str |
     return df.groupBy(*_all(_cols(by))).agg(*aggs)
 
 
+PIVOT_VALUES = 2_000
+
+
 def pivot_counts(df: DataFrame, row_key: str, pivot_column: str, values: Sequence | None = None,
-                 names: Sequence[str] | None = None) -> DataFrame:
+                 names: Sequence[str] | None = None, max_values: int = PIVOT_VALUES) -> DataFrame:
     """Counts per ``row_key`` with one column per value of ``pivot_column``.
 
     With ``values`` given this is one conditional aggregation (no extra pass
-    to find the values). Without it Spark's pivot first collects the distinct
-    values (an extra job). Missing combinations count 0 in both forms.
+    to find the values). Without it the values are found and counted in the
+    same aggregation, as long rows that are stored once; up to ``max_values``
+    of them become columns, in ascending order, a null value as ``null``. More
+    are an error, raised before anything is widened; ``counts`` gives the same
+    figures as rows. Missing combinations count 0 in both forms.
     """
     if values is None:
-        wide = df.groupBy(_quoted(row_key)).pivot(pivot_column).agg(F.count(F.lit(1)))
-        return wide.select(_quoted(row_key), *[F.coalesce(_quoted(c), F.lit(0)).alias(c)
-                                               for c in wide.columns if c != row_key])
+        cells = df.groupBy(_quoted(row_key).alias("_fs_row"), _quoted(pivot_column).alias("_fs_value")).agg(
+            F.count(F.lit(1)).alias("_fs_n"))
+        cells, _ = materialise(cells, "pivot-cells")
+        text = F.col("_fs_value").cast("string").alias("text")
+        found = cells.select("_fs_value", text).distinct().limit(max_values + 1).collect()
+        if len(found) > max_values:
+            raise ValueError(f"{pivot_column} has more than {max_values} values to make columns of; "
+                             "name the values, raise max_values, or take counts() as rows")
+        found.sort(key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0))
+        sums = [F.coalesce(F.sum(F.when(F.col("_fs_value").eqNullSafe(F.lit(r[0])), F.col("_fs_n"))), F.lit(0)).alias(
+            "null" if r[0] is None else r[1]) for r in found]
+        row = F.col("_fs_row").alias(row_key)
+        return cells.groupBy(row).agg(*sums) if sums else cells.select(row).distinct()
     labels = list(names) if names is not None else [str(v) for v in values]
     p = _quoted(pivot_column)
     aggs = [F.count(F.when(p == F.lit(v), F.lit(1))).alias(n) for v, n in zip(values, labels)]
@@ -192,6 +209,25 @@ def grouped_summary(df: DataFrame, sets: Sequence[Sequence[str]],
 
 FINEST_ROWS = "_fs_rows"
 
+# A finest summary pays if it has at most this share of the table's rows, and
+# no more groups than a few thousand tasks aggregate in memory.
+FINEST_SHARE = 0.2
+FINEST_GROUPS = 500_000_000
+
+
+def finest_pays(df: DataFrame, keys: Sequence[str], max_share: float = FINEST_SHARE,
+                max_groups: int = FINEST_GROUPS) -> bool:
+    """Whether one aggregation on all ``keys`` leaves few enough groups to roll
+    further results up from.
+
+    Measured in one pass over the key columns, with a sketch (5 % standard
+    error) instead of a shuffle: the combinations that occur, and the rows. A
+    table with few rows (a thousand groups or fewer) always goes.
+    """
+    row = df.agg(F.approx_count_distinct(F.xxhash64(*_all(list(keys))), 0.05).alias("groups"),
+                 F.count(F.lit(1)).alias("rows")).first()
+    return row["groups"] <= max(1000 if max_share > 0 else 0, min(max_groups, max_share * row["rows"]))
+
 
 def finest_summary(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str | Column] | Sequence[str] = (),
                    ) -> tuple[DataFrame, list[Column] | None]:
@@ -221,6 +257,6 @@ def measure_columns(measures: Mapping[str, str | Column] | Sequence[str]) -> dic
 
 
 __all__ = [
-    "correlations", "counts", "decade_profile", "finest_summary", "group_stats", "grouped_summary", "mean_profile",
+    "correlations", "counts", "decade_profile", "finest_pays", "finest_summary", "group_stats", "grouped_summary", "mean_profile",
     "measure_columns", "pivot_counts", "share_of_group",
 ]

@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import operator
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,6 +120,25 @@ def _by_mask(df: DataFrame, segments: Mapping[str, Column], ms: Mapping[str, Col
         *[F.when(F.col(c) > 0, F.col(s) / F.col(c)).alias(a) for a, s, c in zip(ms, sums, counts)], "_n")
 
 
+@dataclass(frozen=True)
+class _Profile:
+    """What a labelled profile was asked for."""
+
+    table: DataFrame
+    condition: Column
+    name: str
+    measures: Mapping[str, Column]
+    label: str
+    count_name: str | None
+
+    def shape(self) -> tuple:
+        return (id(self.table), self.label, self.count_name, tuple((a, str(c)) for a, c in self.measures.items()))
+
+
+# Lives as long as the profile's DataFrame does.
+_asked: WeakKeyDictionary[DataFrame, _Profile] = WeakKeyDictionary()
+
+
 def labelled_profile(df: DataFrame, condition: Column, name: str,
                      measures: Mapping[str, str | Column] | Sequence[str],
                      label: str = "tagged_as", count_name: str | None = None) -> DataFrame:
@@ -127,15 +148,50 @@ def labelled_profile(df: DataFrame, condition: Column, name: str,
     the Parquet scan.
     """
     tagged = df.where(condition).withColumn(label, F.lit(name))
-    return mean_profile(tagged, label, measures, count_name=count_name)
+    out = mean_profile(tagged, label, measures, count_name=count_name)
+    _asked[out] = _Profile(df, condition, name, measure_columns(measures), label, count_name)
+    return out
+
 
+def union_profiles(profiles: Sequence[DataFrame], share_scan: bool = True) -> DataFrame:
+    """UNION ALL of profiles by column name; differing columns raise an error.
 
-def union_profiles(profiles: Sequence[DataFrame]) -> DataFrame:
-    """UNION ALL of profiles by column name; differing columns raise an error."""
-    out = profiles[0]
+    Labelled profiles of one and the same table, with the same measures and
+    different labels, are answered together by ``segment_profile``: one masked
+    pass over the table instead of a scan each, with the same rows. Neighbours
+    in the list that belong together so share a pass; all others (frames that
+    ``labelled_profile`` did not make, repeated labels, another table object)
+    are united as they are, and ``share_scan=False`` unites all of them so.
+    """
+    if not profiles:
+        raise ValueError("no profile to unite")
+    columns = sorted(c.lower() for c in profiles[0].columns)
     for p in profiles[1:]:
-        out = out.unionByName(p)
-    return out
+        if sorted(c.lower() for c in p.columns) != columns:
+            raise ValueError(f"profiles differ in their columns: {profiles[0].columns} and {p.columns}")
+    parts: list[DataFrame] = []
+    for run in _neighbours(profiles) if share_scan else [[p] for p in profiles]:
+        asked = [_asked.get(p) for p in run]
+        if len(run) == 1:
+            parts += run
+            continue
+        first = asked[0]
+        parts.append(segment_profile(first.table, {a.name: a.condition for a in asked}, first.measures, label=first.label,
+                                     count_name=first.count_name))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _neighbours(profiles: Sequence[DataFrame]) -> list[list[DataFrame]]:
+    """The profiles in runs that one pass can answer."""
+    runs: list[list[DataFrame]] = []
+    for p in profiles:
+        mine = _asked.get(p)
+        last = [_asked.get(q) for q in runs[-1]] if runs else []
+        if mine and last and last[0] and last[0].shape() == mine.shape() and mine.name not in {a.name for a in last}:
+            runs[-1].append(p)
+        else:
+            runs.append([p])
+    return runs
 
 
 def segment_size(df: DataFrame, condition: Column, name: str = "n_rows") -> DataFrame:

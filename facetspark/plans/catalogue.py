@@ -605,6 +605,10 @@ SONG_TEXT_SQL = """
 def q_csv_typed_ingest(spark, sf):
     """Numbers as an export holds them (decimals, 1.0 flags, a unit suffix, junk)
     in multi-line CSV, through the song reader; no value that is a number is lost."""
+    return studies.read_songs(spark, _song_export(spark, sf)).toDF("title", "score", "loudness", "tempo", "flag")
+
+
+def _song_export(spark, sf) -> str:
     key, status = F.col("o_orderkey"), F.col("o_orderstatus")
     raw = read_table(spark, sf, "orders").select(
         F.concat(F.lit("order "), key, F.lit(',\n"live"')).alias("title"),
@@ -614,7 +618,52 @@ def q_csv_typed_ingest(spark, sf):
         F.when(status == "F", "1.0").when(status == "O", "0").otherwise("yes").alias("Good for Work/Study"))
     path = scratch_dir(spark, "songs_csv")
     write_csv(raw, path)
-    return studies.read_songs(spark, path).toDF("title", "score", "loudness", "tempo", "flag")
+    return path
+
+
+def _mixed_export(spark, sf) -> str:
+    """Orders as a multi-line CSV export with values of many kinds: whole
+    numbers, decimals, days, words, numbers with words among them, and text."""
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    raw = read_table(spark, sf, "orders").select(
+        key.alias("whole"), (F.col("o_custkey") % 100 + F.lit(0.25)).alias("decimal"),
+        F.concat(F.lit(2000) + key % 20, F.lit("-0"), F.lit(1) + key % 9, F.lit("-1"), key % 9).alias("day"),
+        F.when(status == "F", "true").otherwise("false").alias("yes_no"),
+        F.when(status == "P", "n/a").otherwise((key % 50).cast("string")).alias("mixed"),
+        F.when(key % 3 > 0, key % 7).alias("gaps"),
+        F.concat(F.lit('said "'), key, F.lit('",\nthen left')).alias("words"))
+    path = scratch_dir(spark, "mixed_csv")
+    write_csv(raw, path)
+    return path
+
+
+@query("csv_inferred_types", r"""
+    SELECT CAST(o_orderkey AS INTEGER) AS whole, CAST(o_custkey % 100 + 0.25 AS DOUBLE) AS decimal,
+           CAST((2000 + o_orderkey % 20) || '-0' || (1 + o_orderkey % 9) || '-1' || (o_orderkey % 9) AS DATE) AS day,
+           o_orderstatus = 'F' AS yes_no,
+           CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE CAST(o_orderkey % 50 AS VARCHAR) END AS mixed,
+           CAST(CASE WHEN o_orderkey % 3 > 0 THEN o_orderkey % 7 END AS INTEGER) AS gaps,
+           'said "' || o_orderkey || '",' || chr(10) || 'then left' AS words
+    FROM orders""")
+def q_csv_inferred_types(spark, sf):
+    """A mixed export read with inferred types: one more pass over the file
+    finds, per column, the narrowest type that holds every value."""
+    return read_csv(spark, _mixed_export(spark, sf), infer_schema=True)
+
+
+@query("csv_ingest_losses", f"""
+    WITH t AS ({SONG_TEXT_SQL})
+    SELECT 'Popularity' AS "column", count(*) AS n_rows, count(score) AS n_values,
+           count(score) - count(TRY_CAST(score AS DOUBLE)) AS n_lost FROM t
+    UNION ALL SELECT '{presets.LOUDNESS}', count(*), count(loudness),
+           count(loudness) - count(TRY_CAST(replace(loudness, ' dB', '') AS DOUBLE)) FROM t
+    UNION ALL SELECT 'Tempo', count(*), count(tempo), count(tempo) - count(TRY_CAST(tempo AS DOUBLE)) FROM t
+    UNION ALL SELECT 'Good for Work/Study', count(*), count(flag), count(flag) - count(TRY_CAST(flag AS DOUBLE)) FROM t""")
+def q_csv_ingest_losses(spark, sf):
+    """Values that typing an export makes null, per column, observed in the pass that writes it as Parquet."""
+    songs, found = studies.read_songs_counted(spark, _song_export(spark, sf))
+    write_parquet(songs, scratch_dir(spark, "songs_typed"))
+    return found.report(spark)
 
 
 @query("single_file_csv", """
@@ -729,5 +778,7 @@ COVERAGE: dict[str, tuple[str, ...]] = {
     "recased_columns": ("P1", "E1"),
     "pivot_counts_found": ("R14",),
     "row_id_many_files": ("K2", "K3"),
+    "csv_inferred_types": ("S1",),
+    "csv_ingest_losses": ("S1", "E11"),
     "segment_many": ("U2", "R6", "R13"),
 }

@@ -8,6 +8,7 @@ DataFrames (already written) so a caller can inspect them.
 Layout under ``out_root``::
 
     processed/songs.parquet                     the CSV export, typed, written once
+    processed/ingest_losses_csv/                per typed column: rows, values, values that typing made null
     processed/songs_with_id.parquet             with --with-ids, in its place: id (file order) + the typed export
     processed/cleaned_emotion_tempo.parquet     emotion, Tempo
     processed/tempo_by_emotion.parquet          group statistics (snappy)
@@ -200,8 +201,10 @@ def run_all(spark: SparkSession, songs_path: str, out_root: str,
         numbered = row_id_job(spark, songs_path, out_root, partitions)
         songs = numbered.drop("id")
     else:
-        raw = studies.read_songs(spark, songs_path, partitions=partitions)
+        raw, found = studies.read_songs_counted(spark, songs_path, partitions=partitions)
         songs = _through_parquet(raw, _p(out_root, "processed", "songs.parquet"))
+        # observed in that write: per typed column, the values that were no number
+        write_csv(found.report(spark).coalesce(1), _p(out_root, "processed", "ingest_losses_csv"))
     names = ["tempo", "popularity", "decade", "study"]
     fns = [tempo_by_emotion_job, partial(popularity_job, concurrent=concurrent),
            partial(decade_job, keep_all_columns=decade_all_columns), partial(study_job, concurrent=concurrent)]

@@ -51,10 +51,21 @@ def read_songs(spark, path, partitions: int | str | None = "auto") -> DataFrame:
     dropped by each study's complete-row step, instead of failing the job.
     Columns missing from the file are skipped.
     """
+    raw, types = _raw_songs(spark, path, partitions)
+    return clean.typed(raw, types, strip_pattern=UNIT_SUFFIX)
+
+
+def read_songs_counted(spark, path, partitions: int | str | None = "auto") -> tuple[DataFrame, clean.Conversions]:
+    """``read_songs``, and per typed column how many values typing makes null,
+    known once the first pass over the songs (the ingest's write) is done."""
+    raw, types = _raw_songs(spark, path, partitions)
+    return clean.typed_counted(raw, types, strip_pattern=UNIT_SUFFIX)
+
+
+def _raw_songs(spark, path, partitions: int | str | None) -> tuple[DataFrame, dict[str, str]]:
     raw = read_csv(spark, path, partitions=partitions)
     present = {c.lower() for c in raw.columns}
-    types = {c: t for c, t in song_types().items() if c.lower() in present}
-    return clean.typed(raw, types, strip_pattern=UNIT_SUFFIX)
+    return raw, {c: t for c, t in song_types().items() if c.lower() in present}
 
 
 def category_measure(raw: DataFrame, category: str = presets.EMOTION, measure: str = "Tempo",
@@ -158,8 +169,9 @@ def flag_table(raw: DataFrame, source_flag: str = "Good for Work/Study", flag: s
 def flag_profile(table: DataFrame, flag: str = "good_for_study",
                  measures: Mapping[str, str | Column] | None = None,
                  share_of: Sequence[str] = (presets.TIME_SIGNATURE, "key"),
-                 count_of: Sequence[str] = (presets.EMOTION,), one_pass: bool = True,
-                 store: bool = True) -> dict[str, DataFrame]:
+                 count_of: Sequence[str] = (presets.EMOTION,), one_pass: bool | str = "auto",
+                 store: bool = True, max_share: float = profile.FINEST_SHARE,
+                 max_groups: int = profile.FINEST_GROUPS) -> dict[str, DataFrame]:
     """Compare flag = 0 with flag = 1.
 
     * ``profile``: average of each measure per flag value.
@@ -170,20 +182,27 @@ def flag_profile(table: DataFrame, flag: str = "good_for_study",
     Rows without a flag are left out of every result. A column may be both in
     ``share_of`` and ``count_of``.
 
-    With ``one_pass`` (default) every result is rolled up from one aggregation
-    of ``table`` on the flag and all categories: a single scan however many
-    results. ``store`` writes that summary once to the shared checkpoint folder
-    (one job runs here), for callers that use several results; without it the
-    results are lazy and each computes it for itself. The summary has one row
-    per combination of flag and categories that occurs; for columns with many
-    values use ``one_pass=False``, where each result is its own lazy
-    aggregation over ``table``. Averages that are not double (decimal
-    measures) are always taken from ``table``, with Spark's own rounding.
+    In one pass every result is rolled up from one aggregation of ``table`` on
+    the flag and all categories: a single scan however many results. ``store``
+    writes that summary once to the shared checkpoint folder (one job runs
+    here), for callers that use several results; without it the results are
+    lazy and each computes it for itself. The summary has one row per
+    combination of flag and categories that occurs, which can come near the
+    rows of the table where the columns have many values. So ``one_pass="auto"``
+    takes it if it is sure to be small: by ``profile.finest_pays``, which
+    estimates the combinations from one pass over the key columns and compares
+    them with ``max_share`` of the rows and ``max_groups`` (with ``store``; a
+    lazy call runs no job and goes in one pass). Otherwise, and with
+    ``one_pass=False``, each result is its own lazy aggregation over ``table``.
+    Averages that are not double (decimal measures) are always taken from
+    ``table``, with Spark's own rounding. All forms give the same rows.
     """
     ms = measures if measures is not None else presets.SONG_MEASURES_BY_ALIAS
     table = table.where(F.col(f"`{flag}`").isNotNull())
     shared = {c.lower() for c in share_of}
     count_of = [c for c in count_of if c.lower() not in shared]
+    if one_pass == "auto" and (share_of or count_of):
+        one_pass = not store or profile.finest_pays(table, [flag, *share_of, *count_of], max_share, max_groups)
     if not one_pass or not (share_of or count_of):  # a single result: nothing to share
         out = {"profile": profile.mean_profile(table, flag, ms, order=True)}
         for c in share_of:

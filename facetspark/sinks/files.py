@@ -6,11 +6,13 @@ overwrite of the target folder, like the original jobs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from facetspark.operators.stored import delete, row_width
 from facetspark.sources.csv import CSV_OPTIONS
 
 # The CSV writer trims values by default; keep text exactly as it is.
@@ -55,8 +57,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     writer.parquet(path)
 
 
+# What one task may write for a single file: a million rows, 256 MiB of text.
+SINGLE_FILE_ROWS = 1_000_000
+SINGLE_FILE_BYTES = 256 << 20
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite",
-              **options: str) -> None:
+              max_rows: int = SINGLE_FILE_ROWS, max_bytes: int = SINGLE_FILE_BYTES, on_large: str = "parts",
+              **options: str) -> bool:
     """Write CSV with a header row, quoting and escaping as the reader expects.
 
     Values keep their leading and trailing spaces. A null is written as an
@@ -65,11 +73,40 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "
 
     ``single_file`` merges everything into one part file for a dashboard
     tool. It uses ``coalesce(1)``, which keeps the order of a sorted result
-    but also runs everything since the last shuffle in that one task, so use
-    it for aggregated (or sorted) results, not for row-level tables.
+    but also runs everything since the last shuffle in that one task, so it is
+    for aggregated (or sorted) results, and bounded: the task stops one row
+    beyond ``max_rows``, and rows and bytes are measured in that write. A
+    result beyond either bound is written again as part files by all tasks
+    (``on_large="parts"``), or removed and refused (``"error"``). Only
+    ``overwrite`` can be bounded; other modes take the bound as an error up
+    front, from a count.
+
+    Returns whether there is one file.
     """
-    out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).options(**CSV_WRITE_OPTIONS).options(**options).csv(path)
+    if on_large not in ("parts", "error"):
+        raise ValueError("on_large is 'parts' or 'error'")
+    write = lambda d, m: d.write.mode(m).options(**CSV_WRITE_OPTIONS).options(**options).csv(path)
+    if not single_file:
+        write(df, mode)
+        return False
+    if mode != "overwrite":  # what is there must not be written over twice
+        rows = df.limit(max_rows + 1).count()
+        if rows > max_rows and on_large == "error":
+            raise ValueError(f"more than {max_rows} rows for a single file")
+        write(df.coalesce(1) if rows <= max_rows else df, mode)
+        return rows <= max_rows
+    seen = Observation(f"fs_{uuid.uuid4().hex}")
+    one = df.coalesce(1).limit(max_rows + 1).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.sum(row_width(df.columns)).alias("bytes"))
+    write(one, mode)
+    got = seen.get
+    if got["rows"] <= max_rows and (got["bytes"] or 0) <= max_bytes:
+        return True
+    if on_large == "error":
+        delete(df.sparkSession, path)
+        raise ValueError(f"more than {max_rows} rows or {max_bytes} bytes for a single file")
+    write(df, mode)
+    return False
 
 
 def preview(df: DataFrame, n: int = 20, order_by: Sequence | None = None) -> DataFrame:

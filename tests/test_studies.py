@@ -259,3 +259,22 @@ def test_flag_profile_of_decimals_keeps_sparks_average(spark):
     assert one.keys() == each.keys()
     for name in one:
         assert one[name].collect() == each[name].collect(), name
+
+
+def test_flag_profile_measures_whether_one_pass_pays(spark, monkeypatch):
+    """Categories with nearly as many values as rows are aggregated one by one; both sides give the same rows."""
+    rows = spark.range(4000).selectExpr("cast(id % 2 as int) as f", "id as c", "id % 5 as d", "cast(id as double) as m")
+    taken = []
+    finest = studies.profile.finest_summary
+    monkeypatch.setattr(studies.profile, "finest_summary", lambda *a: taken.append(1) or finest(*a))
+    call = lambda **kw: studies.flag_profile(rows, "f", {"avg_m": "m"}, share_of=("c", "d"), count_of=(), **kw)
+    apart = call()
+    assert not taken
+    together = call(max_share=1.1)
+    assert taken == [1]
+    assert not studies.profile.finest_pays(rows, ["d"], max_groups=3, max_share=0) and studies.profile.finest_pays(rows, ["f", "d"])
+    studies.flag_profile(rows, "f", {"avg_m": "m"}, share_of=("d",), count_of=())
+    assert taken == [1, 1]
+    assert set(apart) == set(together)
+    for name in apart:
+        assert sorted(map(tuple, apart[name].collect())) == sorted(map(tuple, together[name].collect()))
