@@ -56,11 +56,12 @@ def pack_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
 def unpack_block(data: memoryview, n: int) -> np.ndarray:
     least, width, _, far = struct.unpack_from("<IBBH", data)
     body = -(-n * width // 8)
-    wide = 2 if width <= 16 else 4
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, body, 8), count=n * width, bitorder="little")
-    full = np.zeros((n, 8 * wide), dtype=np.uint8)
-    full[:, :width] = bits.reshape(n, width)
-    ids = np.packbits(full, axis=1, bitorder="little").reshape(-1).view(f"<u{wide}").astype("<u4")
+    # every value lies in the eight bytes from its first one on
+    held = np.zeros(body + 8, dtype=np.uint8)
+    held[:body] = np.frombuffer(data, np.uint8, body, 8)
+    bit = np.arange(n) * width
+    word = np.ndarray((body + 1,), "<u8", held, strides=(1,))[bit >> 3]
+    ids = (word >> (bit & 7).astype(np.uint64) & np.uint64((1 << width) - 1)).astype("<u4")
     places = np.frombuffer(data, "<u2", far, 8 + body)
     ids[places] = np.frombuffer(data, "<u4", far, 8 + body + 2 * far)
     return ids + np.uint32(least)

@@ -51,5 +51,5 @@ def test_empty_documents(spark, sf001):
 
 
 def test_registered():
-    assert {int(k[2:].split("_")[0]) for k in QUERIES if k != "pipeline"} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in QUERIES if k != "pipeline"} == set(range(1, 14))
     assert set(ORACLE_SQL) <= set(QUERIES) and len(corpus_pipeline.STAGES) == 5
