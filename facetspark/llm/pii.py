@@ -30,7 +30,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from facetspark.llm.common import col, stored
+from facetspark.llm.common import LEAN_PARQUET, col, stored
+from facetspark.session import scratch_dir
 
 KINDS = ("email", "ip", "card", "phone")
 # fixed values: the base patterns. Possessive loops and the guard against
@@ -259,10 +260,14 @@ def redacted(text: Column, found: Column) -> Column:
 def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with every span found in ``text_col`` replaced by its kind.
 
-    Needs no id and moves no text: a first pass trains the classifier, a
-    second one searches each text again and replaces. Null texts stay null.
+    Needs no id. Each text is searched once: rows and their candidate spans are
+    written together, the classifier trains on the spans (column pruning keeps
+    the texts out of that pass), and the stored rows are replaced. Null texts
+    stay null.
     """
-    texts = df.select(col(text_col).alias("__t"))
-    accept = span_classifier(stored(with_spans(texts, "__t", "spans").select("spans").where(F.size("spans") > 0)))
-    d = with_spans(df, text_col).withColumn("__found", accept(F.col("__spans")))
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "spans")
+    with_spans(df, text_col, "__spans").write.options(**LEAN_PARQUET).parquet(path)
+    held = spark.read.parquet(path)
+    accept = span_classifier(held.select(F.col("__spans").alias("spans")).where(F.size("spans") > 0))
+    d = held.withColumn("__found", accept(F.col("__spans")))
     return d.select(*[redacted(col(c), F.col("__found")).alias(c) if c == text_col else col(c) for c in df.columns])
