@@ -68,8 +68,8 @@ class Conversions:
         return [(c, int(got["rows"]), int(got[f"v{i}"] or 0), int(got[f"x{i}"] or 0)) for i, c in enumerate(self.columns)]
 
     def report(self, spark) -> DataFrame:
-        """``counts`` as a table: (column, n_rows, n_values, n_lost), one row a typed column."""
-        return spark.createDataFrame(self.counts(), "column string, n_rows long, n_values long, n_lost long")
+        """``counts`` as a table: (column_name, n_rows, n_values, n_lost), one row a typed column."""
+        return spark.createDataFrame(self.counts(), "column_name string, n_rows long, n_values long, n_lost long")
 
 
 def typed_counted(df: DataFrame, types: Mapping[str, DataType | str],

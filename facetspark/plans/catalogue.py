@@ -653,7 +653,7 @@ def q_csv_inferred_types(spark, sf):
 
 @query("csv_ingest_losses", f"""
     WITH t AS ({SONG_TEXT_SQL})
-    SELECT 'Popularity' AS "column", count(*) AS n_rows, count(score) AS n_values,
+    SELECT 'Popularity' AS column_name, count(*) AS n_rows, count(score) AS n_values,
            count(score) - count(TRY_CAST(score AS DOUBLE)) AS n_lost FROM t
     UNION ALL SELECT '{presets.LOUDNESS}', count(*), count(loudness),
            count(loudness) - count(TRY_CAST(replace(loudness, ' dB', '') AS DOUBLE)) FROM t

@@ -19,7 +19,7 @@ def test_typing_counts_what_it_makes_null(spark, scratch):
     back = spark.read.parquet(f"{scratch}/typed")
     assert sorted(map(str, back.collect())) == sorted(map(str, want.collect()))
     assert found.counts() == [("a", 5, 4, 2), ("b", 5, 4, 1)]  # "" and "abc", "n/a"
-    assert [tuple(r) for r in found.report(spark).orderBy("column").collect()] == found.counts()
+    assert [tuple(r) for r in found.report(spark).orderBy("column_name").collect()] == found.counts()
 
 
 def test_typing_counts_of_no_rows(spark):
