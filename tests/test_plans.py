@@ -42,7 +42,8 @@ def test_one_scan_per_question(spark, name):
     assert plan.count("FileScan") == 1, plan
 
 
-def test_union_form_scans_once_per_segment(spark):
-    """The original's form, kept as a registered query for comparison: one scan per segment."""
+def test_union_form_shares_one_scan(spark):
+    """Labelled profiles of one table are united in one masked pass; the form with a scan per segment
+    (``share_scan=False``) is held against it in tests/test_ingest_account.py."""
     plan = _final_plan(entry_module.queries()["segment_union"](spark, SF001))
-    assert plan.count("FileScan") == 4
+    assert plan.count("FileScan") == 1

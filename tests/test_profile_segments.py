@@ -103,7 +103,8 @@ def test_segment_profile_equals_union_form(spark):
     ms = {"avg_q": "l_quantity", "avg_p": "l_extendedprice"}
     one_pass = segments.segment_profile(li, _segs(), ms, count_name="n").collect()
     union = segments.union_profiles(
-        [segments.labelled_profile(li, c, name, ms, count_name="n") for name, c in _segs().items()]).collect()
+        [segments.labelled_profile(li, c, name, ms, count_name="n") for name, c in _segs().items()],
+        share_scan=False).collect()
     a = {r.tagged_as: r for r in one_pass}
     b = {r.tagged_as: r for r in union}
     assert set(a) == set(b) == {"returned", "returned open", "finished"}  # empty segment: no row
