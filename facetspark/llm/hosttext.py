@@ -11,13 +11,13 @@ suffix array.
    interval of the array, and an interval met on two distinct streams marks its
    words as boilerplate. Every repeated string of ``long_words`` words or more is a
    union of such intervals' words. The pages of a larger host are dealt into
-   chunks of about ``chunk_pages`` by a hash of the page, each with an array of
+   chunks of about ``chunk_pages`` by a hash of the page and its input partition, each with an array of
    its own, so that no host is one group. What repeats across chunks is found
    by hashes of the strings of ``long_words`` words and of the whole blocks:
    their distinct pages are counted over the host, and each chunk is sent those
    of its own that a second page has and that decide one of its texts. How a host is dealt changes no result.
 3. A page with an article keeps its inner blocks, but for runs of whole blocks
-   that at least half of the host's distinct pages have. A page without one keeps the
+   that at least half of the host's distinct pages have; its headings stay. A page without one keeps the
    unique runs of its open blocks: words covered by the host's repeated strings
    go, and runs of whole blocks that are each repeated, ``least`` words or more
    together (menus, notices); the rest stays, phrases in common included.
@@ -43,8 +43,8 @@ from facetspark.llm.mixing import _mixed
 LEAST = 4  # words of a run of repeated whole blocks
 LONG = 20  # words of a string that is repeated wherever it stands
 CHUNK_PAGES = 128
-BROADCAST_HOSTS = 50_000
-BROADCAST_REPEATS = 1_000_000
+BROADCAST_HOSTS = 50_000  # rows of two short columns
+BROADCAST_REPEATS = 1_000_000  # rows of two numbers
 
 # fixed values: HTML elements without text, outside main text, and block-level
 _SKIP = frozenset("script style noscript template svg math iframe object canvas head title select option textarea "
@@ -54,6 +54,8 @@ _INNER = frozenset("article main".split())
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre "
                    "section summary table tbody td tfoot th thead tr ul".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_FOREIGN = frozenset("math svg".split())  # these may close themselves
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 # words of class and id values that mark an element as outside the main text
@@ -62,6 +64,13 @@ _MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor spon
                    "cookie cookies consent notice notices alert popup modal overlay newsletter subscribe subscription "
                    "signup login comment comments disqus respond reply replies footer header masthead toolbar pagination "
                    "copyright legal skip hidden".split())
+# a mark counts as a whole value, or beside these only: in related-work or legal-analysis it names a subject
+_CHROME = frozenset("area article articles bar block bottom box btn button buttons center cell col column container "
+                    "desktop dropdown entry fixed form global group icon icons inner item items js label large layout "
+                    "left link links list main message mobile nav outer page panel post posts primary right row "
+                    "secondary section site slot small sticky stories strip tab tabs theme title toggle top ui unit "
+                    "wp wrap wrapper".split())
+_STORY = frozenset("article entry post story".split())  # their header is a part of the text
 # a mark beside one of these names a state or a layout, as has-sidebar and comments-open do
 _BEFORE = frozenset("has with without no not is non".split())
 _AFTER = frozenset("open opened closed enabled disabled on off allowed".split())
@@ -74,11 +83,19 @@ _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
+_SIZE = re.compile(r"[0-9]+(?:x[0-9]+)?")
+
+
 def _is_mark(value: str) -> bool:
     for token in value.split():
         words = [w for w in re.split(r"[^a-z0-9]+", token) if w]
-        if words and words[0] not in _BEFORE and words[-1] not in _AFTER and any(
-                w in _MARKS and words[i - 1] not in _BEFORE for i, w in enumerate(words)):
+        if not words or words[0] in _BEFORE or words[-1] in _AFTER:
+            continue
+        if "header" in words and _STORY & set(words):
+            continue
+        if words[:2] == ["skip", "to"] or any(
+                w in _MARKS and words[i - 1] not in _BEFORE for i, w in enumerate(words)) and all(
+                w in _MARKS or w in _CHROME or _SIZE.fullmatch(w) for w in words):
             return True
     return False
 
@@ -101,30 +118,39 @@ def _marked(attrs: str) -> tuple[bool, bool, bool]:
 
 
 def blocks(html: str) -> list[tuple[str, str]]:
-    """(kind, text) of the blocks of a page in order; kind is inner, open or never.
+    """(kind, text) of the blocks of a page in order; kind is inner, open or never."""
+    return [("inner" if k == "title" else k, t) for k, t in parsed(html)]
+
+
+def parsed(html: str) -> list[tuple[str, str]]:
+    """``blocks`` whose headings inside an article are of a kind ``title``.
 
     Markup may be broken: an end tag closes the nearest open element of its
     name and what is open inside it, or nothing. A class or id word around an
     article or main element decides only if the page has another article that
-    no such word surrounds (as a list of comments beside the article has).
+    no such word surrounds (as a list of comments beside the article has). If
+    class and id words would leave a page without any text, they do not count.
     """
     out: list[tuple[str, str]] = []
     text: list[tuple[str, str]] = []  # (kind, text) since the last block border
     stack: list[tuple[str, int, int, int, int]] = []  # element, never, inner, marked, marked outside the article
     never = inner = skip = marks = around = 0
+    heading = False
 
     def flush() -> None:
         for kind in dict.fromkeys(k for k, _ in text):
             t = " ".join("".join([t for k, t in text if k == kind]).split())
             if t:
-                out.append((kind, t))
+                out.append(("title" if heading and kind == "inner" else kind, t))
         text.clear()
 
     def add(t: str) -> None:
         if not skip:
             kind = "inner" if inner else "open"
-            if never or marks > around:
+            if never:
                 kind = "never"
+            elif marks > around:
+                kind = "marked"
             elif marks:
                 kind = "held"
             text.append((kind, t))
@@ -146,6 +172,7 @@ def blocks(html: str) -> list[tuple[str, str]]:
             continue
         if name in _BLOCK:
             flush()
+            heading = name in _HEADINGS and not m[1]
         if m[1]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
@@ -160,7 +187,7 @@ def blocks(html: str) -> list[tuple[str, str]]:
         elif name in _RAW_END:
             close = _RAW_END[name].search(html, at)
             at = close.end() if close else n
-        elif name not in _VOID:
+        elif name not in _VOID and not (name in _FOREIGN and m[3].endswith("/")):
             if name in ("p", "li") and stack and stack[-1][0] == name:
                 _, was_never, was_inner, was_mark, was_around = stack.pop()
                 never, inner, marks, around = never - was_never, inner - was_inner, marks - was_mark, around - was_around
@@ -174,8 +201,14 @@ def blocks(html: str) -> list[tuple[str, str]]:
             never, inner, skip = never + is_never, inner + is_inner, skip + (name in _SKIP)
             marks, around = marks + is_mark, around + is_around
     flush()
-    free = any(k == "inner" for k, _ in out)
-    return [("never" if free else "inner", t) if k == "held" else (k, t) for k, t in out]
+    free = any(k in ("inner", "title") for k, _ in out)
+    bare = not any(k in ("inner", "title", "held", "open") for k, _ in out)
+    what = {"held": "never" if free else "inner", "marked": "open" if bare else "never"}
+    return [(what.get(k, k), t) for k, t in out]
+
+
+def _article(kinds: str) -> bool:
+    return "i" in kinds or "t" in kinds
 
 
 def repeated(ids: np.ndarray, stream: np.ndarray, page: np.ndarray, least: int) -> np.ndarray:
@@ -243,7 +276,7 @@ def _windows(host: str, words: list[str], size: int, known: dict[str, int]) -> n
 
 
 def _outside(blocks_: list[str], kinds: str) -> list[str]:
-    return [w for b, k in zip(blocks_, kinds) if k != "i" for w in b.split()]
+    return [w for b, k in zip(blocks_, kinds) if k not in "it" for w in b.split()]
 
 
 def _runs(size: list[int], often: list[bool], least: int) -> list[bool]:
@@ -259,12 +292,14 @@ def _runs(size: list[int], often: list[bool], least: int) -> list[bool]:
     return gone
 
 
-def _inner_text(texts: list[str], times: list[int], pages: int, least: int) -> list[str]:
+def _inner_text(texts: list[str], kinds: str, times: list[int], pages: int, least: int) -> list[str]:
     """What stays of an article: not the runs of blocks that half of the host's
-    distinct ``pages``, three at least, have too; all of it if all would go."""
-    often = [2 * n >= pages and n >= 3 for n in times]
+    distinct ``pages``, three at least, have too; headings always, and all of
+    it if all else would go."""
+    often = [k != "t" and 2 * n >= pages and n >= 3 for k, n in zip(kinds, times)]
     gone = _runs([len(t.split()) for t in texts], often, least)
-    return [t for t, g in zip(texts, gone) if not g or all(gone)]
+    none = all(g or k == "t" for g, k in zip(gone, kinds))
+    return [t for t, g in zip(texts, gone) if not g or none]
 
 
 def _open_text(texts: list[str], kinds: str, times: list[int], hit: list[bool], least: int) -> list[str]:
@@ -283,7 +318,8 @@ def _open_text(texts: list[str], kinds: str, times: list[int], hit: list[bool],
 
 
 def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-              least: int = LEAST, chunk_pages: int = CHUNK_PAGES, long_words: int = LONG) -> DataFrame:
+              least: int = LEAST, chunk_pages: int = CHUNK_PAGES, long_words: int = LONG,
+              broadcast_hosts: int = BROADCAST_HOSTS, broadcast_repeats: int = BROADCAST_REPEATS) -> DataFrame:
     """One row (id, url, text, n_chars) per input row.
 
     Blocks are joined by two line feeds; white space inside a block is one
@@ -294,13 +330,14 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     host = F.lower(F.regexp_extract(F.coalesce(col(url_col), F.lit("")),
                                     r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)", 1))
     pages = small_batches(df).select(col(id_col).alias("id"), col(url_col).alias("url"), col(html_col).alias("html"),
-                      host.alias("host"))
+                      host.alias("host"), F.xxhash64(col(id_col), col(url_col), col(html_col),
+                                                     F.spark_partition_id()).alias("deal"))
     large = stored(pages.groupBy("host").count().where(F.col("count") > chunk_pages).select(
         "host", F.ceil(F.col("count") / chunk_pages).alias("parts")))
-    if large.count() <= BROADCAST_HOSTS:  # two short columns; more hosts are joined by a shuffle
+    if large.count() <= broadcast_hosts:  # more hosts are joined by a shuffle
         large = F.broadcast(large)
     pages = pages.join(large, "host", "left").select(
-        "id", "url", "html", "host", F.coalesce(F.pmod(F.xxhash64("id", "url"), F.col("parts")), F.lit(0)).alias("chunk"),
+        "id", "url", "html", "host", F.coalesce(F.pmod("deal", F.col("parts")), F.lit(0)).alias("chunk"),
         F.col("parts").isNotNull().alias("dealt"))
     schema = pages.select("id", "url").schema
     keys = ["host", "chunk"]
@@ -312,7 +349,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
             known: dict[str, int] = {}
             for part in slices(batch, "html"):
                 for html, name, chunk in zip(*(part.column(c).to_pylist() for c in ("html", "host", "chunk"))):
-                    found = blocks(html) if html else []
+                    found = parsed(html) if html else []
                     kinds, texts = "".join(k[0] for k, _ in found), [t for _, t in found]
                     own = np.array([_hash("page", name), *{_hash("block", name, t) for t in texts}], dtype=np.int64)
                     needed = [_hash("page", name), *(_hash("block", name, t) for k, t in zip(kinds, texts) if k == "i")]
@@ -321,7 +358,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                     yield pa.RecordBatch.from_arrays([
                         pa.array(h), pa.array(np.full(n, _hash(kinds, *texts))), pa.array([name] * n, pa.string()),
                         pa.array(np.full(n, chunk)),
-                        pa.array(np.isin(h, needed) if "i" in kinds else np.ones(n, dtype=bool))],
+                        pa.array(np.isin(h, needed) if _article(kinds) else np.ones(n, dtype=bool))],
                         names=["far", "page", "host", "chunk", "need"])
 
     # counted over the whole host, and sent to the chunks that need one
@@ -329,14 +366,14 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
         traces, "far long, page long, host string, chunk long, need boolean")
     twice = stored(traced.select("far", "page").distinct().groupBy("far").agg(
         F.count(F.lit(1)).alias("times")).where("times > 1"))
-    if twice.count() <= BROADCAST_REPEATS:  # two numbers each; more are joined by a shuffle
+    if twice.count() <= broadcast_repeats:  # more are joined by a shuffle
         twice = F.broadcast(twice)
     sent = traced.where("need").select("far", "host", "chunk").join(twice, "far").distinct()
 
     def cut(batches):
         for batch in batches:
             for part in slices(batch, "html"):
-                found = [blocks(h) if h else [] for h in part.column(2).to_pylist()]
+                found = [parsed(h) if h else [] for h in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), part.column(3), part.column(4),
                     pa.array([[t for _, t in b] for b in found], pa.list_(pa.string())),
@@ -361,7 +398,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                 n_pages = far.get(_hash("page", host), 1)
                 times = {b: far.get(_hash("block", host, b), 1) for b in times}
             hits = [[]] * len(at)
-            if any("i" not in all_kinds[i] and "o" in all_kinds[i] for i in at):
+            if any(not _article(all_kinds[i]) and "o" in all_kinds[i] for i in at):
                 streams = [_outside(all_blocks[i], all_kinds[i]) for i in at]
                 hits = _chunk(streams, long_words, numbers)
                 if dealt[at[0]]:
@@ -370,9 +407,10 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                         for j in np.flatnonzero(np.isin(_windows(host, words, long_words, known), marks)):
                             hits[i][j:j + long_words] = [True] * long_words
             for i, hit in zip(at, hits):
-                if "i" in all_kinds[i]:
-                    inner = [b for b, k in zip(all_blocks[i], all_kinds[i]) if k == "i"]
-                    kept = _inner_text(inner, [times[b] for b in inner], n_pages, least)
+                if _article(all_kinds[i]):
+                    inner = [(b, k) for b, k in zip(all_blocks[i], all_kinds[i]) if k in "it"]
+                    kept = _inner_text([b for b, _ in inner], "".join([k for _, k in inner]),
+                                       [times[b] for b, _ in inner], n_pages, least)
                 else:
                     kept = _open_text(all_blocks[i], all_kinds[i], [times[b] for b in all_blocks[i]], hit, least)
                 rows.append(i)

@@ -262,3 +262,36 @@ def test_host_suffix_array_matches_brute_force():
     for least in (2, 3, 4, 5):
         streams = [[str(x) for x in rng.integers(0, 4, int(rng.integers(0, 30)))] for _ in range(12)]
         assert hosttext._chunk(streams, least) == brute_repeated(streams, least)
+
+
+def test_words_of_classes_name_subjects_too():
+    def inner(page):
+        return [t for k, t in hosttext.blocks(page) if k == "inner"]
+
+    for name in ("related-work", "legal-analysis", "share-price", "post-header", "promo-history"):
+        assert inner(f'<article><p>a</p><div class="{name}">b c</div></article>') == ["a", "b c"]
+    for name in ("related", "related-posts", "ad-300x250", "share_buttons", "comment-12", "main-nav", "skip-to-content"):
+        assert inner(f'<article><p>a</p><div class="{name}">b c</div></article>') == ["a"]
+    assert inner("<article>x <svg/> y <math /> z <svg><path/>q</svg> w</article>") == ["x y z w"]
+    assert inner("<article><h2>Only a heading</h2></article>") == ["Only a heading"]
+
+
+def test_pages_of_marked_blocks_and_shared_headings(spark):
+    head = "Results of the quarterly survey"
+    rows = [(i, f"http://h.com/{i}", f"<article><h2>{head}</h2><p>a{i} b{i}</p><p>Read this on our site</p></article>")
+            for i in range(6)]
+    rows += [(7, "http://a.com", '<div class="alert-content"><p>main text</p></div>'),
+             (8, "http://b.com", '<div class="notice"><p>all there is</p></div><nav>Home</nav>'),
+             (9, "http://c.com", '<div class="notice">n</div><p>text</p>'),
+             (10, "http://d.com", "<article><h1>Only a heading</h1></article>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {i: f"{head}\n\na{i} b{i}" for i in range(6)} | {7: "main text", 8: "all there is", 9: "text", 10: "Only a heading"}
+    for options in ({}, {"chunk_pages": 2}, {"chunk_pages": 2, "broadcast_hosts": 0, "broadcast_repeats": 0}):
+        assert {r.page_id: r.text for r in hosttext.main_text(df, **options).collect()} == want
+
+
+def test_pages_without_id_and_url_are_dealt(spark):
+    rows = [(None, None, f"<p>a{i} b{i}</p><ul><li>One menu<li>of these pages</ul>") for i in range(40)]
+    df = spark.createDataFrame(rows + rows[:1] * 3, "page_id long, url string, html string")
+    got = Counter(r.text for r in hosttext.main_text(df, chunk_pages=4).collect())
+    assert got == Counter([f"a{i} b{i}" for i in range(40)] + ["a0 b0"] * 3)
