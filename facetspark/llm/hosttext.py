@@ -32,6 +32,7 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -275,6 +276,15 @@ def _windows(host: str, words: list[str], size: int, known: dict[str, int]) -> n
     return _mixed(out).view(np.int64)
 
 
+def _packed(texts: list[str]) -> bytes:
+    """Blocks for a shuffle, compressed; no block holds a line feed."""
+    return zstandard.compress("\n".join(texts).encode("utf-8", "surrogatepass"), 3) if texts else b""
+
+
+def _unpacked(data: bytes) -> list[str]:
+    return zstandard.decompress(data).decode("utf-8", "surrogatepass").split("\n") if data else []
+
+
 def _outside(blocks_: list[str], kinds: str) -> list[str]:
     return [w for b, k in zip(blocks_, kinds) if k not in "it" for w in b.split()]
 
@@ -343,32 +353,36 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     keys = ["host", "chunk"]
 
     def traces(batches):
-        """(hash, page, host, chunk, need) of the whole blocks and long strings of
-        dealt pages; need: the page's own text depends on how often it is met."""
+        """Of each dealt page its number, the hashes of its whole blocks and long
+        strings, and those of them that its own text depends on."""
         for batch in batches:
             known: dict[str, int] = {}
             for part in slices(batch, "html"):
-                for html, name, chunk in zip(*(part.column(c).to_pylist() for c in ("html", "host", "chunk"))):
+                rows = []
+                for html, name in zip(*(part.column(c).to_pylist() for c in ("html", "host"))):
                     found = parsed(html) if html else []
                     kinds, texts = "".join(k[0] for k, _ in found), [t for _, t in found]
                     own = np.array([_hash("page", name), *{_hash("block", name, t) for t in texts}], dtype=np.int64)
-                    needed = [_hash("page", name), *(_hash("block", name, t) for k, t in zip(kinds, texts) if k == "i")]
                     h = np.unique(np.concatenate([own, _windows(name, _outside(texts, kinds), long_words, known)]))
-                    n = len(h)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(h), pa.array(np.full(n, _hash(kinds, *texts))), pa.array([name] * n, pa.string()),
-                        pa.array(np.full(n, chunk)),
-                        pa.array(np.isin(h, needed) if _article(kinds) else np.ones(n, dtype=bool))],
-                        names=["far", "page", "host", "chunk", "need"])
+                    if _article(kinds):
+                        needed = [_hash("page", name), *(_hash("block", name, t) for k, t in zip(kinds, texts) if k == "i")]
+                        need = np.isin(h, needed)
+                    else:
+                        need = np.ones(len(h), dtype=bool)
+                    rows.append((_hash(kinds, *texts), h[need], h[~need]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([r[0] for r in rows], pa.int64()), part.column(1), part.column(2),
+                    *(pa.array([r[i] for r in rows], pa.list_(pa.int64())) for i in (1, 2))],
+                    names=["page", "host", "chunk", "need", "rest"])
 
     # counted over the whole host, and sent to the chunks that need one
-    traced = pages.where("dealt").select("html", "host", "chunk").mapInArrow(
-        traces, "far long, page long, host string, chunk long, need boolean")
-    twice = stored(traced.select("far", "page").distinct().groupBy("far").agg(
+    traced = stored(pages.where("dealt").select("html", "host", "chunk").mapInArrow(
+        traces, "page long, host string, chunk long, need array<long>, rest array<long>"))
+    twice = stored(traced.select("page", F.explode(F.concat("need", "rest")).alias("far")).distinct().groupBy("far").agg(
         F.count(F.lit(1)).alias("times")).where("times > 1"))
     if twice.count() <= broadcast_repeats:  # more are joined by a shuffle
         twice = F.broadcast(twice)
-    sent = traced.where("need").select("far", "host", "chunk").join(twice, "far").distinct()
+    sent = traced.select("host", "chunk", F.explode("need").alias("far")).join(twice, "far").distinct()
 
     def cut(batches):
         for batch in batches:
@@ -376,7 +390,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                 found = [parsed(h) if h else [] for h in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), part.column(3), part.column(4),
-                    pa.array([[t for _, t in b] for b in found], pa.list_(pa.string())),
+                    pa.array([_packed([t for _, t in b]) for b in found], pa.binary()),
                     pa.array(["".join([k[0] for k, _ in b]) for b in found], pa.string()), part.column(5)],
                     names=["id", "url", "host", "chunk", "blocks", "kinds", "dealt"])
 
@@ -384,12 +398,13 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
         key = list(zip(t["host"].to_pylist(), t["chunk"].to_pylist()))
         first = [i for i in range(len(key)) if not i or key[i] != key[i - 1]]
         hashes, counts = t["far"].to_pylist(), t["times"].to_pylist()
-        all_blocks, all_kinds, dealt = (t[c].to_pylist() for c in ("blocks", "kinds", "dealt"))
+        packed, all_kinds, dealt = (t[c].to_pylist() for c in ("blocks", "kinds", "dealt"))
         rows, texts, known = [], [], {}
         for s, e in zip(first, [*first[1:], len(key)]):
             host = key[s][0]
             far = {hashes[i]: counts[i] for i in range(s, e) if hashes[i] is not None}
             at = [i for i in range(s, e) if hashes[i] is None]
+            all_blocks = {i: _unpacked(packed[i]) for i in at}
             number: dict[tuple[str, ...], int] = {}
             numbers = [number.setdefault((all_kinds[i], *all_blocks[i]), len(number)) for i in at]
             times = Counter(b for page in number for b in set(page[1:]))
@@ -420,7 +435,7 @@ def main_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html
 
     spec = T.StructType([schema["id"], schema["url"], T.StructField("host", T.StringType()),
                          T.StructField("chunk", T.LongType()),
-                         T.StructField("blocks", T.ArrayType(T.StringType())), T.StructField("kinds", T.StringType()),
+                         T.StructField("blocks", T.BinaryType()), T.StructField("kinds", T.StringType()),
                          T.StructField("dealt", T.BooleanType())])
     done = pages.mapInArrow(cut, spec).unionByName(sent, allowMissingColumns=True).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
         on_arrow(clean, keys), T.StructType([schema["id"], schema["url"], T.StructField("text", T.StringType())]))
