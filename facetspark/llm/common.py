@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -29,10 +30,11 @@ LEAN_PARQUET = {"compression": "zstd", "parquet.block.size": str(16 << 20)}
 def small_batches(df: DataFrame) -> DataFrame:
     """Have whole texts go to Python in batches of a few MB. The session's
     default of 64 MB a batch, held by the JVM and by Python for every running
-    task, would be a large part of an executor. Results do not depend on it; a
-    size that the user has set stays."""
+    task, would be a large part of an executor. Plans are made lazily, so the
+    size stays set in the session. Results do not depend on it; a size that the
+    user has set stays."""
     name, spark = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession
-    if spark.conf.get(name, None) in (None, "67108864b", "64MB"):
+    if name not in spark.conf.getAll:
         spark.conf.set(name, BATCH_BYTES)
     return df
 
@@ -118,15 +120,39 @@ def min_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
+HUB_ROWS = 500
+
+
+def join_hubs(rows: DataFrame, per_key: DataFrame, on: Sequence[str], spread: Sequence[str], most: int,
+              hub_rows: int = HUB_ROWS) -> DataFrame:
+    """Inner join of ``rows`` with ``per_key``, which has one row per key, when a
+    key has up to ``most`` rows (as measured by the caller).
+
+    Above ``hub_rows`` the join takes two steps: rows are salted by a hash of
+    the columns ``spread``, the pairs of key and salt that occur (combined
+    map-side) get the key's values, and the rows meet these. With the root of
+    ``most`` as the number of salts no step has more rows a key than that root,
+    as far as ``spread`` tells the rows apart.
+    """
+    on = list(on)
+    if most <= hub_rows:
+        return rows.join(per_key, on)
+    salt = F.pmod(F.xxhash64(*spread), F.lit(math.isqrt(most) + 1))
+    rows = rows.withColumn("__salt", salt)
+    salted = rows.select(*on, "__salt").distinct().join(per_key, on)
+    return rows.join(salted, [*on, "__salt"]).drop("__salt")
+
+
+def connected_components(links: DataFrame, rounds: int = 60, hub_rows: int = HUB_ROWS) -> DataFrame:
     """(node, root) of every node of ``links`` (columns a, b: long); root is the
     smallest node reachable.
 
     Alternates large-star and small-star steps. Each step is one grouped
-    minimum (combined map-side, so a hub costs one row per task) and one join
-    that adaptive execution may split at a hub. The links are written to the
-    checkpoint folder after every round; only their count and checksum reach
-    the driver.
+    minimum (combined map-side, so a hub costs one row per task) and one join,
+    in two salted steps if the largest degree measured in the round is above
+    ``hub_rows`` (``join_hubs``). Links and minima are written to the
+    checkpoint folder in every round; only the largest degree, the count and a
+    checksum reach the driver.
     """
     def star(e: DataFrame) -> DataFrame:
         return e.where("u <> v").distinct()
@@ -134,15 +160,20 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
     edges = stored(star(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))))
     seen = None
     for _ in range(rounds):
-        sig = edges.agg(F.count("u"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if tuple(sig) == seen or not sig[0]:
-            break
-        seen = tuple(sig)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = star(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        per = stored(both.groupBy("u").agg(F.min("v").alias("m"), F.count("v").alias("n"),
+                                           F.bit_xor(F.xxhash64("v")).alias("x")))
+        *sig, most = per.agg(F.sum("n"), F.bit_xor(F.xxhash64("u", "n", "x")), F.max("n")).first()
+        if sig == seen or most is None:
+            break
+        seen = sig
+        low = per.select("u", F.least("u", "m").alias("m"))
+        # a node meets no more distinct minima than it has neighbours, so ``most`` holds for both joins
+        large = star(join_hubs(both, low, ["u"], ["v"], most, hub_rows).where("v > u").select(
+            F.col("v").alias("u"), F.col("m").alias("v")))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = join_hubs(large, low, ["u"], ["v"], most, hub_rows).where("v <> m").select(
+            F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(star(small.unionByName(low.select("u", F.col("m").alias("v")))))
     else:
         raise RuntimeError(f"components not settled after {rounds} rounds")
@@ -150,25 +181,32 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+FAN = 1024
+
+
 def running_start(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[Column],
-                  value: str, into: str) -> DataFrame:
+                  value: str, into: str, levels: int = 2) -> DataFrame:
     """Adds ``into``: the sum of ``value`` over the rows of the same keys that
     come before, ordered by chunk, then ``order``.
 
-    Two levels, so that no task holds a whole key: sums per (key, chunk) are
+    In levels, so that no task holds a whole key: sums per (key, chunk) are
     combined map-side and accumulated over that small table, then rows are
-    accumulated inside their chunk.
+    accumulated inside their chunk. Each level above two accumulates the sums
+    themselves in groups of ``FAN`` chunks.
     """
-    keys = list(keys)
-    d = df.withColumn("__chunk", chunk)
-    sums = d.groupBy(*keys, "__chunk").agg(F.sum(value).alias("__sum"))
-    before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("__base", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
-    inside = Window.partitionBy(*keys, "__chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    keys, c, part, base = list(keys), f"__chunk{levels}", f"__sum{levels}", f"__base{levels}"
+    d = df.withColumn(c, chunk)
+    sums = d.groupBy(*keys, c).agg(F.sum(value).alias(part))
+    if levels > 2:
+        sums = running_start(sums, keys, F.floor(F.col(c) / FAN), [F.col(c)], part, base, levels - 1).drop(part)
+    else:
+        before = Window.partitionBy(*keys).orderBy(c).rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn(base, F.coalesce(F.sum(part).over(before), F.lit(0))).drop(part)
+    inside = Window.partitionBy(*keys, c).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("__in", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    on = [d[k].eqNullSafe(sums[k]) for k in [*keys, "__chunk"]]
+    on = [d[k].eqNullSafe(sums[k]) for k in [*keys, c]]
     out = d.join(sums, on)
-    return out.select(*[d[c] for c in df.columns], (F.col("__base") + F.col("__in")).cast("long").alias(into))
+    return out.select(*[d[c] for c in df.columns], (F.col(base) + F.col("__in")).cast("long").alias(into))
 
 
 def on_arrow(fn: Callable[[pa.Table], pa.Table], keys: Sequence[str]):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from facetspark.llm.common import col, connected_components, min_labels, on_arrow, stored
+from facetspark.llm.common import col, connected_components, join_hubs, min_labels, on_arrow, stored
 
 TABLES = 8
 HASHES = 2
@@ -194,9 +194,14 @@ def embedding_components(df: DataFrame, id_col: str = "vec_id", vector_col: str
         comp.withColumnRenamed("node", "c"), "c", "left").select(
         "c", "c2", "least", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("root", "c").alias("root"))
-    least = per.groupBy("root").agg(F.min("least").alias("component_id"))
-    per = per.join(least, "root").select("c", "c2", "n_links", "component_id")
-    linked_rows = hashed.select("__id", "c", "c2").join(per, ["c", "c2"]).select("__id", "n_links", "component_id")
+    per = stored(per)
+    least = stored(per.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")))
+    most_classes = least.agg(F.max("n")).first()[0] or 0
+    most_copies = classes.agg(F.max("copies")).first()[0] or 0
+    least = least.drop("n")
+    per = join_hubs(per, least, ["root"], ["c"], most_classes).select("c", "c2", "n_links", "component_id")
+    linked_rows = join_hubs(hashed.select("__id", "c", "c2"), per, ["c", "c2"], ["__id"], most_copies).select(
+        "__id", "n_links", "component_id")
     bad = rows.where(~F.coalesce(dim_ok & finite & F.exists("v", lambda x: x != 0), F.lit(False))).select(
         "__id", F.lit(0).cast("long").alias("n_links"), F.col("__id").alias("component_id"))
     out = linked_rows.unionByName(bad)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from facetspark.llm.common import col, connected_components, min_labels, on_arrow, row_key, small_batches, stored, with_columns
+from facetspark.llm.common import col, connected_components, join_hubs, min_labels, on_arrow, row_key, small_batches, stored, with_columns
 
 FANOUT = 8
 LEAF = 1024
@@ -193,13 +193,15 @@ def _rooted(ids: DataFrame, shingle_words: int, max_bits: int, leaf: int) -> Dat
     """The columns of ``ids`` (__id, __text, others) but the text, with __fp,
     __root (a fingerprint that names the component) and component_id."""
     docs = stored(fingerprints(ids, "__text", shingle_words).drop("__text"))
-    per_fp = docs.groupBy("__fp").agg(F.min("__id").alias("__min"))
+    per_fp = stored(docs.groupBy("__fp").agg(F.min("__id").alias("__min"), F.count(F.lit(1)).alias("__n")))
     fps = per_fp.select(F.col("__fp").alias("fp"))
-    comp = connected_components(fingerprint_links(stored(fps), max_bits, leaf))
-    rooted = per_fp.join(comp, per_fp["__fp"] == comp["node"], "left").select(
-        "__fp", "__min", F.coalesce("root", "__fp").alias("__root"))
-    least = rooted.groupBy("__root").agg(F.min("__min").alias("component_id"))
-    return docs.join(rooted.join(least, "__root").select("__fp", "__root", "component_id"), "__fp")
+    comp = connected_components(fingerprint_links(fps, max_bits, leaf))
+    rooted = stored(per_fp.join(comp, per_fp["__fp"] == comp["node"], "left").select(
+        "__fp", "__min", F.coalesce("root", "__fp").alias("__root")))
+    least = stored(rooted.groupBy("__root").agg(F.min("__min").alias("component_id"), F.count(F.lit(1)).alias("__n")))
+    most_docs, most_fps = (d.agg(F.max("__n")).first()[0] or 0 for d in (per_fp, least))
+    rooted = join_hubs(rooted, least.drop("__n"), ["__root"], ["__fp"], most_fps)
+    return join_hubs(docs, rooted.select("__fp", "__root", "component_id"), ["__fp"], ["__id"], most_docs)
 
 
 def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

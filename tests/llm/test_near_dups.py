@@ -2,7 +2,7 @@ import numpy as np
 import xxhash
 
 from facetspark.llm import cosine, simhash
-from facetspark.llm.common import connected_components, min_labels
+from facetspark.llm.common import connected_components, join_hubs, min_labels
 
 
 def brute_fingerprint(text):
@@ -85,6 +85,36 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}}
 
 
+def test_components_and_joins_with_hubs(spark):
+    rng = np.random.default_rng(4)
+    a = np.concatenate([rng.integers(0, 400, 120), np.full(300, 1), np.full(200, 399), rng.integers(400, 410, 5)])
+    b = np.concatenate([rng.integers(0, 400, 120), rng.integers(0, 399, 300), rng.integers(200, 410, 200), np.full(5, 405)])
+    links = spark.createDataFrame(list(zip(a.tolist(), b.tolist())), "a long, b long")
+    nodes = sorted({int(x) for p, q in zip(a, b) if p != q for x in (p, q)})
+    label = min_labels(410, a, b)
+    for hub_rows in (2, 10_000):
+        got = {r.node: r.root for r in connected_components(links, hub_rows=hub_rows).collect()}
+        assert got == {n: int(label[n]) for n in nodes}
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([5] * 300 + [6, 7, None])], "k long, i long")
+    per = spark.createDataFrame([(5, "five"), (7, "seven"), (8, "eight")], "k long, name string")
+    for most in (300, 2):
+        got = join_hubs(rows, per, ["k"], ["i"], most, hub_rows=10).select("k", "i", "name").collect()
+        assert sorted(map(tuple, got)) == [*((5, i, "five") for i in range(300)), (7, 301, "seven")]
+
+
+def test_hubs_of_the_operators(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "join_hubs", lambda *a: join_hubs(*a, hub_rows=3))
+    monkeypatch.setattr(cosine, "join_hubs", lambda *a: join_hubs(*a, hub_rows=3))
+    docs = spark.createDataFrame([(i, "same words in all of these rows") for i in range(40)] + [(None, None), (99, "x")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.simhash_components(docs).collect()}
+    assert got == {**{i: 0 for i in range(40)}, None: None, 99: 99}
+    vectors = spark.createDataFrame([(i, [1.0, 2.0, float(i % 7) / 50]) for i in range(40)] + [(50, [-1.0, 2.0, 0.0])],
+                                    "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in cosine.embedding_components(vectors).collect()}
+    assert got == {**{i: (39, 0) for i in range(40)}, 50: (0, 50)}
+
+
 def test_embeddings_match_brute_force(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(size=(60, 24))
