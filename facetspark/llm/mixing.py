@@ -11,8 +11,8 @@ The draw of a shard is the whole part of the expected counts plus a
 multinomial draw of what is left, so that the drift from the targets stays a
 few blocks per shard while shards remain independent tasks.
 
-Sizes are summed in two levels (``running_start``), so no task holds a whole
-source. The driver sees one row per source, never per document.
+Sizes are summed in levels (``running_start``), so no task holds a whole
+source. The driver sees one row per source, up to ``max_sources``, never per document.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from facetspark.llm.common import WORD, col, row_key, running_start, stored
 
 CHUNK_ROWS = 512
+SLOTS_PER_TASK = 1 << 18
+MAX_SOURCES = 100_000
 
 
 def targets(sizes: list[tuple[str | None, int]], weights: list[float], share: float,
@@ -109,31 +111,35 @@ def word_count(text: Column) -> Column:
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
-        block_words: int = 128, shard_slots: int = 4096, seed: int = 42) -> Mix:
+        block_words: int = 128, shard_slots: int = 4096, seed: int = 42,
+        max_sources: int = MAX_SOURCES) -> Mix:
     """The plan of the mix of all rows of ``df``.
 
     A null text has no words; a null source is a source of its own, last in
     order. Rows with equal or null ids are packed like any other, in order of
     (id, size, row key). Wordless documents and empty tables give no blocks. ``most``
     is a whole number of passes in which no block repeats within a pass, so no
-    document is used more than ``most`` times.
+    document is used more than ``most`` times. More sources than
+    ``max_sources`` are an error: a row for each goes to the driver.
     """
     spark = df.sparkSession
     docs = stored(df.select(col(id_col).alias("__id"), col(source_col).alias("__source"),
                             word_count(col(text_col)).alias("__size"), *row_key(df)))
-    per = docs.groupBy("__source").agg(F.sum("__size"), F.count(F.lit(1))).collect()  # one row per source
+    per = docs.groupBy("__source").agg(F.sum("__size"), F.count(F.lit(1))).limit(max_sources + 1).collect()
+    if len(per) > max_sources:
+        raise ValueError(f"more than {max_sources} sources; targets are worked out by the driver, one row per source")
     goal = targets([(r[0], r[1]) for r in per], list(weights), share, most)
     rows = sum(r[2] for r in per)
     blocks = [-(-n // block_words) for _, n, _ in goal]
     info = spark.createDataFrame(
         [(i, s, n, t, b) for i, ((s, n, t), b) in enumerate(zip(goal, blocks))],
         f"__sx int, s {dict(docs.dtypes)['__source']}, __total long, __target double, __blocks long")
-    docs = docs.join(info, docs["__source"].eqNullSafe(info["s"])).drop("s", "__blocks")
+    docs = docs.join(F.broadcast(info), docs["__source"].eqNullSafe(info["s"])).drop("s", "__blocks")
     chunks = max(1, rows // CHUNK_ROWS)
     # rows without an id are dealt by their content, or those of one size would be one chunk
     deal = F.when(F.col("__id").isNull(), F.col("__k1")).otherwise(F.xxhash64("__id", "__size"))
     docs = stored(running_start(docs, ["__sx"], F.pmod(deal, F.lit(chunks)),
-                                [F.col(c) for c in ("__id", "__size", "__k1", "__k2")], "__size", "__start"))
+                                [F.col(c) for c in ("__id", "__size", "__k1", "__k2")], "__size", "__start", levels=3))
 
     # slots each source should get: passes over it times its blocks
     want = np.array([t / n * b if n else 0.0 for (_, n, t), b in zip(goal, blocks)])
@@ -148,7 +154,9 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
     shards = spark.range(-(-total // shard_slots)).mapInPandas(draws, "shard long, sx int, n long")
     first = running_start(stored(shards), ["sx"], F.floor(F.col("shard") / 1024), [F.col("shard")], "n", "first")
-    slots = first.join(info.select(F.col("__sx").alias("sx"), "__blocks"), "sx").select(
+    # dealt evenly before they unfold: a row becomes up to a shard of slots
+    first = first.repartition(max(1, -(-total // SLOTS_PER_TASK)), "shard", "sx")
+    slots = first.join(F.broadcast(info.select(F.col("__sx").alias("sx"), "__blocks")), "sx").select(
         "shard", "sx", "__blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("j"))
     slots = slots.where(F.col("j") < most * F.col("__blocks")).withColumn(
         "epoch", F.floor(F.col("j") / F.col("__blocks")))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from facetspark.llm import hosttext, langid, mixing, pii, preference, quality
+from facetspark.llm import common, hosttext, langid, mixing, pii, preference, quality
 
 DOCS = "doc_id long, text string, source string"
 
@@ -72,6 +72,24 @@ def test_mix(spark):
     assert mixing.taken(mixing.mix(df.limit(0))).count() == 0
 
 
+def test_running_sums_in_three_levels(spark, monkeypatch):
+    monkeypatch.setattr(common, "FAN", 4)
+    rows = [("ab"[i % 3 > 0], i, i * 7 % 5) for i in range(300)] + [(None, 1, 2), (None, 2, 3)]
+    df = spark.createDataFrame(rows, "k string, i long, n long")
+    want, total = {}, Counter()
+    for k, i, n in sorted(rows, key=lambda r: r[1]):
+        want[k, i], total[k] = total[k], total[k] + n
+    for levels in (2, 3, 4):
+        got = common.running_start(df, ["k"], F.floor(F.col("i") / 3), [F.col("i")], "n", "at", levels).collect()
+        assert {(r.k, r.i): r["at"] for r in got} == want
+
+
+def test_too_many_sources_are_an_error(spark):
+    df = spark.createDataFrame([(i, "a b", f"s{i}") for i in range(5)], DOCS)
+    with pytest.raises(ValueError, match="sources"):
+        mixing.mix(df, max_sources=4)
+
+
 def test_mixed_texts_hold_the_words_taken(spark):
     rows = [(i, "  " + " ".join(f"d{i}w{k}" for k in range(i * 7 % 90)), "ab"[i % 2]) for i in range(80)]
     df = spark.createDataFrame(rows, DOCS)
