@@ -28,6 +28,7 @@ from facetspark.llm.common import col, small_batches, with_columns
 SLOTS = 1 << 15
 ORDERS = (1, 2, 3, 4)
 TRAIN_ROWS = 4000
+MAX_LANGUAGES = 1000
 LETTER = re.compile(r"[^\W\d_]")
 # bytes that are no letter in ASCII become a space
 _PLAIN = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -93,10 +94,14 @@ class Model:
 
 def train(df: DataFrame, text_col: str, lang_col: str, pick: Column, train_rows: int = TRAIN_ROWS) -> Model | None:
     """Fit on rows with a language, at most about ``train_rows`` of each, in
-    order of the hash ``pick`` (0..2^32-1); None if there is no such row."""
+    order of the hash ``pick`` (0..2^32-1); None if there is no such row. Rows
+    of one ``pick`` are learned from together or not at all, so it should tell
+    rows apart. More than ``MAX_LANGUAGES`` languages are an error."""
     rows = small_batches(df).select(col(text_col).alias("text"), col(lang_col).alias("lang"), pick.alias("pick")).where(
         "lang is not null and text is not null")
-    per = sorted((r[0], r[1]) for r in rows.groupBy("lang").count().collect())  # one row per language
+    per = sorted((r[0], r[1]) for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect())  # one row per language
+    if len(per) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in {lang_col}")
     if not per:
         return None
     langs = [x for x, _ in per]

@@ -51,8 +51,9 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(id_crc() % 3 == 1, F.lit(False))
-    # the remainder picks the learning rows, so another hash picks the sample among them
-    pick = F.pmod(F.xxhash64("doc_id"), F.lit(2**32))
+    # the remainder picks the learning rows, so another hash picks the sample among them; of id and
+    # text, as ids may be null or repeated
+    pick = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2**32))
     model = langid.train(docs.where(~held_out), "text", "lang", pick)
     return langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
