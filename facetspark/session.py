@@ -94,7 +94,9 @@ def local_session(app_name: str = "facetspark", cores: int | str = "*",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM only; local-cluster has executors of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -109,7 +111,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext on the client
+    except (PySparkAttributeError, PySparkNotImplementedError):  # Spark Connect: no SparkContext on the client
         sc = None
     if sc is None:
         if configured:
