@@ -138,6 +138,40 @@ def test_embeddings_match_brute_force(spark):
         assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_ways_of_comparing_embeddings_agree(spark):
+    # pairs named or groups compared whole, hot buckets broadcast or joined, vectors of several lengths
+    rng = np.random.default_rng(17)
+    rows = []
+    for dim, n in ((16, 90), (2, 30), (1, 12), (8194, 3)):
+        centre = rng.normal(size=(3, dim))
+        rows += (centre[rng.integers(0, 3, n)] + 0.3 * rng.normal(size=(n, dim))).tolist()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    want, a, b = {}, [], []
+    for i, v in enumerate(rows):
+        for j in range(i):
+            if len(rows[j]) == len(v) and np.dot(v, rows[j]) / np.linalg.norm(v) / np.linalg.norm(rows[j]) >= 0.9:
+                a.append(j)
+                b.append(i)
+    label, degree = min_labels(len(rows), np.array(a), np.array(b)), np.bincount(a + b, minlength=len(rows))
+    want = {i: (int(degree[i]), int(label[i])) for i in range(len(rows))}
+    for more in ({"dense": 0}, {"dense": 1000}, {"dense": 1, "block": 7}, {"block": 7, "hot_broadcast": 0}):
+        got = cosine.embedding_components(df, tables=16, probes=3, **more).collect()
+        assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want, more
+
+
+def test_sketches_keep_pairs_at_the_threshold():
+    rng = np.random.default_rng(18)
+    for dim in (2, 16, 64):
+        x = cosine.unit(rng.normal(size=(4000, dim)))
+        z = rng.normal(size=x.shape)
+        z = cosine.unit(z - (z * x).sum(axis=1, keepdims=True) * x)
+        y = 0.9 * x + np.sqrt(1 - 0.81) * z
+        near = cosine.sketches_near(cosine.sketch(x, 42), cosine.sketch(y, 42), cosine.sketch_limit(0.9))
+        assert near.mean() > 0.999
+    far = cosine.sketches_near(cosine.sketch(x, 42), cosine.sketch(x[::-1].copy(), 42), cosine.sketch_limit(0.9))
+    assert far.mean() < 0.01
+
+
 def test_cross_polytope_recall_at_the_threshold():
     rng = np.random.default_rng(8)
     x = cosine.unit(rng.normal(size=(3000, 64)))
