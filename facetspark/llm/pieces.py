@@ -17,14 +17,13 @@ from itertools import chain
 
 import numpy as np
 
-WHITE = np.zeros(256, dtype=bool)
-WHITE[[9, 10, 11, 12, 13, 32]] = True
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
-_STOP = np.zeros(256, dtype=bool)
-_STOP[[44, 46]] = True
 
 _WIDE_SPACE = re.compile(r"[^\S\x00-\x7f]")
+# its letters' bytes, the first one highest, with a zero behind those of two
+_WIDE_BYTES = [int.from_bytes(x.encode("utf-8").ljust(3, b"\0"))
+               for x in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x10000)]) if _WIDE_SPACE.match(x)]
 
 # letters before this one are the same in every version of Unicode, and in normal form
 _PLAIN = "\u0250"
@@ -33,6 +32,7 @@ _MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # without the apostrophe, which m
 LONGEST = 32  # bytes of a span that the table keeps
 WIDTH = 8  # ids of a span that the table keeps
 WAYS = 4
+_FIRST = np.arange(WIDTH) < np.arange(WIDTH + 1)[:, None]
 _MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -52,6 +52,16 @@ def wide_space(text: str) -> bool:
     return not text.isascii() and _WIDE_SPACE.search(text) is not None
 
 
+def wide_texts(b: np.ndarray, at: np.ndarray) -> list[int]:
+    """The numbers of the texts with such white space, from their bytes."""
+    data = np.append(b, np.zeros(2, dtype=np.uint8))
+    lead = np.flatnonzero((b == 0xC2) | (b - np.uint8(0xE1) < 3))
+    letter = data[lead].astype(np.int32) << 16 | data[lead + 1].astype(np.int32) << 8
+    letter |= np.where(data[lead] == 0xC2, 0, data[lead + 2])
+    found = lead[np.isin(letter, _WIDE_BYTES)]
+    return np.unique(np.searchsorted(at, found, side="right") - 1).tolist()
+
+
 def joined(texts: list[str], before: str = "") -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of the texts one after the other, ``before`` in front of
     each, and where each begins (with the end of the last)."""
@@ -61,10 +71,15 @@ def joined(texts: list[str], before: str = "") -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(coded), dtype=np.uint8), at
 
 
+def white_bytes(b: np.ndarray) -> np.ndarray:
+    """Which bytes are ASCII white space."""
+    return (b == 32) | (b - np.uint8(9) < 5)
+
+
 def lone_white(b: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Single spaces and line feeds that touch no other white space nor a
     text's end; a text's first byte counts if the text goes on."""
-    white = WHITE[b]
+    white = white_bytes(b)
     lone = (b == 32) | (b == 10)
     first = at[:-1][at[1:] > at[:-1]]
     last = at[1:][at[1:] > at[:-1]] - 1
@@ -75,15 +90,19 @@ def lone_white(b: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def word_stops(b: np.ndarray, at: np.ndarray) -> np.ndarray:
     """A comma or full stop after an ASCII letter, before white space or a text's end."""
-    after = np.append(WHITE[b[1:]], True)
-    after[at[1:][at[1:] > at[:-1]] - 1] = True
-    return _STOP[b] & after & np.append(False, _LETTER[b[:-1]])
+    stop = np.flatnonzero((b == 44) | (b == 46))
+    stop = stop[stop > 0]
+    stop = stop[_LETTER[b[stop - 1]]]
+    ended = at[np.searchsorted(at, stop + 1)] == stop + 1
+    out = np.zeros(len(b), dtype=bool)
+    out[stop[ended | white_bytes(np.append(b, np.uint8(32))[stop + 1])]] = True
+    return out
 
 
 def words(b: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start, end) of maximal runs without ASCII white space; a stop or comma
     that ends a word is a span of its own."""
-    white = WHITE[b]
+    white = white_bytes(b)
     begin = ~white & np.append(True, white[:-1])
     first = at[:-1][at[1:] > at[:-1]]
     begin[first] = ~white[first]
@@ -95,10 +114,22 @@ def words(b: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[starts], np.append(edges[1:], len(b))[starts]
 
 
-def pieces(b: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def letter_marks(b: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """The places of ``marks`` (a flag per byte) after an ASCII letter."""
+    letter = (b | np.uint8(32)) - np.uint8(97) < 26
+    place = np.flatnonzero(letter[:-1] & ~letter[1:] & (b[1:] != 32)) + 1
+    return place[marks[b[place]]]
+
+
+def pieces(b: np.ndarray, at: np.ndarray, marks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(start, end) of spans that cover all bytes: cut at every text's start,
-    before single spaces and line feeds, and before stops that end a word."""
-    border = lone_white(b, at) | word_stops(b, at)
+    before single spaces and line feeds, and before stops that end a word or,
+    if given, all ``marks`` after a letter."""
+    border = lone_white(b, at)
+    if marks is None:
+        border |= word_stops(b, at)
+    else:
+        border[letter_marks(b, marks)] = True
     border[at[:-1][at[1:] > at[:-1]]] = True
     start = np.flatnonzero(border)
     return start, np.append(start[1:], len(b))
@@ -142,7 +173,7 @@ class Table:
     def _find(self, low, high, size, name):
         """The entry of each span, -1 without one."""
         base = (name >> self.shift).astype(np.int64) & ~np.int64(WAYS - 1)
-        hit = (self.low[base] == low) & (self.high[base] == high) & (self.size[base] == size)
+        hit = (np.take(self.low, base) == low) & (np.take(self.high, base) == high) & (np.take(self.size, base) == size)
         found = np.where(hit, base, -1)
         left = np.flatnonzero(~hit)
         for way in range(1, WAYS):
@@ -182,8 +213,8 @@ class Table:
         size = np.minimum(end - start, LONGEST + 1).astype(np.int64)
         low, high, name = self._keys(b, start, size)
         entry, base = self._find(low, high, size.astype(np.uint8), name)
-        n = np.where(entry >= 0, self.count[entry], np.uint8(0))
-        kept = self.ids[entry][np.arange(WIDTH, dtype=np.uint8) < n[:, None]]
+        n = np.where(entry >= 0, np.take(self.count, entry, mode="clip"), np.uint8(0))
+        kept = np.take(self.ids, entry, axis=0, mode="clip")[np.take(_FIRST, n, axis=0)]
         n = n.astype(np.int64)
         miss = np.flatnonzero(entry < 0)
         if not len(miss):
@@ -215,9 +246,8 @@ class Table:
 
 
 def text_counts(start: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """How many ids each text has: ``n`` per span, texts begin at ``at``."""
-    each = np.searchsorted(at[1:], start, side="right")
-    return np.bincount(each, weights=n, minlength=len(at) - 1).astype(np.int64)
+    """How many ids each text has: ``n`` per span (``start`` ascending), texts begin at ``at``."""
+    return np.diff(np.append(0, np.cumsum(n))[np.searchsorted(start, at)])
 
 
 def one_core() -> None:
@@ -259,6 +289,10 @@ class Library:
         self.lower = "Lowercase" in [p["type"] for p in parts.get("normalizers", [parts]) if p]
         self.byte_level = (kinds.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
         self.letters = dict(enumerate(byte_letters()))
+        # a byte-level vocabulary's words end before these; none is in an added token
+        self.marks = np.zeros(256, dtype=bool)
+        self.marks[[m for m in _MARKS if not any(chr(m) in t["content"] for t in kinds["added_tokens"])]] = True
+        self.wide = np.array([ord(x) for x in byte_letters()], dtype="<u2")
         self.feed = self.whole("\n") if self.byte_level else []
         self.table = Table(bits, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
 
@@ -270,11 +304,7 @@ class Library:
 
     def _word(self, span: bytes) -> list[int] | None:
         """Ids of a span that is one word of letters, else None."""
-        if self.byte_level:
-            lead, word = (span[:1], span[1:]) if span[:1] in (b" ", b"\n") else (b"", span)
-            if word.isalpha() or _latin(word.decode("utf-8")):
-                return self.feed + self._made(word) if lead == b"\n" else self._made(span)
-        elif self.lower:
+        if self.lower:
             if span.isalpha():
                 return self._made(span.lower())
             word = span.decode("utf-8").lower()  # which may part a letter from its mark
@@ -290,7 +320,27 @@ class Library:
         return ids + self._made(span[len(head):]) if len(head) < len(span) else ids
 
     def values(self, spans: list[bytes]) -> list[list[int]]:
-        return [self._one(s) for s in spans]
+        return self._byte_values(spans) if self.byte_level else [self._one(s) for s in spans]
+
+    def _byte_values(self, spans: list[bytes]) -> list[list[int]]:
+        # one letter a byte, made for all spans at once
+        flat = np.take(self.wide, np.frombuffer(b"".join(spans), dtype=np.uint8)).tobytes().decode("utf-16-le")
+        at, out, tokenize = 0, [], self.model.tokenize
+        for span in spans:
+            head, lead, begin = span.rstrip(_MARKS), span[:1], at
+            word = head[1:] if lead == b" " or lead == b"\n" else head
+            at += len(span)
+            if not (word.isalpha() or _latin(word.decode("utf-8"))):
+                out.append(self.whole(span.decode("utf-8")))
+                continue
+            middle = begin + len(head)
+            ids = [t.id for t in tokenize(flat[begin + (lead == b"\n"):middle])]
+            if lead == b"\n":
+                ids = self.feed + ids
+            if middle < at:
+                ids += [t.id for t in tokenize(flat[middle:at])]
+            out.append(ids)
+        return out
 
     def encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other and how many each has, for
@@ -303,9 +353,11 @@ class Library:
     def encode_bytes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for byte-level vocabularies, which keep white space. Texts
         with white space beyond ASCII are encoded as a whole."""
-        wide = {i: self.whole(t) for i, t in enumerate(texts) if wide_space(t)}
-        b, at = joined(["" if i in wide else t for i, t in enumerate(texts)] if wide else texts)
-        start, end = pieces(b, at)
+        b, at = joined(texts)
+        wide = {i: self.whole(texts[i]) for i in wide_texts(b, at)}
+        if wide:
+            b, at = joined(["" if i in wide else t for i, t in enumerate(texts)])
+        start, end = pieces(b, at, self.marks)
         ids, n = self.table.numbers(b, start, end, self.values)
         n = text_counts(start, n, at)
         if wide:

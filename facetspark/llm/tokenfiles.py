@@ -38,6 +38,7 @@ PERCENTILE = 0.95
 SEGMENT_IDS = 1 << 19
 END_ID = 2
 TIE = 32
+TABLE_BITS = 21  # places of a worker's table of spans
 
 
 def pack_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
@@ -122,7 +123,7 @@ def write_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     rows = rows.repartitionByRange("id", "tie", "hash", "part").sortWithinPartitions("id", "tie", "hash")
 
     def run(batches):
-        words = worker_state(("library", hash(spec)), lambda: Library(spec))
+        words = worker_state(("library", hash(spec)), lambda: Library(spec, bits=TABLE_BITS))
         tail, held, ids_, segment, n = struct.pack("<I", end_id), [], [], 0, 0
         shard = None
 

@@ -54,3 +54,18 @@ def test_spans_cover_the_texts():
     start, end = pieces.words(b, at)
     got = b"".join(b[s:e].tobytes() for s, e in zip(start.tolist(), end.tolist()))
     assert got == bytes(x for x in b.tobytes() if x not in b" \t\n\r\x0b\x0c")
+
+
+def test_marks_behind_a_word_ask_for_no_new_span():
+    path = tokenizer("byte_bpe_50k.json")
+    lib, want, asked, values = pieces.Library(read_spec(path)), Tokenizer.from_file(path), [], None
+    values, lib.values = lib.values, lambda spans: asked.extend(spans) or values(spans)
+    some = ["A stonewort, stonewort!! stonewort&&& stonewort.", "stone_wort's <|endoftext|> wort<|endoftext|>, wort|> É&& wort's."]
+    ids, n = lib.encode_bytes(some)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [want.encode(t).ids for t in some]
+    assert sum(b"stonewort" in s for s in asked) == 1
+
+
+def test_wide_white_space_is_found_by_its_bytes():
+    every = ["", "é", " ", *(f"a{chr(i)}" for i in range(0x80, 0x20000) if not 0xD800 <= i < 0xE000), "x", ""]
+    assert pieces.wide_texts(*pieces.joined(every)) == [i for i, t in enumerate(every) if pieces.wide_space(t)]
