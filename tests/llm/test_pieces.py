@@ -58,8 +58,9 @@ def test_spans_cover_the_texts():
 
 def test_marks_behind_a_word_ask_for_no_new_span():
     path = tokenizer("byte_bpe_50k.json")
-    lib, want, asked, values = pieces.Library(read_spec(path)), Tokenizer.from_file(path), [], None
-    values, lib.values = lib.values, lambda spans: asked.extend(spans) or values(spans)
+    lib, want, asked = pieces.Library(read_spec(path)), Tokenizer.from_file(path), []
+    values = lib.values
+    lib.values = lambda spans: asked.extend(spans) or values(spans)
     some = ["A stonewort, stonewort!! stonewort&&& stonewort.", "stone_wort's <|endoftext|> wort<|endoftext|>, wort|> É&& wort's."]
     ids, n = lib.encode_bytes(some)
     assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [want.encode(t).ids for t in some]
